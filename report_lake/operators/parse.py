@@ -71,6 +71,7 @@ class Parsed:
     status: DataFrame
     section: DataFrame  # the kept data lines: path, pos, n, line (+ record index)
     facts: DataFrame  # one row per file that has at least one non-empty line
+    chunks: Optional[DataFrame] = None  # chunked layout: path, record_no, report_date, line0..
 
 
 def normalise(lines: DataFrame) -> DataFrame:
@@ -248,9 +249,9 @@ def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = No
     spec = get_spec(report_type)
     k = with_block(normalise(lines))
     if spec.layout == "chunked":
-        records, facts, has_section, short, section, _ = _chunked(k, spec)
+        records, facts, has_section, short, section, chunks = _chunked(k, spec)
     elif spec.layout == "ruler":
-        records, facts, has_section, short, section, _ = _ruler(k, spec)
+        records, facts, has_section, short, section, chunks = _ruler(k, spec)
     else:
         raise ValueError(f"unknown layout {spec.layout!r}")
 
@@ -291,7 +292,7 @@ def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = No
         F.coalesce(F.col("records"), F.lit(0)).cast("long").alias("records"),
         F.coalesce(F.col("short_lines_dropped"), F.lit(0)).cast("long").alias("short_lines_dropped"),
     )
-    return Parsed(records=records, status=status_df, section=section, facts=facts)
+    return Parsed(records=records, status=status_df, section=section, facts=facts, chunks=chunks)
 
 
 def file_dates(lines: DataFrame, report_type) -> DataFrame:

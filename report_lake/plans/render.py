@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spec import ST1, ST49
+from ..spec import ST1, ST49, ReportSpec, Slice
 
 # Position layout of a rendered report (sparse; only the order matters).
 HEADER_BASE = 0
@@ -220,3 +220,63 @@ def render_st49(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     headers = days.select(st49_path(d).alias("path"), _line_rows(None, d, head).alias("x"))
     return records.unionByName(headers).select("path", "x.pos", "x.line")
+
+
+# An invented third report type, to show that a new report is a new spec: a
+# daily event log with two-line records, rendered from ``events``.
+EVENTS_COLUMNS = ("date", "event_id", "user_id", "event_type", "value", "ts", "props")
+EVENTS_SPEC = ReportSpec(
+    name="events",
+    prefix="EVENTS",
+    extensions=("LOG",),
+    columns=EVENTS_COLUMNS,
+    layout="chunked",
+    date_rule="marker",
+    date_marker="LOG DATE",
+    date_offset=10,
+    anchor_words=("EVENT ID", "USER ID"),
+    data_offset=2,
+    terminators=("END OF EVENT LOG",),
+    row_excludes=("=" * 40,),
+    min_row_bytes=12,
+    lines_per_record=2,
+    slices=(
+        Slice("event_id", 0, 0, 12),
+        Slice("user_id", 0, 12, 24),
+        Slice("event_type", 0, 24, 40),
+        Slice("value", 0, 40, None),
+        Slice("ts", 1, 0, 30),
+        Slice("props", 1, 30, None),
+    ),
+    section_name="EVENT LOG",
+)
+
+
+def events_path(d: Column) -> Column:
+    return F.concat(F.lit(EVENTS_SPEC.prefix), F.date_format(d, "yyyyMMdd"), F.lit(".LOG"))
+
+
+def render_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily event logs from ``events`` as a line relation (two lines per event)."""
+    ev = load(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", F.to_date("ts").alias("d")
+    )
+    k = F.col("event_id") * 4 + RECORD_BASE
+    l0 = F.concat(
+        F.rpad(F.col("event_id").cast("string"), 12, " "), F.rpad(F.col("user_id").cast("string"), 12, " "),
+        F.rpad("event_type", 16, " "), _money("value"),
+    )
+    l1 = F.concat(F.rpad(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), 30, " "), F.col("props"))
+    d = F.col("d")
+    records = ev.select(events_path(d).alias("path"), _line_rows(None, d, [(k, l0), (k + 1, l1)]).alias("x"))
+    days = ev.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    head = [
+        (F.lit(HEADER_BASE), F.lit("EVENT LOG")),
+        (F.lit(HEADER_BASE + 1), F.concat(F.lit("LOG DATE: "), F.date_format(d, "dd MMMM yyyy"))),
+        (F.lit(HEADER_BASE + 2), F.lit("EVENT ID    USER ID     TYPE            VALUE")),
+        (F.lit(HEADER_BASE + 3), F.lit("TIMESTAMP                     PROPERTIES")),
+        (F.lit(FOOTER_BASE), F.lit("=" * 40)),
+        (F.lit(FOOTER_BASE + 1), F.lit("END OF EVENT LOG")),
+    ]
+    headers = days.select(events_path(d).alias("path"), _line_rows(None, d, head).alias("x"))
+    return records.unionByName(headers).select("path", "x.pos", "x.line")
