@@ -37,6 +37,7 @@ from ..functions.text import (
     trim_ws,
     words_slice,
 )
+from ..session import stage_bucketed
 from ..spec import ReportSpec, get_spec
 
 # Status codes and error messages of a file that cannot be parsed.
@@ -82,9 +83,28 @@ def normalise(lines: DataFrame) -> DataFrame:
     )
 
 
+def partitioned_lines(lines: DataFrame, materialize: bool = True) -> DataFrame:
+    """Trimmed lines with a ``keep`` flag (non-empty), hash-partitioned once by
+    ``(path, blk)`` and written once as a table bucketed by ``(path, blk)`` in
+    the shared checkpoint folder.
+
+    Several branches read this relation (block summaries, the join back, the
+    section and terminator scans). The bucketed layout lets each branch read it
+    without an exchange, and joins on ``(path, blk)`` shuffle only the small
+    block tables; the write also cuts the lineage, so a lost executor recomputes
+    from here rather than from the source. Empty lines travel along
+    only so that a file made of blank lines still has a status row.
+    """
+    t = lines.select("path", F.col("pos").cast("long").alias("pos"), trim_ws("line").alias("line"))
+    out = with_block(t.withColumn("keep", F.col("line") != ""))
+    if materialize:
+        return stage_bucketed(out, ["path", "blk"], "lines")
+    return out.repartition("path", "blk")
+
+
 def report_lines(lines: DataFrame) -> DataFrame:
     """Normalised lines renumbered densely from 0: ``path, line_no, line``."""
-    k = with_block(normalise(lines))
+    k = partitioned_lines(lines).where("keep")
     return dense_index(k, "line_no").select("path", "line_no", "line")
 
 
@@ -110,12 +130,13 @@ def _date_from_tokens(spec: ReportSpec, date_line):
     return parsed, error
 
 
-def _chunked(k: DataFrame, spec: ReportSpec):
+def _chunked(k_all: DataFrame, spec: ReportSpec):
     line, pos = F.col("line"), F.col("pos")
-    is_date = line.contains(spec.date_marker)
-    is_anchor = contains_all(line, spec.anchor_words)
-    bsum = k.groupBy("path", "blk").agg(
-        F.count(F.lit(1)).alias("cnt"),
+    is_date = F.col("keep") & line.contains(spec.date_marker)
+    is_anchor = F.col("keep") & contains_all(line, spec.anchor_words)
+    k = k_all.where("keep")
+    bsum = k_all.groupBy("path", "blk").agg(
+        F.count_if(F.col("keep")).alias("cnt"),
         F.min_by(F.when(is_date, line), F.when(is_date, pos)).alias("date_line"),
         F.min(F.when(is_date, pos)).alias("date_pos"),
         F.min(F.when(is_anchor, pos)).alias("anchor_pos"),
@@ -174,20 +195,23 @@ def _chunked(k: DataFrame, spec: ReportSpec):
     return records, facts, has_section, short, section, chunks
 
 
-def _ruler(k: DataFrame, spec: ReportSpec):
+def _ruler(k_all: DataFrame, spec: ReportSpec):
     line, pos = F.col("line"), F.col("pos")
     is_ruler = line.contains(spec.ruler_marker)
     is_header = contains_all(line, spec.header_words)
     is_footer = contains_any(line, spec.footer_words)
     toggle = (
-        F.when(is_ruler, F.lit(True))
+        F.when(~F.col("keep"), F.lit(None).cast("boolean"))
+        .when(is_ruler, F.lit(True))
         .when(is_header, F.lit(None).cast("boolean"))
         .when(is_footer, F.lit(False))
     )
-    kt = k.withColumn("toggle", toggle)
+    kt_all = k_all.withColumn("toggle", toggle)
+    kt = kt_all.where("keep")
     tpos = F.when(F.col("toggle").isNotNull(), pos)
-    bsum = kt.groupBy("path", "blk").agg(
-        F.count(F.lit(1)).alias("cnt"),
+    is_ruler = F.col("keep") & is_ruler
+    bsum = kt_all.groupBy("path", "blk").agg(
+        F.count_if(F.col("keep")).alias("cnt"),
         F.max_by("toggle", tpos).alias("last_toggle"),
         F.max_by(F.when(is_ruler, line), F.when(is_ruler, pos)).alias("ruler"),
         F.max(F.when(is_ruler, pos)).alias("ruler_pos"),
@@ -247,7 +271,7 @@ def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = No
     row. Defaults to the distinct paths of ``lines``.
     """
     spec = get_spec(report_type)
-    k = with_block(normalise(lines))
+    k = partitioned_lines(lines)
     if spec.layout == "chunked":
         records, facts, has_section, short, section, chunks = _chunked(k, spec)
     elif spec.layout == "ruler":
@@ -256,7 +280,7 @@ def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = No
         raise ValueError(f"unknown layout {spec.layout!r}")
 
     if files is None:
-        files = lines.select("path").distinct()
+        files = facts.select("path")
     if "io_error" not in files.columns:
         files = files.withColumn("io_error", F.lit(None).cast("string"))
     counts = records.groupBy("path").agg(F.count(F.lit(1)).alias("records"))

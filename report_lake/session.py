@@ -29,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("REPORT_LAKE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -58,3 +59,26 @@ def to_local_or_uri(path: str) -> str:
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     return path
+
+
+def stage_bucketed(df, cols, name: str, buckets: int | None = None):
+    """Write ``df`` once as a table bucketed by ``cols`` in the shared folder and
+    read it back.
+
+    Later aggregations, windows and joins keyed on ``cols`` then read it with a
+    known hash layout and shuffle nothing but the other (small) side. The write
+    also cuts the lineage: a lost executor recomputes from this table, not from
+    the source.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"rl_{name}_{uuid.uuid4().hex[:12]}"
+    (
+        df.repartition(n, *cols)
+        .write.format("parquet")
+        .bucketBy(n, *cols)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
