@@ -16,7 +16,26 @@ from ..operators.parse import STATUS_DATE, STATUS_OK, parse_reports
 from ..operators.parse import report_lines as _report_lines
 from ..operators.ranges import in_date_range
 from ..sources.files import text_lines
-from . import oracles
+from ..operators.ingest import ingest_archives, ingest_folder
+from ..operators.reconcile import except_rows, sym_diff, table_count, table_head
+from ..operators.routing import route
+from ..operators.table import (
+    compact,
+    create_or_open_table,
+    default_ledger_path,
+    load_candidates,
+    load_table,
+    quarantine,
+    stale_files,
+)
+from ..session import scratch_path, to_local_or_uri
+from ..sources.archives import member_names
+from ..sources.csv import read_report_csv, write_report_csv
+from ..sources.download import download_plan, fetch_reports, local_name_pattern
+from ..sources.files import utf8_gate
+from ..sources.ledger import append_ledger, read_ledger, read_ledger_entries
+from ..streaming.incremental import incremental_stream, records_to_table
+from . import fixtures, oracles
 from .render import EVENTS_SPEC, load, render_events, render_st1, render_st49
 
 
@@ -104,6 +123,234 @@ def q_custom_spec(spark: SparkSession, sf: str) -> DataFrame:
     return parse_reports(render_events(spark, sf), EVENTS_SPEC).records
 
 
+
+# ---------------------------------------------------------------- table side
+
+def _loaded_table(spark: SparkSession, sf: str, two_batches: bool = True) -> str:
+    """Parse ST1 -> CSV in two batches -> two incremental loads; returns the table path."""
+    recs = fixtures.parsed_st1(spark, sf).records
+    csv = scratch_path(spark, "csv")
+    table = scratch_path(spark, "table_st1")
+    early = F.to_date("date") < F.lit("1998-01-01").cast("date")
+    if two_batches:
+        write_report_csv(recs.where(early), csv, "st1")
+        load_table(spark, table, "st1", csv_folder=csv)
+        write_report_csv(recs.where(~early), csv, "st1")
+        load_table(spark, table, "st1", csv_folder=csv)
+    else:
+        write_report_csv(recs, csv, "st1")
+        load_table(spark, table, "st1", csv_folder=csv)
+    return table
+
+
+def q_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fixtures.csv_folder(spark, sf)
+    return read_report_csv(spark, folder, "st1")
+
+
+def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fixtures.csv_folder(spark, sf, damaged=True)
+    return read_report_csv(spark, folder, "st1")
+
+
+def q_table_create(spark: SparkSession, sf: str) -> DataFrame:
+    table = scratch_path(spark, "table_st1")
+    create_or_open_table(spark, table, "st1")
+    create_or_open_table(spark, table, "st1")  # second call opens, keeps the table
+    csv = fixtures.csv_folder(spark, sf)
+    load_table(spark, table, "st1", csv_folder=csv)
+    return spark.read.parquet(table)
+
+
+def q_append_batch(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(_loaded_table(spark, sf))
+
+
+def q_table_count(spark: SparkSession, sf: str) -> DataFrame:
+    return table_count(spark.read.parquet(_loaded_table(spark, sf, two_batches=False)))
+
+
+def q_table_head(spark: SparkSession, sf: str) -> DataFrame:
+    t = spark.read.parquet(_loaded_table(spark, sf, two_batches=False))
+    return table_head(t, 10, ["date", "licence_number"])
+
+
+def q_table_recreate(spark: SparkSession, sf: str) -> DataFrame:
+    recs = fixtures.parsed_st1(spark, sf).records
+    csv = scratch_path(spark, "csv")
+    table = scratch_path(spark, "table_st1")
+    write_report_csv(recs, csv, "st1")
+    load_table(spark, table, "st1", csv_folder=csv)
+    load_table(spark, table, "st1", csv_folder=csv, recreate=True)  # replaces table and ledger: rows once
+    return spark.read.parquet(table)
+
+
+def q_ledger_append(spark: SparkSession, sf: str) -> DataFrame:
+    table = _loaded_table(spark, sf)
+    e = read_ledger_entries(spark, default_ledger_path(table))
+    return e.select(F.regexp_extract("csv_file", r"report=([^/]+)/", 1).alias("report"), "status").distinct()
+
+
+def q_ledger_read(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "ledger")
+    fixtures.ledger_lines(spark, sf).write.text(path)
+    return read_ledger(spark, path)
+
+
+def q_load_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    listing = fixtures.candidate_listing(spark, sf)
+    ledger = scratch_path(spark, "ledger")
+    append_ledger(listing.where(F.col("lang") == "en").select(F.col("path").alias("csv_file")), ledger)
+    offered = listing.unionByName(listing.where(F.col("lang") == "fr"))  # offered twice: once by folder, once by path
+    return load_candidates(spark, "st1", ledger, listing=offered.select("path", "length")).select("path")
+
+
+def q_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    st = in_date_range(fixtures.parsed_st1(spark, sf).status, oracles.RANGE_START, oracles.RANGE_END)
+    q = quarantine(st, scratch_path(spark, "quarantine"))
+    return q.select("path", "status", "error")
+
+
+def q_compact(spark: SparkSession, sf: str) -> DataFrame:
+    table = scratch_path(spark, "table_st49")
+    create_or_open_table(spark, table, "st49")
+    records_to_table(fixtures.parsed_st49(spark, sf).records.repartition(24), table, "st49")
+    res = compact(spark, table)
+    if res.files_after >= res.files_before:
+        raise AssertionError(f"compaction did not reduce files: {res}")
+    return spark.read.parquet(table)
+
+
+def q_stale_files(spark: SparkSession, sf: str) -> DataFrame:
+    table = scratch_path(spark, "table_st49")
+    create_or_open_table(spark, table, "st49")
+    records_to_table(fixtures.parsed_st49(spark, sf).records.repartition(12), table, "st49")
+    compact(spark, table)
+    return stale_files(spark, table, retention_hours=0).select(
+        F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"), "length"
+    )
+
+
+def q_except_rows(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = perturbed_orders(spark, sf)
+    return except_rows(a, b)
+
+
+def q_sym_diff(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = perturbed_orders(spark, sf)
+    return sym_diff(a, b)
+
+
+def perturbed_orders(spark: SparkSession, sf: str):
+    """``orders`` and a copy with changed, dropped, duplicated and NULLed rows;
+    both sides also share rows with a NULL, which must compare equal."""
+    o = load(spark, sf, "orders")
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    shared_null = (pr == "4-NOT SPECIFIED") & (st == "O")
+    a = o.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        F.when(shared_null, F.lit(None)).otherwise(pr).alias("o_orderpriority"),
+    )
+    b0 = o.where(~((pr == "2-HIGH") & (st == "O"))).select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        F.when((pr == "1-URGENT") & (st == "F"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        "o_orderdate",
+        F.when(shared_null | ((pr == "3-MEDIUM") & (st == "F")), F.lit(None)).otherwise(pr).alias("o_orderpriority"),
+    )
+    b = b0.unionByName(b0.where(st == "P"))
+    return a, b
+
+
+# ---------------------------------------------------------------- sources
+
+def q_ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fixtures.report_folder(spark, sf, "st1")
+    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True))  # decoys: other extension
+    res = ingest_folder(spark, folder, "st1")
+    return res.records.withColumn("path", F.regexp_extract("path", r"([^/]*)$", 1))
+
+
+def q_utf8_gate(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    text, err = utf8_gate(F.encode("text", "ISO-8859-1"))
+    return docs.select("doc_id", err.isNull().alias("valid_utf8"))
+
+
+def q_utf8_lossy(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    text, _ = utf8_gate(F.encode("text", "ISO-8859-1"), "replace")
+    fixed = docs.select("doc_id", text.alias("t"))
+    return fixed.select("doc_id", (F.length("t") - F.length(F.replace("t", F.lit("\ufffd"), F.lit("")))).alias("replaced"))
+
+
+def _order_day_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    o = load(spark, sf, "orders")
+    return o.agg(F.min(F.to_date("o_orderdate")).alias("start"), F.max(F.to_date("o_orderdate")).alias("end"))
+
+
+def q_download_plan(spark: SparkSession, sf: str) -> DataFrame:
+    return download_plan(spark, "st1", None, None, oracles.URL_BASE, bounds=_order_day_bounds(spark, sf))
+
+
+def q_fetch_reports(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fixtures.report_folder(spark, sf, "st1")
+    base = to_local_or_uri(folder).rstrip("/") + "/"
+    plan = download_plan(spark, "st1", None, None, base, url_pattern=local_name_pattern("st1"),
+                         bounds=_order_day_bounds(spark, sf))
+    got = fetch_reports(plan)
+    return got.select(
+        "report_date", "target",
+        F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
+    )
+
+
+def q_archive_members(spark: SparkSession, sf: str) -> DataFrame:
+    o = load(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
+    d = F.col("d")
+    dom = F.dayofmonth(d)
+    mmdd = F.date_format(d, "MMdd")
+    archive = F.when(dom == 29, F.lit("WELLS_ARCHIVE.zip")).otherwise(
+        F.concat(F.lit("WELLS"), mmdd, F.lit("_"), F.date_format(d, "yyyy"), F.lit(".zip")))
+    member = (
+        F.when(dom == 30, F.lit("README")).when(dom == 31, F.lit("../evil.TXT"))
+        .when(dom == 28, F.concat(F.lit("WELLS"), mmdd, F.lit(".zip"))).when(dom == 27, F.lit("docs/"))
+        .when(dom % 5 == 0, F.concat(F.lit("WELLS"), mmdd, F.lit(".txt")))
+        .otherwise(F.concat(F.lit("WELLS"), mmdd, F.lit(".TXT")))
+    )
+    names = o.select(archive.alias("archive"), member.alias("member"))
+    return names.select("archive", "member", *member_names(F.col("archive"), F.col("member")))
+
+
+def q_archive_expand(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fixtures.zip_folder(spark, sf)
+    members, _ = ingest_archives(spark, folder, "st1")
+    return members.select(
+        F.regexp_extract("archive", r"([^/]*)$", 1).alias("archive"), "member", "year", "out_name", "status"
+    )
+
+
+def q_report_routing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    ext = (F.when(F.col("lang") == "en", F.lit(".TXT")).when(F.col("lang") == "fr", F.lit(".txt"))
+           .when(F.col("lang") == "de", F.lit(".csv")).otherwise(F.lit("")))
+    name = F.concat(F.lpad(F.col("doc_id").cast("string"), 6, "0"), ext)
+    rtype = (F.when(F.length("source") == 4, F.lit("ST1"))
+             .when(F.col("source").isin("src10", "src11", "src12"), F.lit("st49"))
+             .when(F.col("source") == "src13", F.lit("Bogus")).otherwise(F.lit("St49")))
+    named = docs.select("doc_id", name.alias("name"), rtype.alias("requested"))
+    return named.select("doc_id", "name", "requested", *route(F.col("name"), F.col("requested")))
+
+
+def q_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
+    early = F.col("path").substr(10, 4) < F.lit("1998")
+    folder = fixtures.report_folder(spark, sf, "st1", where=early)
+    table = scratch_path(spark, "table_stream")
+    ckpt = scratch_path(spark, "stream_ckpt")
+    incremental_stream(spark, folder, "st1", table, ckpt)
+    fixtures.add_report_files(spark, sf, folder, "st1", ~early)
+    incremental_stream(spark, folder, "st1", table, ckpt)
+    return spark.read.parquet(table)
+
 QUERIES = {
     "report_lines": q_report_lines,
     "byte_slice": q_byte_slice,
@@ -118,6 +365,30 @@ QUERIES = {
     "error_summary": q_error_summary,
     "date_range_filter": q_date_range_filter,
     "custom_spec": q_custom_spec,
+    "csv_round_trip": q_csv_round_trip,
+    "csv_scan": q_csv_scan,
+    "table_create": q_table_create,
+    "append_batch": q_append_batch,
+    "table_count": q_table_count,
+    "table_head": q_table_head,
+    "table_recreate": q_table_recreate,
+    "ledger_append": q_ledger_append,
+    "ledger_read": q_ledger_read,
+    "load_candidates": q_load_candidates,
+    "quarantine": q_quarantine,
+    "compact": q_compact,
+    "stale_files": q_stale_files,
+    "except_rows": q_except_rows,
+    "sym_diff": q_sym_diff,
+    "ingest_folder": q_ingest_folder,
+    "utf8_gate": q_utf8_gate,
+    "utf8_lossy": q_utf8_lossy,
+    "download_plan": q_download_plan,
+    "fetch_reports": q_fetch_reports,
+    "archive_members": q_archive_members,
+    "archive_expand": q_archive_expand,
+    "report_routing": q_report_routing,
+    "incremental_stream": q_incremental_stream,
 }
 
 ORACLES = {
@@ -134,4 +405,26 @@ ORACLES = {
     "error_summary": oracles.error_summary(),
     "date_range_filter": oracles.date_range_filter(),
     "custom_spec": oracles.custom_spec(),
+    "csv_round_trip": oracles.st1_stored(),
+    "csv_scan": oracles.st1_stored(),
+    "table_create": oracles.st1_stored(),
+    "append_batch": oracles.st1_stored(),
+    "table_count": oracles.table_count(),
+    "table_head": oracles.table_head(),
+    "table_recreate": oracles.st1_stored(),
+    "ledger_append": oracles.ledger_append(),
+    "ledger_read": oracles.ledger_read(),
+    "load_candidates": oracles.load_candidates(),
+    "quarantine": oracles.quarantine(),
+    "compact": oracles.st49_stored(),
+    "except_rows": oracles.except_rows(),
+    "sym_diff": oracles.sym_diff(),
+    "ingest_folder": oracles.st1_records(),
+    "utf8_gate": oracles.utf8_gate(),
+    "download_plan": oracles.download_plan(),
+    "fetch_reports": oracles.fetch_reports(),
+    "archive_members": oracles.archive_members(),
+    "archive_expand": oracles.archive_expand(),
+    "report_routing": oracles.report_routing(),
+    "incremental_stream": oracles.st1_stored(),
 }

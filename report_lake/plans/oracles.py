@@ -249,3 +249,205 @@ SELECT 'EVENTS' || strftime(CAST(ts AS DATE), '%Y%m%d') || '.LOG' AS path,
        strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, props
 FROM events
 """
+
+
+def _stored(records_sql: str, columns) -> str:
+    cols = ", ".join(f"NULLIF({c}, '') AS {c}" for c in columns)
+    return f"SELECT {cols} FROM ({records_sql}) x"
+
+
+def st1_stored() -> str:
+    """Rows of an ST1 table: the records without path/record_no, '' stored as NULL."""
+    return _stored(st1_records(), ST1.columns)
+
+
+def st49_stored() -> str:
+    return _stored(st49_records(), ST49.columns)
+
+
+def table_count() -> str:
+    return f"SELECT count(*) AS n FROM ({st1_stored()}) t"
+
+
+def table_head() -> str:
+    return f"SELECT * FROM ({st1_stored()}) t ORDER BY date, licence_number LIMIT 10"
+
+
+def ledger_append() -> str:
+    return f"SELECT DISTINCT strftime(d, '%Y%m%d') || '_WELLS' AS report, 'loaded' AS status FROM ({DAYS}) x WHERE {OK_DAY}"
+
+
+def ledger_read() -> str:
+    return """
+SELECT DISTINCT '/data/csv/' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '_WELLS.csv' AS csv_file
+FROM documents WHERE lang NOT IN ('de', 'es')
+"""
+
+
+def load_candidates() -> str:
+    return """
+WITH l AS (
+  SELECT 'file:/data/csv/' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '_' ||
+         CASE WHEN length(source) = 4 THEN 'WELLS' ELSE 'SPUD' END ||
+         CASE lang WHEN 'de' THEN '.CSV' WHEN 'es' THEN '.txt' ELSE '.csv' END AS path, lang
+  FROM documents)
+SELECT DISTINCT path FROM l
+WHERE path LIKE '%WELLS%' AND path LIKE '%.csv'
+  AND NOT EXISTS (SELECT 1 FROM l e WHERE e.lang = 'en' AND e.path = l.path)
+"""
+
+
+def quarantine() -> str:
+    return f"""
+SELECT * FROM (
+  SELECT {ST1_PATH} AS path,
+         CASE WHEN dayofmonth(d) = 13 THEN 'date_parse'
+              WHEN d NOT BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}' THEN 'out_of_range'
+              WHEN dayofmonth(d) = 17 THEN 'missing_section' ELSE 'ok' END AS status,
+         CASE WHEN dayofmonth(d) = 13 THEN 'Failed to parse date: 31 February ' || CAST(year(d) AS VARCHAR)
+              WHEN d NOT BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}' THEN 'Date outside of range'
+              WHEN dayofmonth(d) = 17 THEN 'Missing required section: WELL LICENCES ISSUED' END AS error
+  FROM ({DAYS}) x) q
+WHERE status <> 'ok'
+"""
+
+
+PERTURBED = """
+a AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+         CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O' THEN NULL ELSE o_orderpriority END
+           AS o_orderpriority
+  FROM orders),
+b0 AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END
+           AS o_totalprice,
+         o_orderdate,
+         CASE WHEN (o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O')
+                OR (o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F') THEN NULL ELSE o_orderpriority END
+           AS o_orderpriority
+  FROM orders WHERE NOT (o_orderpriority = '2-HIGH' AND o_orderstatus = 'O')),
+b AS (SELECT * FROM b0 UNION ALL SELECT * FROM b0 WHERE o_orderstatus = 'P')
+"""
+
+
+def except_rows() -> str:
+    return f"WITH {PERTURBED} SELECT * FROM a EXCEPT SELECT * FROM b"
+
+
+def sym_diff() -> str:
+    return f"""
+WITH {PERTURBED}
+SELECT *, 'left_only' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) l
+UNION ALL
+SELECT *, 'right_only' AS side FROM (SELECT * FROM b EXCEPT SELECT * FROM a) r
+"""
+
+
+def utf8_gate() -> str:
+    # Latin-1 bytes of a text are valid UTF-8 exactly when it has no U+0080..U+00FF character
+    return r"SELECT doc_id, NOT regexp_matches(text, '[\x{80}-\x{FF}]') AS valid_utf8 FROM documents"
+
+
+URL_BASE = "https://reports.example.invalid/well-lic/"
+
+CALENDAR = """
+b AS (SELECT min(CAST(o_orderdate AS DATE)) AS s, max(CAST(o_orderdate AS DATE)) AS e FROM orders),
+cal AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS report_date FROM b)
+"""
+
+
+def download_plan() -> str:
+    return f"""
+WITH {CALENDAR}
+SELECT report_date, '{URL_BASE}WELLS' || strftime(report_date, '%m%d') || '.TXT' AS url,
+       'WELLS' || strftime(report_date, '%m%d%Y') || '.TXT' AS target
+FROM cal
+"""
+
+
+def fetch_reports() -> str:
+    return f"""
+WITH {CALENDAR},
+days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT report_date, 'WELLS' || strftime(report_date, '%m%d%Y') || '.TXT' AS target,
+       CASE WHEN d IS NULL THEN 'failed' ELSE 'ok' END AS status
+FROM cal LEFT JOIN days ON d = report_date
+"""
+
+
+def archive_members() -> str:
+    return r"""
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+n AS (
+  SELECT CASE WHEN dayofmonth(d) = 29 THEN 'WELLS_ARCHIVE.zip'
+              ELSE 'WELLS' || strftime(d, '%m%d') || '_' || strftime(d, '%Y') || '.zip' END AS archive,
+         CASE WHEN dayofmonth(d) = 30 THEN 'README'
+              WHEN dayofmonth(d) = 31 THEN '../evil.TXT'
+              WHEN dayofmonth(d) = 28 THEN 'WELLS' || strftime(d, '%m%d') || '.zip'
+              WHEN dayofmonth(d) = 27 THEN 'docs/'
+              WHEN dayofmonth(d) % 5 = 0 THEN 'WELLS' || strftime(d, '%m%d') || '.txt'
+              ELSE 'WELLS' || strftime(d, '%m%d') || '.TXT' END AS member
+  FROM days),
+p AS (
+  SELECT archive, member,
+         TRY_CAST(right(regexp_replace(archive, '\.[^.]*$', ''), 4) AS INTEGER) AS year,
+         regexp_extract(member, '([^/]*)$', 1) AS mname
+  FROM n),
+q AS (
+  SELECT *, CASE WHEN mname LIKE '%.%' THEN regexp_extract(mname, '^(.*)\.[^.]*$', 1) ELSE mname END AS mstem,
+            CASE WHEN mname LIKE '%.%' THEN regexp_extract(mname, '\.([^.]*)$', 1) END AS mext
+  FROM p),
+r AS (
+  SELECT archive, member, year, mstem, mext,
+         CASE WHEN year IS NULL THEN 'error'
+              WHEN member LIKE '%/' THEN 'directory'
+              WHEN member LIKE '/%' OR member LIKE '%../%' OR member LIKE '..%' THEN 'unsafe'
+              WHEN mext IS NULL OR mstem = '' THEN 'skipped'
+              WHEN mext = 'zip' THEN 'nested'
+              WHEN mext IN ('TXT', 'txt') THEN 'extracted'
+              ELSE 'skipped' END AS status
+  FROM q)
+SELECT archive, member, year,
+       CASE WHEN status = 'extracted' THEN mstem || CAST(year AS VARCHAR) || '.' || mext END AS out_name, status
+FROM r
+"""
+
+
+def archive_expand() -> str:
+    return """
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+k AS (SELECT d, strftime(d, '%m%d') AS mmdd, year(d) AS y, 'WELLS' || strftime(d, '%m%d') || '_' || strftime(d, '%Y') || '.zip' AS outer_zip FROM days)
+SELECT CASE WHEN dayofmonth(d) = 28 THEN outer_zip || '!WELLS' || mmdd || '.zip' ELSE outer_zip END AS archive,
+       'WELLS' || mmdd || '.TXT' AS member, y AS year, 'WELLS' || mmdd || CAST(y AS VARCHAR) || '.TXT' AS out_name,
+       'extracted' AS status
+FROM k
+UNION ALL SELECT outer_zip, 'README', y, NULL, 'skipped' FROM k WHERE dayofmonth(d) = 30
+UNION ALL SELECT outer_zip, 'docs/', y, NULL, 'directory' FROM k WHERE dayofmonth(d) = 30
+UNION ALL SELECT outer_zip, '../evil.TXT', y, NULL, 'unsafe' FROM k WHERE dayofmonth(d) = 31
+"""
+
+
+def report_routing() -> str:
+    return r"""
+WITH n AS (
+  SELECT doc_id,
+         lpad(CAST(doc_id AS VARCHAR), 6, '0') ||
+           CASE lang WHEN 'en' THEN '.TXT' WHEN 'fr' THEN '.txt' WHEN 'de' THEN '.csv' ELSE '' END AS name,
+         CASE WHEN length(source) = 4 THEN 'ST1' WHEN source IN ('src10', 'src11', 'src12') THEN 'st49'
+              WHEN source = 'src13' THEN 'Bogus' ELSE 'St49' END AS requested
+  FROM documents),
+t AS (
+  SELECT *, CASE lower(trim(requested)) WHEN 'st1' THEN 'st1' WHEN 'st49' THEN 'st49' END AS report_type FROM n),
+s AS (
+  SELECT *, CASE report_type WHEN 'st1' THEN 'WELLS' WHEN 'st49' THEN 'SPUD' END AS prefix,
+            CASE report_type WHEN 'st1' THEN 'TXT' WHEN 'st49' THEN 'txt' END AS extension
+  FROM t),
+v AS (SELECT *, coalesce(ends_with(lower(name), lower(extension)), false) AS valid_extension FROM s)
+SELECT doc_id, name, requested, report_type, prefix, extension, valid_extension,
+       CASE WHEN report_type IS NULL THEN 'Invalid report type: ' || requested
+            WHEN NOT valid_extension THEN 'Invalid file extension. Expected: ' || extension || ', Got: ' ||
+              CASE WHEN name LIKE '%.%' THEN regexp_extract(name, '\.([^.]*)$', 1) ELSE 'none' END
+       END AS message
+FROM v
+"""

@@ -87,3 +87,52 @@ def file_lines(files: DataFrame, on_bad_utf8: str = "strict"):
 
 def with_name_parts(df: DataFrame, path_col: str = "path") -> DataFrame:
     return df.withColumn("file_name", file_name(path_col)).withColumn("extension", file_extension(path_col))
+
+
+def _file_writer(folder_uri: str):
+    def run(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(folder_uri)
+        fs.create_dir(root, recursive=True)
+        for pdf in batches:
+            names, sizes = [], []
+            for name, content in zip(pdf["name"], pdf["content"]):
+                data = bytes(content)
+                with fs.open_output_stream(f"{root}/{name}") as f:
+                    f.write(data)
+                names.append(name)
+                sizes.append(len(data))
+            yield pd.DataFrame({"name": names, "bytes": sizes})
+
+    return run
+
+
+def write_named_files(files: DataFrame, folder: str) -> DataFrame:
+    """Write rows ``(name, content)`` as files ``folder/name`` from the tasks that
+    hold them (pyarrow file system of the folder's URI). Returns ``name, bytes``
+    lazily; run an action to write."""
+    from ..session import to_local_or_uri
+
+    return files.select("name", "content").mapInPandas(_file_writer(to_local_or_uri(folder)), "name string, bytes long")
+
+
+def write_report_files(lines: DataFrame, folder: str, staging: str) -> None:
+    """Write a line relation ``(path, pos, line)`` as one text file per report,
+    named by ``path``, into ``folder``.
+
+    Spark writes each report's lines in order with the text writer (a report is
+    produced by one task and streamed, never collected); each written part file
+    is then copied to its report name.
+    """
+    spark = lines.sparkSession
+    (
+        lines.repartition("path")
+        .sortWithinPartitions("path", "pos")
+        .select("line", F.col("path").alias("report"))
+        .write.partitionBy("report")
+        .text(staging)
+    )
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(staging)
+    write_named_files(parts.select(F.col("report").alias("name"), "content"), folder).count()
