@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 16
 
 
-def with_block(df: DataFrame, pos: str = "pos", bits: int = BLOCK_BITS) -> DataFrame:
+def with_block(df: DataFrame, pos: str = "pos", bits: int | None = None) -> DataFrame:
+    bits = BLOCK_BITS if bits is None else bits
     return df.withColumn("blk", F.shiftright(F.col(pos), bits))
 
 

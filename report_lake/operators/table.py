@@ -235,7 +235,11 @@ def stale_files(spark: SparkSession, table_path: str, retention_hours: float = D
         return spark.createDataFrame([], "path string, length long, replaced_at timestamp")
     now_ms = now_ms if now_ms is not None else int(time.time() * 1000)
     cutoff = now_ms - int(retention_hours * 3600 * 1000)
-    listed = spark.read.format("binaryFile").load(root).select("path", "length", "ts")
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        .select("path", "length", F.regexp_extract("path", r"/ts=(\d+)/", 1).try_cast("long").alias("ts"))
+        .where(F.col("ts").isNotNull())
+    )
     live = data_files(spark, table_path).select(F.col("path").alias("live"))
     return (
         listed.where(F.col("ts") <= cutoff)

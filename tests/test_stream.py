@@ -1,0 +1,25 @@
+from report_lake.sources.files import write_named_files
+from report_lake.streaming.incremental import incremental_stream
+
+HEAD = "LIST\nDATE: 0{d} January 2025\n\nISSUED\n" + "-" * 92 + "\n" + "WELL NAME".ljust(37) + "LICENCE NUMBER\nU\nC\nD\nL\n" + "-" * 92 + "\n"
+
+
+def report(d, n):
+    body = ""
+    for i in range(n):
+        body += f"WELL {d}{i}".ljust(37) + "0000001   FREEHOLD             1M\n"
+        body += "UID".ljust(37) + "C         CENTRE               2M\n" + "CLASS".ljust(37) + "FIELD" + " " * 26 + "ZONE\n"
+        body += "OP".ljust(37) + "NEW       PRODUCTION           OIL\n" + "LICENSEE".ljust(68) + "LOC\n"
+    return (HEAD.format(d=d) + body + "END OF WELL LICENCES DAILY LIST\n").encode()
+
+
+def test_stream_loads_only_new_files(spark, tmp_shared):
+    src, table, ckpt = tmp_shared("src"), tmp_shared("table"), tmp_shared("ckpt")
+    write_named_files(spark.createDataFrame([("WELLS1.TXT", report(1, 2))], "name string, content binary"), src).count()
+    incremental_stream(spark, src, "st1", table, ckpt)
+    assert spark.read.parquet(table).count() == 2
+    write_named_files(spark.createDataFrame([("WELLS2.TXT", report(2, 3))], "name string, content binary"), src).count()
+    incremental_stream(spark, src, "st1", table, ckpt)
+    df = spark.read.parquet(table)
+    assert df.count() == 5
+    assert sorted({r.date for r in df.collect()}) == ["2025-01-01", "2025-01-02"]
