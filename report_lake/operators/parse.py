@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import scan
 from ..functions.scan import dense_index, prior_blocks, with_block, within_block
 from ..functions.text import (
     byte_slice,
@@ -130,52 +131,103 @@ def _date_from_tokens(spec: ReportSpec, date_line):
     return parsed, error
 
 
+def _first_or_last(candidates: DataFrame, out: str, first: bool) -> DataFrame:
+    """First (or last) line of each file among a few candidate lines (those
+    containing the date marker, or the rulers). Aggregating only the candidates
+    keeps ``min_by`` over strings off the full line relation."""
+    pick = F.min_by if first else F.max_by
+    return candidates.groupBy("path").agg(pick("line", "pos").alias(out))
+
+
+def _line_at(k: DataFrame, keys: DataFrame, pos_col: str, out: str) -> DataFrame:
+    """The text of the line at ``keys.<pos_col>`` (one per file), read from ``k``
+    through its bucket key. Aggregating positions only (fixed-width values) keeps
+    the block summaries on hash aggregation; ``min_by`` over strings would sort
+    every line."""
+    want = keys.where(F.col(pos_col).isNotNull()).select(
+        "path", F.shiftright(pos_col, scan.BLOCK_BITS).alias("blk"), F.col(pos_col).alias("_want")
+    )
+    # join on the bucket key only (a join on more keys would re-shuffle the lines)
+    return k.join(want, ["path", "blk"]).where(F.col("pos") == F.col("_want")).select(
+        "path", F.col("line").alias(out)
+    )
+
+
+def _nth_kept_line(k: DataFrame, blocks: DataFrame, wanted: DataFrame, out: str) -> DataFrame:
+    """Position of the kept line with 0-based file rank ``wanted.n`` (one per file).
+
+    The block holding that rank is found from the block offsets (small table),
+    and only that block of each file is sorted; ``k`` is read through a join on
+    its bucket key ``(path, blk)``.
+    """
+    hit = (
+        blocks.join(wanted, "path")
+        .where((F.col("n") >= F.col("off")) & (F.col("n") < F.col("off") + F.col("cnt")))
+        .select("path", "blk", (F.col("n") - F.col("off")).alias("_rank"))
+    )
+    return (
+        k.join(hit, ["path", "blk"])
+        .withColumn("_rn", F.row_number().over(within_block("pos")) - 1)
+        .where(F.col("_rn") == F.col("_rank"))
+        .select("path", F.col("pos").alias(out))
+    )
+
+
 def _chunked(k_all: DataFrame, spec: ReportSpec):
+    """Chunked layout, computed in position space.
+
+    Only two sorts happen: the one block per file that holds the first data
+    line, and the section lines (for the record index). Everything else is a
+    filter, a partial aggregate or a join on ``(path, blk)`` with a small table.
+    """
     line, pos = F.col("line"), F.col("pos")
-    is_date = F.col("keep") & line.contains(spec.date_marker)
-    is_anchor = F.col("keep") & contains_all(line, spec.anchor_words)
-    k = k_all.where("keep")
+    keep = F.col("keep")
+    is_date = keep & line.contains(spec.date_marker)
+    is_anchor = keep & contains_all(line, spec.anchor_words)
+    k = k_all.where(keep)
     bsum = k_all.groupBy("path", "blk").agg(
-        F.count_if(F.col("keep")).alias("cnt"),
-        F.min_by(F.when(is_date, line), F.when(is_date, pos)).alias("date_line"),
-        F.min(F.when(is_date, pos)).alias("date_pos"),
+        F.count_if(keep).alias("cnt"),
         F.min(F.when(is_anchor, pos)).alias("anchor_pos"),
     )
-    facts = bsum.groupBy("path").agg(
-        F.min_by("date_line", "date_pos").alias("date_line"),
-        F.min("anchor_pos").alias("anchor_pos"),
-    )
+    facts = bsum.groupBy("path").agg(F.min("anchor_pos").alias("anchor_pos"))
+    facts = facts.join(_first_or_last(k.where(is_date), "date_line", first=True), "path", "left")
     report_date, date_error = _date_from_marker(spec, F.col("date_line"))
     facts = facts.select("path", "anchor_pos", report_date.alias("report_date"), date_error.alias("date_error"))
     blocks = bsum.select(
-        "path", "blk", F.coalesce(F.sum("cnt").over(prior_blocks()), F.lit(0)).alias("off")
+        "path", "blk", "cnt", F.coalesce(F.sum("cnt").over(prior_blocks()), F.lit(0)).alias("off")
     )
     good = facts.where(F.col("report_date").isNotNull() & F.col("anchor_pos").isNotNull())
-    numbered = (
-        k.join(blocks.join(good.select("path", "anchor_pos", "report_date"), "path"), ["path", "blk"])
-        .withColumn("n", F.col("off") + F.row_number().over(within_block("pos")) - 1)
-        .drop("off")
+    # rank of the anchor = lines of earlier blocks + lines before it in its own block
+    anchor_blk = good.select(
+        "path", F.shiftright("anchor_pos", scan.BLOCK_BITS).alias("blk"), "anchor_pos", "report_date"
+    )
+    before = (
+        k.join(anchor_blk, ["path", "blk"], "right")
+        .groupBy("path", "blk", "anchor_pos", "report_date")
+        .agg(F.count_if(F.col("pos") < F.col("anchor_pos")).alias("_before"))
+    )
+    wanted = before.join(blocks.select("path", "blk", "off"), ["path", "blk"]).select(
+        "path", "report_date", (F.col("off") + F.col("_before") + spec.data_offset).alias("n")
     )
-    # first data line: data_offset normalised lines after the anchor
-    start = numbered.where(F.col("pos") == F.col("anchor_pos")).select(
-        "path", (F.col("n") + spec.data_offset).alias("start_n")
+    starts = _nth_kept_line(k, blocks, wanted.select("path", "n"), "start_pos").join(
+        wanted.select("path", "report_date"), "path"
     )
     block_keys = blocks.select("path", "blk")
     ends = (
-        numbered.where(contains_any(line, spec.terminators))
-        .join(block_keys.join(start, "path"), ["path", "blk"])
-        .where(F.col("n") >= F.col("start_n"))
-        .groupBy("path").agg(F.min("n").alias("end_n"))
+        k.where(contains_any(line, spec.terminators))
+        .join(block_keys.join(starts.select("path", "start_pos"), "path"), ["path", "blk"])
+        .where(F.col("pos") >= F.col("start_pos"))
+        .groupBy("path").agg(F.min("pos").alias("end_pos"))
     )
-    bounds = start.join(ends, "path", "left")
+    bounds = starts.join(ends, "path", "left")
     in_section = (
-        numbered.join(block_keys.join(bounds, "path"), ["path", "blk"])
-        .where((F.col("n") >= F.col("start_n")) & (F.col("end_n").isNull() | (F.col("n") < F.col("end_n"))))
+        k.join(block_keys.join(bounds, "path"), ["path", "blk"])
+        .where((F.col("pos") >= F.col("start_pos")) & (F.col("end_pos").isNull() | (F.col("pos") < F.col("end_pos"))))
         .where(~contains_any(line, spec.row_excludes))
     )
     long_enough = F.octet_length(line) > spec.min_row_bytes
     short = in_section.where(~long_enough).groupBy("path").agg(F.count(F.lit(1)).alias("short_lines_dropped"))
-    section = dense_index(in_section.where(long_enough), "r", order="n")
+    section = dense_index(in_section.where(long_enough), "r", order="pos")
     lpr = spec.lines_per_record
     chunks = (
         section.groupBy("path", F.floor(F.col("r") / lpr).cast("long").alias("record_no"))
@@ -213,10 +265,10 @@ def _ruler(k_all: DataFrame, spec: ReportSpec):
     bsum = kt_all.groupBy("path", "blk").agg(
         F.count_if(F.col("keep")).alias("cnt"),
         F.max_by("toggle", tpos).alias("last_toggle"),
-        F.max_by(F.when(is_ruler, line), F.when(is_ruler, pos)).alias("ruler"),
         F.max(F.when(is_ruler, pos)).alias("ruler_pos"),
     )
-    rulers = bsum.groupBy("path").agg(F.max_by("ruler", "ruler_pos").alias("ruler"))
+    rulers = bsum.groupBy("path").agg(F.max("ruler_pos").alias("ruler_pos")).drop("ruler_pos")
+    rulers = rulers.join(_first_or_last(kt.where(is_ruler), "ruler", first=False), "path", "left")
     rulers = rulers.withColumn("bounds", F.when(F.col("ruler").isNotNull(), ruler_boundaries("ruler")))
     blocks = bsum.select(
         "path", "blk",
