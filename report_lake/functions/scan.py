@@ -20,8 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Positions per block: 65,536 lines.
-BLOCK_BITS = 16
+# Positions per block: 2^20, so a block holds at most 1,048,576 lines (the
+# largest group any window or aggregate of the parse ever sees).
+BLOCK_BITS = 20
 
 
 def with_block(df: DataFrame, pos: str = "pos", bits: int | None = None) -> DataFrame:

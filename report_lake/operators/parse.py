@@ -84,7 +84,28 @@ def normalise(lines: DataFrame) -> DataFrame:
     )
 
 
-def partitioned_lines(lines: DataFrame, materialize: bool = True) -> DataFrame:
+def spec_flags(spec: ReportSpec) -> dict:
+    """The spec's line predicates, evaluated once when the lines are staged, so
+    later scans read a few booleans instead of the line text."""
+    line = F.col("line")
+    if spec.layout == "chunked":
+        return {
+            "f_date": line.contains(spec.date_marker),
+            "f_anchor": contains_all(line, spec.anchor_words),
+            "f_term": contains_any(line, spec.terminators),
+            "f_excl": contains_any(line, spec.row_excludes),
+            "nbytes": F.octet_length(line),
+        }
+    return {
+        "f_ruler": line.contains(spec.ruler_marker),
+        "f_header": contains_all(line, spec.header_words),
+        "f_footer": contains_any(line, spec.footer_words),
+        "f_skip": contains_any(line, spec.skip_words),
+        "nbytes": F.octet_length(line),
+    }
+
+
+def partitioned_lines(lines: DataFrame, materialize: bool = True, flags: Optional[dict] = None) -> DataFrame:
     """Trimmed lines with a ``keep`` flag (non-empty), hash-partitioned once by
     ``(path, blk)`` and written once as a table bucketed by ``(path, blk)`` in
     the shared checkpoint folder.
@@ -98,6 +119,8 @@ def partitioned_lines(lines: DataFrame, materialize: bool = True) -> DataFrame:
     """
     t = lines.select("path", F.col("pos").cast("long").alias("pos"), trim_ws("line").alias("line"))
     out = with_block(t.withColumn("keep", F.col("line") != ""))
+    if flags:
+        out = out.select("*", *[c.alias(n) for n, c in flags.items()])
     if materialize:
         return stage_bucketed(out, ["path", "blk"], "lines")
     return out.repartition("path", "blk")
@@ -182,8 +205,8 @@ def _chunked(k_all: DataFrame, spec: ReportSpec):
     """
     line, pos = F.col("line"), F.col("pos")
     keep = F.col("keep")
-    is_date = keep & line.contains(spec.date_marker)
-    is_anchor = keep & contains_all(line, spec.anchor_words)
+    is_date = keep & F.col("f_date")
+    is_anchor = keep & F.col("f_anchor")
     k = k_all.where(keep)
     bsum = k_all.groupBy("path", "blk").agg(
         F.count_if(keep).alias("cnt"),
@@ -214,7 +237,7 @@ def _chunked(k_all: DataFrame, spec: ReportSpec):
     )
     block_keys = blocks.select("path", "blk")
     ends = (
-        k.where(contains_any(line, spec.terminators))
+        k.where(F.col("f_term"))
         .join(block_keys.join(starts.select("path", "start_pos"), "path"), ["path", "blk"])
         .where(F.col("pos") >= F.col("start_pos"))
         .groupBy("path").agg(F.min("pos").alias("end_pos"))
@@ -223,21 +246,26 @@ def _chunked(k_all: DataFrame, spec: ReportSpec):
     in_section = (
         k.join(block_keys.join(bounds, "path"), ["path", "blk"])
         .where((F.col("pos") >= F.col("start_pos")) & (F.col("end_pos").isNull() | (F.col("pos") < F.col("end_pos"))))
-        .where(~contains_any(line, spec.row_excludes))
+        .where(~F.col("f_excl"))
     )
-    long_enough = F.octet_length(line) > spec.min_row_bytes
+    long_enough = F.col("nbytes") > spec.min_row_bytes
     short = in_section.where(~long_enough).groupBy("path").agg(F.count(F.lit(1)).alias("short_lines_dropped"))
     section = dense_index(in_section.where(long_enough), "r", order="pos")
     lpr = spec.lines_per_record
-    chunks = (
+    # A record group holds exactly ``lines_per_record`` lines (bounded), so the
+    # lines are gathered with collect_list, which runs on the hash-based object
+    # aggregate; max() over strings would sort every section line.
+    grouped = (
         section.groupBy("path", F.floor(F.col("r") / lpr).cast("long").alias("record_no"))
         .agg(
-            F.count(F.lit(1)).alias("_lines"),
             F.max("report_date").alias("report_date"),
-            *[F.max(F.when(F.col("r") % lpr == i, line)).alias(f"line{i}") for i in range(lpr)],
+            F.collect_list(F.struct((F.col("r") % lpr).alias("i"), line.alias("l"))).alias("_lines"),
         )
-        .where(F.col("_lines") == lpr)
-        .drop("_lines")
+        .where(F.size("_lines") == lpr)
+    )
+    ordered = F.array_sort("_lines")
+    chunks = grouped.select(
+        "path", "record_no", "report_date", *[ordered[i]["l"].alias(f"line{i}") for i in range(lpr)]
     )
     fields = [byte_slice(F.col(f"line{s.line}"), s.start, s.end).alias(s.name) for s in spec.slices]
     records = chunks.select(
@@ -249,9 +277,9 @@ def _chunked(k_all: DataFrame, spec: ReportSpec):
 
 def _ruler(k_all: DataFrame, spec: ReportSpec):
     line, pos = F.col("line"), F.col("pos")
-    is_ruler = line.contains(spec.ruler_marker)
-    is_header = contains_all(line, spec.header_words)
-    is_footer = contains_any(line, spec.footer_words)
+    is_ruler = F.col("f_ruler")
+    is_header = F.col("f_header")
+    is_footer = F.col("f_footer")
     toggle = (
         F.when(~F.col("keep"), F.lit(None).cast("boolean"))
         .when(is_ruler, F.lit(True))
@@ -294,7 +322,7 @@ def _ruler(k_all: DataFrame, spec: ReportSpec):
     good = facts.where(F.col("report_date").isNotNull() & F.col("ruler").isNotNull())
     keep = (
         F.col("in_block") & ~is_ruler & ~is_header & ~is_footer
-        & ~contains_any(line, spec.skip_words) & (F.octet_length(line) > spec.min_row_bytes)
+        & ~F.col("f_skip") & (F.col("nbytes") > spec.min_row_bytes)
     )
     data = numbered.where(keep).join(
         blocks.select("path", "blk").join(good.select("path", "bounds", "report_date"), "path"), ["path", "blk"]
@@ -323,7 +351,7 @@ def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = No
     row. Defaults to the distinct paths of ``lines``.
     """
     spec = get_spec(report_type)
-    k = partitioned_lines(lines)
+    k = partitioned_lines(lines, flags=spec_flags(spec))
     if spec.layout == "chunked":
         records, facts, has_section, short, section, chunks = _chunked(k, spec)
     elif spec.layout == "ruler":

@@ -126,9 +126,16 @@ def q_custom_spec(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- table side
 
+def _staged_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Parsed ST1 records written once to the shared folder (read by several writes)."""
+    path = scratch_path(spark, "records_st1")
+    fixtures.parsed_st1(spark, sf).records.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _loaded_table(spark: SparkSession, sf: str, two_batches: bool = True) -> str:
     """Parse ST1 -> CSV in two batches -> two incremental loads; returns the table path."""
-    recs = fixtures.parsed_st1(spark, sf).records
+    recs = _staged_records(spark, sf) if two_batches else fixtures.parsed_st1(spark, sf).records
     csv = scratch_path(spark, "csv")
     table = scratch_path(spark, "table_st1")
     early = F.to_date("date") < F.lit("1998-01-01").cast("date")

@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 
 from ..spec import ST1, ST49, ReportSpec, Slice
 
-# Position layout of a rendered report (sparse; only the order matters).
+# Position layout of a rendered report (sparse; only the order matters):
+# header lines, then record lines by order key, then the footer right after the
+# day's last record.
 HEADER_BASE = 0
 RECORD_BASE = 100
-FOOTER_BASE = 1 << 40
+FOOTER_GAP = 16
 
 # ST49 ruler run widths, field 0..10; the activity type follows the last run.
 ST49_WIDTHS = (20, 36, 8, 6, 32, 6, 24, 16, 6, 34, 8)
@@ -52,10 +54,13 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # hash-spread the order rows so the text rendering (explode, padding) runs on
+    # every core, not only on as many tasks as the orders file has splits
     return (
         o.join(c, o.o_custkey == c.c_custkey)
         .join(n, c.c_nationkey == n.n_nationkey)
         .withColumn("d", F.to_date("o_orderdate"))
+        .repartition("o_orderkey")
     )
 
 
@@ -134,8 +139,11 @@ def render_st1(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = [(k, l0), (k + 1, l1), (k + 2, l2), (k + 3, l3), (k + 4, l4), (k + 5, blank)]
     records = v.select(st1_path(F.col("d")).alias("path"), _line_rows(st1_path(F.col("d")), F.col("d"), items).alias("x"))
 
-    days = order_rows(spark, sf_dir).groupBy("d").agg(F.count(F.lit(1)).alias("n_orders"))
+    days = order_rows(spark, sf_dir).groupBy("d").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("o_orderkey").alias("last_key")
+    )
     d = F.col("d")
+    footer = F.col("last_key") * 8 + RECORD_BASE + FOOTER_GAP
     ruler = F.lit("-" * 92)
     anchor = F.when(
         F.dayofmonth(d) != 17,
@@ -153,8 +161,8 @@ def render_st1(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(HEADER_BASE + 8), F.lit("DRILLING OPERATION".ljust(37) + "WELL PURPOSE".ljust(31) + "SUBSTANCE")),
         (F.lit(HEADER_BASE + 9), F.lit("LICENSEE".ljust(68) + "SURFACE LOCATION")),
         (F.lit(HEADER_BASE + 10), ruler),
-        (F.lit(FOOTER_BASE), ruler),
-        (F.lit(FOOTER_BASE + 1), F.lit("END OF WELL LICENCES DAILY LIST")),
+        (footer, ruler),
+        (footer + 1, F.lit("END OF WELL LICENCES DAILY LIST")),
     ]
     headers = days.select(st1_path(d).alias("path"), _line_rows(st1_path(d), d, head).alias("x"))
     return records.unionByName(headers).select("path", "x.pos", "x.line")
@@ -200,7 +208,9 @@ def render_st49(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = order_rows(spark, sf_dir).groupBy("d").agg(
         F.count(F.lit(1)).alias("n_orders"),
         ((F.min("o_orderkey") + F.max("o_orderkey")) / 2).cast("long").alias("mid"),
+        F.max("o_orderkey").alias("last_key"),
     )
+    footer = F.col("last_key") * 4 + RECORD_BASE + FOOTER_GAP
     d = F.col("d")
     has_ruler = F.dayofmonth(d) != 17
     ruler = F.when(has_ruler, F.lit(st49_ruler())).otherwise(F.lit(""))
@@ -215,8 +225,8 @@ def render_st49(spark: SparkSession, sf_dir: str) -> DataFrame:
         (brk + 1, F.concat(F.lit("PAGE 1 OF 2 "), F.col("n_orders").cast("string"))),
         (brk + 2, header),
         (brk + 3, ruler),
-        (F.lit(FOOTER_BASE), F.concat(F.lit("TOTAL  - "), F.col("n_orders").cast("string"))),
-        (F.lit(FOOTER_BASE + 1), F.lit("END OF REPORT")),
+        (footer, F.concat(F.lit("TOTAL  - "), F.col("n_orders").cast("string"))),
+        (footer + 1, F.lit("END OF REPORT")),
     ]
     headers = days.select(st49_path(d).alias("path"), _line_rows(None, d, head).alias("x"))
     return records.unionByName(headers).select("path", "x.pos", "x.line")
@@ -269,14 +279,15 @@ def render_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     l1 = F.concat(F.rpad(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), 30, " "), F.col("props"))
     d = F.col("d")
     records = ev.select(events_path(d).alias("path"), _line_rows(None, d, [(k, l0), (k + 1, l1)]).alias("x"))
-    days = ev.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    days = ev.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_key"))
+    footer = F.col("last_key") * 4 + RECORD_BASE + FOOTER_GAP
     head = [
         (F.lit(HEADER_BASE), F.lit("EVENT LOG")),
         (F.lit(HEADER_BASE + 1), F.concat(F.lit("LOG DATE: "), F.date_format(d, "dd MMMM yyyy"))),
         (F.lit(HEADER_BASE + 2), F.lit("EVENT ID    USER ID     TYPE            VALUE")),
         (F.lit(HEADER_BASE + 3), F.lit("TIMESTAMP                     PROPERTIES")),
-        (F.lit(FOOTER_BASE), F.lit("=" * 40)),
-        (F.lit(FOOTER_BASE + 1), F.lit("END OF EVENT LOG")),
+        (footer, F.lit("=" * 40)),
+        (footer + 1, F.lit("END OF EVENT LOG")),
     ]
     headers = days.select(events_path(d).alias("path"), _line_rows(None, d, head).alias("x"))
     return records.unionByName(headers).select("path", "x.pos", "x.line")

@@ -24,6 +24,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small shuffles here feed CPU-heavy stages (explode, windows): do not let
+        # AQE coalesce them below the core count just because the bytes are few
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
