@@ -77,3 +77,19 @@ def test_routing(spark):
     assert got[1][3] is False and got[1][4] == "Invalid file extension. Expected: txt, Got: csv"
     assert got[2][4] == "Invalid file extension. Expected: TXT, Got: none"
     assert got[3][0] is None and got[3][4] == "Invalid report type: nope"
+
+
+def test_date_range_ingest_keeps_content_dates_in_range(spark, tmp_shared):
+    from report_lake.operators.ingest import ingest_date_range
+    from test_stream import report
+
+    folder = tmp_shared("srv")
+    # remote names carry only MMdd: the day-02 file holds a report of another year
+    files = [("WELLS0101.TXT", report(1, 2)), ("WELLS0102.TXT", report(2, 1).replace(b"2025", b"2019"))]
+    write_named_files(spark.createDataFrame(files, "name string, content binary"), folder).count()
+    fetched, res = ingest_date_range(spark, "st1", "2025-01-01", "2025-01-03", to_local_or_uri(folder) + "/",
+                                     parallelism=2)
+    st = {r.path: r.status for r in res.status.collect()}
+    assert st == {"WELLS01012025.TXT": "ok", "WELLS01022025.TXT": "out_of_range"}
+    assert sorted(r.date for r in res.records.collect()) == ["2025-01-01", "2025-01-01"]
+    assert {r.status.split(":")[0] for r in fetched.collect()} == {"ok", "failed"}
