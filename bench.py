@@ -44,7 +44,7 @@ def main():
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
-                          app="report_lake_bench")
+                          app="report_lake_bench", raw_local_fs=os.environ.get("BENCH_RAW_LOCAL_FS", "1") == "1")
     shared_dir(spark)
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):

@@ -16,10 +16,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "report_lake") -> SparkSession:
-    """A local session configured the way the tests and the bench expect."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "report_lake",
+                  raw_local_fs: bool = False) -> SparkSession:
+    """A local session configured the way the tests and the bench expect.
+
+    ``raw_local_fs`` skips the ``.crc`` sidecar file Hadoop's local file system
+    writes next to every file (local disks only; no effect on HDFS/object stores).
+    """
+    builder = SparkSession.builder
+    if raw_local_fs:
+        builder = builder.config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
