@@ -23,3 +23,12 @@ def test_stream_loads_only_new_files(spark, tmp_shared):
     df = spark.read.parquet(table)
     assert df.count() == 5
     assert sorted({r.date for r in df.collect()}) == ["2025-01-01", "2025-01-02"]
+
+
+def test_replay_with_lost_checkpoint_loads_nothing_twice(spark, tmp_shared):
+    src, table = tmp_shared("src"), tmp_shared("table")
+    write_named_files(spark.createDataFrame([("WELLS3.TXT", report(3, 2))], "name string, content binary"), src).count()
+    incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
+    # a fresh checkpoint offers every file again; the ledger drops the loaded ones
+    incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
+    assert spark.read.parquet(table).count() == 2
