@@ -218,7 +218,7 @@ def error_summary() -> str:
     for rt in ("st1", "st49"):
         parts.append(f"""
 SELECT '{rt}' AS report_type, {STATUS_BY_DAY} AS status, count(*) AS files,
-       sum(CASE WHEN {OK_DAY} THEN n ELSE 0 END) AS records
+       CAST(sum(CASE WHEN {OK_DAY} THEN n ELSE 0 END) AS BIGINT) AS records
 FROM ({DAYS}) x GROUP BY 1, 2""")
     return " UNION ALL ".join(parts)
 
@@ -417,7 +417,7 @@ FROM r
 def archive_expand() -> str:
     return """
 WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
-k AS (SELECT d, strftime(d, '%m%d') AS mmdd, year(d) AS y, 'WELLS' || strftime(d, '%m%d') || '_' || strftime(d, '%Y') || '.zip' AS outer_zip FROM days)
+k AS (SELECT d, strftime(d, '%m%d') AS mmdd, CAST(year(d) AS INTEGER) AS y, 'WELLS' || strftime(d, '%m%d') || '_' || strftime(d, '%Y') || '.zip' AS outer_zip FROM days)
 SELECT CASE WHEN dayofmonth(d) = 28 THEN outer_zip || '!WELLS' || mmdd || '.zip' ELSE outer_zip END AS archive,
        'WELLS' || mmdd || '.TXT' AS member, y AS year, 'WELLS' || mmdd || CAST(y AS VARCHAR) || '.TXT' AS out_name,
        'extracted' AS status
