@@ -93,3 +93,18 @@ def test_date_range_ingest_keeps_content_dates_in_range(spark, tmp_shared):
     assert st == {"WELLS01012025.TXT": "ok", "WELLS01022025.TXT": "out_of_range"}
     assert sorted(r.date for r in res.records.collect()) == ["2025-01-01", "2025-01-01"]
     assert {r.status.split(":")[0] for r in fetched.collect()} == {"ok", "failed"}
+
+
+def test_ingest_file_and_csv_glob_view(spark, tmp_shared):
+    from report_lake.operators.ingest import ingest_file
+    from report_lake.sources.csv import csv_glob_view
+    from test_stream import report
+
+    folder, csv = tmp_shared("txt"), tmp_shared("csv")
+    write_named_files(spark.createDataFrame([("WELLS0105.TXT", report(5, 3))], "name string, content binary"),
+                      folder).count()
+    res = ingest_file(spark, f"{folder}/WELLS0105.TXT", "st1", csv_out=csv)
+    assert [r.status for r in res.status.collect()] == ["ok"]
+    csv_glob_view(spark, f"{csv}/*WELLS*/*.csv", "st1", "wells_csv")
+    got = spark.sql("SELECT COUNT(*) AS n, MIN(date) AS d FROM wells_csv").first()
+    assert (got.n, got.d) == (3, "2025-01-05")
