@@ -54,3 +54,16 @@ def route(name_col, type_col) -> list:
         F.coalesce(valid, F.lit(False)).alias("valid_extension"),
         message.alias("message"),
     ]
+
+
+# Separators of the two error-message forms.
+RECOVERABLE_SEP = " - "
+PARSE_SEP = ": "
+
+
+def error_text(context, details, recoverable) -> Column:
+    """Error message of a file status: ``context - details`` for a recoverable
+    (field/file format) error, ``context: details`` otherwise."""
+    rec = recoverable if isinstance(recoverable, Column) else F.lit(bool(recoverable))
+    c, d = as_col(context), as_col(details)
+    return F.when(rec, F.concat_ws(RECOVERABLE_SEP, c, d)).otherwise(F.concat_ws(PARSE_SEP, c, d))

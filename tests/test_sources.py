@@ -108,3 +108,11 @@ def test_ingest_file_and_csv_glob_view(spark, tmp_shared):
     csv_glob_view(spark, f"{csv}/*WELLS*/*.csv", "st1", "wells_csv")
     got = spark.sql("SELECT COUNT(*) AS n, MIN(date) AS d FROM wells_csv").first()
     assert (got.n, got.d) == (3, "2025-01-05")
+
+
+def test_error_text(spark):
+    from report_lake.operators.routing import error_text
+
+    df = spark.createDataFrame([("Parsing", "bad field", True), ("Date", "no line", False)], "c string, d string, r boolean")
+    got = [r.m for r in df.select(error_text(F.col("c"), F.col("d"), F.col("r")).alias("m")).collect()]
+    assert got == ["Parsing - bad field", "Date: no line"]
