@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import langid, mixing, sharding, toxicity
 from .common import fold, read_table
 
 
@@ -16,5 +16,25 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity}
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    network = langid.fit(docs, fold(F.col("doc_id")) != 0)
+    out = langid.predict(docs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "text"), network)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    out = sharding.shard(rows, 24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.mix(docs.select("doc_id", "source"), full=True)
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op5_language": op5_language, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 ORACLES: dict[str, str] = {}
