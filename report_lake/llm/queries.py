@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, sharding, toxicity
+from . import langid, mixing, packing, sharding, toxicity
 from .common import fold, read_table
 
 
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), payload="crc32")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     network = langid.fit(docs, fold(F.col("doc_id")) != 0)
@@ -36,5 +40,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", "source"), full=True)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op5_language": op5_language, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+QUERIES = {"op1_toxicity": op1_toxicity, "op4_packing": op4_packing, "op5_language": op5_language, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 ORACLES: dict[str, str] = {}
