@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, sharding, toxicity
+from . import dartminhash, langid, mixing, packing, sharding, toxicity
 from .common import fold, read_table
 
 
@@ -27,6 +27,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -40,5 +45,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", "source"), full=True)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op4_packing": op4_packing, "op5_language": op5_language, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+QUERIES = {"op1_toxicity": op1_toxicity, "op4_packing": op4_packing, "op5_language": op5_language, "op6_dartminhash": op6_dartminhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 ORACLES: dict[str, str] = {}
