@@ -165,7 +165,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """``id_col``, ``class_id``, ``class_size`` and ``node`` for every row of ``docs``."""
+    """``id_col``, ``class_id``, ``class_size``, ``node`` (hash of the text) and
+    ``label`` (the class's least node) for every row of ``docs``."""
     signed = stage(banded(docs, id_col, text_col, bands, rows, width), "dart-bands")
     nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
     keyed = nodes.select("node", "id", F.explode("keys").alias("key"))
@@ -204,6 +205,6 @@ def near_duplicates(
     at = signed.select("node", "id")
     at = at.withColumn("label", F.col("node")) if labels is None else at.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = at.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    out = at.join(classes, "label").select(F.col("id").alias(id_col), "class_id", "class_size", "node")
-    alone = docs.filter(F.col(text_col).isNull()).select(id_col, F.col(id_col).alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(None).cast("binary").alias("node"))
+    out = at.join(classes, "label").select(F.col("id").alias(id_col), "class_id", "class_size", "node", "label")
+    alone = docs.filter(F.col(text_col).isNull()).select(id_col, F.col(id_col).alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(None).cast("binary").alias("node"), F.lit(None).cast("binary").alias("label"))
     return out.unionByName(alone)

@@ -13,8 +13,8 @@ gathered. Two passes of prefix sums give every document its place in it:
 
 A window that spans two parts gets pieces from both without any exchange of
 ids. The stream's order is that of the input's partitions and rows; with
-``order`` given, the rows are range-partitioned and sorted by these columns
-first.
+``runs`` = (file column, row number column) given, a part is a run of one
+file's rows and the parts are ordered by file and row, whatever tasks read them.
 
 Null texts count as empty: the end id alone. Empty tables give no pieces.
 Equal rows each have their own pieces. Extra columns are ignored, except those
@@ -78,44 +78,45 @@ class Encoder:
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
-def tokenise(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), paths: dict[str, str] | None = None, order: list | None = None) -> DataFrame:
-    """The staged first pass: part, first (offset in the part), n, ids (binary,
-    16-bit little-endian ids where the vocabulary allows) and the kept columns."""
+def tokenise(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), paths: dict[str, str] | None = None, runs: tuple[str, str] | None = None) -> DataFrame:
+    """The staged first pass: file and part (the part's place in the stream), first
+    (offset in the part), n, ids (binary, 16-bit ids) and the kept columns."""
     paths = paths or vocabulary()
-    rows = docs.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)), F.col(text).alias("_text"), *((F.struct(*order).alias("_order"),) if order else ()))
-    if order:
-        rows = rows.repartitionByRange("_order").sortWithinPartitions("_order").drop("_order")
-    kept = rows.schema[: len(keep)]
+    place = [F.col(runs[0]).cast("string"), F.col(runs[1]).cast("long")] if runs else [F.lit(""), F.lit(0).cast("long")]
+    rows = docs.select(F.col(text).alias("_text"), place[0].alias("_file"), place[1].alias("_row"), *(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)))
+    names = ["file", "part", "first", "n", "ids", *(f"_{i}" for i in range(len(keep)))]
 
     def run(batches):
-        encode, part, at = Encoder(paths), TaskContext.get().partitionId(), 0
+        encode, now, part, at = Encoder(paths), None, 0, 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = [np.append(encode(t), np.uint32(END_ID)) for t in utf8_list(batch.column(batch.schema.get_field_index("_text")))]
-            n = np.array([len(x) for x in ids], np.int64)
-            first = at + np.cumsum(n) - n
-            at += int(n.sum())
-            columns = [batch.column(i) for i in range(len(keep))]
-            packed = pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), part, np.int32)), pa.array(first), pa.array(n), packed, *columns], names=["part", "first", "n", "ids", *(f"_{i}" for i in range(len(keep)))])
-
-    schema = "part int, first bigint, n bigint, ids binary, " + ", ".join(f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(kept))
-    return stage(rows.mapInArrow(run, schema), "packed-ids")
+            files, numbers = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            ids = [np.append(encode(t), np.uint32(END_ID)) for t in utf8_list(batch.column(0))]
+            parts, first = [], []
+            for file, number, x in zip(files, numbers, ids):
+                if file != now:
+                    now, part, at = file, number if runs else TaskContext.get().partitionId(), 0
+                parts.append(part)
+                first.append(at)
+                at += len(x)
+            arrays = [batch.column(1), pa.array(parts, pa.int64()), pa.array(first, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*arrays, *(batch.column(3 + i) for i in range(len(keep)))], names=names)
+
+    kept = ", ".join(f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(rows.schema[3:]))
+    return stage(rows.mapInArrow(run, f"file string, part bigint, first bigint, n bigint, ids binary, {kept}"), "packed-ids")
 
 
 def pack(
     docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, payload: str = "ids",
-    paths: dict[str, str] | None = None, order: list | None = None,
+    paths: dict[str, str] | None = None, runs: tuple[str, str] | None = None,
 ) -> DataFrame:
     """One row per piece: the kept columns, start, length, doc_tokens,
     sequence_id, offset, and the piece's ``ids`` (payload "ids", array<int>) or
     their ``ids_crc32`` (payload "crc32")."""
-    staged = tokenise(docs, text, keep, paths, order)
+    staged = tokenise(docs, text, keep, paths, runs)
     # one row a part (task), so this window is over as many rows as there were tasks
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    parts = staged.groupBy("part").agg(F.sum("n").alias("total")).select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    placed = staged.join(parts, "part").select((F.col("base") + F.col("first")).alias("at"), "n", "ids", *(f"_{i}" for i in range(len(keep))))
+    before = W.orderBy("file", "part").rowsBetween(W.unboundedPreceding, -1)
+    parts = staged.groupBy("file", "part").agg(F.sum("n").alias("total")).select("file", "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    placed = staged.join(parts, ["file", "part"]).select((F.col("base") + F.col("first")).alias("at"), "n", "ids", *(f"_{i}" for i in range(len(keep))))
 
     def run(batches):
         for batch in batches:
