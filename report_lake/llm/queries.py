@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, interpolation, langid, mixing, packing, sharding, toxicity
+from . import dartminhash, interpolation, langid, mixing, packing, sharding, toxicity, wrappers
 from .common import fold, read_table
 
 
@@ -16,6 +16,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wrappers.extract(read_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = interpolation.score(docs, training=fold(F.col("doc_id")) != 1)
@@ -51,5 +56,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", "source"), full=True)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_interpolation": op3_interpolation, "op4_packing": op4_packing, "op5_language": op5_language, "op6_dartminhash": op6_dartminhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_wrappers": op2_wrappers, "op3_interpolation": op3_interpolation, "op4_packing": op4_packing, "op5_language": op5_language, "op6_dartminhash": op6_dartminhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 ORACLES: dict[str, str] = {}
