@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, interpolation, langid, mixing, packing, sharding, toxicity, wrappers
+from . import dartminhash, interpolation, langid, mih, mixing, packing, sharding, toxicity, voronoi, wrappers
 from .common import fold, read_table
 
 
@@ -43,6 +43,14 @@ def op6_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size")
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op8_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.join(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -56,5 +64,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", "source"), full=True)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_wrappers": op2_wrappers, "op3_interpolation": op3_interpolation, "op4_packing": op4_packing, "op5_language": op5_language, "op6_dartminhash": op6_dartminhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_wrappers": op2_wrappers,
+    "op3_interpolation": op3_interpolation,
+    "op4_packing": op4_packing,
+    "op5_language": op5_language,
+    "op6_dartminhash": op6_dartminhash,
+    "op7_multi_index": op7_multi_index,
+    "op8_voronoi": op8_voronoi,
+    "op9_sharding": op9_sharding,
+    "op10_mixing": op10_mixing,
+}
+#: Exact integer scores: the join is a cross comparison in SQL.
+ORACLES: dict[str, str] = {
+    "op8_voronoi": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        ), s as (
+            select q.vec_id as query_id, c.vec_id, cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+            from v q join v c on c.vec_id <> q.vec_id
+            where q.vec_id % 20 = 0
+        )
+        select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+        from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 20
+    """,
+}
