@@ -107,7 +107,7 @@ def tokenise(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
 
 def pack(
     docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, payload: str = "ids",
-    paths: dict[str, str] | None = None, runs: tuple[str, str] | None = None,
+    paths: dict[str, str] | None = None, runs: tuple[str, str] | None = None, broadcast_parts: int = 200_000,
 ) -> DataFrame:
     """One row per piece: the kept columns, start, length, doc_tokens,
     sequence_id, offset, and the piece's ``ids`` (payload "ids", array<int>) or
@@ -116,6 +116,9 @@ def pack(
     # one row a part (task), so this window is over as many rows as there were tasks
     before = W.orderBy("file", "part").rowsBetween(W.unboundedPreceding, -1)
     parts = staged.groupBy("file", "part").agg(F.sum("n").alias("total")).select("file", "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    # a few bytes a task, so it is broadcast; beyond a checked size the join shuffles instead
+    parts = stage(parts, "packed-parts")
+    parts = F.broadcast(parts) if parts.count() <= broadcast_parts else parts
     placed = staged.join(parts, ["file", "part"]).select((F.col("base") + F.col("first")).alias("at"), "n", "ids", *(f"_{i}" for i in range(len(keep))))
 
     def run(batches):
