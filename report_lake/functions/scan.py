@@ -5,8 +5,9 @@ dropping empty lines, "the sixth line after the anchor", "inside a ruler block")
 A window partitioned by file would put a whole file into one task, and a file
 may hold a large share of all lines. Instead every scan is split in two levels:
 
-1. rows are grouped into fixed-size position blocks ``blk = pos >> BLOCK_BITS``;
-   a partial (map-side combined) aggregate summarises each ``(path, blk)``;
+1. rows are grouped into blocks (file splits, or position blocks
+   ``blk = pos >> BLOCK_BITS``); a partial (map-side combined) aggregate
+   summarises each ``(path, blk)``;
 2. a window over the *block summaries* (one row per block, tiny) carries state
    from earlier blocks; the summary is joined back on ``(path, blk)`` and a
    window partitioned by ``(path, blk)`` finishes the scan inside each block.
@@ -33,24 +34,3 @@ def with_block(df: DataFrame, pos: str = "pos", bits: int | None = None) -> Data
 def prior_blocks(key: str = "path") -> Window:
     """Frame over the blocks strictly before the current one of the same key."""
     return Window.partitionBy(key).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def within_block(order: str, key: str = "path") -> Window:
-    return Window.partitionBy(key, "blk").orderBy(order)
-
-
-def dense_index(df: DataFrame, out: str, order: str = "pos", key: str = "path") -> DataFrame:
-    """Add ``out`` = 0-based rank of each row by ``order`` within ``key``.
-
-    ``df`` must carry ``blk`` (see :func:`with_block`) derived from ``order``.
-    """
-    offsets = (
-        df.groupBy(key, "blk").agg(F.count(F.lit(1)).alias("_cnt"))
-        .withColumn("_off", F.coalesce(F.sum("_cnt").over(prior_blocks(key)), F.lit(0)))
-        .drop("_cnt")
-    )
-    return (
-        df.join(offsets, [key, "blk"])
-        .withColumn(out, (F.col("_off") + F.row_number().over(within_block(order, key)) - 1).cast("long"))
-        .drop("_off")
-    )

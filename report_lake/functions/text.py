@@ -94,29 +94,43 @@ def parse_day_month_year(text) -> Column:
     return F.coalesce(F.try_to_date(s, "d MMMM yyyy"), F.try_to_date(s, "d MMM yyyy"))
 
 
+#: The same characters as one regular-expression class (``\\s`` alone is ASCII only).
+WHITESPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):04x}}}" for c in UNICODE_WHITESPACE) + "]"
+
+
 def words_slice(text, skip: int, take: int) -> Column:
-    """Whitespace tokens ``skip .. skip+take`` joined by one space."""
-    toks = F.split(trim_ws(text), r"\s+")
+    """Tokens ``skip .. skip+take`` between runs of Unicode whitespace, joined by one space."""
+    toks = F.split(trim_ws(text), WHITESPACE_CLASS + "+")
     return F.array_join(F.slice(toks, skip + 1, take), " ")
 
 
 def ruler_boundaries(ruler) -> Column:
-    """``'---  ---- --'`` -> ``[{start:0,end:3},{start:5,end:9},{start:10,end:12}]``.
+    """``'--  -'`` -> ``[{start:0,end:2},{start:4,end:5}]``: byte ranges of the
+    runs of non-whitespace (any Unicode whitespace separates).
 
-    One boundary per run of non-whitespace characters; the run that ends the
-    line is always emitted (also when empty). Offsets are characters, which are
-    bytes for the ASCII rulers of the reports.
+    The run that ends the line is always given, also when it is empty. Runs and
+    gaps alternate, so the offsets are running sums of their UTF-8 lengths.
     """
     r = as_col(ruler)
-    toks = F.split(r, r"\s", -1)
-    n = F.size(toks)
+    runs = F.split(r, WHITESPACE_CLASS + "+", -1)
+    gaps = F.concat(F.transform(F.regexp_extract_all(r, F.lit(f"({WHITESPACE_CLASS}+)"), 1), F.octet_length), F.array(F.lit(0)))
+    steps = F.arrays_zip(F.transform(runs, F.octet_length).alias("run"), gaps.alias("gap"))
+    nothing = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(state, x):
+        end = state["at"] + x["run"]
+        bound = F.struct(state["at"].alias("start"), end.alias("end"))
+        return F.struct((end + x["gap"]).alias("at"), F.array_append(state["out"], bound).alias("out"))
+
+    bounds = F.aggregate(steps, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda state: state["out"])
+    last = F.element_at(bounds, -1)
+    kept = F.filter(bounds, lambda b: b["end"] > b["start"])
+    return F.when(last["end"] == last["start"], F.array_append(kept, last)).otherwise(kept)
 
-    def to_bound(t, i):
-        start = F.aggregate(F.slice(toks, F.lit(1), i), F.lit(0), lambda acc, x: acc + F.length(x) + 1)
-        return F.struct(start.alias("start"), (start + F.length(t)).alias("end"), (i == n - 1).alias("last"))
 
-    bounds = F.filter(F.transform(toks, to_bound), lambda b: (b["end"] > b["start"]) | b["last"])
-    return F.transform(bounds, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+def plain_path(uri) -> Column:
+    """A file path as listings give it, from the escaped form of ``_metadata.file_path``."""
+    return F.url_decode(F.replace(as_col(uri), F.lit("+"), F.lit("%2B")))
 
 
 def file_name(path) -> Column:

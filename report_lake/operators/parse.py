@@ -1,7 +1,9 @@
 """Parse positional reports from a line relation.
 
-Input everywhere is a *line relation* ``(path STRING, pos BIGINT, line STRING)``:
-one row per raw line, ``pos`` orders the lines of a file (it need not be dense).
+Input everywhere is a *line relation* ``(path STRING[, blk BIGINT], pos BIGINT,
+line STRING[, bad BOOLEAN])``: one row per raw line. ``blk`` orders the blocks of
+a file and ``pos`` the lines inside a block; without ``blk``, ``pos`` orders the
+whole file and is cut into blocks. ``bad`` marks lines that are not valid text.
 Sources produce it (``sources.files``), and so do the renderers in ``plans``.
 
 Output of :func:`parse_reports`:
@@ -12,9 +14,14 @@ Output of :func:`parse_reports`:
 * ``status`` - one row per file: ``path, report_type, report_date, status,
   error, recoverable, records, short_lines_dropped``.
 
-All per-file state (renumbering, anchors, terminators, ruler blocks) is computed
-with the two-level block scans of :mod:`report_lake.functions.scan`; no window
-or group ever spans a whole file.
+How: the trimmed lines are written once, bucketed by ``(path, blk)``, each with
+its rank among the non-empty lines of its block. A line's number in its file is
+then the block's offset plus that rank, and offsets come from block counts, one
+small row a block. Anchors, ends and ruler state are small aggregates on these
+numbers. Two small staged tables result: *blocks* (where each block's data lies)
+and *sections* (how many record lines it has). Records read the lines once more
+through them; the status reads the small tables alone. No window or group ever
+spans a whole file.
 """
 
 from __future__ import annotations
@@ -24,10 +31,8 @@ from typing import Optional
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions import scan
-from ..functions.scan import dense_index, prior_blocks, with_block, within_block
+from ..functions.scan import prior_blocks, with_block
 from ..functions.text import (
     byte_slice,
     byte_slice_or_null,
@@ -38,7 +43,7 @@ from ..functions.text import (
     trim_ws,
     words_slice,
 )
-from ..session import stage_bucketed
+from ..session import bucket_count, stage, stage_bucketed
 from ..spec import ReportSpec, get_spec
 
 # Status codes and error messages of a file that cannot be parsed.
@@ -47,7 +52,8 @@ STATUS_IO = "io_error"
 STATUS_DATE = "date_parse"
 STATUS_SECTION = "missing_section"
 STATUS_RANGE = "out_of_range"
-RECOVERABLE_STATUSES = ("field_format", "file_format")
+STATUS_FILE_FORMAT = "file_format"
+RECOVERABLE_STATUSES = ("field_format", STATUS_FILE_FORMAT)
 MSG_NO_DATE_LINE = "No date line found in file"
 MSG_NO_DATE_TEXT = "Could not extract date string from line"
 MSG_NO_DATE_LINE_TOKENS = "Date line not found"
@@ -55,35 +61,18 @@ MSG_BAD_DATE = "Failed to parse date: "
 MSG_MISSING_SECTION = "Missing required section: "
 MSG_BAD_UTF8 = "stream did not contain valid UTF-8"
 
-STATUS_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("report_type", T.StringType()),
-    T.StructField("report_date", T.DateType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("recoverable", T.BooleanType()),
-    T.StructField("records", T.LongType()),
-    T.StructField("short_lines_dropped", T.LongType()),
-])
+KEY = ["path", "blk"]
 
 
 @dataclass
 class Parsed:
     records: DataFrame
     status: DataFrame
-    section: DataFrame  # the kept data lines: path, pos, n, line (+ record index)
-    facts: DataFrame  # one row per file that has at least one non-empty line
+    section: DataFrame  # the kept data lines: path, record or line index, line
+    facts: DataFrame  # one row per file that has at least one line
     chunks: Optional[DataFrame] = None  # chunked layout: path, record_no, report_date, line0..
 
 
-def normalise(lines: DataFrame) -> DataFrame:
-    """Trim every line (Unicode whitespace) and drop the empty ones; keeps ``pos``."""
-    return (
-        lines.select("path", F.col("pos").cast("long").alias("pos"), trim_ws("line").alias("line"))
-        .where(F.col("line") != "")
-    )
-
-
 def spec_flags(spec: ReportSpec) -> dict:
     """The spec's line predicates, evaluated once when the lines are staged, so
     later scans read a few booleans instead of the line text."""
@@ -93,43 +82,58 @@ def spec_flags(spec: ReportSpec) -> dict:
             "f_date": line.contains(spec.date_marker),
             "f_anchor": contains_all(line, spec.anchor_words),
             "f_term": contains_any(line, spec.terminators),
-            "f_excl": contains_any(line, spec.row_excludes),
+            "f_data": ~contains_any(line, spec.row_excludes),
             "nbytes": F.octet_length(line),
         }
+    if spec.layout != "ruler":
+        raise ValueError(f"unknown layout {spec.layout!r}")
+    ruler, header = line.contains(spec.ruler_marker), contains_all(line, spec.header_words)
+    footer = contains_any(line, spec.footer_words)
     return {
-        "f_ruler": line.contains(spec.ruler_marker),
-        "f_header": contains_all(line, spec.header_words),
-        "f_footer": contains_any(line, spec.footer_words),
-        "f_skip": contains_any(line, spec.skip_words),
+        "f_ruler": ruler,
+        "toggle": F.when(ruler, F.lit(True)).when(header, F.lit(None).cast("boolean")).when(footer, F.lit(False)),
+        "f_data": ~ruler & ~header & ~footer & ~contains_any(line, spec.skip_words),
         "nbytes": F.octet_length(line),
     }
 
 
-def partitioned_lines(lines: DataFrame, materialize: bool = True, flags: Optional[dict] = None) -> DataFrame:
-    """Trimmed lines with a ``keep`` flag (non-empty), hash-partitioned once by
-    ``(path, blk)`` and written once as a table bucketed by ``(path, blk)`` in
-    the shared checkpoint folder.
+def in_block(order: str) -> Window:
+    return Window.partitionBy(*KEY).orderBy(order)
+
+
+def staged_lines(lines: DataFrame, flags: Optional[dict] = None, input_bytes: Optional[int] = None) -> DataFrame:
+    """The line relation written once, bucketed by ``(path, blk)``: trimmed lines
+    with ``keep`` (non-empty), ``rk`` (rank among the kept lines of the block),
+    the flags, and for ruler layouts ``before`` (the last toggle above the line
+    in its block).
 
-    Several branches read this relation (block summaries, the join back, the
-    section and terminator scans). The bucketed layout lets each branch read it
-    without an exchange, and joins on ``(path, blk)`` shuffle only the small
-    block tables; the write also cuts the lineage, so a lost executor recomputes
-    from here rather than from the source. Empty lines travel along
-    only so that a file made of blank lines still has a status row.
+    Empty lines travel along only so that a file of blank lines has a status row.
     """
-    t = lines.select("path", F.col("pos").cast("long").alias("pos"), trim_ws("line").alias("line"))
-    out = with_block(t.withColumn("keep", F.col("line") != ""))
+    bad = F.col("bad") if "bad" in lines.columns else F.lit(False)
+    blk = ["blk"] if "blk" in lines.columns else []
+    t = lines.select("path", *blk, F.col("pos").cast("long").alias("pos"), trim_ws("line").alias("line"), bad.alias("bad"))
+    t = (t if blk else with_block(t)).withColumn("keep", F.col("line") != "")
     if flags:
-        out = out.select("*", *[c.alias(n) for n, c in flags.items()])
-    if materialize:
-        return stage_bucketed(out, ["path", "blk"], "lines")
-    return out.repartition("path", "blk")
+        t = t.select("*", *[c.alias(n) for n, c in flags.items()])
+    t = t.repartition(bucket_count(lines.sparkSession, input_bytes), *KEY)
+    so_far = in_block("pos").rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("rk", F.sum(F.col("keep").cast("long")).over(so_far) - 1)
+    if flags and "toggle" in flags:
+        above = in_block("pos").rowsBetween(Window.unboundedPreceding, -1)
+        t = t.withColumn("before", F.last(F.when(F.col("keep"), F.col("toggle")), ignorenulls=True).over(above))
+    return stage_bucketed(t, KEY, "lines", input_bytes)
+
+
+def with_offsets(counts: DataFrame, count: str, out: str) -> DataFrame:
+    """Adds to a block table the sum of ``count`` over the file's earlier blocks."""
+    return counts.withColumn(out, F.coalesce(F.sum(count).over(prior_blocks()), F.lit(0)).cast("long"))
 
 
 def report_lines(lines: DataFrame) -> DataFrame:
     """Normalised lines renumbered densely from 0: ``path, line_no, line``."""
-    k = partitioned_lines(lines).where("keep")
-    return dense_index(k, "line_no").select("path", "line_no", "line")
+    k = staged_lines(lines)
+    blocks = with_offsets(k.groupBy(*KEY).agg(F.count_if("keep").alias("cnt")), "cnt", "off")
+    return k.where("keep").join(blocks, KEY).select("path", (F.col("off") + F.col("rk")).alias("line_no"), "line")
 
 
 def _date_from_marker(spec: ReportSpec, date_line):
@@ -154,242 +158,121 @@ def _date_from_tokens(spec: ReportSpec, date_line):
     return parsed, error
 
 
-def _first_or_last(candidates: DataFrame, out: str, first: bool) -> DataFrame:
-    """First (or last) line of each file among a few candidate lines (those
-    containing the date marker, or the rulers). Aggregating only the candidates
-    keeps ``min_by`` over strings off the full line relation."""
+def _one_line(candidates: DataFrame, out: str, first: bool) -> DataFrame:
+    """First (or last) line of each file among a few candidate lines (date lines,
+    rulers); only these pass the aggregate."""
     pick = F.min_by if first else F.max_by
-    return candidates.groupBy("path").agg(pick("line", "pos").alias(out))
-
+    return candidates.groupBy("path").agg(pick("line", F.struct("blk", "rk")).alias(out))
 
-def _line_at(k: DataFrame, keys: DataFrame, pos_col: str, out: str) -> DataFrame:
-    """The text of the line at ``keys.<pos_col>`` (one per file), read from ``k``
-    through its bucket key. Aggregating positions only (fixed-width values) keeps
-    the block summaries on hash aggregation; ``min_by`` over strings would sort
-    every line."""
-    want = keys.where(F.col(pos_col).isNotNull()).select(
-        "path", F.shiftright(pos_col, scan.BLOCK_BITS).alias("blk"), F.col(pos_col).alias("_want")
-    )
-    # join on the bucket key only (a join on more keys would re-shuffle the lines)
-    return k.join(want, ["path", "blk"]).where(F.col("pos") == F.col("_want")).select(
-        "path", F.col("line").alias(out)
-    )
 
+def _section_counts(blocks: DataFrame, data: DataFrame, min_bytes: int) -> DataFrame:
+    """The staged *sections* table: each block with its record lines counted and
+    the number of those in earlier blocks (``before_block``)."""
+    long_enough = F.col("nbytes") > min_bytes
+    n = data.groupBy(*KEY).agg(F.count_if(long_enough).alias("n_long"), F.count_if(~long_enough).alias("n_short"))
+    return stage(with_offsets(blocks.join(n, KEY), "n_long", "before_block"), "sections")
 
-def _nth_kept_line(k: DataFrame, blocks: DataFrame, wanted: DataFrame, out: str) -> DataFrame:
-    """Position of the kept line with 0-based file rank ``wanted.n`` (one per file).
 
-    The block holding that rank is found from the block offsets (small table),
-    and only that block of each file is sorted; ``k`` is read through a join on
-    its bucket key ``(path, blk)``.
-    """
-    hit = (
-        blocks.join(wanted, "path")
-        .where((F.col("n") >= F.col("off")) & (F.col("n") < F.col("off") + F.col("cnt")))
-        .select("path", "blk", (F.col("n") - F.col("off")).alias("_rank"))
-    )
-    return (
-        k.join(hit, ["path", "blk"])
-        .withColumn("_rn", F.row_number().over(within_block("pos")) - 1)
-        .where(F.col("_rn") == F.col("_rank"))
-        .select("path", F.col("pos").alias(out))
+def _chunked(k: DataFrame, spec: ReportSpec):
+    counts = k.groupBy(*KEY).agg(
+        F.count_if("keep").alias("cnt"), F.max("bad").alias("bad"),
+        F.min(F.when(F.col("keep") & F.col("f_anchor"), F.col("rk"))).alias("anchor"),
     )
+    dates = _one_line(k.where("keep and f_date"), "date_line", first=True)
+    blocks = with_offsets(counts, "cnt", "off")
+    facts = blocks.groupBy("path").agg(F.max("bad").alias("bad"), F.min(F.col("off") + F.col("anchor")).alias("anchor")).join(dates, "path", "left")
+    day, error = _date_from_marker(spec, F.col("date_line"))
+    facts = stage(facts.select("path", "bad", day.alias("report_date"), error.alias("date_error"), F.col("anchor").isNotNull().alias("has_section"), (F.col("anchor") + spec.data_offset).alias("first")), "facts")
+    good = facts.where("report_date is not null and has_section and not bad").select("path", "report_date", "first")
+    blocks = stage(blocks.select(*KEY, "off").join(good, "path"), "blocks")
+
+    n = F.col("off") + F.col("rk")
+    ends = k.where("keep and f_term").join(blocks, KEY).where(n >= F.col("first")).groupBy("path").agg(F.min(n).alias("end"))
+    blocks = blocks.join(ends, "path", "left")
+    here = (n >= F.col("first")) & (F.col("end").isNull() | (n < F.col("end")))
+    sections = _section_counts(blocks, k.where("keep and f_data").join(blocks, KEY).where(here), spec.min_row_bytes)
 
-
-def _chunked(k_all: DataFrame, spec: ReportSpec):
-    """Chunked layout, computed in position space.
-
-    Only two sorts happen: the one block per file that holds the first data
-    line, and the section lines (for the record index). Everything else is a
-    filter, a partial aggregate or a join on ``(path, blk)`` with a small table.
-    """
-    line, pos = F.col("line"), F.col("pos")
-    keep = F.col("keep")
-    is_date = keep & F.col("f_date")
-    is_anchor = keep & F.col("f_anchor")
-    k = k_all.where(keep)
-    bsum = k_all.groupBy("path", "blk").agg(
-        F.count_if(keep).alias("cnt"),
-        F.min(F.when(is_anchor, pos)).alias("anchor_pos"),
-    )
-    facts = bsum.groupBy("path").agg(F.min("anchor_pos").alias("anchor_pos"))
-    facts = facts.join(_first_or_last(k.where(is_date), "date_line", first=True), "path", "left")
-    report_date, date_error = _date_from_marker(spec, F.col("date_line"))
-    facts = facts.select("path", "anchor_pos", report_date.alias("report_date"), date_error.alias("date_error"))
-    blocks = bsum.select(
-        "path", "blk", "cnt", F.coalesce(F.sum("cnt").over(prior_blocks()), F.lit(0)).alias("off")
-    )
-    good = facts.where(F.col("report_date").isNotNull() & F.col("anchor_pos").isNotNull())
-    # rank of the anchor = lines of earlier blocks + lines before it in its own block
-    anchor_blk = good.select(
-        "path", F.shiftright("anchor_pos", scan.BLOCK_BITS).alias("blk"), "anchor_pos", "report_date"
-    )
-    before = (
-        k.join(anchor_blk, ["path", "blk"], "right")
-        .groupBy("path", "blk", "anchor_pos", "report_date")
-        .agg(F.count_if(F.col("pos") < F.col("anchor_pos")).alias("_before"))
-    )
-    wanted = before.join(blocks.select("path", "blk", "off"), ["path", "blk"]).select(
-        "path", "report_date", (F.col("off") + F.col("_before") + spec.data_offset).alias("n")
-    )
-    starts = _nth_kept_line(k, blocks, wanted.select("path", "n"), "start_pos").join(
-        wanted.select("path", "report_date"), "path"
-    )
-    block_keys = blocks.select("path", "blk")
-    ends = (
-        k.where(F.col("f_term"))
-        .join(block_keys.join(starts.select("path", "start_pos"), "path"), ["path", "blk"])
-        .where(F.col("pos") >= F.col("start_pos"))
-        .groupBy("path").agg(F.min("pos").alias("end_pos"))
-    )
-    bounds = starts.join(ends, "path", "left")
-    in_section = (
-        k.join(block_keys.join(bounds, "path"), ["path", "blk"])
-        .where((F.col("pos") >= F.col("start_pos")) & (F.col("end_pos").isNull() | (F.col("pos") < F.col("end_pos"))))
-        .where(~F.col("f_excl"))
-    )
-    long_enough = F.col("nbytes") > spec.min_row_bytes
-    short = in_section.where(~long_enough).groupBy("path").agg(F.count(F.lit(1)).alias("short_lines_dropped"))
-    section = dense_index(in_section.where(long_enough), "r", order="pos")
     lpr = spec.lines_per_record
-    # A record group holds exactly ``lines_per_record`` lines (bounded), so the
-    # lines are gathered with collect_list, which runs on the hash-based object
-    # aggregate; max() over strings would sort every section line.
-    grouped = (
-        section.groupBy("path", F.floor(F.col("r") / lpr).cast("long").alias("record_no"))
-        .agg(
-            F.max("report_date").alias("report_date"),
-            F.collect_list(F.struct((F.col("r") % lpr).alias("i"), line.alias("l"))).alias("_lines"),
-        )
-        .where(F.size("_lines") == lpr)
-    )
-    ordered = F.array_sort("_lines")
-    chunks = grouped.select(
-        "path", "record_no", "report_date", *[ordered[i]["l"].alias(f"line{i}") for i in range(lpr)]
+    data = k.where("keep and f_data").where(F.col("nbytes") > spec.min_row_bytes).join(sections, KEY).where(here)
+    w = in_block("rk")
+    rows = data.withColumn("r", F.col("before_block") + F.row_number().over(w) - 1)
+    rows = rows.select("path", "report_date", "line", "r", "before_block", "n_long", *(F.lead("line", i).over(w).alias(f"line{i}") for i in range(1, lpr)))
+    record = F.expr(f"r div {lpr}")
+    head = record * lpr
+    inside = (head >= F.col("before_block")) & (head + lpr <= F.col("before_block") + F.col("n_long"))
+    names = [f"line{i}" for i in range(lpr)]
+    whole = rows.where(inside & (F.col("r") == head)).select("path", record.alias("record_no"), "report_date", F.col("line").alias("line0"), *names[1:])
+    # only lines of records that cross a block edge (fewer than lpr at either end) are shuffled
+    edge = rows.where(~inside).groupBy("path", record.alias("record_no")).agg(
+        F.max("report_date").alias("report_date"), *(F.max(F.when(F.col("r") == head + i, F.col("line"))).alias(f"line{i}") for i in range(lpr))
     )
+    edge = edge.where(F.col(names[-1]).isNotNull())
+    chunks = whole.unionByName(edge)
     fields = [byte_slice(F.col(f"line{s.line}"), s.start, s.end).alias(s.name) for s in spec.slices]
-    records = chunks.select(
-        "path", "record_no", F.date_format("report_date", "yyyy-MM-dd").alias("date"), *fields
-    )
-    has_section = F.col("anchor_pos").isNotNull()
-    return records, facts, has_section, short, section, chunks
-
-
-def _ruler(k_all: DataFrame, spec: ReportSpec):
-    line, pos = F.col("line"), F.col("pos")
-    is_ruler = F.col("f_ruler")
-    is_header = F.col("f_header")
-    is_footer = F.col("f_footer")
-    toggle = (
-        F.when(~F.col("keep"), F.lit(None).cast("boolean"))
-        .when(is_ruler, F.lit(True))
-        .when(is_header, F.lit(None).cast("boolean"))
-        .when(is_footer, F.lit(False))
-    )
-    kt_all = k_all.withColumn("toggle", toggle)
-    kt = kt_all.where("keep")
-    tpos = F.when(F.col("toggle").isNotNull(), pos)
-    is_ruler = F.col("keep") & is_ruler
-    bsum = kt_all.groupBy("path", "blk").agg(
-        F.count_if(F.col("keep")).alias("cnt"),
-        F.max_by("toggle", tpos).alias("last_toggle"),
-        F.max(F.when(is_ruler, pos)).alias("ruler_pos"),
-    )
-    rulers = bsum.groupBy("path").agg(F.max("ruler_pos").alias("ruler_pos")).drop("ruler_pos")
-    rulers = rulers.join(_first_or_last(kt.where(is_ruler), "ruler", first=False), "path", "left")
-    rulers = rulers.withColumn("bounds", F.when(F.col("ruler").isNotNull(), ruler_boundaries("ruler")))
-    blocks = bsum.select(
-        "path", "blk",
-        F.coalesce(F.sum("cnt").over(prior_blocks()), F.lit(0)).alias("off"),
-        F.last("last_toggle", ignorenulls=True).over(prior_blocks()).alias("carry"),
-    )
-    before = within_block("pos").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = (
-        kt.join(blocks, ["path", "blk"])
-        .withColumn("n", F.col("off") + F.row_number().over(within_block("pos")) - 1)
-        .withColumn(
-            "in_block",
-            F.coalesce(F.last("toggle", ignorenulls=True).over(before), F.col("carry"), F.lit(False)),
-        )
-        .drop("off", "carry")
-    )
-    date_lines = numbered.where(F.col("n") == spec.date_line).select("path", F.col("line").alias("date_line"))
-    files = rulers.join(date_lines, "path", "full")
-    report_date, date_error = _date_from_tokens(spec, F.col("date_line"))
-    facts = files.select(
-        "path", "ruler", "bounds", report_date.alias("report_date"), date_error.alias("date_error")
-    )
-    good = facts.where(F.col("report_date").isNotNull() & F.col("ruler").isNotNull())
-    keep = (
-        F.col("in_block") & ~is_ruler & ~is_header & ~is_footer
-        & ~F.col("f_skip") & (F.col("nbytes") > spec.min_row_bytes)
-    )
-    data = numbered.where(keep).join(
-        blocks.select("path", "blk").join(good.select("path", "bounds", "report_date"), "path"), ["path", "blk"]
-    )
-    section = dense_index(data, "record_no", order="pos")
-    b = F.col("bounds")
+    records = chunks.select("path", "record_no", F.date_format("report_date", "yyyy-MM-dd").alias("date"), *fields)
+    totals = sections.groupBy("path").agg(F.expr(f"sum(n_long) div {lpr}").alias("records"), F.sum("n_short").alias("short_lines_dropped"))
+    return records, facts, totals, rows.select("path", "r", "line"), chunks
+
+
+def _ruler(k: DataFrame, spec: ReportSpec):
+    toggled = F.when(F.col("keep") & F.col("toggle").isNotNull(), F.col("rk"))
+    counts = k.groupBy(*KEY).agg(F.count_if("keep").alias("cnt"), F.max("bad").alias("bad"), F.max_by("toggle", toggled).alias("last_toggle"))
+    blocks = with_offsets(counts, "cnt", "off").withColumn("carry", F.last("last_toggle", ignorenulls=True).over(prior_blocks()))
+    rulers = _one_line(k.where("keep and f_ruler"), "ruler", first=False)
+    early = k.where(F.col("keep") & (F.col("rk") <= spec.date_line)).select(*KEY, "rk", "line")
+    dates = early.join(blocks.select(*KEY, "off"), KEY).where(F.col("off") + F.col("rk") == spec.date_line).select("path", F.col("line").alias("date_line"))
+    facts = blocks.groupBy("path").agg(F.max("bad").alias("bad")).join(rulers, "path", "left").join(dates, "path", "left")
+    day, error = _date_from_tokens(spec, F.col("date_line"))
+    has = F.col("ruler").isNotNull()
+    facts = stage(facts.select("path", "bad", day.alias("report_date"), error.alias("date_error"), has.alias("has_section"), F.when(has, ruler_boundaries("ruler")).alias("bounds")), "facts")
+    good = facts.where("report_date is not null and has_section and not bad").select("path", "report_date", "bounds")
+    blocks = blocks.select(*KEY, "off", "carry").join(good, "path")
+
+    def data(blocks):
+        inside = F.coalesce("before", "carry", F.lit(False))
+        return k.where("keep and f_data").where(F.col("nbytes") > spec.min_row_bytes).join(blocks, KEY).where(inside)
+
+    sections = _section_counts(blocks, data(blocks), spec.min_row_bytes)
+    rows = data(sections).withColumn("record_no", F.col("before_block") + F.row_number().over(in_block("rk")) - 1)
+    line, b = F.col("line"), F.col("bounds")
     fields = []
     for i, name in enumerate(spec.ruler_fields):
         bi = F.get(b, i)
         fields.append(F.when(bi.isNull(), F.lit("")).otherwise(byte_slice(line, bi["start"], bi["end"])).alias(name))
-    rest_start = F.coalesce(F.get(b, spec.rest_after)["end"], F.octet_length(line))
-    fields.append(byte_slice(line, rest_start).alias(spec.rest_field))
-    records = section.select(
-        "path", "record_no", F.date_format("report_date", "yyyy-MM-dd").alias("date"), *fields
-    )
-    has_section = F.col("ruler").isNotNull()
-    short = None
-    return records, facts, has_section, short, section, None
+    rest = F.coalesce(F.get(b, spec.rest_after)["end"], F.octet_length(line))
+    fields.append(byte_slice(line, rest).alias(spec.rest_field))
+    records = rows.select("path", "record_no", F.date_format("report_date", "yyyy-MM-dd").alias("date"), *fields)
+    totals = sections.groupBy("path").agg(F.sum("n_long").alias("records"), F.lit(0).cast("long").alias("short_lines_dropped"))
+    return records, facts, totals, rows.select("path", "record_no", "line"), None
 
 
-def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = None) -> Parsed:
+def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = None, input_bytes: Optional[int] = None) -> Parsed:
     """Parse a line relation with a report spec.
 
-    ``files``: optional ``(path[, io_error])`` list of all input files, so that
-    files without any non-empty line (or unreadable ones) still get a status
-    row. Defaults to the distinct paths of ``lines``.
+    ``files``: optional ``(path)`` list of all input files, so that files without
+    any line still get a status row. Defaults to the paths of ``lines``.
+    ``input_bytes`` sizes the staged table.
     """
     spec = get_spec(report_type)
-    k = partitioned_lines(lines, flags=spec_flags(spec))
-    if spec.layout == "chunked":
-        records, facts, has_section, short, section, chunks = _chunked(k, spec)
-    elif spec.layout == "ruler":
-        records, facts, has_section, short, section, chunks = _ruler(k, spec)
-    else:
-        raise ValueError(f"unknown layout {spec.layout!r}")
-
-    if files is None:
-        files = facts.select("path")
-    if "io_error" not in files.columns:
-        files = files.withColumn("io_error", F.lit(None).cast("string"))
-    counts = records.groupBy("path").agg(F.count(F.lit(1)).alias("records"))
-    st = files.select("path", "io_error").join(facts, "path", "left").join(counts, "path", "left")
-    if short is not None:
-        st = st.join(short, "path", "left")
-    else:
-        st = st.withColumn("short_lines_dropped", F.lit(0).cast("long"))
-    no_date = st["report_date"].isNull()
-    status = (
-        F.when(F.col("io_error").isNotNull(), F.lit(STATUS_IO))
-        .when(no_date, F.lit(STATUS_DATE))
-        .when(~has_section, F.lit(STATUS_SECTION))
-        .otherwise(F.lit(STATUS_OK))
-    )
-    # status of a file without lines: no date line
-    date_error = F.coalesce(
-        F.col("date_error"),
-        F.lit(MSG_NO_DATE_LINE if spec.date_rule == "marker" else MSG_NO_DATE_LINE_TOKENS),
-    )
+    k = staged_lines(lines, spec_flags(spec), input_bytes)
+    records, facts, totals, section, chunks = (_chunked if spec.layout == "chunked" else _ruler)(k, spec)
+
+    st = facts if files is None else files.select("path").join(facts, "path", "left")
+    st = st.join(totals, "path", "left")
+    bad = F.coalesce(F.col("bad"), F.lit(False))
+    no_date, no_section = F.col("report_date").isNull(), ~F.coalesce(F.col("has_section"), F.lit(False))
+    status = F.when(bad, STATUS_IO).when(no_date, STATUS_DATE).when(no_section, STATUS_SECTION).otherwise(STATUS_OK)
+    # a file without lines has no date line
+    no_line = MSG_NO_DATE_LINE if spec.date_rule == "marker" else MSG_NO_DATE_LINE_TOKENS
     error = (
-        F.when(F.col("io_error").isNotNull(), F.col("io_error"))
-        .when(no_date, date_error)
-        .when(~has_section, F.lit(MSG_MISSING_SECTION + spec.section_name))
+        F.when(bad, F.lit(MSG_BAD_UTF8))
+        .when(no_date, F.coalesce("date_error", F.lit(no_line)))
+        .when(no_section, F.lit(MSG_MISSING_SECTION + spec.section_name))
     )
     status_df = st.select(
         "path",
         F.lit(spec.name).alias("report_type"),
-        F.when(F.col("io_error").isNull(), F.col("report_date")).alias("report_date"),
+        F.when(~bad, F.col("report_date")).alias("report_date"),
         status.alias("status"),
         error.alias("error"),
         status.isin(*RECOVERABLE_STATUSES).alias("recoverable"),
@@ -397,9 +280,3 @@ def parse_reports(lines: DataFrame, report_type, files: Optional[DataFrame] = No
         F.coalesce(F.col("short_lines_dropped"), F.lit(0)).cast("long").alias("short_lines_dropped"),
     )
     return Parsed(records=records, status=status_df, section=section, facts=facts, chunks=chunks)
-
-
-def file_dates(lines: DataFrame, report_type) -> DataFrame:
-    """Report date per file: ``path, report_date, error``."""
-    p = parse_reports(lines, report_type)
-    return p.status.select("path", "report_date", F.when(F.col("status") == STATUS_DATE, F.col("error")).alias("error"))

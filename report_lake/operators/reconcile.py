@@ -27,33 +27,30 @@ def _tagged(a: DataFrame, b: DataFrame):
 
 
 def except_rows(a: DataFrame, b: DataFrame, all: bool = False) -> DataFrame:
-    """``a EXCEPT b`` (distinct) or ``a EXCEPT ALL b`` (multiset) when ``all``."""
+    """``a EXCEPT b`` (distinct). With ``all``, ``a EXCEPT ALL b`` in counted form:
+    each row once, with ``copies``, how often it is left."""
     g, cols = _tagged(a, b)
     if not all:
         return g.where((F.col("_na") > 0) & (F.col("_nb") == 0)).select(*cols)
-    extra = g.where(F.col("_na") > F.col("_nb"))
-    return extra.select(*cols, F.explode(F.sequence(F.lit(1), (F.col("_na") - F.col("_nb")).cast("int"))).alias("_k")).drop("_k")
+    return g.where(F.col("_na") > F.col("_nb")).select(*cols, (F.col("_na") - F.col("_nb")).alias("copies"))
 
 
 def sym_diff(a: DataFrame, b: DataFrame, all: bool = False, side: Optional[str] = "side") -> DataFrame:
     """``(a EXCEPT b) UNION ALL (b EXCEPT a)``; empty when the two agree.
 
-    With ``side`` set, a column names where each row was found
-    (``left_only`` / ``right_only``). ``all=True`` compares multisets.
+    With ``side`` set, a column names where each row was found (``left_only`` /
+    ``right_only``). ``all=True`` compares multisets: ``copies`` counts by how
+    much a row is more frequent on its side.
     """
     g, cols = _tagged(a, b)
     if not all:
         d = g.where((F.col("_na") > 0) != (F.col("_nb") > 0))
-        label = F.when(F.col("_na") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
-        out = d.select(*cols, label.alias("_side"))
+        label, extra = F.when(F.col("_na") > 0, F.lit("left_only")).otherwise(F.lit("right_only")), []
     else:
         d = g.where(F.col("_na") != F.col("_nb"))
         label = F.when(F.col("_na") > F.col("_nb"), F.lit("left_only")).otherwise(F.lit("right_only"))
-        reps = F.abs(F.col("_na") - F.col("_nb")).cast("int")
-        out = d.select(*cols, label.alias("_side"), F.explode(F.sequence(F.lit(1), reps)).alias("_k")).drop("_k")
-    if side:
-        return out.withColumnRenamed("_side", side)
-    return out.drop("_side")
+        extra = [F.abs(F.col("_na") - F.col("_nb")).alias("copies")]
+    return d.select(*cols, *([label.alias(side)] if side else []), *extra)
 
 
 def table_count(df: DataFrame) -> DataFrame:

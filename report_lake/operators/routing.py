@@ -45,7 +45,7 @@ def route(name_col, type_col) -> list:
     got = F.coalesce(file_extension(name), F.lit("none"))
     message = (
         F.when(rt.isNull(), F.concat(F.lit(MSG_BAD_TYPE), as_col(type_col)))
-        .when(~valid, F.concat(F.lit("Invalid file extension. Expected: "), ext, F.lit(", Got: "), got))
+        .when(~valid, F.concat(F.lit(MSG_BAD_EXT.split("{")[0]), ext, F.lit(MSG_BAD_EXT.split("}")[1]), got))
     )
     return [
         rt.alias("report_type"),

@@ -1,18 +1,17 @@
 """Report tables: create/open, incremental append through the ledger,
-quarantine, compaction and stale-file listing.
+quarantine, compaction and superseded files.
 
 A table is a folder of data files in ``fmt`` (``parquet`` by default; ``delta``
 passes through to the Delta source where its jar is installed). Every stored
 column is a nullable string, in the order of the report spec.
 
-Driver-side work is metadata only (a file listing, a row count, renames in
-compaction); all rows move through Spark tasks.
+The driver holds one entry per *report* of a batch (a day's directory or a named
+file), never rows or part files.
 """
 
 from __future__ import annotations
 
 import math
-import time
 import uuid
 from dataclasses import dataclass
 from typing import Optional
@@ -20,29 +19,19 @@ from typing import Optional
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.csv import scan_report_csv
+from ..functions.text import file_name
+from ..sources.csv import report_unit, scan_report_csv
 from ..sources.files import list_files
-from ..sources.ledger import LEDGER_SCHEMA, append_ledger, read_ledger
+from ..sources.ledger import LEDGER_SCHEMA, append_ledger, pending, read_ledger
 from ..spec import get_spec
+from .parse import STATUS_FILE_FORMAT
 
 # Fixed value: target size of a written table file (1 GiB).
 TARGET_FILE_BYTES = 1 << 30
-REPLACED_DIR = "_replaced"
-# Delta's default retention for removed files: 7 days.
+# Retention of superseded files: 7 days.
 DEFAULT_RETENTION_HOURS = 168
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def default_ledger_path(table_path: str) -> str:
     """The ledger sits beside the table (``<table>_load_log``), never inside it."""
     return table_path.rstrip("/") + "_load_log"
@@ -65,30 +54,32 @@ def create_or_open_table(spark: SparkSession, path: str, report_type, fmt: str =
 
 def load_candidates(spark: SparkSession, report_type, ledger_path: str, csv_folder: Optional[str] = None,
                     csv_paths=None, listing: Optional[DataFrame] = None, retry_skipped: bool = False) -> DataFrame:
-    """CSV files to load: name (or report directory) contains the spec prefix,
-    ends with ``.csv``, and is not in the ledger. A file offered twice (by folder
-    and by path) is a candidate once. Returns ``path, length``."""
+    """CSV files to load, as ``path, length, unit``.
+
+    Files found by folder (or in ``listing``) must end with ``.csv`` and carry the
+    spec's prefix in their name, or in their ``report=`` directory where they lie
+    in one. Paths given explicitly are taken as they are. Neither is a candidate
+    if the ledger knows its unit; a file offered twice is a candidate once.
+    """
     spec = get_spec(report_type)
-    parts = []
+    found = []
     if csv_folder:
-        parts.append(list_files(spark, csv_folder, glob="*.csv", recursive=True, with_content=False))
-    if csv_paths:
-        paths = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
-        parts.append(
-            spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
-        )
+        found.append(list_files(spark, csv_folder, glob="*.csv", recursive=True))
     if listing is not None:
-        parts.append(listing)
+        found.append(listing)
+    report = F.regexp_extract("path", r"/report=([^/]+)/[^/]*$", 1)
+    name = F.when(report != "", report).otherwise(file_name("path"))
+    parts = [f.select("path", "length").where(name.contains(spec.prefix) & F.col("path").endswith(".csv")) for f in found]
+    if csv_paths:
+        parts.append(list_files(spark, csv_paths).select("path", "length"))
     if not parts:
         raise ValueError("give csv_folder, csv_paths or listing")
-    cands = parts[0].select("path", "length")
+    cands = parts[0]
     for p in parts[1:]:
-        cands = cands.unionByName(p.select("path", "length"))
-    cands = cands.dropDuplicates(["path"])
-    tail = F.regexp_extract("path", r"([^/]*/?[^/]*)$", 1)
-    name_ok = tail.contains(spec.prefix) & F.col("path").endswith(".csv")
+        cands = cands.unionByName(p)
     done = read_ledger(spark, ledger_path, include_skipped=not retry_skipped)
-    return cands.where(name_ok).join(done, F.col("path") == F.col("csv_file"), "left_anti")
+    cands = cands.dropDuplicates(["path"]).withColumn("unit", report_unit("path"))
+    return cands.join(done, F.col("unit") == F.col("csv_file"), "left_anti")
 
 
 @dataclass
@@ -99,25 +90,20 @@ class AppendResult:
 
 def append_batch(spark: SparkSession, table_path: str, csv_paths, report_type, fmt: str = "parquet",
                  input_bytes: Optional[int] = None, target_file_bytes: int = TARGET_FILE_BYTES) -> AppendResult:
-    """Append all given CSV files to the table as one write.
+    """Append the CSV files at the given paths (files or report directories) to
+    the table as one write.
 
-    Files with a malformed row are skipped whole (status ``malformed``); the
-    per-file check is one partial aggregate whose result has one row per file
-    (the size of the file listing). Output files are sized to
-    ``target_file_bytes`` from the input size; the row count comes from an
-    observed metric of the write itself (no extra pass).
+    The CSV is parsed once (see :func:`scan_report_csv`). Files with a malformed
+    row are skipped whole. Output files are sized to ``target_file_bytes`` from
+    the input size; the row count is an observed metric of the write itself.
     """
     spec = get_spec(report_type)
     paths = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
-    raw, per_file = scan_report_csv(spark, paths, spec, recursive=False, split=False)
-    checked = per_file.collect()
-    files = spark.createDataFrame(checked, "csv_file string, rows long, bad_rows long, checksum long, status string")
-    bad = files.where(F.col("status") != "ok").select("csv_file")
-    rows = raw.join(bad, "csv_file", "left_anti")
+    listing = list_files(spark, paths, recursive=True)
+    rows, files = scan_report_csv(spark, paths, spec, recursive=True, listing=listing)
     if input_bytes is None:
-        sizes = spark.read.format("binaryFile").load(paths).select("length")
-        input_bytes = int(sizes.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
-    n_files = max(1, math.ceil((input_bytes or 0) / target_file_bytes))
+        input_bytes = int(listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+    n_files = max(1, math.ceil(input_bytes / target_file_bytes))
     obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
     out = rows.select(*spec.columns).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.repartition(n_files).write.format(fmt).mode("append").save(table_path)
@@ -131,38 +117,62 @@ class LoadResult:
     files: Optional[DataFrame]
 
 
+def _settle_pending(spark: SparkSession, table_path: str, spec, ledger_path: str, fmt: str) -> None:
+    """A load that stopped between announcing its batch and finishing it either
+    appended all of it (one write) or nothing. If rows of the announced reports
+    are in the table, the reports are recorded as loaded; else they are offered
+    again by the normal path."""
+    left = [r["csv_file"] for r in pending(spark, ledger_path).collect()]
+    if not left:
+        return
+    rows, files = scan_report_csv(spark, left, spec)
+    stored = spark.read.format(fmt).load(table_path)
+    if not rows.select(*spec.columns).intersect(stored.select(*spec.columns)).isEmpty():
+        append_ledger(_unit_status(files), ledger_path)
+
+
+def _unit_status(files: DataFrame) -> DataFrame:
+    """One ledger entry per report: ``skipped`` if one of its files was malformed."""
+    bad = F.max(F.col("status") != "ok")
+    return files.groupBy(report_unit("csv_file").alias("csv_file")).agg(F.when(bad, F.lit("skipped")).otherwise(F.lit("loaded")).alias("status"))
+
+
 def load_table(spark: SparkSession, table_path: str, report_type, csv_folder: Optional[str] = None,
                csv_paths=None, ledger_path: Optional[str] = None, recreate: bool = False, fmt: str = "parquet",
-               target_file_bytes: int = TARGET_FILE_BYTES, compact_after: bool = False,
-               retry_skipped: bool = False) -> LoadResult:
+               target_file_bytes: int = TARGET_FILE_BYTES, retry_skipped: bool = False,
+               quarantine_path: Optional[str] = None) -> LoadResult:
     """Incremental load: candidates not in the ledger -> one append -> ledger entries.
 
     ``recreate`` replaces the table and the ledger first. Files skipped as
-    malformed are logged with status ``skipped`` and offered again only with
-    ``retry_skipped``. The append and the ledger write are two commits: a crash
-    between them offers the batch again on the next run.
+    malformed are logged with status ``skipped``, go to ``quarantine_path`` if
+    given, and are offered again only with ``retry_skipped``. The batch is
+    announced in the ledger before the append, so a crash at any point is settled
+    by the next load and no report is loaded twice.
     """
     spec = get_spec(report_type)
     ledger_path = ledger_path or default_ledger_path(table_path)
     if recreate:
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("overwrite").json(ledger_path)
     create_or_open_table(spark, table_path, spec, fmt, overwrite=recreate)
+    _settle_pending(spark, table_path, spec, ledger_path, fmt)
     cands = load_candidates(spark, spec, ledger_path, csv_folder, csv_paths, retry_skipped=retry_skipped)
-    picked = cands.collect()  # the file listing (paths and sizes), metadata only
+    # one row per report: days, not part files
+    picked = cands.groupBy("unit").agg(F.sum("length").alias("length"), F.count(F.lit(1)).alias("files")).collect()
     if not picked:
-        if compact_after:
-            compact(spark, table_path, fmt, target_file_bytes)
         return LoadResult(rows=0, candidates=0, files=None)
-    paths = [r["path"] for r in picked]
-    total = sum(int(r["length"] or 0) for r in picked)
-    res = append_batch(spark, table_path, paths, spec, fmt, input_bytes=total, target_file_bytes=target_file_bytes)
-    status = res.files.select(
-        "csv_file", F.when(F.col("status") == "ok", F.lit("loaded")).otherwise(F.lit("skipped")).alias("status")
-    )
-    append_ledger(status, ledger_path)
-    if compact_after:
-        compact(spark, table_path, fmt, target_file_bytes)
-    return LoadResult(rows=res.rows, candidates=len(paths), files=res.files)
+    units = [r["unit"] for r in picked]
+    batch = uuid.uuid4().hex
+    append_ledger(spark.createDataFrame([(u,) for u in units], "csv_file string"), ledger_path, "pending", batch=batch)
+    res = append_batch(spark, table_path, units, spec, fmt, input_bytes=sum(int(r["length"] or 0) for r in picked), target_file_bytes=target_file_bytes)
+    append_ledger(_unit_status(res.files), ledger_path, batch=batch)
+    if quarantine_path:
+        bad = res.files.select(
+            F.col("csv_file").alias("path"), F.lit(spec.name).alias("report_type"), F.lit(None).cast("date").alias("report_date"),
+            F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit(STATUS_FILE_FORMAT)).alias("status"),
+            F.concat(F.lit("rows with a wrong number of fields: "), F.col("bad_rows").cast("string")).alias("error"), F.lit(True).alias("recoverable"),
+        )
+        quarantine(bad, quarantine_path)
+    return LoadResult(rows=res.rows, candidates=sum(r["files"] for r in picked), files=res.files)
 
 
 def quarantine(status: DataFrame, quarantine_path: str) -> DataFrame:
@@ -176,11 +186,6 @@ def quarantine(status: DataFrame, quarantine_path: str) -> DataFrame:
     return status.sparkSession.read.parquet(quarantine_path)
 
 
-def data_files(spark: SparkSession, table_path: str) -> DataFrame:
-    """Live data files of a table folder (hidden ``_``/``.`` entries excluded)."""
-    return list_files(spark, table_path, recursive=False, with_content=False).select("path", "length")
-
-
 @dataclass
 class CompactResult:
     files_before: int
@@ -188,73 +193,24 @@ class CompactResult:
     bytes_before: int
 
 
-def compact(spark: SparkSession, table_path: str, fmt: str = "parquet",
+def compact(spark: SparkSession, table_path: str, target_path: str, fmt: str = "parquet",
             target_file_bytes: int = TARGET_FILE_BYTES) -> CompactResult:
-    """Rewrite a table's data files into ``ceil(bytes / target)`` files.
+    """Rewrite a table into ``ceil(bytes / target)`` files at ``target_path``.
 
-    The new files are written by Spark into a hidden folder, then the old files
-    are moved into ``_replaced/ts=<ms>/`` and the new ones into the table folder
-    (renames: metadata only). Readers between the two moves may see both sets,
-    as with any plain file table; a transactional format avoids that.
+    The old folder stays as it is until its readers have moved on;
+    :func:`stale_files` lists what of it may go. A plain Spark rewrite, for plain
+    file formats only: formats with a transaction log compact themselves.
     """
-    stats = data_files(spark, table_path).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
-    ).first()
-    n_before, bytes_before = int(stats["n"]), int(stats["bytes"])
-    n_target = max(1, math.ceil(bytes_before / target_file_bytes))
-    if n_before <= n_target:
-        return CompactResult(n_before, n_before, bytes_before)
-    old = [r["path"] for r in data_files(spark, table_path).select("path").collect()]
-    staging = f"{table_path.rstrip('/')}/_compacting_{uuid.uuid4().hex[:8]}"
-    spark.read.format(fmt).load(table_path).repartition(n_target).write.format(fmt).save(staging)
-    fs, _ = _fs(spark, table_path)
-    jvm = spark.sparkContext._jvm
-    replaced = f"{table_path.rstrip('/')}/{REPLACED_DIR}/ts={int(time.time() * 1000)}"
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(replaced))
-    for f in old:
-        src = jvm.org.apache.hadoop.fs.Path(f)
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(replaced + "/" + src.getName()))
-    new_files = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staging))]
-    n_after = 0
-    for src in new_files:
-        name = src.getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(table_path.rstrip("/") + "/" + name))
-        n_after += 1
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    return CompactResult(n_before, n_after, bytes_before)
-
-
-def stale_files(spark: SparkSession, table_path: str, retention_hours: float = DEFAULT_RETENTION_HOURS,
-                now_ms: Optional[int] = None) -> DataFrame:
-    """Files no longer referenced by the table and replaced before the retention
-    window: ``path, length, replaced_at``."""
-    root = f"{table_path.rstrip('/')}/{REPLACED_DIR}"
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], "path string, length long, replaced_at timestamp")
-    now_ms = now_ms if now_ms is not None else int(time.time() * 1000)
-    cutoff = now_ms - int(retention_hours * 3600 * 1000)
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        .select("path", "length", F.regexp_extract("path", r"/ts=(\d+)/", 1).try_cast("long").alias("ts"))
-        .where(F.col("ts").isNotNull())
-    )
-    live = data_files(spark, table_path).select(F.col("path").alias("live"))
-    return (
-        listed.where(F.col("ts") <= cutoff)
-        .join(live, F.col("path") == F.col("live"), "left_anti")
-        .select("path", "length", F.timestamp_millis(F.col("ts")).alias("replaced_at"))
-    )
-
-
-def vacuum(spark: SparkSession, table_path: str, retention_hours: float = DEFAULT_RETENTION_HOURS,
-           dry_run: bool = True, now_ms: Optional[int] = None) -> DataFrame:
-    """Delete the stale files (unless ``dry_run``); returns the candidates."""
-    cands = stale_files(spark, table_path, retention_hours, now_ms)
-    if not dry_run:
-        fs, _ = _fs(spark, table_path)
-        jvm = spark.sparkContext._jvm
-        for r in cands.select("path").collect():
-            fs.delete(jvm.org.apache.hadoop.fs.Path(r["path"]), False)
-    return cands
+    if fmt not in ("parquet", "orc", "json", "csv"):
+        raise ValueError(f"{fmt} keeps a log of its files; use its own compaction")
+    stats = list_files(spark, table_path).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    n_target = max(1, math.ceil(int(stats["bytes"]) / target_file_bytes))
+    spark.read.format(fmt).load(table_path).repartition(n_target).write.format(fmt).save(target_path)
+    return CompactResult(int(stats["n"]), list_files(spark, target_path).count(), int(stats["bytes"]))
+
+
+def stale_files(spark: SparkSession, replaced_path: str, retention_hours: float = DEFAULT_RETENTION_HOURS) -> DataFrame:
+    """Files of a replaced table folder that were last written before the
+    retention window: ``path, length, modificationTime``."""
+    cutoff = F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(retention_hours) * 3600))
+    return list_files(spark, replaced_path).where(F.col("modificationTime") <= cutoff).select("path", "length", "modificationTime")

@@ -16,7 +16,7 @@ from ..operators.parse import STATUS_DATE, STATUS_OK, parse_reports
 from ..operators.parse import report_lines as _report_lines
 from ..operators.ranges import in_date_range
 from ..sources.files import text_lines
-from ..operators.ingest import ingest_archives, ingest_folder
+from ..operators.ingest import ingest_archives, ingest_date_range, ingest_file, ingest_folder
 from ..operators.reconcile import except_rows, sym_diff, table_count, table_head
 from ..operators.routing import route
 from ..operators.table import (
@@ -30,11 +30,12 @@ from ..operators.table import (
 )
 from ..session import scratch_path, to_local_or_uri
 from ..sources.archives import member_names
-from ..sources.csv import read_report_csv, write_report_csv
+from ..sources.csv import csv_glob_view, read_report_csv, report_unit, write_report_csv
 from ..sources.download import download_plan, fetch_reports, local_name_pattern
-from ..sources.files import utf8_gate
+from ..sources.files import list_files, utf8_gate
 from ..sources.ledger import append_ledger, read_ledger, read_ledger_entries
 from ..streaming.incremental import incremental_stream, records_to_table
+from ..spec import ST1
 from . import fixtures, oracles
 from .render import EVENTS_SPEC, load, render_events, render_st1, render_st49
 
@@ -80,10 +81,11 @@ def q_ruler_block(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_ruler_boundaries(spark: SparkSession, sf: str) -> DataFrame:
-    part = load(spark, sf, "part")
-    ruler = F.regexp_replace("p_name", r"\S", "-")
-    return part.select("p_partkey", F.posexplode(_ruler_boundaries(ruler)).alias("idx", "b")).select(
-        "p_partkey", F.col("idx").cast("long").alias("idx"),
+    # every line of every document as a ruler: words of one to four byte characters
+    docs = load(spark, sf, "documents")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "ruler"))
+    return lines.select("doc_id", "line_no", F.posexplode(_ruler_boundaries("ruler")).alias("idx", "b")).select(
+        "doc_id", F.col("line_no").cast("long").alias("line_no"), F.col("idx").cast("long").alias("idx"),
         F.col("b.start").cast("long").alias("start_pos"), F.col("b.end").cast("long").alias("end_pos"),
     )
 
@@ -195,7 +197,8 @@ def q_table_recreate(spark: SparkSession, sf: str) -> DataFrame:
 def q_ledger_append(spark: SparkSession, sf: str) -> DataFrame:
     table = _loaded_table(spark, sf)
     e = read_ledger_entries(spark, default_ledger_path(table))
-    return e.select(F.regexp_extract("csv_file", r"report=([^/]+)/", 1).alias("report"), "status").distinct()
+    e = e.where("status <> 'pending'")
+    return e.select(F.regexp_extract("csv_file", r"report=([^/]+)$", 1).alias("report"), "status")
 
 
 def q_ledger_read(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,26 +221,89 @@ def q_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return q.select("path", "status", "error")
 
 
-def q_compact(spark: SparkSession, sf: str) -> DataFrame:
-    table = scratch_path(spark, "table_st49")
+def _compacted(spark: SparkSession, sf: str) -> tuple[str, str]:
+    table, target = scratch_path(spark, "table_st49"), scratch_path(spark, "table_st49_compact")
     create_or_open_table(spark, table, "st49")
     records_to_table(fixtures.parsed_st49(spark, sf).records.repartition(24), table, "st49")
-    res = compact(spark, table)
+    res = compact(spark, table, target)
     if res.files_after >= res.files_before:
         raise AssertionError(f"compaction did not reduce files: {res}")
-    return spark.read.parquet(table)
+    return table, target
+
+
+def q_compact(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(_compacted(spark, sf)[1])
 
 
 def q_stale_files(spark: SparkSession, sf: str) -> DataFrame:
-    table = scratch_path(spark, "table_st49")
-    create_or_open_table(spark, table, "st49")
-    records_to_table(fixtures.parsed_st49(spark, sf).records.repartition(12), table, "st49")
-    compact(spark, table)
+    table, _ = _compacted(spark, sf)
     return stale_files(spark, table, retention_hours=0).select(
         F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"), "length"
     )
 
 
+def q_load_single_path(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV files given by path load whatever their name; found by folder they would not."""
+    csv = fixtures.csv_folder(spark, sf)
+    copy, table = scratch_path(spark, "plain"), scratch_path(spark, "table_st1")
+    rows = spark.read.option("recursiveFileLookup", "true").text(csv).where(~F.col("value").startswith("date|"))
+    header = "|".join(ST1.columns)
+    rows.select(F.col("value").alias(header)).write.option("header", "true").option("sep", "\x01").option("quote", "").csv(copy)
+    load_table(spark, table, "st1", csv_folder=copy)  # no prefix in the names: no candidate
+    paths = [r["path"] for r in list_files(spark, copy, glob="*.csv").select("path").collect()]
+    load_table(spark, table, "st1", csv_paths=paths)
+    load_table(spark, table, "st1", csv_paths=paths)  # known by now
+    return spark.read.parquet(table)
+
+
+def q_reload_same_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Parse, load, parse again, load again, in a folder with a space: rows once."""
+    recs = _staged_records(spark, sf)
+    csv, table = scratch_path(spark, "csv two"), scratch_path(spark, "table_st1")
+    for _ in range(2):
+        write_report_csv(recs, csv, "st1")
+        load_table(spark, table, "st1", csv_folder=csv)
+    return spark.read.parquet(table)
+
+
+def q_rows_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """What one load put into the table: rows and status by report."""
+    csv, table = fixtures.csv_folder(spark, sf, damaged=True), scratch_path(spark, "table_st1")
+    files = load_table(spark, table, "st1", csv_folder=csv).files
+    report = F.regexp_extract(report_unit("csv_file"), r"report=([^/]+)$", 1)
+    return files.groupBy(report.alias("report")).agg(
+        F.sum(F.when(F.col("status") == "ok", F.col("rows")).otherwise(0)).alias("rows"),
+        F.when(F.max(F.col("status") != "ok"), "skipped").otherwise("loaded").alias("status"),
+    )
+
+
+def q_csv_glob_view(spark: SparkSession, sf: str) -> DataFrame:
+    csv = fixtures.csv_folder(spark, sf)
+    csv_glob_view(spark, f"{csv}/*199[67]*_WELLS/*.csv", "st1", "well_rows")
+    return spark.sql("SELECT * FROM well_rows")
+
+
+def _reconcile(spark: SparkSession, records: DataFrame, report_type: str, column: str) -> DataFrame:
+    """The CSV folder against a table that lost, changed and doubled rows."""
+    staged, csv, table = scratch_path(spark, "records"), scratch_path(spark, "csv"), scratch_path(spark, f"table_{report_type}")
+    records.write.parquet(staged)
+    records = spark.read.parquet(staged)
+    write_report_csv(records, csv, report_type)
+    dom = F.dayofmonth(F.to_date("date"))
+    kept = records.where(dom != 6).withColumn(column, F.when(dom == 5, F.concat(F.lit("x"), column)).otherwise(F.col(column)))
+    create_or_open_table(spark, table, report_type)
+    records_to_table(kept.unionByName(kept.where(dom == 7)), table, report_type)
+    return sym_diff(read_report_csv(spark, csv, report_type), spark.read.parquet(table), all=True)
+
+
+def q_reconcile_st1(spark: SparkSession, sf: str) -> DataFrame:
+    return _reconcile(spark, fixtures.parsed_st1(spark, sf).records, "st1", "licensee")
+
+
+def q_reconcile_st49(spark: SparkSession, sf: str) -> DataFrame:
+    return _reconcile(spark, fixtures.parsed_st49(spark, sf).records, "st49", "activity_type")
+
+
 def q_except_rows(spark: SparkSession, sf: str) -> DataFrame:
     a, b = perturbed_orders(spark, sf)
     return except_rows(a, b)
@@ -270,24 +336,67 @@ def perturbed_orders(spark: SparkSession, sf: str):
 
 # ---------------------------------------------------------------- sources
 
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("path", F.regexp_extract("path", r"([^/]*)$", 1))
+
+
 def q_ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
     folder = fixtures.report_folder(spark, sf, "st1")
-    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True))  # decoys: other extension
-    res = ingest_folder(spark, folder, "st1")
-    return res.records.withColumn("path", F.regexp_extract("path", r"([^/]*)$", 1))
+    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True))  # decoys: another report type
+    return _named(ingest_folder(spark, folder, "st1").records)
+
+
+def q_folder_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Every file of a folder has a status: reports, reports of another type, and other names."""
+    folder = fixtures.report_folder(spark, sf, "st1")
+    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True))
+    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True), rename=lambda p: F.concat(p, F.lit(".dat")))
+    return _named(ingest_folder(spark, folder, "st1").status).select("path", "status", "recoverable", "records")
+
+
+def q_folder_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder filtered by prefix, among files of the same extension."""
+    folder = fixtures.report_folder(spark, sf, "st1")
+    fixtures.add_report_files(spark, sf, folder, "st1", F.lit(True), rename=lambda p: F.concat(F.lit("OLD"), p))
+    return _named(ingest_folder(spark, folder, "st1", prefix="WELLS").records)
+
+
+def q_ingest_file(spark: SparkSession, sf: str) -> DataFrame:
+    """All reports one after another in a single file: it is one report, with the
+    first date and the first section."""
+    lines = render_st1(spark, sf)
+    day = F.datediff(F.to_date(F.substring("path", 6, 8), "MMddyyyy"), F.lit("1970-01-01").cast("date"))
+    lines = lines.select(F.lit("ALL.TXT").alias("path"), (day.cast("long") * F.lit(10**12) + F.col("pos")).alias("pos"), "line")
+    folder = scratch_path(spark, "one_file")
+    fixtures.write_report_files(lines, folder, scratch_path(spark, "render_staging"))
+    return _named(ingest_file(spark, f"{folder}/ALL.TXT", "st1").records)
+
+
+def q_date_range_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Days fetched, parsed and kept by their content's date; records counted from the records."""
+    folder = fixtures.report_folder(spark, sf, "st1")
+    base = to_local_or_uri(folder).rstrip("/") + "/"
+    plan = download_plan(spark, "st1", None, None, base, url_pattern=local_name_pattern("st1"), bounds=_order_day_bounds(spark, sf))
+    _, res = ingest_date_range(spark, "st1", oracles.RANGE_START, oracles.RANGE_END, base, plan=plan)
+    counts = res.records.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return res.status.join(counts, "path", "left").select("path", "report_date", "status", F.coalesce("n", F.lit(0)).alias("records"))
 
 
 def q_utf8_gate(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents")
-    text, err = utf8_gate(F.encode("text", "ISO-8859-1"))
-    return docs.select("doc_id", err.isNull().alias("valid_utf8"))
+    _, bad = utf8_gate(F.encode("text", "ISO-8859-1"))
+    return docs.select("doc_id", (~bad).alias("valid_utf8"))
 
 
 def q_utf8_lossy(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with 0, 1 or 2 invalid bytes put around them: each is replaced once."""
     docs = load(spark, sf, "documents")
-    text, _ = utf8_gate(F.encode("text", "ISO-8859-1"), "replace")
+    n, raw = F.col("doc_id") % 3, F.encode("text", "UTF-8")
+    raw = F.when(n == 0, raw).when(n == 1, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(F.concat(F.unhex(F.lit("FE")), raw, F.unhex(F.lit("C3"))))
+    text, _ = utf8_gate(raw, "replace")
     fixed = docs.select("doc_id", text.alias("t"))
-    return fixed.select("doc_id", (F.length("t") - F.length(F.replace("t", F.lit("\ufffd"), F.lit("")))).alias("replaced"))
+    mark = F.lit("\ufffd")
+    return fixed.select("doc_id", (F.length("t") - F.length(F.replace("t", mark, F.lit("")))).cast("long").alias("replaced"), F.replace("t", mark, F.lit("")).alias("text"))
 
 
 def _order_day_bounds(spark: SparkSession, sf: str) -> DataFrame:
@@ -358,6 +467,16 @@ def q_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     incremental_stream(spark, folder, "st1", table, ckpt)
     return spark.read.parquet(table)
 
+
+def q_stream_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream's ledger says what became of every file, failed ones included."""
+    folder = fixtures.report_folder(spark, sf, "st1")
+    table = scratch_path(spark, "table_stream")
+    incremental_stream(spark, folder, "st1", table, scratch_path(spark, "stream_ckpt"))
+    e = read_ledger_entries(spark, default_ledger_path(table)).where("status <> 'pending'")
+    return e.select(F.regexp_extract("csv_file", r"([^/]*)$", 1).alias("file"), "status")
+
+
 QUERIES = {
     "report_lines": q_report_lines,
     "byte_slice": q_byte_slice,
@@ -396,6 +515,17 @@ QUERIES = {
     "archive_expand": q_archive_expand,
     "report_routing": q_report_routing,
     "incremental_stream": q_incremental_stream,
+    "stream_ledger": q_stream_ledger,
+    "load_single_path": q_load_single_path,
+    "reload_same_report": q_reload_same_report,
+    "rows_loaded": q_rows_loaded,
+    "csv_glob_view": q_csv_glob_view,
+    "reconcile_st1": q_reconcile_st1,
+    "reconcile_st49": q_reconcile_st49,
+    "folder_status": q_folder_status,
+    "folder_prefix": q_folder_prefix,
+    "ingest_file": q_ingest_file,
+    "date_range_ingest": q_date_range_ingest,
 }
 
 ORACLES = {
@@ -434,4 +564,16 @@ ORACLES = {
     "archive_expand": oracles.archive_expand(),
     "report_routing": oracles.report_routing(),
     "incremental_stream": oracles.st1_stored(),
+    "utf8_lossy": oracles.utf8_lossy(),
+    "stream_ledger": oracles.stream_ledger(),
+    "load_single_path": oracles.st1_stored(),
+    "reload_same_report": oracles.st1_stored(),
+    "rows_loaded": oracles.rows_loaded(),
+    "csv_glob_view": oracles.csv_glob_view(),
+    "reconcile_st1": oracles.reconcile(oracles.st1_stored(), "licensee"),
+    "reconcile_st49": oracles.reconcile(oracles.st49_stored(), "activity_type"),
+    "folder_status": oracles.folder_status(),
+    "folder_prefix": oracles.st1_records(),
+    "ingest_file": oracles.ingest_file(),
+    "date_range_ingest": oracles.date_range_filter(),
 }

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ..operators.parse import Parsed, parse_reports
 from ..session import scratch_path
-from ..sources.csv import report_key, write_lines_as_csv, write_report_csv
-from ..sources.files import write_named_files, write_report_files
+from ..sources.csv import CSV_WRITE_OPTIONS, report_key, write_report_csv
+from ..sources.files import write_named_files
 from ..spec import ST1
 from .render import load, render_st1, render_st49
 
@@ -35,6 +35,34 @@ def parsed_st49(spark: SparkSession, sf: str) -> Parsed:
     return parse_reports(render_st49(spark, sf), "st49")
 
 
+def write_report_files(lines: DataFrame, folder: str, staging: str) -> None:
+    """Write a line relation ``(path, pos, line)`` as one text file per report,
+    named by ``path``, into ``folder``: Spark writes each report's lines in order,
+    then each part file is copied to its report's name."""
+    spark = lines.sparkSession
+    (
+        lines.repartition("path")
+        .sortWithinPartitions("path", "pos")
+        .select("line", F.col("path").alias("report"))
+        .write.partitionBy("report")
+        .text(staging)
+    )
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(staging)
+    write_named_files(parts.select(F.col("report").alias("name"), "content"), folder).count()
+
+
+def write_lines_as_csv(lines: DataFrame, out_dir: str, partition_col: str) -> None:
+    """Write pre-joined text lines unquoted as ``.csv`` files (fixtures with bad rows)."""
+    (
+        lines.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("quote", "")
+        .option("header", "true")
+        .partitionBy(partition_col)
+        .csv(out_dir)
+    )
+
+
 def report_folder(spark: SparkSession, sf: str, which: str = "st1", where=None) -> str:
     """Rendered reports written as files into a fresh folder; returns the folder."""
     lines = render_st1(spark, sf) if which == "st1" else render_st49(spark, sf)
@@ -45,9 +73,12 @@ def report_folder(spark: SparkSession, sf: str, which: str = "st1", where=None)
     return folder
 
 
-def add_report_files(spark: SparkSession, sf: str, folder: str, which: str, where) -> None:
+def add_report_files(spark: SparkSession, sf: str, folder: str, which: str, where, rename=None) -> None:
     lines = render_st1(spark, sf) if which == "st1" else render_st49(spark, sf)
-    write_report_files(lines.where(where), folder, scratch_path(spark, "render_staging"))
+    lines = lines.where(where)
+    if rename:
+        lines = lines.withColumn("path", rename(F.col("path")))
+    write_report_files(lines, folder, scratch_path(spark, "render_staging"))
 
 
 def csv_folder(spark: SparkSession, sf: str, records: DataFrame = None, damaged: bool = False) -> str:

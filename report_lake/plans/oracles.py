@@ -8,6 +8,7 @@ all report fields VARCHAR.
 
 from __future__ import annotations
 
+from ..functions.text import UNICODE_WHITESPACE
 from ..spec import ST1, ST49
 from .render import ST49_WIDTHS
 
@@ -179,20 +180,34 @@ FROM rl
 """
 
 
+def _class(chars: str) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in chars)
+
+
 def ruler_boundaries() -> str:
-    return """
-WITH t AS (
-  SELECT p_partkey, unnest(string_split(p_name, ' ')) AS tok,
-         generate_subscripts(string_split(p_name, ' '), 1) AS i, len(string_split(p_name, ' ')) AS n
-  FROM part),
+    ws = _class(UNICODE_WHITESPACE)
+    return f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+  FROM documents),
+t AS (
+  SELECT doc_id, line_no, strlen(line) AS bytes,
+         unnest(regexp_extract_all(line, '[{ws}]+|[^{ws}]+')) AS tok,
+         generate_subscripts(regexp_extract_all(line, '[{ws}]+|[^{ws}]+'), 1) AS i
+  FROM lines),
 c AS (
-  SELECT p_partkey, i, n, tok,
-         coalesce(sum(length(tok) + 1) OVER (PARTITION BY p_partkey ORDER BY i
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
-  FROM t)
-SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY i) - 1 AS BIGINT) AS idx,
-       CAST(s AS BIGINT) AS start_pos, CAST(s + length(tok) AS BIGINT) AS end_pos
-FROM c WHERE length(tok) > 0 OR i = n
+  SELECT *, coalesce(sum(strlen(tok)) OVER (PARTITION BY doc_id, line_no ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM t),
+runs AS (
+  SELECT doc_id, line_no, s AS start_pos, s + strlen(tok) AS end_pos FROM c WHERE NOT regexp_matches(tok, '^[{ws}]')
+  UNION ALL  -- a line that ends in white space, or is empty, ends in an empty run
+  SELECT doc_id, line_no, strlen(line), strlen(line) FROM lines WHERE line = '' OR regexp_matches(line, '[{ws}]$'))
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no,
+       CAST(row_number() OVER (PARTITION BY doc_id, line_no ORDER BY start_pos) - 1 AS BIGINT) AS idx,
+       CAST(start_pos AS BIGINT) AS start_pos, CAST(end_pos AS BIGINT) AS end_pos
+FROM runs
 """
 
 
@@ -349,6 +364,51 @@ def utf8_gate() -> str:
     return r"SELECT doc_id, NOT regexp_matches(text, '[\x{80}-\x{FF}]') AS valid_utf8 FROM documents"
 
 
+def utf8_lossy() -> str:
+    return "SELECT doc_id, CAST(doc_id % 3 AS BIGINT) AS replaced, text FROM documents"
+
+
+def stream_ledger() -> str:
+    return f"SELECT {ST1_PATH} AS file, CASE WHEN {OK_DAY} THEN 'loaded' ELSE 'skipped' END AS status FROM ({DAYS}) x"
+
+
+def rows_loaded() -> str:
+    ok = f"SELECT strftime(d, '%Y%m%d') || '_WELLS' AS report, CAST(n AS BIGINT) AS rows, 'loaded' AS status FROM ({DAYS}) x WHERE {OK_DAY}"
+    bad = f"SELECT strftime(d, '%Y%m%d') || '_WELLS_short' AS report, 0 AS rows, 'skipped' AS status FROM ({DAYS}) x WHERE dayofmonth(d) = 5"
+    return f"{ok} UNION ALL {bad}"
+
+
+def csv_glob_view() -> str:
+    return f"SELECT * FROM ({st1_stored()}) t WHERE date >= '1996' AND date < '1998'"
+
+
+def reconcile(stored: str, column: str) -> str:
+    return f"""
+WITH c AS ({stored}),
+k AS (SELECT * REPLACE (CASE WHEN dayofmonth(CAST(date AS DATE)) = 5 THEN 'x' || {column} ELSE {column} END AS {column})
+      FROM c WHERE dayofmonth(CAST(date AS DATE)) <> 6),
+t AS (SELECT * FROM k UNION ALL SELECT * FROM k WHERE dayofmonth(CAST(date AS DATE)) = 7),
+u AS (SELECT *, 1 AS a, 0 AS b FROM c UNION ALL SELECT *, 0, 1 FROM t),
+g AS (SELECT * EXCLUDE (a, b), sum(a) AS a, sum(b) AS b FROM u GROUP BY ALL)
+SELECT * EXCLUDE (a, b), CASE WHEN a > b THEN 'left_only' ELSE 'right_only' END AS side, CAST(abs(a - b) AS BIGINT) AS copies
+FROM g WHERE a <> b
+"""
+
+
+def folder_status() -> str:
+    ok = f"CASE WHEN {OK_DAY} THEN n ELSE 0 END"
+    return f"""
+SELECT {ST1_PATH} AS path, {STATUS_BY_DAY} AS status, false AS recoverable, CAST({ok} AS BIGINT) AS records FROM ({DAYS}) x
+UNION ALL SELECT {ST49_PATH}, 'date_parse', false, 0 FROM ({DAYS}) x
+UNION ALL SELECT {ST49_PATH} || '.dat', 'file_format', true, 0 FROM ({DAYS}) x
+"""
+
+
+def ingest_file() -> str:
+    first = "(SELECT strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d') FROM orders)"
+    return f"SELECT * REPLACE ('ALL.TXT' AS path) FROM ({st1_records()}) r WHERE date = {first}"
+
+
 URL_BASE = "https://reports.example.invalid/well-lic/"
 
 CALENDAR = """

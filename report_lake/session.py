@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import urllib.parse
 import uuid
 
 from pyspark.sql import SparkSession
@@ -55,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = configured or tempfile.mkdtemp(prefix="report-lake-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir().rstrip("/")
@@ -66,30 +69,64 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def to_local_or_uri(path: str) -> str:
-    """Normalise ``file:/x`` (Hadoop form) to ``file:///x`` for pyarrow."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
+    """Normalise ``file:/x y`` (Hadoop form) to the URI ``file:///x%20y``."""
+    if path.startswith("file:"):
+        return "file://" + urllib.parse.quote(path[len("file:"):].removeprefix("//"), safe="/%")
     return path
 
 
-def stage_bucketed(df, cols, name: str, buckets: int | None = None):
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+BUCKET_BYTES = 128 << 20
+
+
+def bucket_count(spark: SparkSession, input_bytes: int | None) -> int:
+    """Buckets of about 128 MB of input each, and at least one per shuffle
+    partition: a bucketed scan cannot be split later, so the count follows the input."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(input_bytes or 0) // BUCKET_BYTES))
+
+
+def stage(df, name: str):
+    """Write ``df`` once to the shared folder and read it back: several readers
+    then share one computation, and a lost executor re-reads these files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df, cols, name: str, input_bytes: int | None = None):
     """Write ``df`` once as a table bucketed by ``cols`` in the shared folder and
     read it back.
 
+    ``df`` must already be partitioned by ``cols`` into ``bucket_count`` parts.
     Later aggregations, windows and joins keyed on ``cols`` then read it with a
-    known hash layout and shuffle nothing but the other (small) side. The write
-    also cuts the lineage: a lost executor recomputes from this table, not from
-    the source.
+    known hash layout and shuffle nothing but the other (small) side. The table
+    is unmanaged; :func:`drop_staged` removes its catalog entry and its files.
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, name)
     table = f"rl_{name}_{uuid.uuid4().hex[:12]}"
-    (
-        df.repartition(n, *cols)
-        .write.format("parquet")
-        .bucketBy(n, *cols)
-        .option("path", path)
-        .saveAsTable(table)
-    )
+    path = scratch_path(spark, name)
+    df.write.format("parquet").bucketBy(bucket_count(spark, input_bytes), *cols).option("path", path).saveAsTable(table)
+    _STAGED[table] = path
     return spark.table(table)
+
+
+#: Tables staged by this process: catalog name -> folder.
+_STAGED: dict[str, str] = {}
+
+
+def drop_staged(spark: SparkSession, before: set | None = None) -> None:
+    """Drop the staged tables (those not in ``before``) once their results are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in [t for t in _STAGED if t not in (before or ())]:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop(table))
+        p.getFileSystem(conf).delete(p, True)
+
+
+def staged_tables() -> set:
+    return set(_STAGED)

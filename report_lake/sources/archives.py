@@ -1,102 +1,80 @@
 """Zip archives of reports.
 
-Each archive is one ``binaryFile`` row; ``mapInPandas`` opens it with the
-standard library and emits one row per member, in the same shape as a report
-file row plus archive bookkeeping. Python runs per archive here (the codec), and
-everything after expansion is Spark again.
-
-Member rules: directories and unsafe paths are skipped; a nested ``.zip`` is
-expanded with the outer archive's year; ``.TXT``/``.txt`` members are
-extracted as ``{stem}{year}.{ext}``; anything else (including a member without
-extension) is skipped. The year is the last four characters of the archive stem.
+Each archive is one row; ``mapInPandas`` opens it with the standard library and
+gives one row at a time, name and bytes of a member, nothing more. What a member
+is follows from its name, by Column expressions (:func:`member_names`): report
+members are extracted as ``{stem}{year}.{ext}``, a nested ``.zip`` is expanded in
+a further pass with the outer archive's year, everything else is a status. The
+year is the last four characters of the outermost archive's stem. An archive or
+member that cannot be read is a row with an error; the others go on.
 """
 
 from __future__ import annotations
 
 import io
-import posixpath
 import zipfile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import file_extension, file_name, file_stem
-
-ARCHIVE_SCHEMA = "archive string, member string, year int, out_name string, status string, content binary"
+from ..functions.text import file_extension, file_stem
+from ..session import stage
 
 # Extensions of report members.
 REPORT_EXTENSIONS = ("TXT", "txt")
+MSG_NO_YEAR = "error: could not extract year from zip file name"
+_READ = tuple(f".{e}" for e in (*REPORT_EXTENSIONS, "zip"))
 
 
-def _safe(name: str) -> bool:
-    if name.startswith("/") or name.startswith("\\") or ":" in name.split("/")[0]:
-        return False
-    parts = [p for p in name.replace("\\", "/").split("/") if p]
-    return ".." not in parts
-
-
-def _year_of(archive_name: str):
-    stem = archive_name.rsplit("/", 1)[-1]
-    stem = stem.rsplit(".", 1)[0] if "." in stem else stem
-    tail = stem[-4:]
-    return int(tail) if tail.isdigit() else None
-
-
-def _expand(archive: str, data: bytes, year, depth: int = 0):
-    try:
-        zf = zipfile.ZipFile(io.BytesIO(data))
-    except zipfile.BadZipFile as e:
-        yield (archive, None, year, None, f"error: {e}", None)
-        return
-    with zf:
-        for info in zf.infolist():
-            name = info.filename
-            if info.is_dir():
-                yield (archive, name, year, None, "directory", None)
-                continue
-            if not _safe(name):
-                yield (archive, name, year, None, "unsafe", None)
-                continue
-            base = posixpath.basename(name)
-            stem, dot, ext = base.rpartition(".")
-            if not dot or not stem:
-                yield (archive, name, year, None, "skipped", None)
-                continue
-            if ext == "zip":
-                inner = zf.read(info)
-                yield from _expand(f"{archive}!{name}", inner, year, depth + 1)
-                continue
-            if ext in REPORT_EXTENSIONS:
-                yield (archive, name, year, f"{stem}{year}.{ext}", "extracted", zf.read(info))
-            else:
-                yield (archive, name, year, None, "skipped", None)
+def _members(batches):
+    for pdf in batches:
+        for root, archive, content in zip(pdf["root"], pdf["archive"], pdf["content"]):
+            try:
+                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
+                    for info in z.infolist():
+                        data, error = None, None
+                        if info.filename.endswith(_READ):
+                            try:
+                                data = z.read(info)
+                            except Exception as e:  # a damaged member is a row
+                                error = f"error: {e}"
+                        yield _row(root, archive, info.filename, error, data)
+            except Exception as e:  # so is a damaged archive
+                yield _row(root, archive, None, f"error: {e}", None)
 
 
-def _expand_batches(batches):
-    for pdf in batches:
-        out = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            year = _year_of(path)
-            if year is None:
-                out.append((path, None, None, None, "error: could not extract year from zip file name", None))
-                continue
-            out.extend(_expand(path, bytes(content), year))
-        yield pd.DataFrame(out, columns=["archive", "member", "year", "out_name", "status", "content"])
+def _row(*values) -> pd.DataFrame:
+    return pd.DataFrame([values], columns=["root", "archive", "member", "error", "content"])
 
 
 def expand_archives(archives: DataFrame) -> DataFrame:
-    """``binaryFile`` rows of zip archives -> one row per member (see module rules)."""
-    return archives.select("path", "content").mapInPandas(_expand_batches, ARCHIVE_SCHEMA)
+    """Rows ``(path, content)`` of zip archives -> ``archive, member, year,
+    out_name, status, content``, one row per member (see module rules)."""
+    out, level = None, archives.select(F.col("path").alias("root"), F.col("path").alias("archive"), "content")
+    while True:
+        got = level.mapInPandas(_members, "root string, archive string, member string, error string, content binary")
+        got = stage(got.select("*", *member_names(F.col("root"), F.col("member"))), "members")
+        nested = got.where("status = 'nested' and error is null")
+        rows = got.where("status <> 'nested' or error is not null or status is null").select(
+            "archive", "member", "year", "out_name",
+            F.coalesce("error", F.when(F.col("status") == "error", F.lit(MSG_NO_YEAR)), "status").alias("status"),
+            F.when(F.col("status") == "extracted", F.col("content")).alias("content"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+        if nested.isEmpty():
+            return out
+        level = nested.select("root", F.concat("archive", F.lit("!"), "member").alias("archive"), "content")
 
 
 def member_names(archive: Column, member: Column) -> list:
-    """The name rules of archive expansion as Column expressions (no bytes needed):
-    ``year, out_name, status`` for an ``(archive, member)`` pair."""
-    stem = file_stem(archive)
-    year = F.right(stem, F.lit(4)).try_cast("int")
+    """The name rules as Column expressions: ``year, out_name, status`` for an
+    ``(archive, member)`` pair."""
+    year = F.right(file_stem(archive), F.lit(4))
+    year = F.when(year.rlike("^[0-9]{4}$"), year.cast("int"))
     mstem, mext = file_stem(member), file_extension(member)
-    unsafe = member.startswith("/") | member.contains("../") | member.startswith("..")
+    parts = F.split(F.replace(member, F.lit("\\"), F.lit("/")), "/")
+    unsafe = member.startswith("/") | member.startswith("\\") | F.array_contains(parts, "..") | parts[0].contains(":")
     status = (
         F.when(year.isNull(), F.lit("error"))
         .when(member.endswith("/"), F.lit("directory"))
@@ -108,6 +86,3 @@ def member_names(archive: Column, member: Column) -> list:
     )
     out_name = F.when(status == "extracted", F.concat(mstem, year.cast("string"), F.lit("."), mext))
     return [year.alias("year"), out_name.alias("out_name"), status.alias("status")]
-
-
-__all__ = ["expand_archives", "member_names", "file_name"]

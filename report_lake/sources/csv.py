@@ -3,18 +3,22 @@
 Layout of a CSV folder: one directory per report, ``report=<yyyymmdd>_<PREFIX>``,
 holding ``part-*.csv`` files with a header line. Re-parsing a day replaces that
 day's directory only (dynamic partition overwrite); a day with no records writes
-nothing.
+nothing. The directory is the report's identity: part names change with every
+write, so the load side keys on the directory (:func:`report_unit`).
 """
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import as_col, plain_path
+from ..session import stage
 from ..spec import ReportSpec, get_spec
+from .files import list_files
 
 CORRUPT = "_corrupt_record"
 
@@ -49,19 +53,25 @@ def report_key(spec: ReportSpec, date_col="date"):
     return F.concat(F.regexp_replace(F.col(date_col), "-", ""), F.lit("_" + spec.prefix))
 
 
+def report_unit(path):
+    """What the ledger knows a CSV file by: its ``report=`` directory, or itself."""
+    return F.regexp_replace(as_col(path), r"(/report=[^/]+)/[^/]*$", "$1")
+
+
 def write_report_csv(records: DataFrame, out_dir: str, report_type, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write parsed records as pipe CSV, one directory per report day.
 
     Rows of a day are spread by ``record_no // records_per_file`` so that a day
     with very many records is written in parallel, and sorted by ``record_no``
-    inside each file so that files keep report order.
+    inside each file so that files keep report order. Records without a number
+    have no order; Spark rebalances them by day and size.
     """
     spec = get_spec(report_type)
-    has_no = "record_no" in records.columns
     out = records.withColumn("report", report_key(spec))
-    chunk = F.floor(F.col("record_no") / records_per_file) if has_no else F.lit(0)
-    out = out.repartition("report", chunk)
-    out = out.sortWithinPartitions("report", "record_no") if has_no else out
+    if "record_no" in records.columns:
+        out = out.repartition("report", F.floor(F.col("record_no") / records_per_file)).sortWithinPartitions("report", "record_no")
+    else:
+        out = out.hint("rebalance", "report")
     (
         out.select(*spec.columns, "report")
         .write.mode("overwrite")
@@ -72,43 +82,36 @@ def write_report_csv(records: DataFrame, out_dir: str, report_type, records_per_
     )
 
 
-def _read_csv(spark: SparkSession, paths, spec: ReportSpec, recursive: bool) -> DataFrame:
-    schema = T.StructType(list(spec.schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    reader = spark.read.schema(schema).options(**CSV_READ_OPTIONS)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    if isinstance(paths, str):
-        paths = [paths]
-    return reader.csv(list(paths)).withColumn("csv_file", F.col("_metadata.file_path"))
-
-
-def scan_report_csv(spark: SparkSession, paths, report_type, recursive: bool = True, split: bool = True):
+def scan_report_csv(spark: SparkSession, paths, report_type, recursive: bool = True, listing: Optional[DataFrame] = None):
     """Read report CSVs with the table's schema, binding columns by position.
 
-    A file with any malformed row (wrong number of fields) is dropped whole and
-    reported; other files are kept. Returns ``(rows, files)`` where ``rows``
-    carries ``csv_file`` and ``files`` is ``csv_file, rows, bad_rows, checksum,
-    status``.
+    The files are parsed once, into a staged table that keeps each row's file and
+    whether it was malformed (a wrong number of fields); the per-file check and
+    the rows both read that table. A file with any malformed row is dropped
+    whole and reported; other files are kept. Returns ``(rows, files)`` where
+    ``rows`` carries ``csv_file`` and ``files`` is ``csv_file, rows, bad_rows,
+    status``, with one row for every listed file (a file with a header alone has
+    0 rows and is ``ok``).
     """
     spec = get_spec(report_type)
-    raw = _read_csv(spark, paths, spec, recursive)
-    # CSV column pruning validates only the requested columns, so the check also
-    # reads all of them (an order-insensitive checksum of the file's rows): a row
-    # with a wrong number of fields is then always caught.
-    # The length test is never true; it only makes the check read every column.
-    reads_all = F.length(F.concat_ws("|", *spec.columns)) < 0
-    per_file = raw.groupBy("csv_file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(CORRUPT).isNotNull() | reads_all).alias("bad_rows"),
-        F.bit_xor(F.xxhash64(*spec.columns)).alias("checksum"),
-    )
-    files = per_file.withColumn(
-        "status", F.when(F.col("bad_rows") > 0, F.lit("malformed")).otherwise(F.lit("ok"))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    schema = T.StructType(list(spec.schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    reader = spark.read.schema(schema).options(**CSV_READ_OPTIONS)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    raw = reader.csv(paths).select(*spec.columns, F.col(CORRUPT).isNotNull().alias("malformed"), plain_path(F.col("_metadata.file_path")).alias("csv_file"))
+    raw = stage(raw, "csv_rows")
+    if listing is None:
+        listing = list_files(spark, paths, glob="*.csv" if recursive else None, recursive=recursive)
+    per_file = raw.groupBy("csv_file").agg(F.count(F.lit(1)).alias("rows"), F.count_if("malformed").alias("bad_rows"))
+    files = listing.select(F.col("path").alias("csv_file")).distinct().join(per_file, "csv_file", "left").select(
+        "csv_file",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"),
+        F.when(F.col("bad_rows") > 0, F.lit("malformed")).otherwise(F.lit("ok")).alias("status"),
     )
-    if not split:
-        return raw, files
-    bad = per_file.where(F.col("bad_rows") > 0).select("csv_file")
-    rows = raw.join(bad, "csv_file", "left_anti").drop(CORRUPT)
+    bad = raw.where("malformed").select("csv_file").distinct()
+    rows = raw.join(bad, "csv_file", "left_anti").drop("malformed")
     return rows, files
 
 
@@ -123,19 +126,3 @@ def csv_glob_view(spark: SparkSession, pattern: str, report_type, view: str) ->
     df = read_report_csv(spark, pattern, report_type, recursive=False)
     df.createOrReplaceTempView(view)
     return df
-
-
-def write_lines_as_csv(lines: DataFrame, out_dir: str, partition_col: str) -> None:
-    """Write pre-joined text lines unquoted as ``.csv`` files (fixtures with bad rows)."""
-    (
-        lines.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("quote", "")
-        .option("header", "true")
-        .partitionBy(partition_col)
-        .csv(out_dir)
-    )
-
-
-def columns_to_text(cols: Iterable[str]):
-    return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in cols])

@@ -1,9 +1,10 @@
-"""Report file sources: listing, whole-file reads, UTF-8 gate, line relation.
+"""Report file sources: listing, splittable line reads, UTF-8 gate, line relation.
 
-A report file is read as one ``binaryFile`` row (``path, modificationTime,
-length, content``), as the reference reads whole files. The row is split into a
-line relation right away (``posexplode`` in the scanning task, no shuffle), and
-everything after that works on lines, so no later step holds a whole file.
+Report files are read by Spark's text source with ``\\n`` as the only line
+break, so a large file is read in splits by many tasks and no task ever holds a
+whole file. A split's start (``file_block_start``) orders the blocks of a file,
+and the row number inside the scanning task orders the lines of a block; the
+line relation is written once with both before anything else reads it.
 """
 
 from __future__ import annotations
@@ -13,56 +14,67 @@ from typing import Iterable, Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import as_col, file_extension, file_name
+from ..functions.text import as_col, plain_path
 
-MSG_BAD_UTF8 = "stream did not contain valid UTF-8"
 
+def any_of(globs: Iterable[str]) -> Optional[str]:
+    """One path glob for several name globs; None for "every name"."""
+    globs = list(globs)
+    if "*" in globs:
+        return None
+    return globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"
 
-def list_files(spark: SparkSession, folder: str, glob: Optional[str] = None, recursive: bool = False,
-               with_content: bool = True) -> DataFrame:
-    """``binaryFile`` listing of ``folder`` (not recursive by default).
 
-    ``with_content=False`` prunes the ``content`` column, so only the listing is
-    read (Spark skips the file bodies when the column is not selected).
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(folder)
-    cols = ["path", "modificationTime", "length"] + (["content"] if with_content else [])
-    return df.select(*cols)
-
-
-def read_reports(spark: SparkSession, paths, globs: Iterable[str] = ("*",), recursive: bool = False) -> DataFrame:
-    """Report files under one or more folders/files, filtered by name globs (case-sensitive)."""
-    if isinstance(paths, str):
-        paths = [paths]
-    globs = list(globs)
-    frames = []
-    for g in globs:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-        if g and g != "*":
-            reader = reader.option("pathGlobFilter", g)
-        frames.append(reader.load(list(paths)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.dropDuplicates(["path"]) if len(frames) > 1 else out
+def _reader(spark: SparkSession, fmt: str, glob: Optional[str], recursive: bool):
+    reader = spark.read.format(fmt).option("recursiveFileLookup", str(recursive).lower())
+    return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def utf8_gate(content, mode: str = "strict"):
-    """(text, io_error) for a binary ``content`` column.
+def list_files(spark: SparkSession, paths, glob: Optional[str] = None, recursive: bool = False) -> DataFrame:
+    """Listing of the files below one or more folders (or of the files given):
+    ``path, modificationTime, length``. The bodies are not read."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return _reader(spark, "binaryFile", glob, recursive).load(paths).select("path", "modificationTime", "length")
+
+
+def read_whole(spark: SparkSession, paths, globs: Iterable[str] = ("*",), recursive: bool = False) -> DataFrame:
+    """Files as one row each, ``path, content``: for archives, whose format needs it."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return _reader(spark, "binaryFile", any_of(globs), recursive).load(paths).select("path", "content")
 
-    strict: invalid UTF-8 -> text NULL, io_error set (the file gets a status row);
-    replace: invalid sequences become U+FFFD, never an error.
+
+def read_lines(spark: SparkSession, paths, globs: Iterable[str] = ("*",), recursive: bool = False, on_bad_utf8: str = "strict") -> DataFrame:
+    """The line relation ``(path, blk, pos, line, bad)`` of report files.
+
+    strict: a line that is not valid UTF-8 is marked ``bad``, which fails its
+    file; replace: invalid sequences become U+FFFD. A trailing ``\\r`` stays on
+    the line and goes with normalisation (a lone ``\\r`` is no line break).
     """
-    raw = as_col(content).cast("string")
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = _reader(spark, "text", any_of(globs), recursive).option("lineSep", "\n").load(paths)
+    line, bad = checked_text(F.col("value"), on_bad_utf8)
+    return raw.select(
+        plain_path(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_block_start").alias("blk"),
+        (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("pos"),
+        line.alias("line"),
+        bad.alias("bad"),
+    )
+
+
+def checked_text(text, mode: str = "strict"):
+    """(text, bad) for a string column that may hold invalid UTF-8."""
     if mode == "replace":
-        return F.make_valid_utf8(raw), F.lit(None).cast("string")
+        return F.make_valid_utf8(text), F.lit(False)
     if mode != "strict":
         raise ValueError("mode must be 'strict' or 'replace'")
-    ok = F.is_valid_utf8(raw)
-    return F.when(ok, raw), F.when(~ok, F.lit(MSG_BAD_UTF8))
+    return text, ~F.is_valid_utf8(text)
+
+
+def utf8_gate(content, mode: str = "strict"):
+    """(text, bad) for a binary ``content`` column; strict: bad text is NULL."""
+    text, bad = checked_text(as_col(content).cast("string"), mode)
+    return F.when(~bad, text), bad
 
 
 def text_lines(df: DataFrame, path_col, text_col) -> DataFrame:
@@ -77,16 +89,13 @@ def text_lines(df: DataFrame, path_col, text_col) -> DataFrame:
     ).withColumn("pos", F.col("pos").cast("long"))
 
 
-def file_lines(files: DataFrame, on_bad_utf8: str = "strict"):
-    """Whole-file rows -> (line relation, file list with ``io_error``)."""
-    text, err = utf8_gate("content", on_bad_utf8)
-    staged = files.select("path", text.alias("text"), err.alias("io_error"))
-    lines = text_lines(staged.where(F.col("text").isNotNull()), "path", "text")
-    return lines, staged.select("path", "io_error")
-
-
-def with_name_parts(df: DataFrame, path_col: str = "path") -> DataFrame:
-    return df.withColumn("file_name", file_name(path_col)).withColumn("extension", file_extension(path_col))
+def content_lines(files: DataFrame, on_bad_utf8: str = "strict") -> DataFrame:
+    """The line relation of reports that come as rows ``(path, content)``
+    (archive members, fetched bodies)."""
+    text, bad = checked_text(F.col("content").cast("string"), on_bad_utf8)
+    rows = files.where(F.col("content").isNotNull()).select("path", text.alias("text"), bad.alias("bad"))
+    rows = rows.select("path", "bad", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return rows.select("path", F.col("pos").cast("long").alias("pos"), "line", "bad")
 
 
 def _file_writer(folder_uri: str):
@@ -116,23 +125,3 @@ def write_named_files(files: DataFrame, folder: str) -> DataFrame:
     from ..session import to_local_or_uri
 
     return files.select("name", "content").mapInPandas(_file_writer(to_local_or_uri(folder)), "name string, bytes long")
-
-
-def write_report_files(lines: DataFrame, folder: str, staging: str) -> None:
-    """Write a line relation ``(path, pos, line)`` as one text file per report,
-    named by ``path``, into ``folder``.
-
-    Spark writes each report's lines in order with the text writer (a report is
-    produced by one task and streamed, never collected); each written part file
-    is then copied to its report name.
-    """
-    spark = lines.sparkSession
-    (
-        lines.repartition("path")
-        .sortWithinPartitions("path", "pos")
-        .select("line", F.col("path").alias("report"))
-        .write.partitionBy("report")
-        .text(staging)
-    )
-    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(staging)
-    write_named_files(parts.select(F.col("report").alias("name"), "content"), folder).count()

@@ -1,23 +1,29 @@
 """The load ledger: which CSV files are already in the table.
 
-A folder of JSON-lines files, one object per loaded file:
-``{"csv_file": <path as Spark lists it>, "timestamp": <RFC 3339 UTC>, "status": ...}``.
-``status`` is ``loaded`` or ``skipped`` (unreadable files); entries without a
-status count as loaded. The ledger lives beside the table, never inside it, so
-table upkeep never removes it.
+A folder of JSON-lines files, one object per report:
+``{"csv_file": ..., "timestamp": <RFC 3339 UTC>, "status": ..., "batch": ...}``.
+``csv_file`` is the report's directory, or the file where there is none, in the
+form listings give. ``status`` is ``pending`` (written before the append),
+``loaded`` or ``skipped`` (malformed); entries without a status count as loaded.
+The ledger lives beside the table, never inside it, so table upkeep never
+removes it.
 """
 
 from __future__ import annotations
 
+from typing import Optional
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from ..session import path_exists
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("csv_file", T.StringType(), True),
     T.StructField("timestamp", T.StringType(), True),
     T.StructField("status", T.StringType(), True),
+    T.StructField("batch", T.StringType(), True),
 ])
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -26,27 +32,32 @@ RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 def read_ledger_entries(spark: SparkSession, ledger_path: str) -> DataFrame:
     """All well-formed ledger entries; a missing ledger is empty, malformed lines
     and lines lacking a field are ignored."""
-    try:
-        df = spark.read.schema(LEDGER_SCHEMA).option("mode", "DROPMALFORMED").json(ledger_path)
-        df.schema  # resolve now: a missing folder raises here
-    except AnalysisException:
+    if not path_exists(spark, ledger_path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    df = spark.read.schema(LEDGER_SCHEMA).option("mode", "DROPMALFORMED").json(ledger_path)
     return df.where(F.col("csv_file").isNotNull() & F.col("timestamp").isNotNull())
 
 
 def read_ledger(spark: SparkSession, ledger_path: str, include_skipped: bool = True) -> DataFrame:
     """Distinct ``csv_file`` values of the ledger (the 'already processed' set)."""
+    known = ("loaded", "skipped") if include_skipped else ("loaded",)
+    e = read_ledger_entries(spark, ledger_path)
+    return e.where(F.coalesce(F.col("status"), F.lit("loaded")).isin(*known)).select("csv_file").distinct()
+
+
+def pending(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """``csv_file`` of batches that were announced and never finished."""
     e = read_ledger_entries(spark, ledger_path)
-    if not include_skipped:
-        e = e.where(F.coalesce(F.col("status"), F.lit("loaded")) == "loaded")
-    return e.select("csv_file").distinct()
+    done = read_ledger(spark, ledger_path)
+    return e.where(F.col("status") == "pending").select("csv_file").distinct().join(done, "csv_file", "left_anti")
 
 
-def append_ledger(files: DataFrame, ledger_path: str, status: str = "loaded", overwrite: bool = False) -> None:
+def append_ledger(files: DataFrame, ledger_path: str, status: str = "loaded", overwrite: bool = False, batch: Optional[str] = None) -> None:
     """Append one entry per row of ``files`` (column ``csv_file``) in one write."""
     entries = files.select(
         "csv_file",
         F.date_format(F.current_timestamp(), RFC3339).alias("timestamp"),
         (F.col("status") if "status" in files.columns else F.lit(status)).alias("status"),
+        F.lit(batch).cast("string").alias("batch"),
     )
     entries.write.mode("overwrite" if overwrite else "append").json(ledger_path)

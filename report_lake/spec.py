@@ -36,7 +36,7 @@ class Slice:
 class ReportSpec:
     name: str
     prefix: str  # CSV/table prefix, also the word a load candidate's name contains
-    extensions: tuple  # accepted report file extensions (case-sensitive, as stored)
+    extensions: tuple  # accepted report file extensions; the first is the one the remote side uses
     columns: tuple  # stored column order; the first column is always ``date``
     layout: str  # 'chunked' | 'ruler'
     # date rule
@@ -94,7 +94,7 @@ ST49_COLUMNS = (
 ST1 = ReportSpec(
     name="st1",
     prefix="WELLS",
-    extensions=("TXT",),
+    extensions=("TXT", "txt"),
     columns=ST1_COLUMNS,
     layout="chunked",
     date_rule="marker",
@@ -110,7 +110,6 @@ ST1 = ReportSpec(
         "TOTAL",
         "PAGE",
         "WELL NAME AND U.I.D.",
-        "-------------------- END OF WELL LICENCES DAILY LIST",
     ),
     row_excludes=(
         "-" * 92,
@@ -118,7 +117,6 @@ ST1 = ReportSpec(
         "PAGE",
         "WELL NAME AND U.I.D.",
         "END OF WELL LICENCES DAILY LIST",
-        "-------------------- END OF WELL LICENCES DAILY LIST",
     ),
     min_row_bytes=20,
     lines_per_record=5,
@@ -149,7 +147,7 @@ ST1 = ReportSpec(
 ST49 = ReportSpec(
     name="st49",
     prefix="SPUD",
-    extensions=("txt",),
+    extensions=("txt", "TXT"),
     columns=ST49_COLUMNS,
     layout="ruler",
     date_rule="tokens",
@@ -165,7 +163,6 @@ ST49 = ReportSpec(
         "TOTAL  -",
         "WELL ID",
         "PAGE",
-        "Report Number: ST-4",
     ),
     skip_words=("AER DAILY SPUD REPORT",),
     min_row_bytes=10,
@@ -191,6 +188,3 @@ def get_spec(report_type) -> ReportSpec:
         raise ValueError(f"Invalid report type: {report_type}")
     return SPECS[key]
 
-
-def register_spec(spec: ReportSpec) -> None:
-    SPECS[spec.name.lower()] = spec

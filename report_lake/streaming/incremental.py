@@ -1,12 +1,14 @@
-"""Incremental, exactly-once-by-path loading as a Structured Streaming query.
-
-``readStream.format('binaryFile')`` discovers new report files; each
-micro-batch is parsed by the same batch operators inside ``foreachBatch``
-(line-order windows are not allowed on a stream directly, but the batch frame
-handed to ``foreachBatch`` is an ordinary DataFrame). The source checkpoint
-remembers which files were offered; the ledger makes a replayed micro-batch
-(after a failure between the table write and the checkpoint commit) a no-op,
-because files already in the ledger are dropped before the append.
+"""Incremental loading as a Structured Streaming query.
+
+``readStream.format('binaryFile')`` discovers new report files (their bodies are
+not read by the stream); each micro-batch's paths are compared with the ledger
+and the rest is parsed by the same batch operators inside ``foreachBatch``.
+
+The ledger makes replays harmless: a micro-batch announces its files before the
+append, appends in one write, and records every file's real status after it
+(``loaded``, or ``skipped`` with a quarantine row for a file that failed). If it
+stops in between, the replayed batch finds its files announced and looks whether
+their records are in the table before it appends anything.
 """
 
 from __future__ import annotations
@@ -16,47 +18,74 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ingest import ingest_reports
+from ..operators.ingest import ingest_paths
+from ..operators.parse import STATUS_OK
 from ..operators.table import create_or_open_table, default_ledger_path, quarantine
-from ..sources.ledger import append_ledger, read_ledger
+from ..session import stage
+from ..sources.files import any_of, list_files
+from ..sources.ledger import append_ledger, pending, read_ledger
 from ..spec import get_spec
 
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def stored_form(records: DataFrame, report_type) -> DataFrame:
+    """Records as the table keeps them (no CSV hop): empty fields become NULL, as
+    they would after the CSV round trip."""
+    spec = get_spec(report_type)
+    return records.select(*[F.when(F.col(c) == "", F.lit(None)).otherwise(F.col(c)).alias(c) for c in spec.columns])
 
 
 def records_to_table(records: DataFrame, table_path: str, report_type, fmt: str = "parquet") -> None:
-    """Append parsed records straight to the table (no CSV hop): empty fields
-    become NULL, as they would after the CSV round trip."""
+    """Append parsed records straight to the table."""
+    stored_form(records, report_type).write.format(fmt).mode("append").save(table_path)
+
+
+def load_batch(spark: SparkSession, paths: list, report_type, table_path: str, ledger_path: str,
+               quarantine_path: str, fmt: str = "parquet") -> None:
+    """Parse and append the report files of one micro-batch, whatever became of earlier tries."""
     spec = get_spec(report_type)
-    cols = [F.when(F.col(c) == "", F.lit(None)).otherwise(F.col(c)).alias(c) for c in spec.columns]
-    records.select(*cols).write.format(fmt).mode("append").save(table_path)
+    offered = spark.createDataFrame([(p,) for p in paths], "csv_file string")
+    fresh = [r["csv_file"] for r in offered.join(read_ledger(spark, ledger_path), "csv_file", "left_anti").collect()]
+    if not fresh:
+        return
+    fresh_df = spark.createDataFrame([(p,) for p in fresh], "csv_file string")
+    retried = not fresh_df.join(pending(spark, ledger_path), "csv_file", "left_semi").isEmpty()
+    append_ledger(fresh_df, ledger_path, "pending")
+    res = ingest_paths(spark, fresh, spec, listing=list_files(spark, fresh))
+    records, status = stage(stored_form(res.records, spec), "batch_records"), stage(res.status, "batch_status")
+    done = retried and not records.intersect(spark.read.format(fmt).load(table_path).select(*spec.columns)).isEmpty()
+    if not done:
+        records.write.format(fmt).mode("append").save(table_path)
+    quarantine(status, quarantine_path)
+    ok = F.col("status") == STATUS_OK
+    append_ledger(status.select(F.col("path").alias("csv_file"), F.when(ok, F.lit("loaded")).otherwise(F.lit("skipped")).alias("status")), ledger_path)
 
 
 def incremental_stream(spark: SparkSession, source_folder: str, report_type, table_path: str,
                        checkpoint: str, ledger_path: Optional[str] = None, quarantine_path: Optional[str] = None,
                        glob: Optional[str] = None, fmt: str = "parquet", available_now: bool = True,
-                       processing_time: Optional[str] = None):
+                       processing_time: Optional[str] = None, max_files: int = 1000):
     """Start the stream; with ``available_now`` it processes every file present
-    and stops (returns after termination), else it keeps running on a trigger."""
+    and stops (returns after termination), else it keeps running on a trigger.
+
+    ``max_files`` bounds a micro-batch, and with it the path list on the driver;
+    failed files go to ``quarantine_path`` (default: beside the table)."""
     spec = get_spec(report_type)
     ledger_path = ledger_path or default_ledger_path(table_path)
+    quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
     create_or_open_table(spark, table_path, spec, fmt)
     stream = (
         spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", glob or f"*.{spec.extensions[0]}")
+        .schema(LISTING_SCHEMA)
+        .option("pathGlobFilter", glob or any_of(f"*.{e}" for e in spec.extensions))
+        .option("maxFilesPerTrigger", max_files)
         .load(source_folder)
+        .select("path")
     )
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        files = batch.select("path", "content")
-        done = read_ledger(spark, ledger_path)
-        fresh = files.join(done, F.col("path") == F.col("csv_file"), "left_anti")
-        res = ingest_reports(fresh, spec)
-        records_to_table(res.records, table_path, spec, fmt)
-        if quarantine_path:
-            quarantine(res.status, quarantine_path)
-        append_ledger(res.status.select(F.col("path").alias("csv_file"), F.lit("loaded").alias("status")), ledger_path)
+        load_batch(spark, [r["path"] for r in batch.collect()], spec, table_path, ledger_path, quarantine_path, fmt)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -27,8 +27,10 @@ def assert_block_bounded(df):
 def test_parse_windows_are_block_bounded(spark):
     st1 = parse_reports(lines_df(spark, {"a": render_st1_report(ST1_GOLDEN)}), "st1")
     st49 = parse_reports(lines_df(spark, {"b": render_st49_report(ST49_GOLDEN)}), "st49")
-    for df in (st1.records, st1.status, st49.records, st49.status):
+    for df in (st1.records, st49.records):
         assert_block_bounded(df)
+    for df in (st1.status, st49.status):
+        assert not window_specs(df)  # the status reads the small staged tables only
     assert_block_bounded(report_lines(lines_df(spark, {"c": "x\ny\n\nz"})))
 
 
@@ -36,3 +38,31 @@ def test_staged_lines_are_bucketed(spark):
     st1 = parse_reports(lines_df(spark, {"a": render_st1_report(ST1_GOLDEN)}), "st1")
     plan = st1.records._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan or "rl_lines_" in plan
+
+
+def test_parse_plans_are_small(spark):
+    """Records and status come from one staged table of lines and two small ones."""
+    st1 = parse_reports(lines_df(spark, {"a": render_st1_report(ST1_GOLDEN)}), "st1")
+    st49 = parse_reports(lines_df(spark, {"b": render_st49_report(ST49_GOLDEN)}), "st49")
+    for df, scans in ((st1.records, 2), (st1.chunks, 2), (st1.section, 1), (st49.records, 1), (st1.status, 0), (st49.status, 0)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") <= 8 and len(re.findall(r"Scan parquet \S*rl_lines_", plan)) <= scans, plan
+
+
+def test_bucket_count_follows_the_input(spark):
+    from report_lake.session import bucket_count
+
+    assert bucket_count(spark, None) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bucket_count(spark, 100 << 40) == (100 << 40) // (128 << 20)
+
+
+def test_staged_tables_can_be_dropped(spark):
+    from report_lake.session import drop_staged, staged_tables
+
+    before = staged_tables()
+    p = parse_reports(lines_df(spark, {"a": render_st1_report(ST1_GOLDEN)}), "st1")
+    assert p.records.count() == 3
+    new = staged_tables() - before
+    assert new and all(spark.catalog.tableExists(t) for t in new)
+    drop_staged(spark, before)
+    assert staged_tables() == before and not any(spark.catalog.tableExists(t) for t in new)

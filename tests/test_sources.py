@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from report_lake.operators.ingest import ingest_archives, ingest_folder
 from report_lake.operators.routing import route
 from report_lake.sources.download import download_plan, fetch_reports
-from report_lake.sources.files import file_lines, write_named_files
+from report_lake.sources.files import content_lines, read_lines, write_named_files
 from report_lake.session import to_local_or_uri
 
 
@@ -21,6 +21,14 @@ def zip_bytes(members):
     return buf.getvalue()
 
 
+def damaged():
+    """An archive with one member whose checksum is wrong, and a good one."""
+    data = bytearray(zip_bytes([("BAD.TXT", b"0123456789"), ("GOOD.TXT", b"fine")]))
+    at = data.index(b"0123456789")
+    data[at : at + 4] = b"ABCD"
+    return bytes(data)
+
+
 def test_archives(spark, tmp_shared):
     folder = tmp_shared("zips")
     inner = zip_bytes([("SPUD0102.TXT", b"inner")])
@@ -30,6 +38,7 @@ def test_archives(spark, tmp_shared):
         ("OTHER2023.zip", zip_bytes([("WELLS0102.TXT", b"b")])),
         ("noyear.zip", zip_bytes([("WELLS0103.TXT", b"c")])),
         ("broken2024.zip", b"not a zip"),
+        ("crc2024.zip", damaged()),
     ]
     write_named_files(spark.createDataFrame(files, "name string, content binary"), folder).count()
     members, _ = ingest_archives(spark, folder, "st1")
@@ -40,22 +49,27 @@ def test_archives(spark, tmp_shared):
     assert ("WELLS2024.zip", "README", None, "skipped") in got
     assert ("WELLS2024.zip", "dir/", None, "directory") in got
     assert ("WELLS2024.zip", "../up.TXT", None, "unsafe") in got
-    assert ("noyear.zip", None, None, "error") in got
+    assert ("crc2024.zip", "BAD.TXT", "BAD2024.TXT", "error") in got  # a row, not the end of the run
+    assert ("crc2024.zip", "GOOD.TXT", "GOOD2024.TXT", "extracted") in got
+    assert ("noyear.zip", "WELLS0103.TXT", None, "error") in got
     assert ("broken2024.zip", None, None, "error") in got
 
 
 def test_invalid_utf8_file_gets_a_status(spark, tmp_shared):
     folder = tmp_shared("reports")
     good = "X\nDATE: 02 January 2024\n".encode()
-    write_named_files(spark.createDataFrame([("A.TXT", good), ("B.TXT", b"\xff\xfe DATE"), ("c.txt", good)],
+    write_named_files(spark.createDataFrame([("A.TXT", good), ("B.TXT", b"\xff\xfe DATE"), ("c.txt", good), ("d.dat", good)],
                                             "name string, content binary"), folder).count()
     res = ingest_folder(spark, folder, "st1")
     st = {r.path.split("/")[-1]: (r.status, r.error) for r in res.status.collect()}
-    assert set(st) == {"A.TXT", "B.TXT"}  # extension is case-sensitive
+    assert set(st) == {"A.TXT", "B.TXT", "c.txt", "d.dat"}  # every file has a status
+    assert st["d.dat"] == ("file_format", "d.dat - Invalid file extension. Expected: TXT, Got: dat")
     assert st["B.TXT"][0] == "io_error"
     assert st["A.TXT"][0] == "missing_section"
-    lines, _ = file_lines(spark.createDataFrame([("p", b"a\xffb")], "path string, content binary"), "replace")
+    lines = content_lines(spark.createDataFrame([("p", b"a\xffb")], "path string, content binary"), "replace")
     assert lines.first()["line"] == "a�b"
+    lines = read_lines(spark, folder, ["B.TXT"], on_bad_utf8="replace").collect()
+    assert [(r["line"], r["bad"]) for r in lines] == [("�� DATE", False)]
 
 
 def test_download_plan_and_fetch(spark, tmp_shared):
@@ -116,3 +130,61 @@ def test_error_text(spark):
     df = spark.createDataFrame([("Parsing", "bad field", True), ("Date", "no line", False)], "c string, d string, r boolean")
     got = [r.m for r in df.select(error_text(F.col("c"), F.col("d"), F.col("r")).alias("m")).collect()]
     assert got == ["Parsing - bad field", "Date: no line"]
+
+
+def test_large_file_is_read_in_splits(spark, tmp_shared):
+    """A report larger than a split is parsed like a small one, and in its order."""
+    from report_lake.operators.ingest import ingest_file
+    from test_stream import report
+
+    folder = tmp_shared("one file")
+    write_named_files(spark.createDataFrame([("WELLS0101.TXT", report(1, 9))], "name string, content binary"), folder).count()
+    whole = ingest_file(spark, f"{folder}/WELLS0101.TXT", "st1").records.orderBy("record_no").collect()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        res = ingest_file(spark, f"{folder}/WELLS0101.TXT", "st1")
+        lines = read_lines(spark, folder)
+        assert lines.select("blk").distinct().count() > 3
+        split = res.records.orderBy("record_no").collect()
+        assert [tuple(r) for r in split] == [tuple(r) for r in whole] and len(split) == 9
+        assert " " in split[0]["path"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_two_reports_of_one_day(spark, tmp_shared):
+    from report_lake.sources.csv import read_report_csv
+    from test_stream import report
+
+    folder, csv, bad = tmp_shared("txt"), tmp_shared("csv"), tmp_shared("quarantine")
+    write_named_files(spark.createDataFrame([("A.TXT", report(5, 3)), ("B.TXT", report(5, 2)), ("C.TXT", b"x")], "name string, content binary"), folder).count()
+    res = ingest_folder(spark, folder, "st1", csv_out=csv, quarantine_path=bad)
+    assert read_report_csv(spark, csv, "st1").count() == 2  # the greatest path counts
+    st = {r.path.split("/")[-1]: r.status for r in res.status.collect()}
+    assert st == {"A.TXT": "superseded", "B.TXT": "ok", "C.TXT": "date_parse"}
+    assert sorted(r["path"].split("/")[-1] for r in spark.read.parquet(bad).collect()) == ["A.TXT", "C.TXT"]
+
+
+def test_each_url_is_fetched_once(spark, tmp_shared):
+    from report_lake.operators.ingest import ingest_date_range
+    from test_stream import report
+
+    calls = tmp_shared("calls").removeprefix("file:")
+    body = report(1, 1)
+
+    def fetcher(url):
+        import os
+        import uuid
+
+        os.makedirs(calls, exist_ok=True)
+        open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+        return body
+
+    import os
+
+    fetched, res = ingest_date_range(spark, "st1", "2025-01-01", "2025-01-01", "x/", fetcher=fetcher, csv_out=tmp_shared("csv"), txt_out=tmp_shared("bodies"))
+    assert res.status.count() == res.records.count() == fetched.count() == 1
+    assert len(os.listdir(calls)) == 1

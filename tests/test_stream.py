@@ -32,3 +32,39 @@ def test_replay_with_lost_checkpoint_loads_nothing_twice(spark, tmp_shared):
     # a fresh checkpoint offers every file again; the ledger drops the loaded ones
     incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
     assert spark.read.parquet(table).count() == 2
+
+
+def test_failed_files_and_both_extensions(spark, tmp_shared):
+    from report_lake.operators.table import default_ledger_path
+    from report_lake.sources.ledger import read_ledger_entries
+
+    src, table = tmp_shared("src dir"), tmp_shared("table")
+    files = [("A.TXT", report(1, 2)), ("B.txt", report(2, 1)), ("C.TXT", b"nothing here"), ("D.TXT", b"\xff\xfe")]
+    write_named_files(spark.createDataFrame(files, "name string, content binary"), src).count()
+    incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
+    assert spark.read.parquet(table).count() == 3
+    e = read_ledger_entries(spark, default_ledger_path(table)).where("status <> 'pending'").collect()
+    assert {r["csv_file"].split("/")[-1]: r["status"] for r in e} == {"A.TXT": "loaded", "B.txt": "loaded", "C.TXT": "skipped", "D.TXT": "skipped"}
+    assert spark.read.parquet(table + "_quarantine").count() == 2
+
+
+def test_replay_after_a_crash_before_the_ledger(spark, tmp_shared, monkeypatch):
+    import pytest
+
+    from report_lake.streaming import incremental as I
+
+    src, table, ledger, bad = (tmp_shared(x) for x in ("src", "table", "ledger", "bad"))
+    write_named_files(spark.createDataFrame([("A.TXT", report(4, 2))], "name string, content binary"), src).count()
+    paths = [r["path"] for r in I.list_files(spark, src).collect()]
+    I.create_or_open_table(spark, table, "st1")
+
+    def dies(*a, **k):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "quarantine", dies)
+        with pytest.raises(RuntimeError):
+            I.load_batch(spark, paths, "st1", table, ledger, bad)
+    for _ in range(2):
+        I.load_batch(spark, paths, "st1", table, ledger, bad)
+    assert spark.read.parquet(table).count() == 2

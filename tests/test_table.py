@@ -4,13 +4,13 @@ from pyspark.sql import functions as F
 from report_lake.operators.table import (
     compact,
     create_or_open_table,
-    data_files,
     default_ledger_path,
+    load_candidates,
     load_table,
     stale_files,
-    vacuum,
 )
 from report_lake.sources.csv import read_report_csv, scan_report_csv, write_report_csv
+from report_lake.sources.files import list_files, write_named_files
 from report_lake.sources.ledger import append_ledger, read_ledger
 from report_lake.spec import ST1
 
@@ -54,7 +54,7 @@ def test_malformed_csv_file_is_dropped_whole(spark, tmp_shared):
     rows, files = scan_report_csv(spark, [f"{base}/good_WELLS.csv", f"{base}/bad_WELLS.csv", f"{base}/empty_WELLS.csv"], "st1", recursive=False)
     assert [r.date for r in rows.collect()] == ["2025-01-02"]
     st = {r.csv_file.split("/")[-2]: r.status for r in files.collect()}
-    assert st["bad_WELLS.csv"] == "malformed" and st["good_WELLS.csv"] == "ok"
+    assert st == {"bad_WELLS.csv": "malformed", "good_WELLS.csv": "ok", "empty_WELLS.csv": "ok"}
 
 
 def test_ledger_ignores_malformed_and_partial_lines(spark, tmp_shared):
@@ -86,18 +86,89 @@ def test_schema_mismatch_is_an_error(spark, tmp_shared):
         create_or_open_table(spark, table, "st1")
 
 
-def test_compact_and_stale_files(spark, tmp_shared):
-    table = tmp_shared("table")
+def test_compact_writes_a_new_folder(spark, tmp_shared):
+    table, target = tmp_shared("table"), tmp_shared("compact")
     create_or_open_table(spark, table, "st1")
     spark.createDataFrame([tuple(f"{c}{i}" for c in ST1.columns) for i in range(200)], ST1.schema).repartition(10) \
         .write.mode("append").parquet(table)
-    before = data_files(spark, table).count()
-    res = compact(spark, table)
+    before = list_files(spark, table).count()
+    res = compact(spark, table, target)
     assert res.files_before == before and res.files_after == 1
-    assert spark.read.parquet(table).count() == 200
+    assert spark.read.parquet(target).count() == spark.read.parquet(table).count() == 200
     assert stale_files(spark, table).count() == 0  # inside the retention window
-    stale = stale_files(spark, table, retention_hours=0)
-    assert stale.count() == before
-    vacuum(spark, table, retention_hours=0, dry_run=False)
-    assert stale_files(spark, table, retention_hours=0).count() == 0
-    assert spark.read.parquet(table).count() == 200
+    assert stale_files(spark, table, retention_hours=0).count() == before
+    with pytest.raises(ValueError):
+        compact(spark, table, tmp_shared("x"), fmt="delta")
+
+
+def text_file(spark, path, text):
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+
+
+def test_candidate_names(spark, tmp_shared):
+    base, table = tmp_shared("WELLS names"), tmp_shared("table")
+    line = "|".join(["2025-01-01", *["v"] * 17])
+    csv = "|".join(ST1.columns) + "\n" + line
+    text_file(spark, f"{base}/in", csv)
+    src = [r["path"] for r in list_files(spark, f"{base}/in").collect()][0]
+    content = spark.read.format("binaryFile").load(src).first()["content"]
+    names = ["WELLS/20250101_SPUD.csv", "a/20250101_WELLS.csv", "a/foo.csv", "a/20250102_WELLS.txt"]
+    for n in names:
+        folder, name = n.split("/")
+        write_named_files(spark.createDataFrame([(name, content)], "name string, content binary"), f"{base}/{folder}").count()
+    got = load_candidates(spark, "st1", tmp_shared("ledger"), csv_folder=base).collect()
+    assert [r["path"].split("/")[-1] for r in got] == ["20250101_WELLS.csv"]
+    assert load_table(spark, table, "st1", csv_paths=f"{base}/a/foo.csv").rows == 1  # a path given is taken
+    assert load_table(spark, table, "st1", csv_paths=f"{base}/a/foo.csv").rows == 0
+
+
+def test_header_only_and_malformed_files_are_settled(spark, tmp_shared):
+    base, table, bad = tmp_shared("csv"), tmp_shared("table"), tmp_shared("quarantine")
+    head = "|".join(ST1.columns)
+    for n, t in {"e_WELLS.csv": head, "b_WELLS.csv": head + "\nshort|row", "g_WELLS.csv": head + "\n" + "|".join(["2025-01-01", *["v"] * 17])}.items():
+        write_named_files(spark.createDataFrame([(n, (t + "\n").encode())], "name string, content binary"), base).count()
+    res = load_table(spark, table, "st1", csv_folder=base, quarantine_path=bad)
+    assert (res.rows, res.candidates) == (1, 3)
+    assert {r["csv_file"].split("/")[-1]: (r["rows"], r["status"]) for r in res.files.collect()} == {
+        "e_WELLS.csv": (0, "ok"), "b_WELLS.csv": (1, "malformed"), "g_WELLS.csv": (1, "ok")}
+    assert load_table(spark, table, "st1", csv_folder=base).candidates == 0
+    assert [r["path"].split("/")[-1] for r in spark.read.parquet(bad).collect()] == ["b_WELLS.csv"]
+    assert load_table(spark, table, "st1", csv_folder=base, retry_skipped=True).candidates == 1
+
+
+def test_reparsed_day_loads_once(spark, tmp_shared):
+    csv, table = tmp_shared("csv two"), tmp_shared("table")
+    for _ in range(2):
+        write_report_csv(records(spark, [["2025-01-02", "A", *["v"] * 16]]), csv, "st1")
+        load_table(spark, table, "st1", csv_folder=csv)
+    assert spark.read.parquet(table).count() == 1
+
+
+def test_crash_between_append_and_ledger(spark, tmp_shared, monkeypatch):
+    from report_lake.operators import table as T
+
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    write_report_csv(records(spark, [["2025-01-02", "A", *["v"] * 16]]), csv, "st1")
+
+    def dies(*a, **k):
+        raise RuntimeError("lost driver")
+
+    for before_append in (True, False):
+        with monkeypatch.context() as m:
+            m.setattr(T, "append_batch" if before_append else "_unit_status", dies)
+            with pytest.raises(RuntimeError):
+                load_table(spark, table, "st1", csv_folder=csv)
+    assert spark.read.parquet(table).count() == 1  # appended, not recorded
+    assert load_table(spark, table, "st1", csv_folder=csv).rows == 0
+    assert spark.read.parquet(table).count() == 1
+
+
+def test_sink_keeps_report_order(spark, tmp_shared):
+    out = tmp_shared("csv")
+    rows = [["2025-01-02", f"n{i:03d}", *["v"] * 16] for i in range(50)]
+    write_report_csv(records(spark, rows).repartition(5), out, "st1", records_per_file=20)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(out).collect()
+    names = [[l.split("|")[1] for l in bytes(f["content"]).decode().splitlines()[1:]] for f in files]
+    assert all(n == sorted(n) for n in names) and sorted(sum(names, [])) == [r[1] for r in rows]
+    write_report_csv(records(spark, rows).drop("record_no"), out, "st1")  # without numbers: no order, all rows
+    assert read_report_csv(spark, out, "st1").count() == 50

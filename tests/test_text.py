@@ -7,6 +7,7 @@ from report_lake.functions.text import (
     file_extension,
     file_stem,
     parse_day_month_year,
+    plain_path,
     ruler_boundaries,
     trim_ws,
     words_slice,
@@ -60,12 +61,25 @@ def test_words_slice(spark):
 
 
 def test_ruler_boundaries(spark):
-    r = one(spark, ruler_boundaries("v"), "------    ------    ------")
-    assert [(b["start"], b["end"]) for b in r] == [(0, 6), (10, 16), (20, 26)]
-    solid = one(spark, ruler_boundaries("v"), "-" * 30)
-    assert [(b["start"], b["end"]) for b in solid] == [(0, 30)]
-    trailing = one(spark, ruler_boundaries("v"), "--  -- ")
-    assert [(b["start"], b["end"]) for b in trailing] == [(0, 2), (4, 6), (7, 7)]
+    def of(ruler):
+        return [(b["start"], b["end"]) for b in one(spark, ruler_boundaries("v"), ruler)]
+
+    assert of("---  -- ----") == [(0, 3), (5, 7), (8, 12)]
+    assert of("-" * 17) == [(0, 17)]
+    assert of("--  -- ") == [(0, 2), (4, 6), (7, 7)]
+    assert of("  --") == [(2, 4)]
+    assert of("") == [(0, 0)] and of("  ") == [(2, 2)]
+    # offsets are bytes, and any Unicode white space separates
+    assert of("é-----  ------") == [(0, 7), (9, 15)]
+    assert of("---\u00a0----\u3000-") == [(0, 3), (5, 9), (12, 13)]
+
+
+def test_words_slice_unicode_space(spark):
+    assert one(spark, words_slice("v", 1, 2), "a\u00a0b \u2003c d") == "b c"
+
+
+def test_plain_path(spark):
+    assert one(spark, plain_path("v"), "file:/a%20b/c+d%2Be/x%C3%A9.csv") == "file:/a b/c+d+e/xé.csv"
 
 
 def test_name_parts(spark):
