@@ -26,6 +26,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Lower the session's Arrow batch size to ``rows`` where it is larger.
+
+    Batches are counted in rows, so with the default of 10,000 a run of long
+    texts makes batches of gigabytes, in the JVM and in Python. Operators that
+    send whole texts to Python call this first.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id's decimal text modulo ``folds`` (null ids: fold of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
@@ -94,7 +107,7 @@ def token_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix64((run[end] - run[start]) * _powers(_BASE_INV, len(b))[start]), start
 
 
-def text_blocks(texts: list[bytes], limit: int = 4 << 20):
+def text_blocks(texts: list[bytes], limit: int = 2 << 20):
     """Cut a batch of texts into runs of at most about ``limit`` bytes (a longer
     text makes a run of its own): yields (first, last, joined bytes, text starts)."""
     i, n = 0, len(texts)

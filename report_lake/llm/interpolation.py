@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, stage, text_blocks, token_hashes, utf8_list
+from .common import U64, bounded_batches, mix64, stage, text_blocks, token_hashes, utf8_list
 
 START, END = U64(0x51A7B2C3D4E5F607), U64(0xE2D1C0B3A4958677)
 NOT_TRAINING, TRAINING, HELD = 0, 1, 2
@@ -95,17 +95,20 @@ def requests(rows: DataFrame, order: int, n_ranges: int) -> DataFrame:
     """(part, gram, range): the part's distinct keys of one order in one hash
     range, ascending, with its training counts and its row count."""
 
-    def emit(part: int, got: list, n_rows: int, training: bool):
+    def emit(part: int, got: list, n_rows: int):
         for gram in range(order):
             keys = np.concatenate([k for k, _ in got[gram]])
             keys, counts = _summed(keys, np.concatenate([c for _, c in got[gram]]))
+            got[gram] = None
             cut = np.searchsorted(ranges(keys, n_ranges), np.arange(n_ranges + 1))
             some = np.flatnonzero(np.diff(cut))
             offsets = pa.array(np.append(cut[some], cut[-1]), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64)))
-            counted = pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64) * training))
+            counted = pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32)))
             n = len(some)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part)), pa.array(np.full(n, gram, np.int32)), pa.array(some.astype(np.int32)), lists, counted, pa.array(np.full(n, n_rows))], names=["part", "gram", "range", "keys", "counts", "n_rows"])
+            whole = pa.RecordBatch.from_arrays([pa.array(np.full(n, part)), pa.array(np.full(n, gram, np.int32)), pa.array(some.astype(np.int32)), lists, counted, pa.array(np.full(n, n_rows))], names=["part", "gram", "range", "keys", "counts", "n_rows"])
+            for i in range(0, n, 64):  # small batches: little memory on the other side
+                yield whole.slice(i, 64)
 
     def run(batches):
         state: dict[tuple[int, bool], list] = {}
@@ -115,7 +118,7 @@ def requests(rows: DataFrame, order: int, n_ranges: int) -> DataFrame:
                 both = [state.pop((part, t), None) for t in (True, False)]
                 n_rows = sum(s[0] for s in both if s)
                 got = [[x for s, t in zip(both, (1, 0)) if s for x in ((k, c * t) for k, c in s[1][g])] for g in range(order)]
-                yield from emit(part, got, n_rows, True)
+                yield from emit(part, got, n_rows)
 
         last = None
         for batch in batches:
@@ -137,7 +140,7 @@ def requests(rows: DataFrame, order: int, n_ranges: int) -> DataFrame:
                             s[1][g].append(_summed(keys, np.ones(len(keys), np.int64)))
         yield from flush()
 
-    return rows.mapInArrow(run, "part bigint, gram int, range int, keys array<bigint>, counts array<bigint>, n_rows bigint")
+    return rows.mapInArrow(run, "part bigint, gram int, range int, keys array<bigint>, counts array<int>, n_rows bigint")
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -242,7 +245,7 @@ def expectation_maximisation(table: pd.DataFrame, order: int, rounds: int = 60)
 
 
 def score(
-    docs: DataFrame, training, held=None, id_col: str = "doc_id", text_col: str = "text", order: int = 2, part_rows: int = 1 << 14, n_ranges: int | None = None,
+    docs: DataFrame, training, held=None, id_col: str = "doc_id", text_col: str = "text", order: int = 2, part_rows: int = 1 << 11, n_ranges: int | None = None,
 ) -> DataFrame:
     """id, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -251,10 +254,12 @@ def score(
     by a hash of the id).
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     if held is None:
         held = F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(10)) == 0
     rows = parted(docs, id_col, text_col, training, F.coalesce(held, F.lit(False)), part_rows)
-    n_ranges = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a few ranges a shuffle partition: a range is one group in one task's memory
+    n_ranges = n_ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     told = stage(answers(requests(rows, order, n_ranges)), "ngram-answers")
     got = told.filter("part = -1").agg(*(F.coalesce(F.sum(F.col("whole")[i]), F.lit(0)) for i in range(3))).first()
     total, total_held, distinct = map(int, got)
@@ -283,6 +288,8 @@ def score(
     for g in range(order):
         table[f"r{g}"] = table[f"r{g}"] / table["n"]
     weights = expectation_maximisation(table, order)
+    if not total:  # nothing learned: the uniform distribution alone
+        weights[:] = np.eye(order + 1)[0]
 
     def scored(docs_: pa.Table, answer: pa.Table) -> pa.Table:
         out = []

@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 LENGTH = 256
 WIDTHS = (2, 3, 4)
 LETTER = regex.compile(r"\p{L}")
@@ -163,6 +165,7 @@ def fit(docs: DataFrame, train_rows=None, docs_per_lang: int = 400, windows_per_
     Bounds: about ``docs_per_lang`` rows for each of the ``max_langs`` most
     frequent languages, taken by a hash of doc_id and text length.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.filter((F.lit(True) if train_rows is None else train_rows) & F.col("lang").isNotNull() & (F.col("lang") != "") & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     langs = sorted(counts)
@@ -194,6 +197,7 @@ def fit(docs: DataFrame, train_rows=None, docs_per_lang: int = 400, windows_per_
 
 def predict(docs: DataFrame, network: Network, text: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score for every whole text."""
+    bounded_batches(docs.sparkSession)
     cache: dict = {}
 
     @F.pandas_udf("lang string, score double")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stage, utf8_list
+from .common import bounded_batches, stage, utf8_list
 
 WINDOW = 1024
 END_ID = 0
@@ -82,6 +82,7 @@ def tokenise(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
     """The staged first pass: file and part (the part's place in the stream), first
     (offset in the part), n, ids (binary, 16-bit ids) and the kept columns."""
     paths = paths or vocabulary()
+    bounded_batches(docs.sparkSession)
     place = [F.col(runs[0]).cast("string"), F.col(runs[1]).cast("long")] if runs else [F.lit(""), F.lit(0).cast("long")]
     rows = docs.select(F.col(text).alias("_text"), place[0].alias("_file"), place[1].alias("_row"), *(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)))
     names = ["file", "part", "first", "n", "ids", *(f"_{i}" for i in range(len(keep)))]

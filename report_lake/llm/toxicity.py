@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import bounded_batches, stage
 
 # Seed words of the classes (lower case; en, de, fr, es).
 SEED_INSULT = "idiot moron imbecile scumbag dumbass bastard arschloch vollidiot connard abruti gilipollas cabrón"
@@ -278,6 +278,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, train, max_toxic: int, max_c
 
 def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True), max_toxic: int = 2000, max_clean: int = 6000, least: int = 4, most: int = 7) -> Grammar:
     """Learn the arcs and the context weights from a bounded labelled sample."""
+    bounded_batches(docs.sparkSession)
     rows = stage(sample_rows(docs, labels, train, max_toxic, max_clean), "toxicity-sample")
     sizes = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -348,6 +349,7 @@ def _calibrate(grammar: Grammar, rows: DataFrame, steps: int = 300, ridge: float
 
 def score(docs: DataFrame, grammar: Grammar, text: str = "text", score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
     """``docs`` with the score of each whole text and ``predicted`` (score >= 0.5)."""
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
