@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import best, matrix, merged, numbered, sample, spread
+from .vectors import best, every, matrix, merged, numbered, sample, spread
 
 K, BITS = 20, 256
 
@@ -130,9 +130,9 @@ def search(
     asked = rows.filter(queries)
     n_blocks = max(1, -(-rows.count() // block_rows))
     n_chunks = max(1, -(-asked.count() // chunk_rows))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     data = rows.withColumn("block", spread(F.col("n"), n_blocks)).withColumn("chunk", every(n_chunks))
-    asked = asked.withColumn("chunk", spread(F.col("n"), n_chunks)).withColumn("block", every(n_blocks))
+    # aliased: both sides of the cogroup come from the same rows, and column pruning confuses them otherwise
+    asked = asked.select(*(F.col(c).alias(c) for c in ("id", "v", "n")), spread(F.col("n"), n_chunks).alias("chunk")).withColumn("block", every(n_blocks))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["q", "query_id", "vec_id", "score"]

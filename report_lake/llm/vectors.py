@@ -45,6 +45,11 @@ def spread(column: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(29), column), F.lit(n)).cast("int")
 
 
+def every(n: int) -> Column:
+    """One row for each of 0 .. n - 1."""
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best, highest score first, ties to the smaller id."""
     if len(scores) > 4 * k:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
-from .vectors import best, matrix, merged, numbered, sample, spread
+from .vectors import best, every, matrix, merged, numbered, sample, spread
 
 K = 20
 
@@ -132,7 +132,7 @@ def join(
     key = F.col("cell") * 1_000_000 + F.col("part")
     numbers = F.create_map(*[F.lit(x) for (c, q), i in number.items() for x in (c * 1_000_000 + q, i)]) if number else F.create_map(F.lit(0), F.lit(0))
     near = data.withColumn("block", spread(F.col("n"), n_blocks)).mapInArrow(replicate, f"id {kind}, v array<double>, n bigint, group int, block int")
-    asked = asked.select("id", "v", "n", numbers[key].alias("group"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+    asked = asked.select("id", "v", "n", numbers[key].alias("group"), every(n_blocks).alias("block"))
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["q", "query_id", "vec_id", "score"]
