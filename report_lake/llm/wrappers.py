@@ -41,13 +41,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import bounded_batches, stage
 
 # Fixed values of HTML: elements by kind.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 SKIPPED = frozenset("head script style noscript template textarea title select button iframe svg math object canvas audio video map datalist xmp noembed noframes".split())
+TEXTUAL = frozenset("p li h1 h2 h3 h4 h5 h6 dt dd tr td th blockquote pre".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
 CLOSED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -169,6 +170,24 @@ def alike(a: list, b: list) -> bool:
     return a[0] == b[0] and (a[0] != "e" or a[1] == b[1])
 
 
+def shape(item: list) -> frozenset:
+    """What kinds of content an element holds directly: text, links, elements by name."""
+    kinds: set = set()
+    for x in item[2]:
+        for y in core(x):
+            kinds.add(y[1] if y[0] == "e" else "links" if y[0] == "T" and 2 * y[4] > y[3] else "text")
+    return frozenset(kinds)
+
+
+def repeats(a: list, b: list) -> bool:
+    """Whether two neighbours may be turns of one group: alike and, for containers,
+    with content of the same kinds (one may have more)."""
+    if not alike(a, b) or a[0] != "e" or a[1].rstrip("+-") in TEXTUAL:
+        return alike(a, b)
+    x, y = shape(a), shape(b)
+    return x == y or bool(x and y and (x <= y or y <= x))
+
+
 def core(item: list) -> list:
     """The items of a group, or the item itself as a group of one."""
     return item[1] if item[0] in "+?" else [item]
@@ -199,7 +218,7 @@ def fold(items: list, longest: int = 6) -> list:
                 out.append(items[i])
                 i += 1
                 continue
-            while j + size <= len(items) and same_group(group, items[j : j + size]):
+            while j + size <= len(items) and all(repeats(x, y) for x, y in zip(group, items[j : j + size])):
                 group = [merge(x, y) for x, y in zip(group, items[j : j + size])]
                 j += size
             if j > i + size:
@@ -324,6 +343,7 @@ def host(url) -> F.Column:
 
 def infer(pages: DataFrame, url: str = "url", html: str = "html", salts: int = 32) -> DataFrame:
     """host, wrapper (judged, as JSON): one row per host."""
+    bounded_batches(pages.sparkSession)
     rows = pages.filter(F.col(html).isNotNull()).select(host(F.col(url)).alias("host"), F.col(html).alias("html"))
 
     def per_task(batches):
