@@ -13,12 +13,12 @@ Signatures are cut into ``bands`` bands whose hashes are the join keys. Work
 after that is linear in the bucket sizes:
 
 - equal texts are one node, found by a hash of the text (no text is shuffled);
-- in every round each bucket has one centre, the least node by a hash that
-  changes with the round; each member that is not yet in the centre's class is
+- in every round each bucket has some ``centres`` (so many in the first round,
+  so many in the others), the least nodes by hashes that change with the round; each member that is not yet in a centre's class is
   paired with it, never all with all;
 - the exact weighted Jaccard of each new pair decides (``similarity`` or more);
 - the classes grow by connected components (alternating star contractions);
-- rounds go on while buckets that hold several classes yield new links.
+- a bucket that holds several classes stays open while a round changes them.
 
 Result: one row per input row with ``class_id``, the least id of its class.
 Null texts are in no class but their own; empty texts, and texts without words,
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, stage, text_blocks, token_hashes, utf8_list
+from .common import U64, bounded_batches, mix64, stage, text_blocks, token_hashes, utf8_list
 
 SIMILARITY, WIDTH, BANDS, ROWS = 0.8, 5, 27, 8
 
@@ -59,20 +59,27 @@ def shingles(buf: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> tuple[n
     return run[whole], owner[whole]
 
 
-def signatures(buf: np.ndarray, starts: np.ndarray, k: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """(texts, k) earliest darts, and each text's number of shingles."""
+def regions(buf: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One 64-bit seed for every occurrence of a shingle, grouped by text; the
+    text of each; and the texts' totals. Two texts share a seed for each
+    occurrence they have in common, so multisets compare as sets of seeds."""
     x, owner = shingles(buf, starts, width)
     total = np.bincount(owner, minlength=len(starts))
     # one sort groups equal shingles of a text; the n-th occurrence is a region of its own
     key = np.sort((owner.astype(np.uint64) << U64(40)) | (x >> U64(24)))
-    owner = (key >> U64(40)).astype(np.int64)
-    fresh = np.append(True, key[1:] != key[:-1]) if len(key) else np.empty(0, bool)
+    first = np.append(True, key[1:] != key[:-1]) if len(key) else np.empty(0, bool)
     index = np.arange(len(key))
-    occurrence = index - np.maximum.accumulate(np.where(fresh, index, 0)) if len(key) else index
+    occurrence = index - np.maximum.accumulate(np.where(first, index, 0)) if len(key) else index
     seed = mix64((key & U64((1 << 40) - 1)) * U64(0xD6E8FEB86659FD93) + occurrence.astype(np.uint64))
+    return seed, (key >> U64(40)).astype(np.int64), total
+
+
+def signatures(buf: np.ndarray, starts: np.ndarray, k: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """(texts, k) earliest darts, and each text's number of shingles."""
+    seed, owner, total = regions(buf, starts, width)
     until = (k * (math.log(k) + 3) / np.maximum(1, total))[owner]
     best = np.full(len(starts) * k, np.iinfo(np.uint64).max, np.uint64)
-    time = np.zeros(len(key))
+    time = np.zeros(len(seed))
     while len(seed):
         seed = mix64(seed + U64(0xA0761D6478BD642F))
         time = time - np.log(((seed >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53)
@@ -85,30 +92,40 @@ def signatures(buf: np.ndarray, starts: np.ndarray, k: int, width: int = WIDTH)
     return best.reshape(len(starts), k), total
 
 
+def similarities(left: list[bytes], right: list[bytes], width: int = WIDTH, limit: int = 4 << 20) -> np.ndarray:
+    """Exact weighted Jaccard of each pair's shingle multisets."""
+    out, i = np.zeros(len(left)), 0
+    while i < len(left):
+        j, size, number = i, 0, {}
+        while j < len(left) and (j == i or size < limit) and j - i < 1 << 16:
+            size += sum(len(t) for t in (left[j], right[j]))
+            for t in (left[j], right[j]):
+                number.setdefault(t, len(number))
+            j += 1
+        texts = list(number)
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+        seed, _, total = regions(np.frombuffer(b"\n".join(texts), np.uint8), starts, width)
+        first = np.cumsum(total) - total
+        a, b = (np.array([number[t] for t in side[i:j]]) for side in (left, right))
+        both = np.concatenate([a, b])
+        n = total[both]
+        pair = np.repeat(np.tile(np.arange(j - i), 2), n)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[both], n)
+        key = np.sort((pair.astype(np.uint64) << U64(44)) | (seed[at] >> U64(20)))
+        shared = np.bincount((key[1:][key[1:] == key[:-1]] >> U64(44)).astype(np.int64), minlength=j - i)
+        out[i:j] = shared / np.maximum(1, total[a] + total[b] - shared)
+        i = j
+    return out
+
+
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     odd = np.random.default_rng(5).integers(1, 2**62, (bands, rows), dtype=np.uint64) * U64(2) + U64(1)
     s = mix64(signature.reshape(-1, bands, rows))
     return mix64((s * odd).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def similarity(a: bytes, b: bytes, width: int = WIDTH) -> float:
-    """Exact weighted Jaccard of two texts' shingle multisets."""
-    return _jaccard(_counted(a, width), _counted(b, width))
-
-
-def _counted(text: bytes, width: int):
-    return np.unique(shingles(np.frombuffer(text, np.uint8), np.zeros(1, np.int64), width)[0], return_counts=True)
-
-
-def _jaccard(a, b) -> float:
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
-    either = a[1].sum() + b[1].sum() - both
-    return float(both / either) if either else 0.0
-
-
 def banded(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, width: int) -> DataFrame:
-    """node (16-byte hash of the text), id, keys (empty if the text has no word)."""
+    """node (16-byte hash of the text), id, n (shingles), keys (empty if the text has no word)."""
     rows_in = docs.filter(F.col(text_col).isNotNull()).select(F.unhex(F.md5(F.col(text_col))).alias("node"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
@@ -120,10 +137,10 @@ def banded(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, w
                 has = total > 0
                 ends = np.concatenate(([0], np.cumsum(has * bands))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), lists], names=["node", "id", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(total), lists], names=["node", "id", "n", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows_in.mapInArrow(run, f"node binary, id {kind}, keys array<bigint>")
+    return rows_in.mapInArrow(run, f"node binary, id {kind}, n bigint, keys array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float, width: int) -> DataFrame:
@@ -131,14 +148,9 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, width: int) -> Da
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
-        last, counted = None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(utf8_list(batch.column(2)), utf8_list(batch.column(3))):
-                if last != x:
-                    last, counted = x, _counted(x, width)
-                keep.append(_jaccard(counted, _counted(y, width)) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = similarities(utf8_list(batch.column(2)), utf8_list(batch.column(3)), width) >= least
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.mapInArrow(run, "a binary, b binary")
 
@@ -147,30 +159,31 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, label (the least node of its component) for the nodes of ``edges``
     (a, b), by alternating large-star and small-star contractions."""
     at = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    mark = None
     while True:
+        # done when all stars: every u has one v, and no v is a u
+        many = at.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u")
+        deep = at.select(F.col("v").alias("u")).join(at.select("u"), "u", "left_semi")
+        if many.union(deep).isEmpty():
+            return at.select(F.col("u").alias("node"), F.col("v").alias("label"))
         both = at.union(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(least.select("u", F.col("m").alias("v")))
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         at = stage(small.distinct(), name)
-        now = at.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == mark:
-            return at.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        mark = now
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS,
+    centres: tuple[int, int] = (1, 7),
 ) -> DataFrame:
     """``id_col``, ``class_id``, ``class_size``, ``node`` (hash of the text) and
     ``label`` (the class's least node) for every row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     signed = stage(banded(docs, id_col, text_col, bands, rows, width), "dart-bands")
-    nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
-    keyed = nodes.select("node", "id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    keyed = nodes.select("node", "id", "n", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     members = stage(keyed.join(shared, "key"), "dart-buckets")
     wanted = members.select("node", F.col("id").alias("_id")).distinct()
     # each wanted node's text once: from the rows that carry its least id
@@ -178,20 +191,26 @@ def near_duplicates(
     texts = texts.join(wanted.withColumnRenamed("node", "_n"), (F.col("node") == F.col("_n")) & texts["_id"].eqNullSafe(wanted["_id"]), "left_semi")
     texts = stage(texts.groupBy("node").agg(F.first("text").alias("text")), "dart-texts")
 
-    labels, tested, turn = None, None, 0
+    labels, turn, seen = None, 0, None
     while True:
-        at = members.select("key", "node")
+        at = members.select("key", "node", "n")
         at = at.withColumn("label", F.col("node")) if labels is None else at.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        draw = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "label")
-        centre = at.groupBy("key").agg(F.min(draw).alias("c"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key", F.col("c.node").alias("a"), F.col("c.label").alias("la"))
-        pairs = at.join(centre, "key").filter("label <> la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "dart-pairs")
+        draws = [F.struct(F.xxhash64(F.lit(1000 * turn + i), "node").alias("h"), "node", "label", "n") for i in range(centres[turn > 0])]
+        state = F.bit_xor(F.xxhash64("node", "label")).alias("state")
+        open_ = at.groupBy("key").agg(F.array(*[F.min(d) for d in draws]).alias("c"), F.min("label").alias("x"), F.max("label").alias("y"), state).filter("x <> y").select("key", "c", "state")
+        if turn:  # a bucket stays open while its classes change
+            if seen is not None:
+                open_ = open_.join(seen.withColumnRenamed("state", "was"), "key").filter("state <> was").drop("was")
+            open_ = stage(open_, "dart-centres")
+            seen = open_.select("key", "state")
+        centre = open_.select("key", F.inline("c")).toDF("key", "h", "a", "la", "na").drop("h").distinct()
+        # no more can be shared than the smaller multiset holds
+        fits = F.least("n", "na") >= least * F.greatest("n", "na") - 1e-6
+        pairs = at.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("label") != F.col("la")) & fits)
+        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         links = stage(verified(pairs, texts, least, width), "dart-links")
         if links.isEmpty():
             break
-        tested = pairs if tested is None else tested.union(pairs)
         if labels is None:
             labels = components(links)
         else:  # links between classes: contract them, then relabel
