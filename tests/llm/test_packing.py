@@ -1,0 +1,68 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from report_lake.llm import packing as P
+
+
+def ids_of(texts):
+    t = Tokenizer.from_file(P.vocabulary()["json"])
+    t.encode_special_tokens = True
+    return [e.ids + [0] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+def check(pieces, texts, window=1024):
+    want = dict(zip(texts, ids_of(texts.values())))
+    stream = {}
+    for r in pieces:
+        stream.setdefault(r["sequence_id"], []).append((r["offset"], r["ids"]))
+    for got in stream.values():
+        at = 0
+        for offset, ids in sorted(got):
+            assert offset == at
+            at += len(ids)
+    full = [sum(len(i) for _, i in got) for _, got in sorted(stream.items())]
+    assert sorted(stream) == list(range(len(full))) and all(n == window for n in full[:-1]) and 0 < full[-1] <= window
+    by = {}
+    for r in pieces:
+        by.setdefault(r["doc_id"], []).append(r)
+    for i, ids in want.items():
+        got = sorted(by[i], key=lambda r: r["start"])
+        assert [x for r in got for x in r["ids"]] == ids and all(r["doc_tokens"] == len(ids) and r["length"] == len(r["ids"]) for r in got)
+
+
+def test_round_trip_on_documents(sf_docs):
+    docs = sf_docs.repartition(5)
+    check(P.pack(docs).collect(), {r["doc_id"]: r["text"] for r in sf_docs.collect()})
+
+
+def test_digest_equals_ids(docs_of):
+    docs = docs_of([(i, "some words " * i) for i in range(40)], 2)
+    a = {(r["doc_id"], r["start"]): r["ids"] for r in P.pack(docs, window=16).collect()}
+    b = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in P.pack(docs, window=16, payload="crc32").collect()}
+    assert len(a) > 40 and {k: zlib.crc32(np.array(v, "<u4").tobytes()) for k, v in a.items()} == b
+
+
+def test_edges(docs_of):
+    texts = {1: None, 2: "", 3: "a", 4: "long " * 20000, 5: "<|endoftext|> is text", 6: "　\n\t é", 7: " " * 250000 + "x", None: "no id"}
+    docs = docs_of(list(texts.items())).withColumn("part", F.lit("x")).withColumn("ids", F.lit(0)).withColumn("file", F.lit(1))
+    check(P.pack(docs).collect(), texts)
+    assert P.pack(docs_of([])).count() == 0
+    twice = P.pack(docs_of([(1, "a b"), (1, "a b")], 1), window=4).collect()
+    assert sorted((r["sequence_id"], r["offset"], r["length"]) for r in twice) == [(0, 0, 3), (0, 3, 1), (1, 0, 2)]
+
+
+def test_runs_follow_file_order(spark, docs_of, tmp_shared):
+    path = tmp_shared("runs")
+    spark.range(200).select(F.col("id").alias("doc_id"), F.format_string("text %d", "id").alias("text")).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    rows = spark.read.parquet(path).select("doc_id", "text", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("r"))
+    got = P.pack(rows.repartition(1).sortWithinPartitions("f", "r"), window=8, runs=("f", "r")).collect()
+    assert [d for d, _ in sorted({r["doc_id"]: (r["sequence_id"], r["offset"]) for r in got if r["start"] == 0}.items(), key=lambda x: x[1])] == list(range(200))
+
+
+def test_both_vocabulary_forms_agree():
+    e = P.Encoder(P.vocabulary())
+    for t in ("", "Hello  world\n\n x", "naïve café €", "\x00\x01", "😀" * 9, "a" * 3000, "  \t\n " * 50):
+        assert e(t.encode()).tolist() == ids_of([t])[0][:-1]
