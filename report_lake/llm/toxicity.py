@@ -22,6 +22,10 @@ inflect: an arc may be a prefix that several word forms share. Frequent pure
 arcs are taken as they are; rarer ones by a greedy cover of what is left of the
 toxic sample, so that chance words gain nothing.
 
+Stems that ordinary words share are no proof by themselves, but many of them in
+little text are: such *dense* arcs count once a text holds two or more of them,
+and at least one in ``SPARSE`` words.
+
 Null and empty texts match no clause and get the score of a text without
 matches. No labelled row: only the seed lexicon is used. Extra columns are
 carried through; ``score`` and ``predicted`` are added under the names given.
@@ -52,8 +56,9 @@ REPORT = "said says wrote writes claimed called calls quoted reported sagte schr
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W\d_]+)*|[\"“”„«»]", re.UNICODE)
 CLAUSE_END = ".!?;\n"
-CONTEXTS = ("plain", "targeted", "threat", "negated", "reported")
-PRIOR = {"bias": -4.0, "plain": 6.0, "targeted": 7.0, "threat": 6.0, "negated": 2.0, "reported": 2.0}
+CONTEXTS = ("plain", "targeted", "threat", "negated", "reported", "dense")
+PRIOR = {"bias": -4.0, "plain": 6.0, "targeted": 7.0, "threat": 6.0, "negated": 2.0, "reported": 2.0, "dense": 6.0}
+SPARSE = 200
 
 
 class Transducer:
@@ -130,6 +135,7 @@ class Grammar:
 
     words: dict[str, float] = field(default_factory=lambda: dict.fromkeys(SEED_INSULT.split(), 1.0))
     stems: dict[str, float] = field(default_factory=dict)
+    dense: tuple[str, ...] = ()  # words, and stems with a trailing *
     weights: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
 
     def __post_init__(self):
@@ -139,10 +145,12 @@ class Grammar:
         self.by_length = defaultdict(dict)
         for s, w in self.stems.items():
             self.by_length[len(s)][s] = w
+        self._dense_words = frozenset(d for d in self.dense if not d.endswith("*"))
+        self._dense_stems = tuple(d[:-1] for d in self.dense if d.endswith("*"))
         self._finder = None
 
     def __getstate__(self):
-        return {"words": self.words, "stems": self.stems, "weights": self.weights}
+        return {"words": self.words, "stems": self.stems, "dense": self.dense, "weights": self.weights}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -154,7 +162,7 @@ class Grammar:
             import ahocorasick
 
             a = ahocorasick.Automaton()
-            for s in {*self.words, *self.stems, *THREAT.split()}:
+            for s in {*self.words, *self.stems, *THREAT.split(), *(d.rstrip("*") for d in self.dense)}:
                 a.add_word(s, len(s))
             a.make_automaton()
             self._finder = a
@@ -173,6 +181,8 @@ class Grammar:
             return "QUO", 0.0, frozenset()
         if (w := self.insult(token)) is not None:
             return "INS", w, frozenset()
+        if token in self._dense_words or (self._dense_stems and token.startswith(self._dense_stems)):
+            return "DNS", 1.0, frozenset()
         return self.classes.get(token, "OTH"), 0.0, frozenset()
 
     def clause(self, clause: str) -> dict[str, float]:
@@ -185,6 +195,9 @@ class Grammar:
             kind = next((k for k in ("negated", "reported") if k in marks), None)
             if "threat" in marks:
                 kind, w = kind or "threat", 1.0
+            elif s == "DNS":
+                found["dense"] = found.get("dense", 0.0) + 1
+                continue
             elif s == "INS":
                 kind = kind or ("targeted" if "targeted" in marks else "plain")
             else:
@@ -208,6 +221,8 @@ class Grammar:
                 done = min(stops, default=len(low))
                 for k, w in self.clause(low[begin:done]).items():
                     sums[k] += w
+            if n := sums["dense"]:
+                sums["dense"] = float(n >= 2 and n * SPARSE >= len(low.split()))
         return tuple(sums.values())
 
     def score(self, features) -> float:
@@ -217,9 +232,15 @@ class Grammar:
 
 
 def _candidates(text: str, least: int, most: int) -> set[str]:
-    """The word forms of a text and, with a trailing ``*``, their stems."""
-    forms = {w for m in WORD.finditer(text.lower()) if (w := m[0])[0].isalpha()}
-    return forms | {w[:k] + "*" for w in forms for k in range(least, min(most, len(w) - 1) + 1)}
+    """The word forms of a text and, with a trailing ``*``, their stems; those
+    that are dense in it once more with a trailing ``+``."""
+    forms = Counter(w for m in WORD.finditer(text.lower()) if (w := m[0])[0].isalpha())
+    found = Counter(forms)
+    for w, n in forms.items():
+        for k in range(least, min(most, len(w) - 1) + 1):
+            found[w[:k] + "*"] += n
+    enough = max(2, forms.total() / SPARSE)
+    return found.keys() | {c + "+" for c, n in found.items() if n >= enough}
 
 
 def _walk_down(supports: dict[str, frozenset], word: str) -> str:
@@ -234,34 +255,44 @@ def _walk_down(supports: dict[str, frozenset], word: str) -> str:
     return word
 
 
-def choose_arcs(supports: dict[str, frozenset], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Arcs with weights, from pure candidates (``supports``: the toxic sample rows of each).
+def choose_arcs(supports: dict[str, frozenset], clean: dict[str, int], n_toxic: int, n_clean: int) -> tuple[dict[str, float], list[str]]:
+    """Arcs with weights, and dense arcs, from pure candidates (``supports``: the
+    toxic sample rows of each).
 
-    First every candidate that a good share of the toxic rows holds, then a
-    greedy cover of the rows that are still unexplained.
+    First every candidate that a good share of the toxic rows holds, the dense
+    ones after the others, then a greedy cover of the rows still unexplained.
     """
+    plain = {c: s for c, s in supports.items() if not c.endswith("+")}
+    dense = {c[:-1]: s for c, s in supports.items() if c.endswith("+")}
     arcs: dict[str, float] = {}
+    dense_arcs: list[str] = []
     left = set().union(*supports.values()) if supports else set()
 
-    def add(c: str) -> None:
-        odds = math.log((len(supports[c]) + 0.1) / (n_toxic + 0.2)) - math.log((clean.get(c, 0) + 0.5) / (n_clean + 1))
-        arcs[c] = max(0.2, min(1.0, odds / 5))
-        left.difference_update(supports[c])
+    def add(c: str, of: dict) -> None:
+        if of is dense:
+            dense_arcs.append(c)
+        else:
+            odds = math.log((len(of[c]) + 0.1) / (n_toxic + 0.2)) - math.log((clean.get(c, 0) + 0.5) / (n_clean + 1))
+            arcs[c] = max(0.2, min(1.0, odds / 5))
+        left.difference_update(of[c])
 
     def held(c: str) -> bool:
-        return any(a.endswith("*") and c.startswith(a[:-1]) for a in arcs)
-
-    for c in sorted((c for c in supports if len(supports[c]) >= max(6, 0.03 * n_toxic)), key=lambda c: (-len(supports[c]), len(c), c)):
-        c = _walk_down(supports, c)
-        if c not in arcs and not held(c):
-            add(c)
+        return any(a.endswith("*") and c.startswith(a[:-1]) for a in (*arcs, *dense_arcs))
+
+    for of in (plain, dense):
+        for c in sorted((c for c in of if len(of[c]) >= max(6, 0.03 * n_toxic)), key=lambda c: (-len(of[c]), len(c), c)):
+            c = _walk_down(of, c)
+            new = len(of[c] & left) >= 0.3 * len(of[c]) if of is dense else True
+            if c not in arcs and c not in dense_arcs and not held(c) and new:
+                add(c, of)
     gain = 2 if n_toxic < 400 else 3
-    rest = {c: s for c, s in supports.items() if len(s & left) >= gain}
-    while rest:
-        best = _walk_down(supports, max(rest, key=lambda c: (len(rest[c] & left), c.endswith("*"), -len(c), c)))
-        add(best)
-        rest = {c: s for c, s in rest.items() if c != best and len(s & left) >= gain}
-    return arcs
+    for of in (plain, dense):
+        rest = {c: s for c, s in of.items() if len(s & left) >= gain and not held(c)}
+        while rest:
+            best = _walk_down(of, max(rest, key=lambda c: (len(rest[c] & left), c.endswith("*"), -len(c), c)))
+            add(best, of)
+            rest = {c: s for c, s in rest.items() if c != best and len(s & left) >= gain}
+    return arcs, dense_arcs
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, train, max_toxic: int, max_clean: int) -> DataFrame:
@@ -303,7 +334,8 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True), ma
     # all three collects are bounded by the sample's own size
     shared = counts(1, None, 2 if n_toxic < 400 else 3)
     clean = counts(0, frozenset(shared), 1)
-    pure = frozenset(c for c, n in shared.items() if clean.get(c, 0) * n_toxic <= 0.004 * n * max(1, n_clean))
+    impure = lambda c: 0.03 if c.endswith("+") else 0.004
+    pure = frozenset(c for c, n in shared.items() if clean.get(c, 0) * n_toxic <= impure(c) * n * max(1, n_clean))
 
     def holders(batches):
         for pdf in batches:
@@ -313,9 +345,9 @@ def fit(docs: DataFrame, labels: DataFrame, train=lambda doc_id: F.lit(True), ma
     supports: dict[str, set] = defaultdict(set)
     for r in rows.filter("_y = 1").mapInPandas(holders, "c string, i bigint").collect():
         supports[r["c"]].add(r["i"])
-    arcs = choose_arcs({c: frozenset(s) for c, s in supports.items()}, clean, n_toxic, n_clean)
+    arcs, dense = choose_arcs({c: frozenset(s) for c, s in supports.items()}, clean, n_toxic, n_clean)
     words = {**Grammar().words, **{a: w for a, w in arcs.items() if not a.endswith("*")}}
-    grammar = Grammar(words, {a[:-1]: w for a, w in arcs.items() if a.endswith("*")})
+    grammar = Grammar(words, {a[:-1]: w for a, w in arcs.items() if a.endswith("*")}, tuple(dense))
     grammar.weights = _calibrate(grammar, rows)
     return grammar
 
