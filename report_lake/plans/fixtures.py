@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.parse import Parsed, parse_reports
 from ..session import scratch_path
-from ..sources.csv import CSV_WRITE_OPTIONS, report_key, write_report_csv
+from ..sources.csv import report_key, write_report_csv
 from ..sources.files import write_named_files
 from ..spec import ST1
 from .render import load, render_st1, render_st49

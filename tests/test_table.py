@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from report_lake.operators.table import (
     compact,
@@ -11,7 +10,7 @@ from report_lake.operators.table import (
 )
 from report_lake.sources.csv import read_report_csv, scan_report_csv, write_report_csv
 from report_lake.sources.files import list_files, write_named_files
-from report_lake.sources.ledger import append_ledger, read_ledger
+from report_lake.sources.ledger import read_ledger
 from report_lake.spec import ST1
 
 ROW = ["x"] * 18
