@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+from llm_helpers import docs_of, sf_docs  # noqa: F401
 from report_lake.llm import dartminhash as D
 from report_lake.llm.common import text_blocks
 

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fold_of
+from llm_helpers import docs_of, fold_of  # noqa: F401
 from report_lake.llm import interpolation as I
 from report_lake.llm.common import fold
 

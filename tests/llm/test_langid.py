@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from llm_helpers import docs_of, sf_docs  # noqa: F401
 from report_lake.llm import langid as L
 from report_lake.llm.common import fold
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import python_nodes
+from llm_helpers import docs_of, python_nodes  # noqa: F401
 from report_lake.llm import mixing as M
 
 

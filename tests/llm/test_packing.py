@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from llm_helpers import docs_of, sf_docs  # noqa: F401
 from report_lake.llm import packing as P
 
 

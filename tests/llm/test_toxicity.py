@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_helpers import SF, docs_of  # noqa: F401
 from report_lake.llm import toxicity as T
 from report_lake.llm.common import fold
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_helpers import SF
 from report_lake.llm import mih, voronoi
 
 SCHEMA = "vec_id long, embedding array<float>, label int"

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_helpers import SF
 from report_lake.llm import wrappers as X
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><p>no</p>";</script></head><body>
