@@ -18,7 +18,13 @@ after that is linear in the bucket sizes:
   paired with it, never all with all;
 - the exact weighted Jaccard of each new pair decides (``similarity`` or more);
 - the classes grow by connected components (alternating star contractions);
-- a bucket that holds several classes stays open while a round changes them.
+- a bucket that holds several classes stays open while a round changes them;
+- what the rounds leave is decided exactly: of the nodes of all buckets of three
+  or more that still hold several classes, every pair that can reach
+  ``similarity`` is found by prefixes. In an order of all shingles (frequent ones
+  last) two such multisets share one among the first few; those are join keys,
+  with bounds on lengths and positions, and each pair of different classes that
+  meets is compared. No pair that shares a band is left undecided.
 
 Result: one row per input row with ``class_id``, the least id of its class.
 Null texts are in no class but their own; empty texts, and texts without words,
@@ -155,6 +161,68 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, width: int) -> Da
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def common_seeds(texts: DataFrame, width: int, sample: int = 8192, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds that several of a sample of ``texts`` hold (sorted), and how many do.
+
+    They only shape the order in which prefixes are taken; any order is right.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for _, _, buf, starts in text_blocks(utf8_list(batch.column(0))):
+                yield pa.RecordBatch.from_arrays([pa.array(regions(buf, starts, width)[0].view(np.int64))], names=["seed"])
+
+    n = texts.count()
+    drawn = texts.select("node", "text").filter(F.pmod(F.xxhash64("node"), F.lit(max(1, -(-n // sample)))) == 0)
+    counts = drawn.select("text").mapInArrow(run, "seed bigint").groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    rows = sorted((r["seed"], r["n"]) for r in counts.filter("n > 2").orderBy(F.desc("n"), "seed").limit(most).collect())
+    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+
+
+def prefixes(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], least: float, width: int) -> DataFrame:
+    """node, label, n and seeds: of every text the first seeds, common ones last,
+    of which it shares one with any text at ``least`` or more."""
+    names, counts = common
+
+    def run(batches):
+        for batch in batches:
+            for i, j, buf, starts in text_blocks(utf8_list(batch.column(2))):
+                seed, owner, total = regions(buf, starts, width)
+                seed = seed.view(np.int64)
+                count = np.zeros(len(seed), np.int64)
+                if len(names):
+                    at = np.minimum(np.searchsorted(names, seed), len(names) - 1)
+                    count = np.where(names[at] == seed, counts[at], 0)
+                order = np.lexsort((seed, count, owner))
+                nth = np.arange(len(seed)) - np.repeat(np.cumsum(total) - total, total)
+                size = np.minimum(total, total - np.ceil(least * total - 1e-6).astype(np.int64) + 1)
+                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(seed[order][nth < np.repeat(size, total)]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(total), lists], names=["node", "label", "n", "seeds"])
+
+    return texts.select("node", "label", "text").mapInArrow(run, "node binary, label binary, n bigint, seeds array<bigint>")
+
+
+def prefix_pairs(texts: DataFrame, least: float, width: int) -> DataFrame:
+    """The pairs (a, b) of ``texts`` (node, label, text) with different labels
+    that may reach ``least``: none that does is missing."""
+    at = prefixes(texts, common_seeds(texts, width), least, width).select("node", "label", "n", F.posexplode("seeds").alias("nth", "seed"))
+    at = stage(at, "dart-prefixes")
+    # the class with most members at a seed is never joined with itself
+    size = at.groupBy("seed", "label").agg(F.count(F.lit(1)).alias("c"))
+    tops = size.groupBy("seed").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    at = stage(at.join(tops.select("seed", F.col("top.label").alias("top")), "seed").withColumn("top", F.col("label") == F.col("top")), "dart-shared")
+    # the shorter text of a pair needs the shorter prefix, as the longer one has at least as many
+    short = at.filter(F.col("nth") < F.col("n") - F.ceil(2 * least / (1 + least) * F.col("n") - 1e-6) + 1).alias("x")
+    long = at.alias("y")
+    where = F.expr(
+        f"x.seed = y.seed and x.label <> y.label and (x.n < y.n or x.n = y.n and x.node < y.node) and x.n >= {least!r} * y.n - 1e-6"
+        f" and least(x.n - x.nth, y.n - y.nth) >= {least / (1 + least)!r} * (x.n + y.n) - 1e-6"
+    )
+    pairs = [s.join(l, where).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")) for s, l in ((short.filter("not x.top"), long), (short.filter("x.top"), long.filter("not y.top")))]
+    return pairs[0].union(pairs[1]).distinct()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, label (the least node of its component) for the nodes of ``edges``
     (a, b), by alternating large-star and small-star contractions."""
@@ -173,6 +241,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         at = stage(small.distinct(), name)
 
 
+def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The labels after ``links`` between classes: contract them, then relabel."""
+    if labels is None:
+        return components(links)
+    between = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
+    moved = components(between.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    old = labels.join(moved.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    new = moved.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return stage(old.union(new).distinct(), "dart-labels")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS,
     centres: tuple[int, int] = (1, 7),
@@ -211,15 +290,16 @@ def near_duplicates(
         links = stage(verified(pairs, texts, least, width), "dart-links")
         if links.isEmpty():
             break
-        if labels is None:
-            labels = components(links)
-        else:  # links between classes: contract them, then relabel
-            between = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-            moved = components(between.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-            old = labels.join(moved.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            new = moved.join(labels.select("node"), "node", "left_anti").select("node", "label")
-            labels = stage(old.union(new).distinct(), "dart-labels")
+        labels = joined(labels, links)
         turn += 1
+    # what the rounds leave: buckets of two are decided, of the others every pair of different classes
+    at = members.select("key", "node") if labels is None else members.select("key", "node").join(labels, "node", "left")
+    at = at.withColumn("label", F.col("node") if labels is None else F.coalesce("label", "node"))
+    rest = at.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("x"), F.max("label").alias("y")).filter("c > 2 and x <> y").select("key")
+    rest = stage(at.join(rest, "key").select("node", "label").distinct().join(texts, "node"), "dart-rest")
+    links = stage(verified(prefix_pairs(rest, least, width), texts, least, width), "dart-links")
+    if not links.isEmpty():
+        labels = joined(labels, links)
 
     at = signed.select("node", "id")
     at = at.withColumn("label", F.col("node")) if labels is None else at.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

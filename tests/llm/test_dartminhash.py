@@ -92,6 +92,45 @@ def test_large_group_and_components(spark):
     assert all(got.get(i, 0) == 0 for i in range(31)) and all(got.get(i, 31) == 31 for i in range(31, 61))
 
 
+def test_scattered_pairs_in_a_large_bucket(spark):
+    """1,200 texts with a long passage in common (0.77) and ten pairs among them, against brute force."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(150)]
+    rows = [(i, " ".join(passage + [f"o{i}x{j}" for j in range(22)])) for i in range(1200)]
+    for n, i in enumerate(rng.sample(range(1200), 10)):
+        own = rows[i][1].split()
+        own[-(n + 1) :] = [f"changed{n}x{j}" for j in range(n + 1)]
+        rows.append((5000 + i, " ".join(own)))
+    counted = {i: set(multiset(t)) for i, t in rows}
+    everywhere = set.intersection(*counted.values())
+    holders = {}
+    for i, x in counted.items():
+        for y in x - everywhere:
+            holders.setdefault(y, []).append(i)
+    shared = Counter((a, b) for h in holders.values() for a in h for b in h if a < b)
+    near = {p for p, n in shared.items() if (n + len(everywhere)) / (len(counted[p[0]] | counted[p[1]])) >= 0.8}
+    assert len(near) == 10 and len(everywhere) / (2 * 168 - len(everywhere)) < 0.8
+    got = D.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).filter("class_id <> doc_id").collect()
+    assert {(r["class_id"], r["doc_id"]) for r in got} == near
+
+
+def test_prefix_pairs_miss_none(spark, sf_docs):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))) for _ in range(40)]
+    for t in texts[:30]:
+        w = t.split()
+        w[rng.randrange(len(w))] = "new"
+        texts += [" ".join(w), " ".join(t.split()[:-1] or ["z"]), t + " more"]
+    texts = sorted(set(texts))
+    for least, width in ((0.8, 5), (0.8, 1), (0.5, 2)):
+        rows = [(t.encode(), t.encode(), t) for t in texts]
+        df = spark.createDataFrame(rows, "node binary, label binary, text string")
+        got = {(bytes(r["a"]), bytes(r["b"])) for r in D.prefix_pairs(df, least, width).collect()}
+        want = {(a.encode(), b.encode()) for a in texts for b in texts if a < b and jaccard(multiset(a, width), multiset(b, width)) >= least}
+        assert want and want <= got
+
+
 def test_edges(docs_of):
     rows = [(1, None), (2, None), (3, ""), (4, ""), (5, "  "), (6, "hello"), (7, "hello"), (7, "hello"), (8, "Hello"), (9, "w " * 30000), (None, "alone in here")]
     docs = docs_of(rows).withColumn("node", F.lit(1)).withColumn("label", F.lit(2)).withColumn("key", F.lit(3)).withColumn("id", F.lit(4))
