@@ -242,6 +242,14 @@ def _match(x: list, y: list) -> int:
     return 0
 
 
+def _fits(x: list, y: list) -> int:
+    """As ``_match``; groups that differ also go together, less well, if any of their items do."""
+    s = _match(x, y)
+    if s or not (x[0] in "+?" or y[0] in "+?"):
+        return s
+    return int(any(_fits(p, q) for p in core(x) for q in core(y)))
+
+
 def _join(x: list, y: list) -> list:
     if x[0] in "eT" and y[0] in "eT":
         return merge(x, y)
@@ -252,9 +260,11 @@ def _join(x: list, y: list) -> list:
 def align(a: list, b: list, pairs: list | None = None) -> list:
     """The sequence that describes both: longest common alignment, the rest optional.
 
-    With ``pairs``, the items that went together are appended to it instead of joined.
+    With ``pairs``, the items that went together are appended to it instead of joined;
+    then groups go together even if their items differ.
     """
-    if len(a) == len(b) and all(_match(x, y) for x, y in zip(a, b)):
+    match = _match if pairs is None else _fits
+    if len(a) == len(b) and all(match(x, y) for x, y in zip(a, b)):
         if pairs is not None:
             pairs += zip(a, b)
             return a
@@ -263,12 +273,12 @@ def align(a: list, b: list, pairs: list | None = None) -> list:
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            s = _match(a[i], b[j])
+            s = match(a[i], b[j])
             best[i][j] = max(best[i + 1][j], best[i][j + 1], s + best[i + 1][j + 1] if s else 0)
     out, i, j = [], 0, 0
     lone = lambda x: x if x[0] == "?" else (["?", [x]] if x[0] != "+" else ["?", x[1]])
     while i < n or j < m:
-        if i < n and j < m and (s := _match(a[i], b[j])) and best[i][j] == s + best[i + 1][j + 1]:
+        if i < n and j < m and (s := match(a[i], b[j])) and best[i][j] == s + best[i + 1][j + 1]:
             if pairs is None:
                 out.append(_join(a[i], b[j]))
             else:
@@ -288,12 +298,18 @@ def bare(items: list) -> list:
     return [x[:5] if x[0] == "T" else ["e", x[1], bare(x[2])] if x[0] == "e" else [x[0], bare(x[1])] for x in items]
 
 
+def has_main(items: list) -> bool:
+    return any((x[0] == "e" and (not x[1].endswith("-") and (x[1].endswith("+") or has_main(x[2])))) or (x[0] in "+?" and has_main(x[1])) for x in items)
+
+
+def within(label: str, inside: bool, boiler: bool) -> tuple[bool, bool]:
+    """Whether an element's content is inside a main region and in boilerplate."""
+    return inside or label[-1] == "+", boiler or (label[-1] == "-" and not (inside and label == "header-"))
+
+
 def judge(wrapper: list) -> list:
     """The wrapper with, on every text, whether its slot belongs to the main text."""
 
-    def has_main(items) -> bool:
-        return any((x[0] == "e" and (not x[1].endswith("-") and (x[1].endswith("+") or has_main(x[2])))) or (x[0] in "+?" and has_main(x[1])) for x in items)
-
     region = has_main(wrapper)
 
     def walk(items, inside: bool, boiler: bool) -> list:
@@ -306,9 +322,7 @@ def judge(wrapper: list) -> list:
                     keep = 2 * x[4] <= x[3] and not (x[1] is not None and x[2] >= 3)
                 out.append([*x[:5], int(keep and not boiler)])
             elif x[0] == "e":
-                mark = x[1][-1]
-                drop = mark == "-" and not (inside and x[1] == "header-")
-                out.append(["e", x[1], walk(x[2], inside or mark == "+", boiler or drop)])
+                out.append(["e", x[1], walk(x[2], *within(x[1], inside, boiler))])
             else:
                 out.append([x[0], walk(x[1], inside, boiler)])
         return out
@@ -320,20 +334,32 @@ def kept_blocks(page: list, wrapper: list) -> set[int]:
     """Numbers of the page's blocks that fall on kept slots; content that the
     wrapper does not know is judged on the page alone."""
     kept: set[int] = set()
+    region = has_main(page)
+
+    def alone(items: list, inside: bool, boiler: bool) -> None:
+        for x in items:
+            if x[0] == "T":
+                if not boiler and (inside if region else 2 * x[4] <= x[3]):
+                    kept.update(x[5])
+            elif x[0] == "e":
+                alone(x[2], *within(x[1], inside, boiler))
+            else:
+                alone(x[1], inside, boiler)
 
-    def take(items: list, judged: list) -> None:
+    def take(items: list, judged: list, inside: bool, boiler: bool) -> None:
         pairs: list = []
         align(items, judged, pairs)
+        known = {id(x) for x, _ in pairs}
+        alone([x for x in items if id(x) not in known], inside, boiler)
         for x, y in pairs:
             if x[0] == "T" and y[0] == "T":
                 kept.update(x[5] if y[5] else ())
             elif x[0] == "e" and y[0] == "e":
-                take(x[2], y[2])
+                take(x[2], y[2], *within(x[1], inside, boiler))
             else:
-                for p, q in zip(core(x), core(y)):
-                    take([p], [q])
+                take(core(x), core(y), inside, boiler)
 
-    take(page, wrapper)
+    take(page, wrapper, False, False)
     return kept
 
 

@@ -55,6 +55,26 @@ def test_without_main_region_the_wrapper_decides(spark):
     assert got == {i: f"Story n{i} begins here and goes on.\nMore of n{i}." for i in range(5)}
 
 
+def test_mixed_sections_on_one_host(spark):
+    """Sections that hold other content than the wrapper's group keep their texts, with a main region and without."""
+    for host, box in (("m.example", "article"), ("n.example", "div")):
+        bodies = [["h2", "p", "p", "h2", "pre", "pre"], ["h2", "p", "p", "h2", "p", "p"], ["h2", "ul", "p", "h2", "ul", "p"], ["h2", "pre", "h2", "p", "p", "ul"]]
+        rows, want = [], {}
+        for i, kinds in enumerate(bodies):
+            said = [f"{k} number {n} of page {i}" for n, k in enumerate(kinds)]
+            inner = "".join(f"<{k}><li>{t}</li></{k}>" if k == "ul" else f"<{k}>{t}</{k}>" for k, t in zip(kinds, said))
+            rows.append((i, f"http://{host}/{i}", f"<body><nav><a href=x>Home</a></nav><{box}>{inner}</{box}><footer>end</footer></body>"))
+            want[i] = "\n".join(said)
+        assert texts(spark, rows) == want
+        assert texts(spark, rows[:2]) == {i: want[i] for i in (0, 1)}
+
+
+def test_blocks_the_wrapper_does_not_know():
+    page = X.fold(X.parse("<div><p>a</p><blockquote>new</blockquote></div><nav><p>menu</p></nav><section><a href=x>link</a></section>")[0])
+    wrapper = X.judge(X.bare(X.fold(X.parse("<div><p>b</p></div>")[0])))
+    assert X.kept_blocks(page, wrapper) == {0, 1}
+
+
 def test_pages_table(spark):
     """On the given pages the article element holds the main text."""
     import html
