@@ -18,15 +18,17 @@ salted intermediate groups, so no task holds a host's pages.
 
 The wrapper's slots are then judged once for the host. Slots in menus, headers,
 footers, sidebars, notices, adverts, forms and comments (by element, role, class
-or id words) go. If the wrapper has a main region (article, main, role, class),
-what else lies in it stays, whether it varies or not, and everything outside
-goes. Without one, link lists and texts that are the same on three or more
-different pages go. Each page is aligned with its host's wrapper and gives the
-texts that fall on kept slots.
+or id words; class and id words do not count on html, body, main and article)
+go. If a page has a main region with text (article, main, role, class), what
+else lies in it stays, whether it varies or not, and everything outside goes.
+Without one, link lists and texts that are the same on three or more different
+pages go. One host may have pages of both kinds: each kind has a wrapper of its
+own. Each page is aligned with its wrapper and gives the texts that fall on kept
+slots.
 
 Blocks are joined by a line break in page order; white space inside a block
 becomes one space; character references are decoded. Null html: empty text.
-Null urls form a host of their own. Equal pages and repeated rows are pages
+Pages without a host (null or unparsable url) are judged each alone. Equal pages and repeated rows are pages
 like any others. Empty tables give an empty result. Extra columns are ignored.
 """
 
@@ -74,6 +76,8 @@ CAMEL = re.compile(r"([a-z])([A-Z])")
 
 def _label(tag: str, attrs: str) -> str:
     """The element's name, with ``-`` for a boilerplate region or ``+`` for a main one."""
+    if tag in ("html", "body"):  # the whole page is no region
+        return tag
     if tag in MAIN_TAGS:
         mark = "+"
     else:
@@ -82,9 +86,9 @@ def _label(tag: str, attrs: str) -> str:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)}
         words = set(WORDS.findall(CAMEL.sub(r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
         role = found.get("role", "").lower()
-        if words & BOILER_WORDS or role in BOILER_ROLES or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower() or re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
+        if (words & BOILER_WORDS and tag not in MAIN_TAGS) or role in BOILER_ROLES or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower() or re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
             mark = "-"
-        elif not mark and (words & MAIN_WORDS or role == "main") and tag not in ("body", "html"):
+        elif not mark and (words & MAIN_WORDS or role == "main"):
             mark = "+"
     return tag + mark
 
@@ -298,28 +302,33 @@ def bare(items: list) -> list:
     return [x[:5] if x[0] == "T" else ["e", x[1], bare(x[2])] if x[0] == "e" else [x[0], bare(x[1])] for x in items]
 
 
-def has_main(items: list) -> bool:
-    return any((x[0] == "e" and (not x[1].endswith("-") and (x[1].endswith("+") or has_main(x[2])))) or (x[0] in "+?" and has_main(x[1])) for x in items)
-
-
 def within(label: str, inside: bool, boiler: bool) -> tuple[bool, bool]:
     """Whether an element's content is inside a main region and in boilerplate."""
     return inside or label[-1] == "+", boiler or (label[-1] == "-" and not (inside and label == "header-"))
 
 
-def judge(wrapper: list) -> list:
-    """The wrapper with, on every text, whether its slot belongs to the main text."""
+def main_blocks(page: list, inside: bool = False, boiler: bool = False, region: bool = True) -> set[int]:
+    """Numbers of a page's blocks in its main region; without ``region``, of those that are no link lists."""
+    out: set[int] = set()
+    for x in page:
+        if x[0] == "T":
+            if not boiler and (inside if region else 2 * x[4] <= x[3]):
+                out.update(x[5])
+        elif x[0] == "e":
+            out |= main_blocks(x[2], *within(x[1], inside, boiler), region)
+        else:
+            out |= main_blocks(x[1], inside, boiler, region)
+    return out
+
 
-    region = has_main(wrapper)
+def judge(wrapper: list, region: bool = False) -> list:
+    """The wrapper with, on every text, whether its slot belongs to the main text."""
 
     def walk(items, inside: bool, boiler: bool) -> list:
         out = []
         for x in items:
             if x[0] == "T":
-                if region:
-                    keep = inside
-                else:
-                    keep = 2 * x[4] <= x[3] and not (x[1] is not None and x[2] >= 3)
+                keep = inside if region else 2 * x[4] <= x[3] and not (x[1] is not None and x[2] >= 3)
                 out.append([*x[:5], int(keep and not boiler)])
             elif x[0] == "e":
                 out.append(["e", x[1], walk(x[2], *within(x[1], inside, boiler))])
@@ -334,23 +343,13 @@ def kept_blocks(page: list, wrapper: list) -> set[int]:
     """Numbers of the page's blocks that fall on kept slots; content that the
     wrapper does not know is judged on the page alone."""
     kept: set[int] = set()
-    region = has_main(page)
-
-    def alone(items: list, inside: bool, boiler: bool) -> None:
-        for x in items:
-            if x[0] == "T":
-                if not boiler and (inside if region else 2 * x[4] <= x[3]):
-                    kept.update(x[5])
-            elif x[0] == "e":
-                alone(x[2], *within(x[1], inside, boiler))
-            else:
-                alone(x[1], inside, boiler)
+    region = bool(main_blocks(page))
 
     def take(items: list, judged: list, inside: bool, boiler: bool) -> None:
         pairs: list = []
         align(items, judged, pairs)
         known = {id(x) for x, _ in pairs}
-        alone([x for x in items if id(x) not in known], inside, boiler)
+        kept.update(main_blocks([x for x in items if id(x) not in known], inside, boiler, region))
         for x, y in pairs:
             if x[0] == "T" and y[0] == "T":
                 kept.update(x[5] if y[5] else ())
@@ -368,53 +367,59 @@ def host(url) -> F.Column:
 
 
 def infer(pages: DataFrame, url: str = "url", html: str = "html", salts: int = 32) -> DataFrame:
-    """host, wrapper (judged, as JSON): one row per host."""
+    """host, main, plain: one row per host with the judged wrappers (JSON) of its
+    pages with a main region and of those without (null if there are none)."""
     bounded_batches(pages.sparkSession)
-    rows = pages.filter(F.col(html).isNotNull()).select(host(F.col(url)).alias("host"), F.col(html).alias("html"))
+    rows = pages.filter(F.col(html).isNotNull()).select(host(F.col(url)).alias("host"), F.col(html).alias("html")).filter("host <> ''")
 
     def per_task(batches):
-        wrappers: dict[str, list] = {}
+        wrappers: dict[tuple[str, bool], list] = {}
         for pdf in batches:
             for h, page in zip(pdf["host"], pdf["html"]):
-                items = bare(fold(parse(page)[0]))
-                wrappers[h] = fold(align(wrappers[h], items)) if h in wrappers else items
-        yield pd.DataFrame({"host": pd.Series(list(wrappers), dtype=object), "wrapper": pd.Series([json.dumps(w) for w in wrappers.values()], dtype=object)})
+                items = fold(parse(page)[0])
+                k, items = (h, bool(main_blocks(items))), bare(items)
+                wrappers[k] = fold(align(wrappers[k], items)) if k in wrappers else items
+        yield pd.DataFrame({"host": pd.Series([h for h, _ in wrappers], dtype=object), "region": pd.Series([r for _, r in wrappers], dtype=bool), "wrapper": pd.Series([json.dumps(w) for w in wrappers.values()], dtype=object)})
 
     def folded(last: bool):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            items = None
+            items, region = None, bool(pdf["region"].iloc[0])
             for w in sorted(pdf["wrapper"]):
                 items = json.loads(w) if items is None else fold(align(items, json.loads(w)))
-            return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(judge(items) if last else items)]})
+            return pd.DataFrame({"host": [pdf["host"].iloc[0]], "region": [region], "wrapper": [json.dumps(judge(items, region) if last else items)]})
 
         return run
 
-    parts = rows.mapInPandas(per_task, "host string, wrapper string").withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)))
-    parts = parts.groupBy("host", "salt").applyInPandas(folded(False), "host string, wrapper string")
-    return parts.groupBy("host").applyInPandas(folded(True), "host string, wrapper string")
+    kind = "host string, region boolean, wrapper string"
+    parts = rows.mapInPandas(per_task, kind).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)))
+    parts = parts.groupBy("host", "region", "salt").applyInPandas(folded(False), kind)
+    parts = parts.groupBy("host", "region").applyInPandas(folded(True), kind)
+    return parts.groupBy("host").agg(F.max(F.when(F.col("region"), F.col("wrapper"))).alias("main"), F.max(F.when(~F.col("region"), F.col("wrapper"))).alias("plain"))
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), url: str = "url", html: str = "html", broadcast_bytes: int = 32 << 20) -> DataFrame:
     """The kept columns and ``text``, the main text of every page (never null)."""
     wrappers = stage(infer(pages, url, html), "wrappers")
-    size = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("host")), F.lit(0))).first()[0]
+    size = wrappers.agg(F.coalesce(F.sum(F.coalesce(F.length("main"), F.lit(0)) + F.coalesce(F.length("plain"), F.lit(0)) + F.length("host")), F.lit(0))).first()[0]
     # hosts grow with the crawl: only a checked size is broadcast, else the (adaptive) shuffle join splits hot hosts
     wrappers = F.broadcast(wrappers) if size <= broadcast_bytes else wrappers
     rows = pages.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)), host(F.col(url)).alias("host"), F.col(html).alias("html")).join(wrappers, "host", "left")
 
     @F.pandas_udf("string")
-    def main_text(html_: pd.Series, wrapper: pd.Series) -> pd.Series:
-        known: dict[str, list] = {}
+    def main_text(html_: pd.Series, main: pd.Series, plain: pd.Series) -> pd.Series:
+        known: dict[str | None, list] = {None: []}
         out = []
-        for page, w in zip(html_, wrapper):
-            if page is None or w is None:
+        for page, *both in zip(html_, main, plain):
+            if page is None:
                 out.append("")
                 continue
+            items, texts = parse(page)
+            items = fold(items)
+            w = both[0] if main_blocks(items) else both[1]
             if w not in known:
                 known[w] = json.loads(w)
-            items, texts = parse(page)
-            kept = kept_blocks(fold(items), known[w])
+            kept = kept_blocks(items, known[w])
             out.append("\n".join(t for i, t in enumerate(texts) if i in kept))
         return pd.Series(out, dtype=object)
 
-    return rows.withColumn("text", main_text("html", "wrapper")).select(*(F.col(f"_{i}").alias(k) for i, k in enumerate(keep)), "text")
+    return rows.withColumn("text", main_text("html", "main", "plain")).select(*(F.col(f"_{i}").alias(k) for i, k in enumerate(keep)), "text")

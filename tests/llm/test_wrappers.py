@@ -75,6 +75,15 @@ def test_blocks_the_wrapper_does_not_know():
     assert X.kept_blocks(page, wrapper) == {0, 1}
 
 
+def test_main_region_is_the_pages_own(spark):
+    plain = "<body><div><a href=1>Home</a> <a href=2>News</a></div><div><p>Story {0} goes on.</p></div><div>All rights reserved</div></body>"
+    marked = "<body class='has-sidebar'><div>outside {0}</div><article class='post comments-open'><p>Told {0}.</p></article></body>"
+    rows = [(i, "http://o.example/x", (marked if i % 2 else plain).format(i)) for i in range(8)]
+    assert texts(spark, rows) == {i: f"Told {i}." if i % 2 else f"Story {i} goes on." for i in range(8)}
+    lost = [(i, None if i < 3 else "no url", h) for i, h in enumerate(["<article>one</article>", "<p>two</p>", "<p>same</p>", "<p>same</p>", "<p>same</p>", "<p>same</p>"])]
+    assert texts(spark, lost) == {0: "one", 1: "two", 2: "same", 3: "same", 4: "same", 5: "same"}
+
+
 def test_pages_table(spark):
     """On the given pages the article element holds the main text."""
     import html
