@@ -48,6 +48,30 @@ def test_schedule_serves_every_block_once():
         assert seen == blocks and sorted(slots) == list(range(sum(blocks.values())))
 
 
+def test_large_plans_are_joined_slot_by_slot(spark, monkeypatch):
+    df = spark.range(900).select("id", F.concat(F.lit("s"), F.col("id") % 7 % 4).alias("source"))
+    want = sorted(tuple(r) for r in M.mix(df, block_rows=8).collect())
+    monkeypatch.setattr(M, "BROADCAST_BYTES", 0)
+    assert sorted(tuple(r) for r in M.mix(df, block_rows=8).collect()) == want
+
+
+@pytest.mark.parametrize("longest", [1 << 20, 1 << 14])
+def test_deviation_from_the_true_targets(monkeypatch, longest):
+    monkeypatch.setattr(M, "LONGEST", longest)
+    weights = {"a": 2**0.5, "b": 1 / 3, "c": 0.00037, "d": 0.00002} | {f"s{i}": 0.0003 for i in range(300)}
+    whole = sum(weights.values())
+    blocks = {s: int(60_000 * w / whole) + 5 for s, w in weights.items()}
+    plan = [x for x in M.schedule(blocks, weights) if x["phase"] == 0]
+    at = {x["key"]: sorted(x["base"] + i // x["units"] * x["length"] + x["pattern"][i % x["units"]] for i in range(x["last"] - x["first"])) for x in plan}
+    end = sum(map(len, at.values()))
+    assert end > 20_000
+    room = 0.001 if longest > end else 1 + end / longest  # units of a repeated period are rounded
+    for s, w in weights.items():
+        for i, t in enumerate(at.get(s, [])):
+            assert abs(i - t * w / whole) < 1 + room and abs(i + 1 - (t + 1) * w / whole) < 1 + room
+        assert abs(len(at.get(s, [])) - end * w / whole) < 1 + room
+
+
 @pytest.mark.parametrize("targets", [None, {"s0": 0.7, "s1": 0.2, "s2": 0.1}])
 def test_rows_follow_the_schedule(spark, targets):
     df = spark.range(2000).select("id", F.when(F.col("id") < 900, "s0").when(F.col("id") < 1500, "s1").otherwise("s2").alias("source")).repartition(5)
