@@ -9,7 +9,9 @@ predecessor kept.
 - toxicity: rows whose text scores 0.5 or more go. Learned from all labelled
   rows among the stage's own documents.
 - language: rows whose text has no letter (or is null) go, as no language can
-  be told; all other rows stay, whatever language is predicted.
+  be told, and rows predicted with a score of ``SURE`` or more to be in a
+  language outside ``WANTED``, whatever their label says. Without a labelled row
+  nothing is learned, and all rows with a letter stay.
 - near_dups: of each class one row stays: the one with the least id, and of
   equal rows one.
 - mixing: no row goes; the rows come out in the order of the mixture.
@@ -29,6 +31,10 @@ from report_lake.llm import dartminhash, langid, mixing, packing, toxicity
 from report_lake.llm.common import fresh, read_table, stage
 
 
+#: Languages the corpus is to hold, and the score from which another one is believed.
+WANTED, SURE = ("de", "en", "es", "fr"), 0.9
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects the rows whose whole text is predicted toxic."""
     grammar = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -38,11 +44,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects the rows in which no language can be told."""
+    """Rejects the rows in which no language can be told or that are in none of ``WANTED``."""
     network = langid.fit(docs)
+    if not network.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     c = fresh(docs, "lang", "score")
     found = langid.predict(docs, network, lang_col=c["lang"], score_col=c["score"])
-    return found.filter(F.col(c["lang"]) != langid.UNDETERMINED).select(*docs.columns)
+    unwanted = ~F.col(c["lang"]).isin(*WANTED) & (F.col(c["score"]) >= SURE)
+    return found.filter((F.col(c["lang"]) != langid.UNDETERMINED) & ~unwanted).select(*docs.columns)
 
 
 def near_dups_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
+from llm_helpers import docs_of  # noqa: F401
 from report_lake.llm import dartminhash, langid, packing, toxicity
 
 
@@ -77,6 +78,18 @@ def test_stages_against_brute_force(spark, tmp_shared):
     assert same(C.run(spark, sf)) == same(at["packing"])
 
 
+def test_language_stage_rejects_by_the_prediction(spark, docs_of):
+    rng = random.Random(3)
+    words = {"en": ["the", "house", "with", "which", "thing", "would", "they"], "xx": ["zqok", "qzuu", "kkzoq", "uuqkz", "qoqo", "zukk"]}
+    text = lambda k: " ".join(rng.choice(words[k]) for _ in range(400))
+    rows = [(i, text(k), k) for i, k in enumerate(["en", "xx"] * 200)]
+    rows += [(500, text("xx"), None), (501, text("xx"), "en"), (502, text("en"), None), (503, text("en"), "xx"), (504, "12 34", "en"), (505, None, "en")]
+    got = {r["doc_id"] for r in C.language_stage(spark, docs_of(rows), "").collect()}
+    assert got == {r[0] for r in rows[:400] if r[2] == "en"} | {502, 503}
+    untaught = [(1, "clean text", None), (2, "more text", ""), (3, "42", None), (4, None, None)]
+    assert {r["doc_id"] for r in C.language_stage(spark, docs_of(untaught), "").collect()} == {1, 2}
+
+
 def test_repeated_ids_with_different_texts_stay(spark):
     rows = [(5, "alpha beta gamma delta epsilon", "en", "a", 1), (5, "one two three four five six", "en", "a", 1), (6, "alpha beta gamma delta epsilon", "en", "a", 1), (None, None, "en", "a", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
