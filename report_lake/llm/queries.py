@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, interpolation, langid, mih, mixing, packing, sharding, toxicity, voronoi, wrappers
+from . import dartminhash, interpolation, langid, mih, mixing, packing, reply_trees, sharding, toxicity, voronoi, wrappers
 from .common import fold, read_table
 
 
@@ -64,6 +64,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", "source"), full=True)
 
 
+def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that spells control strings, formatted and read back."""
+    talk = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    spoof = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    rows = talk.unionByName(spoof)
+    out = reply_trees.chats(reply_trees.from_turns(rows, *map(F.col, ("conv_id", "turn", "role", "text"))))
+    out = out.withColumn("turns", reply_trees.read_back(F.col("formatted"))).withColumn("learned", reply_trees.loss_text(F.col("formatted"), F.col("loss")))
+    lines = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return out.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_wrappers": op2_wrappers,
@@ -75,9 +93,34 @@ QUERIES = {
     "op8_voronoi": op8_voronoi,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op11_reply_trees": op11_reply_trees,
 }
+
+
+def _formatted_chars(t: reply_trees.Template) -> str:
+    """SQL: the length of a turn as the template writes it."""
+
+    def escaped(c: str) -> str:
+        found = [f"(len({c}) - len(replace({c}, '{x}', ''))) // {len(x)}" for x in ("\\", *t.controls)]
+        return " + ".join([f"len({c})", *found])
+
+    return f"{len(t.head + t.sep + t.end)} + {escaped('role')} + {escaped('text')}"
+
+
 #: Exact integer scores: the join is a cross comparison in SQL.
 ORACLES: dict[str, str] = {
+    "op11_reply_trees": f"""
+        with rows as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+               cast(sum(case when role = 'assistant' then len(text) else 0 end) as bigint) as loss_chars,
+               sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn nulls first, role, text)) as loss_sha256,
+               cast(sum({_formatted_chars(reply_trees.Template())}) as bigint) as formatted_chars
+        from rows group by conv_id
+    """,
     "op8_voronoi": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
