@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, interpolation, langid, mih, mixing, packing, reply_trees, sharding, toxicity, voronoi, wrappers
+from . import dartminhash, interpolation, langid, merkle, mih, mixing, packing, reply_trees, sharding, toxicity, voronoi, wrappers
 from .common import fold, read_table
 
 
@@ -82,6 +82,15 @@ def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents by language; rows chosen by their id's crc32 present one character more."""
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    claimed = [F.when(tampered, F.col(c) + 1).otherwise(F.col(c)) if c == "n_chars" else F.col(c) for c in fields]
+    return merkle.manifest(docs, "lang", ["doc_id"], fields, claimed, keep=["doc_id"])
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_wrappers": op2_wrappers,
@@ -94,6 +103,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
     "op11_reply_trees": op11_reply_trees,
+    "op12_merkle": op12_merkle,
 }
 
 
@@ -107,8 +117,63 @@ def _formatted_chars(t: reply_trees.Template) -> str:
     return f"{len(t.head + t.sep + t.end)} + {escaped('role')} + {escaped('text')}"
 
 
+def _sql_field(c: str) -> str:
+    """SQL: a value as a Merkle leaf hashes it."""
+    return f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+
+
+_SQL_LEAF = "sha256(" + " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+#: The tree level by level, then every row's way up it; crc32 by its table.
+_MERKLE_SQL = f"""
+    with recursive tab as (
+        select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+        from (select range as i from range(256))
+    ), crc as (
+        select doc_id as crc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+                                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as crc
+        from (select distinct doc_id from documents), tab
+    ), leaves as (
+        select doc_id, lang, {_SQL_LEAF.format(n="n_chars")} as leaf,
+               case when crc % 7 = 0 then {_SQL_LEAF.format(n="(n_chars + 1)")} else {_SQL_LEAF.format(n="n_chars")} end as claimed
+        from documents d left join crc c on c.crc_id is not distinct from d.doc_id
+    ), placed as (
+        select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by lang) as n from leaves
+    ), low as (
+        select lang, 0 as lvl, idx, leaf as h, n from placed
+        union all
+        select lang, lvl + 1, idx // 2, sha256(string_agg(h, '' order by idx)), (n + 1) // 2 from low where n > 1 group by lang, lvl, idx // 2, n
+    ), subroots as (
+        select lang, h as subroot, lvl as height, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as n from low where n = 1
+    ), high as (
+        select 0 as lvl, place as idx, subroot as h, n from subroots
+        union all
+        select lvl + 1, idx // 2, sha256(string_agg(h, '' order by idx)), (n + 1) // 2 from high where n > 1 group by lvl, idx // 2, n
+    ), steps as (
+        select p.doc_id, p.lang, p.idx, a.lvl as step, a.idx as sib, (p.idx >> a.lvl) as own, a.h
+        from placed p join (select lang, lvl, max(n) as n from low group by lang, lvl) x on x.lang is not distinct from p.lang and x.n > 1
+        left join low a on a.lang is not distinct from p.lang and a.lvl = x.lvl and a.idx = xor(p.idx >> x.lvl, 1)
+        where a.lvl is not null
+        union all
+        select p.doc_id, p.lang, p.idx, s.height + a.lvl, a.idx, (s.place >> a.lvl), a.h
+        from placed p join subroots s on s.lang is not distinct from p.lang
+        join high a on a.n > 1 and a.idx = xor(s.place >> a.lvl, 1)
+    ), ways as (
+        select p.lang, p.idx, p.doc_id, p.leaf, p.claimed, s.subroot, r.h as root, s.height + r.lvl as steps,
+               (select coalesce(string_agg(t.h, '' order by t.step), '') from steps t where t.lang is not distinct from p.lang and t.idx = p.idx) as sibs
+        from placed p join subroots s on s.lang is not distinct from p.lang, (select h, lvl from high where n = 1) r
+    ), fold as (
+        select lang, idx, 0 as step, claimed as h, steps from ways
+        union all
+        select f.lang, f.idx, f.step + 1, sha256(case when t.h is null then f.h when t.sib < t.own then t.h || f.h else f.h || t.h end), f.steps
+        from fold f left join steps t on t.lang is not distinct from f.lang and t.idx = f.idx and t.step = f.step
+        where f.step < f.steps
+    )
+    select w.doc_id, w.leaf, w.subroot, w.root, sha256(w.sibs) as proof_sha256, f.h as folded_root, f.h = w.root as verified
+    from ways w join fold f on f.lang is not distinct from w.lang and f.idx = w.idx and f.step = f.steps
+"""
 #: Exact integer scores: the join is a cross comparison in SQL.
 ORACLES: dict[str, str] = {
+    "op12_merkle": _MERKLE_SQL,
     "op11_reply_trees": f"""
         with rows as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
