@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, interpolation, langid, merkle, mih, mixing, packing, reply_trees, sharding, toxicity, voronoi, wrappers
+from . import dartminhash, interpolation, langid, merkle, mih, mixing, packing, reply_trees, runs, sharding, toxicity, voronoi, wrappers
 from .common import fold, read_table
 
 
@@ -91,6 +91,20 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, "lang", ["doc_id"], fields, claimed, keep=["doc_id"])
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, a tenth of which repeat from a place on."""
+    out = runs.find_runs(read_table(spark, sf_dir, "documents"), rewrite=runs.periodic)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    out = out.withColumn("best", longest)
+    length, period = F.col("best.length"), -F.col("best.period")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("best.length * 1000 div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_wrappers": op2_wrappers,
@@ -104,6 +118,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_reply_trees": op11_reply_trees,
     "op12_merkle": op12_merkle,
+    "op13_runs": op13_runs,
 }
 
 
