@@ -3,10 +3,13 @@ quarantine, compaction and superseded files.
 
 A table is a folder of data files in ``fmt`` (``parquet`` by default; ``delta``
 passes through to the Delta source where its jar is installed). Every stored
-column is a nullable string, in the order of the report spec.
+column is a nullable string, in the order of the report spec. Data lies in
+partitions ``report_date=<day>/load=<key>``: the typed day prunes scans, and the
+load key (batch and report) makes a repeated append replace what it wrote before,
+by dynamic partition overwrite, without a look into the table. :func:`read_table`
+gives the spec's columns.
 
-The driver holds one entry per *report* of a batch (a day's directory or a named
-file), never rows or part files.
+The driver holds no list of reports or files: candidates are a staged frame.
 """
 
 from __future__ import annotations
@@ -14,15 +17,18 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 from typing import Optional
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name
-from ..sources.csv import report_unit, scan_report_csv
+from ..session import path_exists, qualified, stage
+from ..sources.csv import file_status, report_unit, scan_candidates
 from ..sources.files import list_files
-from ..sources.ledger import LEDGER_SCHEMA, append_ledger, pending, read_ledger
+from ..sources.ledger import LEDGER_SCHEMA, append_ledger, open_batches, read_ledger
 from ..spec import get_spec
 from .parse import STATUS_FILE_FORMAT
 
@@ -30,6 +36,9 @@ from .parse import STATUS_FILE_FORMAT
 TARGET_FILE_BYTES = 1 << 30
 # Retention of superseded files: 7 days.
 DEFAULT_RETENTION_HOURS = 168
+#: Partition columns of a table's folder.
+PARTITIONS = ("report_date", "load")
+STATUS_MISSING = "missing"
 
 
 def default_ledger_path(table_path: str) -> str:
@@ -43,71 +52,148 @@ def create_or_open_table(spark: SparkSession, path: str, report_type, fmt: str =
     table whose schema differs from the spec is an error."""
     spec = get_spec(report_type)
     empty = spark.createDataFrame([], spec.schema)
+    # an empty file in the folder itself holds the schema until partitions exist
     empty.write.format(fmt).mode("overwrite" if overwrite else "ignore").save(path)
     df = spark.read.format(fmt).load(path)
-    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name not in PARTITIONS]
     want = [(f.name, f.dataType.simpleString()) for f in spec.schema.fields]
     if got != want:
         raise ValueError(f"table at {path} has schema {got}, expected {want} for report type {spec.name}")
     return df
 
 
+def read_table(spark: SparkSession, path: str, report_type, fmt: str = "parquet", start=None, end=None,
+               days: Optional[DataFrame] = None) -> DataFrame:
+    """The spec's columns of a table; of a range of report days (inclusive), or of
+    those in the column ``day`` of ``days``: other days' folders are not read."""
+    df = create_or_open_table(spark, path, report_type, fmt)
+    if "report_date" in df.columns:
+        if start is not None:
+            df = df.where(F.col("report_date") >= F.to_date(F.lit(str(start))))
+        if end is not None:
+            df = df.where(F.col("report_date") <= F.to_date(F.lit(str(end))))
+        if days is not None:
+            df = df.join(days.select(F.col("day").cast("date").alias("report_date")).distinct(), "report_date", "left_semi")
+    return df.select(*get_spec(report_type).columns)
+
+
+def load_key(batch: Column, unit: Column) -> Column:
+    """The ``load`` partition of a report's rows in a batch."""
+    return F.concat(batch, F.lit("-"), F.lower(F.hex(F.xxhash64(unit))))
+
+
+def write_rows(rows: DataFrame, table_path: str, report_type, batch: Column, unit: Column, fmt: str = "parquet",
+               n_tasks: Optional[int] = None, spread: Optional[Column] = None) -> None:
+    """Write rows to the partitions of their day, batch and report, replacing these
+    partitions and no others. ``spread`` splits a large report over several tasks."""
+    spec = get_spec(report_type)
+    out = rows.select(*spec.columns, F.expr("try_cast(date as date)").alias("report_date"), load_key(batch, unit).alias("load"), (F.lit(0) if spread is None else spread).alias("_s"))
+    n = n_tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartition(n, *PARTITIONS, "_s").drop("_s")
+    out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).save(table_path)
+
+
 def load_candidates(spark: SparkSession, report_type, ledger_path: str, csv_folder: Optional[str] = None,
                     csv_paths=None, listing: Optional[DataFrame] = None, retry_skipped: bool = False) -> DataFrame:
-    """CSV files to load, as ``path, length, unit``.
+    """CSV files to load, as ``path, length, written, unit, kind``.
 
     Files found by folder (or in ``listing``) must end with ``.csv`` and carry the
     spec's prefix in their name, or in their ``report=`` directory where they lie
     in one. Paths given explicitly are taken as they are. Neither is a candidate
-    if the ledger knows its unit; a file offered twice is a candidate once.
+    if the ledger knows its unit; a file offered twice is a candidate once. ``kind``
+    is ``layout`` for files of the folder's own ``report=`` directories, ``plain`` for
+    its other files and ``named`` for files given otherwise.
     """
     spec = get_spec(report_type)
-    found = []
-    if csv_folder:
-        found.append(list_files(spark, csv_folder, glob="*.csv", recursive=True))
-    if listing is not None:
-        found.append(listing)
     report = F.regexp_extract("path", r"/report=([^/]+)/[^/]*$", 1)
     name = F.when(report != "", report).otherwise(file_name("path"))
-    parts = [f.select("path", "length").where(name.contains(spec.prefix) & F.col("path").endswith(".csv")) for f in found]
+    fits, written = name.contains(spec.prefix) & F.col("path").endswith(".csv"), F.col("modificationTime").alias("written")
+    parts = []
+    if csv_folder:
+        own = F.col("path").startswith(qualified(spark, csv_folder) + "/report=") & F.regexp_replace("path", r"/report=[^/]+/[^/]*$", "").eqNullSafe(F.lit(qualified(spark, csv_folder)))
+        kind = F.when(own, F.lit("layout")).otherwise(F.lit("plain")).alias("kind")
+        parts.append(list_files(spark, csv_folder, glob="*.csv", recursive=True).where(fits).select("path", "length", written, kind))
+    if listing is not None:
+        parts.append(listing.where(fits).select("path", "length", F.lit(None).cast("timestamp").alias("written"), F.lit("named").alias("kind")))
     if csv_paths:
-        parts.append(list_files(spark, csv_paths).select("path", "length"))
+        parts.append(list_files(spark, csv_paths).select("path", "length", written, F.lit("named").alias("kind")))
     if not parts:
         raise ValueError("give csv_folder, csv_paths or listing")
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    cands = reduce(DataFrame.unionByName, parts)
     done = read_ledger(spark, ledger_path, include_skipped=not retry_skipped)
-    cands = cands.dropDuplicates(["path"]).withColumn("unit", report_unit("path"))
-    return cands.join(done, F.col("unit") == F.col("csv_file"), "left_anti")
+    cands = cands.groupBy("path").agg(F.max("length").alias("length"), F.max("written").alias("written"), F.min("kind").alias("kind"))
+    return cands.withColumn("unit", report_unit("path")).join(done, F.col("unit") == F.col("csv_file"), "left_anti")
 
 
 @dataclass
 class AppendResult:
     rows: int
-    files: DataFrame  # csv_file, rows, bad_rows, status
+    files: DataFrame  # csv_file, unit, batch, rows, bad_rows, status
+    candidates: int = 0
 
 
-def append_batch(spark: SparkSession, table_path: str, csv_paths, report_type, fmt: str = "parquet",
-                 input_bytes: Optional[int] = None, target_file_bytes: int = TARGET_FILE_BYTES) -> AppendResult:
-    """Append the CSV files at the given paths (files or report directories) to
-    the table as one write.
+def append_candidates(spark: SparkSession, table_path: str, cands: DataFrame, report_type, csv_folder: Optional[str] = None,
+                      named=(), fmt: str = "parquet", target_file_bytes: int = TARGET_FILE_BYTES) -> AppendResult:
+    """Append the files of a candidate frame (see :func:`load_candidates`, plus
+    ``batch``) to the table as one write; a repeat with the same batches replaces
+    the first.
 
-    The CSV is parsed once (see :func:`scan_report_csv`). Files with a malformed
-    row are skipped whole. Output files are sized to ``target_file_bytes`` from
-    the input size; the row count is an observed metric of the write itself.
+    The CSV is parsed once, into a staged table. A report with a malformed row is
+    skipped whole. A large report is written by several tasks, about
+    ``target_file_bytes`` of input each. Of the candidates the driver sees one row
+    of counts; files that have gone since the listing get the status ``missing``.
     """
     spec = get_spec(report_type)
+    report = F.regexp_extract("path", r"/report=([^/]+)/[^/]*$", 1)
+    size = F.ceil(F.sum("length").over(W.partitionBy("unit", "batch")) / target_file_bytes)
+    cands = cands.select(F.col("path").alias("csv_file"), "unit", "batch", "kind", "written", F.greatest(size, F.lit(1)).cast("long").alias("slices"), report.alias("report"))
+    cands = stage(cands, "candidates")
+    plain = F.col("kind") == "plain"
+    n = cands.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "layout").alias("layout"), F.count_if(plain).alias("plain"),
+        F.min(F.when(plain, F.col("written"))).alias("since"), F.max(F.when(plain, F.col("written"))).alias("until"), F.sum("slices").alias("slices"),
+    ).first()
+    if not n["n"]:
+        return AppendResult(0, file_status(cands.select("csv_file", F.lit(False).alias("malformed")), cands.select("csv_file", "unit", "batch")))
+    raw = scan_candidates(spark, cands, spec, csv_folder, n["layout"], n["plain"], n["since"], n["until"], list(named))
+    raw = stage(raw.withColumn("at", F.monotonically_increasing_id()), "csv_rows")
+    files = stage(file_status(raw, cands.select("csv_file", "unit", "batch")), "csv_files")
+    files = _gone(spark, files, csv_folder, list(named))
+    bad = files.where("bad_rows > 0").select("unit", "batch").distinct()
+    rows = raw.join(bad, ["unit", "batch"], "left_anti")
+    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(int(n["slices"]), 100_000))
+    write_rows(rows, table_path, spec, F.col("batch"), F.col("unit"), fmt, n_tasks, F.col("at") % F.col("slices"))
+    written = files.join(bad, ["unit", "batch"], "left_anti").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    return AppendResult(int(written), files, int(n["n"]))
+
+
+def _gone(spark: SparkSession, files: DataFrame, csv_folder: Optional[str], named: list) -> DataFrame:
+    """``files`` with the status ``missing`` for those without rows that are not there any more."""
+    empty = files.where("rows = 0")
+    if empty.isEmpty():
+        return files
+    there = [list_files(spark, csv_folder, glob="*.csv", recursive=True).select("path")] if csv_folder else []
+    left = [p for p in named if path_exists(spark, p)]
+    there += [list_files(spark, left).select("path")] if left else []
+    if not there:
+        return files.withColumn("status", F.when(F.col("rows") == 0, F.lit(STATUS_MISSING)).otherwise(F.col("status")))
+    there = reduce(DataFrame.unionByName, there).select(F.col("path").alias("csv_file"), F.lit(True).alias("there")).distinct()
+    lost = (F.col("rows") == 0) & F.col("there").isNull()
+    return files.join(there, "csv_file", "left").withColumn("status", F.when(lost, F.lit(STATUS_MISSING)).otherwise(F.col("status"))).drop("there")
+
+
+def append_batch(spark: SparkSession, table_path: str, csv_paths, report_type, fmt: str = "parquet",
+                 target_file_bytes: int = TARGET_FILE_BYTES, batch: Optional[str] = None) -> AppendResult:
+    """Append the CSV files at the given paths (files or report directories) to the
+    table as one write. With ``batch``, a repeat of that batch replaces it. Paths
+    that do not exist are left out."""
     paths = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
-    listing = list_files(spark, paths, recursive=True)
-    rows, files = scan_report_csv(spark, paths, spec, recursive=True, listing=listing)
-    if input_bytes is None:
-        input_bytes = int(listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
-    n_files = max(1, math.ceil(input_bytes / target_file_bytes))
-    obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
-    out = rows.select(*spec.columns).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.repartition(n_files).write.format(fmt).mode("append").save(table_path)
-    return AppendResult(rows=int(obs.get.get("rows", 0)), files=files)
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        raise ValueError("none of the given paths exists")
+    found = list_files(spark, paths, recursive=True).select("path", "length", F.col("modificationTime").alias("written"))
+    cands = found.select("*", report_unit("path").alias("unit"), F.lit("named").alias("kind"), F.lit(batch or uuid.uuid4().hex).alias("batch"))
+    return append_candidates(spark, table_path, cands, report_type, None, paths, fmt, target_file_bytes)
 
 
 @dataclass
@@ -117,24 +203,34 @@ class LoadResult:
     files: Optional[DataFrame]
 
 
-def _settle_pending(spark: SparkSession, table_path: str, spec, ledger_path: str, fmt: str) -> None:
-    """A load that stopped between announcing its batch and finishing it either
-    appended all of it (one write) or nothing. If rows of the announced reports
-    are in the table, the reports are recorded as loaded; else they are offered
-    again by the normal path."""
-    left = [r["csv_file"] for r in pending(spark, ledger_path).collect()]
-    if not left:
-        return
-    rows, files = scan_report_csv(spark, left, spec)
-    stored = spark.read.format(fmt).load(table_path)
-    if not rows.select(*spec.columns).intersect(stored.select(*spec.columns)).isEmpty():
-        append_ledger(_unit_status(files), ledger_path)
+def unit_status(files: DataFrame) -> DataFrame:
+    """One ledger entry per report and batch: ``skipped`` if one of its files was
+    malformed, ``missing`` if all of them had gone."""
+    bad, there = F.max(F.col("status") == "malformed"), F.max(F.col("status") != STATUS_MISSING)
+    status = F.when(bad, F.lit("skipped")).when(there, F.lit("loaded")).otherwise(F.lit(STATUS_MISSING))
+    return files.groupBy(F.col("unit").alias("csv_file"), "batch").agg(status.alias("status"))
+
+
+def announce(cands: DataFrame, ledger_path: str) -> None:
+    """Write the reports of a batch to the ledger before anything is appended."""
+    append_ledger(cands.select(F.col("unit").alias("csv_file"), "batch").distinct(), ledger_path, "pending")
 
 
-def _unit_status(files: DataFrame) -> DataFrame:
-    """One ledger entry per report: ``skipped`` if one of its files was malformed."""
-    bad = F.max(F.col("status") != "ok")
-    return files.groupBy(report_unit("csv_file").alias("csv_file")).agg(F.when(bad, F.lit("skipped")).otherwise(F.lit("loaded")).alias("status"))
+def _vanished(spark: SparkSession, table_path: str, open_: DataFrame, cands: DataFrame, fmt: str):
+    """Announced reports that no listing offers now: ``(paths that still exist,
+    frame of the others)``. The others are ``loaded`` if their rows are in the table
+    (an append puts a report's partition there as a whole), else ``missing``."""
+    left = open_.join(cands.select(F.col("unit").alias("csv_file")).distinct(), "csv_file", "left_anti")
+    left = [(r["csv_file"], r["batch"]) for r in left.collect()]  # reports of a stopped batch that were named one by one, or have gone
+    here = [(p, b) for p, b in left if path_exists(spark, p)]
+    gone = spark.createDataFrame([x for x in left if x not in here], "csv_file string, batch string")
+    if len(here) < len(left):
+        df = spark.read.format(fmt).load(table_path)
+        loads = df.select("load").distinct() if "load" in df.columns else spark.createDataFrame([], "load string")
+        gone = gone.withColumn("load", load_key(F.col("batch"), F.col("csv_file"))).join(loads.withColumn("there", F.lit(True)), "load", "left")
+        gone = gone.select("csv_file", "batch", F.when(F.col("there"), F.lit("loaded")).otherwise(F.lit(STATUS_MISSING)).alias("status"))
+    # staged, as the append will replace files of the table
+    return here, stage(gone, "gone") if len(here) < len(left) else None
 
 
 def load_table(spark: SparkSession, table_path: str, report_type, csv_folder: Optional[str] = None,
@@ -146,44 +242,69 @@ def load_table(spark: SparkSession, table_path: str, report_type, csv_folder: Op
     ``recreate`` replaces the table and the ledger first. Files skipped as
     malformed are logged with status ``skipped``, go to ``quarantine_path`` if
     given, and are offered again only with ``retry_skipped``. The batch is
-    announced in the ledger before the append, so a crash at any point is settled
-    by the next load and no report is loaded twice.
+    announced in the ledger before the append. After a crash at any point the next
+    load offers the announced reports again under their old batch, and what the
+    stopped load had written is replaced: no row is lost or loaded twice. Announced
+    files that have gone stop nothing; they are ``missing``.
     """
     spec = get_spec(report_type)
     ledger_path = ledger_path or default_ledger_path(table_path)
+    named = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths or [])
     if recreate:
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("overwrite").json(ledger_path)
     create_or_open_table(spark, table_path, spec, fmt, overwrite=recreate)
-    _settle_pending(spark, table_path, spec, ledger_path, fmt)
     cands = load_candidates(spark, spec, ledger_path, csv_folder, csv_paths, retry_skipped=retry_skipped)
-    # one row per report: days, not part files
-    picked = cands.groupBy("unit").agg(F.sum("length").alias("length"), F.count(F.lit(1)).alias("files")).collect()
-    if not picked:
-        return LoadResult(rows=0, candidates=0, files=None)
-    units = [r["unit"] for r in picked]
+    open_ = open_batches(spark, ledger_path)
     batch = uuid.uuid4().hex
-    append_ledger(spark.createDataFrame([(u,) for u in units], "csv_file string"), ledger_path, "pending", batch=batch)
-    res = append_batch(spark, table_path, units, spec, fmt, input_bytes=sum(int(r["length"] or 0) for r in picked), target_file_bytes=target_file_bytes)
-    append_ledger(_unit_status(res.files), ledger_path, batch=batch)
+    cands = cands.join(open_.select(F.col("csv_file").alias("unit"), F.col("batch").alias("old")), "unit", "left")
+    cands = stage(cands.select("*", F.coalesce("old", F.lit(batch)).alias("batch")).drop("old"), "load")
+    here, gone = _vanished(spark, table_path, open_, cands, fmt)
+    if here:
+        more = list_files(spark, [p for p, _ in here], recursive=True).select("path", "length", F.col("modificationTime").alias("written"), report_unit("path").alias("unit"), F.lit("named").alias("kind"))
+        cands = cands.unionByName(more.join(spark.createDataFrame(here, "unit string, batch string"), "unit"))
+        named += [p for p, _ in here]
+    new = cands.where(F.col("batch") == batch)
+    if not new.isEmpty():
+        announce(new, ledger_path)
+    res = append_candidates(spark, table_path, cands, spec, csv_folder, named, fmt, target_file_bytes)
+    files, entries = res.files, unit_status(res.files)
+    if gone is not None:
+        files = files.unionByName(gone.withColumn("unit", F.col("csv_file")), allowMissingColumns=True)
+        entries = entries.unionByName(gone)
     if quarantine_path:
-        bad = res.files.select(
-            F.col("csv_file").alias("path"), F.lit(spec.name).alias("report_type"), F.lit(None).cast("date").alias("report_date"),
-            F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit(STATUS_FILE_FORMAT)).alias("status"),
-            F.concat(F.lit("rows with a wrong number of fields: "), F.col("bad_rows").cast("string")).alias("error"), F.lit(True).alias("recoverable"),
-        )
-        quarantine(bad, quarantine_path)
-    return LoadResult(rows=res.rows, candidates=sum(r["files"] for r in picked), files=res.files)
+        quarantine(_file_errors(files, spec), quarantine_path)
+    append_ledger(entries, ledger_path)
+    return LoadResult(rows=res.rows, candidates=res.candidates, files=files if res.candidates else None)
+
+
+def _file_errors(files: DataFrame, spec) -> DataFrame:
+    """Files of a load as rows for the quarantine."""
+    error = F.when(F.col("status") == STATUS_MISSING, F.lit("announced, but gone")).otherwise(F.concat(F.lit("rows with a wrong number of fields: "), F.col("bad_rows").cast("string")))
+    status = F.when(F.col("status") == "malformed", F.lit(STATUS_FILE_FORMAT)).when(F.col("status") == STATUS_MISSING, F.col("status")).otherwise(F.lit("ok"))
+    return files.select(
+        F.col("csv_file").alias("path"), F.lit(spec.name).alias("report_type"), F.lit(None).cast("date").alias("report_date"),
+        status.alias("status"), error.alias("error"), F.lit(True).alias("recoverable"), "batch",
+    )
+
+
+QUARANTINE_SCHEMA = "path string, report_type string, report_date date, status string, error string, recoverable boolean, quarantined_at timestamp, batch string"
 
 
 def quarantine(status: DataFrame, quarantine_path: str) -> DataFrame:
-    """Append the non-``ok`` file statuses to the quarantine table; source files
-    are never moved. Returns the quarantine table."""
+    """Put the non-``ok`` file statuses into the quarantine table; source files are
+    never moved. Rows that carry a ``batch`` replace those of that batch, so a
+    replayed batch is there once. Returns the quarantine table."""
+    batch = F.coalesce("batch", F.lit("none")) if "batch" in status.columns else F.lit(uuid.uuid4().hex)
     bad = status.where(F.col("status") != "ok").select(
         "path", "report_type", "report_date", "status", "error", "recoverable",
-        F.current_timestamp().alias("quarantined_at"),
+        F.current_timestamp().alias("quarantined_at"), batch.alias("batch"),
     )
-    bad.write.mode("append").parquet(quarantine_path)
-    return status.sparkSession.read.parquet(quarantine_path)
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine_path)
+    return read_quarantine(status.sparkSession, quarantine_path)
+
+
+def read_quarantine(spark: SparkSession, quarantine_path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine_path)
 
 
 @dataclass
@@ -195,22 +316,36 @@ class CompactResult:
 
 def compact(spark: SparkSession, table_path: str, target_path: str, fmt: str = "parquet",
             target_file_bytes: int = TARGET_FILE_BYTES) -> CompactResult:
-    """Rewrite a table into ``ceil(bytes / target)`` files at ``target_path``.
+    """Rewrite a table at ``target_path``, each day into files of about ``target_file_bytes``.
 
     The old folder stays as it is until its readers have moved on;
     :func:`stale_files` lists what of it may go. A plain Spark rewrite, for plain
-    file formats only: formats with a transaction log compact themselves.
+    file formats only: formats with a transaction log compact themselves. To merge
+    small files alone see :func:`compact_packed`.
     """
     if fmt not in ("parquet", "orc", "json", "csv"):
         raise ValueError(f"{fmt} keeps a log of its files; use its own compaction")
-    stats = list_files(spark, table_path).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
-    n_target = max(1, math.ceil(int(stats["bytes"]) / target_file_bytes))
-    spark.read.format(fmt).load(table_path).repartition(n_target).write.format(fmt).save(target_path)
-    return CompactResult(int(stats["n"]), list_files(spark, target_path).count(), int(stats["bytes"]))
+    stats = list_files(spark, table_path, recursive=True).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    df = spark.read.format(fmt).load(table_path)
+    if "load" in df.columns:
+        spec_cols = [c for c in df.columns if c not in PARTITIONS]
+        spark.createDataFrame([], df.select(*spec_cols).schema).write.format(fmt).mode("ignore").save(target_path)
+        # a day in as many files as its share of the bytes asks for
+        n_rows = max(1, df.count())
+        per_file = max(1, n_rows * target_file_bytes // max(1, int(stats["bytes"])))
+        days = df.groupBy("report_date").agg(F.ceil(F.count(F.lit(1)) / per_file).alias("_n"))
+        rows = df.withColumn("_at", F.monotonically_increasing_id()).join(days.withColumnRenamed("report_date", "_d"), F.col("report_date").eqNullSafe(F.col("_d")))
+        n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(int(stats["bytes"]) / target_file_bytes))
+        rows = rows.withColumn("_s", F.col("_at") % F.col("_n")).repartition(n_tasks, "report_date", "_s")
+        rows.select(*spec_cols, "report_date", F.lit("compact").alias("load")).write.format(fmt).mode("append").partitionBy(*PARTITIONS).save(target_path)
+    else:
+        n_target = max(1, math.ceil(int(stats["bytes"]) / target_file_bytes))
+        df.repartition(n_target).write.format(fmt).save(target_path)
+    return CompactResult(int(stats["n"]), list_files(spark, target_path, recursive=True).count(), int(stats["bytes"]))
 
 
 def stale_files(spark: SparkSession, replaced_path: str, retention_hours: float = DEFAULT_RETENTION_HOURS) -> DataFrame:
     """Files of a replaced table folder that were last written before the
     retention window: ``path, length, modificationTime``."""
     cutoff = F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(retention_hours) * 3600))
-    return list_files(spark, replaced_path).where(F.col("modificationTime") <= cutoff).select("path", "length", "modificationTime")
+    return list_files(spark, replaced_path, recursive=True).where(F.col("modificationTime") <= cutoff).select("path", "length", "modificationTime")

@@ -26,6 +26,7 @@ from ..operators.table import (
     load_candidates,
     load_table,
     quarantine,
+    read_table,
     stale_files,
 )
 from ..session import scratch_path, to_local_or_uri
@@ -168,19 +169,19 @@ def q_table_create(spark: SparkSession, sf: str) -> DataFrame:
     create_or_open_table(spark, table, "st1")  # second call opens, keeps the table
     csv = fixtures.csv_folder(spark, sf)
     load_table(spark, table, "st1", csv_folder=csv)
-    return spark.read.parquet(table)
+    return read_table(spark, table, "st1")
 
 
 def q_append_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(_loaded_table(spark, sf))
+    return read_table(spark, _loaded_table(spark, sf), "st1")
 
 
 def q_table_count(spark: SparkSession, sf: str) -> DataFrame:
-    return table_count(spark.read.parquet(_loaded_table(spark, sf, two_batches=False)))
+    return table_count(read_table(spark, _loaded_table(spark, sf, two_batches=False), "st1"))
 
 
 def q_table_head(spark: SparkSession, sf: str) -> DataFrame:
-    t = spark.read.parquet(_loaded_table(spark, sf, two_batches=False))
+    t = read_table(spark, _loaded_table(spark, sf, two_batches=False), "st1")
     return table_head(t, 10, ["date", "licence_number"])
 
 
@@ -191,7 +192,7 @@ def q_table_recreate(spark: SparkSession, sf: str) -> DataFrame:
     write_report_csv(recs, csv, "st1")
     load_table(spark, table, "st1", csv_folder=csv)
     load_table(spark, table, "st1", csv_folder=csv, recreate=True)  # replaces table and ledger: rows once
-    return spark.read.parquet(table)
+    return read_table(spark, table, "st1")
 
 
 def q_ledger_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,7 +225,7 @@ def q_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 def _compacted(spark: SparkSession, sf: str) -> tuple[str, str]:
     table, target = scratch_path(spark, "table_st49"), scratch_path(spark, "table_st49_compact")
     create_or_open_table(spark, table, "st49")
-    records_to_table(fixtures.parsed_st49(spark, sf).records.repartition(24), table, "st49")
+    records_to_table(fixtures.parsed_st49(spark, sf).records, table, "st49", spread=F.col("record_no") % 3)
     res = compact(spark, table, target)
     if res.files_after >= res.files_before:
         raise AssertionError(f"compaction did not reduce files: {res}")
@@ -232,7 +233,7 @@ def _compacted(spark: SparkSession, sf: str) -> tuple[str, str]:
 
 
 def q_compact(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(_compacted(spark, sf)[1])
+    return read_table(spark, _compacted(spark, sf)[1], "st49")
 
 
 def q_stale_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,7 +254,7 @@ def q_load_single_path(spark: SparkSession, sf: str) -> DataFrame:
     paths = [r["path"] for r in list_files(spark, copy, glob="*.csv").select("path").collect()]
     load_table(spark, table, "st1", csv_paths=paths)
     load_table(spark, table, "st1", csv_paths=paths)  # known by now
-    return spark.read.parquet(table)
+    return read_table(spark, table, "st1")
 
 
 def q_reload_same_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,7 +264,7 @@ def q_reload_same_report(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         write_report_csv(recs, csv, "st1")
         load_table(spark, table, "st1", csv_folder=csv)
-    return spark.read.parquet(table)
+    return read_table(spark, table, "st1")
 
 
 def q_rows_loaded(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,7 +294,7 @@ def _reconcile(spark: SparkSession, records: DataFrame, report_type: str, column
     kept = records.where(dom != 6).withColumn(column, F.when(dom == 5, F.concat(F.lit("x"), column)).otherwise(F.col(column)))
     create_or_open_table(spark, table, report_type)
     records_to_table(kept.unionByName(kept.where(dom == 7)), table, report_type)
-    return sym_diff(read_report_csv(spark, csv, report_type), spark.read.parquet(table), all=True)
+    return sym_diff(read_report_csv(spark, csv, report_type), read_table(spark, table, report_type), all=True)
 
 
 def q_reconcile_st1(spark: SparkSession, sf: str) -> DataFrame:
@@ -465,7 +466,7 @@ def q_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     incremental_stream(spark, folder, "st1", table, ckpt)
     fixtures.add_report_files(spark, sf, folder, "st1", ~early)
     incremental_stream(spark, folder, "st1", table, ckpt)
-    return spark.read.parquet(table)
+    return read_table(spark, table, "st1")
 
 
 def q_stream_ledger(spark: SparkSession, sf: str) -> DataFrame:

@@ -80,6 +80,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as listings give it: with its scheme, unescaped."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
+
+
 BUCKET_BYTES = 128 << 20
 
 

@@ -82,6 +82,43 @@ def write_report_csv(records: DataFrame, out_dir: str, report_type, records_per_
     )
 
 
+def _reader(spark: SparkSession, spec: ReportSpec, *more):
+    schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType(), True), *more])
+    return spark.read.schema(schema).options(**CSV_READ_OPTIONS)
+
+
+def _checked(raw: DataFrame, spec: ReportSpec, *more) -> DataFrame:
+    return raw.select(*spec.columns, F.col(CORRUPT).isNotNull().alias("malformed"), plain_path(F.col("_metadata.file_path")).alias("csv_file"), *more)
+
+
+def report_partitions(spark: SparkSession, folder: str, report_type) -> DataFrame:
+    """The rows of a folder of ``report=`` directories, as written (malformed ones
+    marked), with the directory as a discovered partition column: ``report`` and
+    the typed ``report_day``. Filters on either, and joins with a filtered relation
+    of reports or days, choose directories before anything is read."""
+    spec = get_spec(report_type)
+    reader = _reader(spark, spec, T.StructField("report", T.StringType(), True)).option("basePath", folder)
+    raw = reader.option("pathGlobFilter", "*.csv").option("ignoreMissingFiles", "true").csv(folder)
+    return _checked(raw, spec, "report", F.expr("try_to_date(substr(report, 1, 8), 'yyyyMMdd')").alias("report_day"))
+
+
+def read_report_days(spark: SparkSession, folder: str, report_type, days: Optional[DataFrame] = None, start=None, end=None) -> DataFrame:
+    """Well-formed rows of the reports of some days, with ``report_day``: a range
+    (inclusive), or those in the column ``day`` of ``days``. Only the directories
+    of these days are read. A report with a malformed row is left out whole."""
+    spec = get_spec(report_type)
+    rows = report_partitions(spark, folder, spec)
+    if start is not None:
+        rows = rows.where(F.col("report_day") >= F.to_date(F.lit(str(start))))
+    if end is not None:
+        rows = rows.where(F.col("report_day") <= F.to_date(F.lit(str(end))))
+    if days is not None:
+        rows = rows.join(days.select(F.col("day").alias("report_day")).distinct(), "report_day", "left_semi")
+    rows = stage(rows, "csv_days")
+    bad = rows.where("malformed").select("report").distinct()
+    return rows.join(bad, "report", "left_anti").select(*spec.columns, "report_day")
+
+
 def scan_report_csv(spark: SparkSession, paths, report_type, recursive: bool = True, listing: Optional[DataFrame] = None):
     """Read report CSVs with the table's schema, binding columns by position.
 
@@ -95,24 +132,58 @@ def scan_report_csv(spark: SparkSession, paths, report_type, recursive: bool = T
     """
     spec = get_spec(report_type)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    schema = T.StructType(list(spec.schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    reader = spark.read.schema(schema).options(**CSV_READ_OPTIONS)
+    reader = _reader(spark, spec)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    raw = reader.csv(paths).select(*spec.columns, F.col(CORRUPT).isNotNull().alias("malformed"), plain_path(F.col("_metadata.file_path")).alias("csv_file"))
-    raw = stage(raw, "csv_rows")
+    raw = stage(_checked(reader.csv(paths), spec), "csv_rows")
     if listing is None:
         listing = list_files(spark, paths, glob="*.csv" if recursive else None, recursive=recursive)
+    files = file_status(raw, listing.select(F.col("path").alias("csv_file")).distinct())
+    bad = raw.where("malformed").select("csv_file").distinct()
+    rows = raw.join(bad, "csv_file", "left_anti").drop("malformed")
+    return rows, files
+
+
+def file_status(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """``files`` (``csv_file``, ...) with ``rows, bad_rows, status`` as found among the rows read."""
     per_file = raw.groupBy("csv_file").agg(F.count(F.lit(1)).alias("rows"), F.count_if("malformed").alias("bad_rows"))
-    files = listing.select(F.col("path").alias("csv_file")).distinct().join(per_file, "csv_file", "left").select(
-        "csv_file",
+    return files.join(per_file, "csv_file", "left").select(
+        *files.columns,
         F.coalesce("rows", F.lit(0)).alias("rows"),
         F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"),
         F.when(F.col("bad_rows") > 0, F.lit("malformed")).otherwise(F.lit("ok")).alias("status"),
     )
-    bad = raw.where("malformed").select("csv_file").distinct()
-    rows = raw.join(bad, "csv_file", "left_anti").drop("malformed")
-    return rows, files
+
+
+def scan_candidates(spark: SparkSession, cands: DataFrame, report_type, folder: Optional[str], in_layout: int, plain: int, since, until, named: list) -> DataFrame:
+    """Rows of the candidate files (``csv_file, unit, batch, slices, report, kind``,
+    one row a file), as written, with the candidate's ``unit``, ``batch`` and ``slices``.
+
+    Reports of ``folder`` are read as partitions joined with the candidates, so
+    only their directories are opened; plain files of the folder by the time
+    range in which the candidates were written, then by path; ``named`` files as
+    given. Which kinds there are (``in_layout``, ``plain``) the caller has counted."""
+    spec = get_spec(report_type)
+    carried, parts = ["unit", "batch", "slices"], []
+    if in_layout:
+        # the glob keeps plain files beside the directories out of partition discovery
+        base = f"{folder.rstrip('/')}/report=*" if plain else folder
+        reader = _reader(spark, spec, T.StructField("report", T.StringType(), True)).option("basePath", folder)
+        raw = _checked(reader.option("pathGlobFilter", "*.csv").option("ignoreMissingFiles", "true").csv(base), spec, "report")
+        reports = cands.where("kind = 'layout'").select("report", *carried).distinct()
+        parts.append(raw.join(reports, "report").drop("report"))
+    files = cands.select("csv_file", "kind", *carried)
+    if plain:
+        reader = _reader(spark, spec).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").option("ignoreMissingFiles", "true")
+        written = F.col("_metadata.file_modification_time")
+        raw = _checked(reader.csv(folder).where((written >= F.lit(since)) & (written <= F.lit(until))), spec)
+        parts.append(raw.join(files.where("kind = 'plain'").drop("kind"), "csv_file"))
+    if named:
+        parts.append(_checked(_reader(spark, spec).option("ignoreMissingFiles", "true").csv(named), spec).join(files.where("kind = 'named'").drop("kind"), "csv_file"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_report_csv(spark: SparkSession, paths, report_type, recursive: bool = True) -> DataFrame:

@@ -43,15 +43,22 @@ def read_whole(spark: SparkSession, paths, globs: Iterable[str] = ("*",), recurs
     return _reader(spark, "binaryFile", any_of(globs), recursive).load(paths).select("path", "content")
 
 
-def read_lines(spark: SparkSession, paths, globs: Iterable[str] = ("*",), recursive: bool = False, on_bad_utf8: str = "strict") -> DataFrame:
-    """The line relation ``(path, blk, pos, line, bad)`` of report files.
+def read_lines(spark: SparkSession, paths, globs: Iterable[str] = ("*",), recursive: bool = False, on_bad_utf8: str = "strict",
+               written: Optional[tuple] = None) -> DataFrame:
+    """The line relation ``(path, blk, pos, line, bad)`` of report files; with
+    ``written`` of those last written in that time range (inclusive), which the
+    listing decides, and without an error for files that go meanwhile.
 
     strict: a line that is not valid UTF-8 is marked ``bad``, which fails its
     file; replace: invalid sequences become U+FFFD. A trailing ``\\r`` stays on
     the line and goes with normalisation (a lone ``\\r`` is no line break).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = _reader(spark, "text", any_of(globs), recursive).option("lineSep", "\n").load(paths)
+    reader = _reader(spark, "text", any_of(globs), recursive).option("lineSep", "\n")
+    raw = reader.option("ignoreMissingFiles", str(written is not None).lower()).load(paths)
+    if written is not None:
+        at = F.col("_metadata.file_modification_time")
+        raw = raw.where((at >= F.lit(written[0])) & (at <= F.lit(written[1])))
     line, bad = checked_text(F.col("value"), on_bad_utf8)
     return raw.select(
         plain_path(F.col("_metadata.file_path")).alias("path"),

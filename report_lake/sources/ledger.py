@@ -4,7 +4,8 @@ A folder of JSON-lines files, one object per report:
 ``{"csv_file": ..., "timestamp": <RFC 3339 UTC>, "status": ..., "batch": ...}``.
 ``csv_file`` is the report's directory, or the file where there is none, in the
 form listings give. ``status`` is ``pending`` (written before the append),
-``loaded`` or ``skipped`` (malformed); entries without a status count as loaded.
+``loaded``, ``skipped`` (malformed) or ``missing`` (announced, then gone); entries
+without a status count as loaded. ``batch`` names the load that wrote the entry.
 The ledger lives beside the table, never inside it, so table upkeep never
 removes it.
 """
@@ -45,19 +46,28 @@ def read_ledger(spark: SparkSession, ledger_path: str, include_skipped: bool = T
     return e.where(F.coalesce(F.col("status"), F.lit("loaded")).isin(*known)).select("csv_file").distinct()
 
 
-def pending(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """``csv_file`` of batches that were announced and never finished."""
+def settled(spark: SparkSession, ledger_path: str, batch: str) -> DataFrame:
+    """``csv_file`` of the reports that a batch has come to an end with, well or not."""
     e = read_ledger_entries(spark, ledger_path)
-    done = read_ledger(spark, ledger_path)
-    return e.where(F.col("status") == "pending").select("csv_file").distinct().join(done, "csv_file", "left_anti")
+    return e.where((F.col("batch") == batch) & (F.col("status") != "pending")).select("csv_file").distinct()
+
+
+def open_batches(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """``csv_file, batch`` of reports that were announced and never settled. A load
+    that takes one up again uses its old batch, so what it wrote before is replaced."""
+    e = read_ledger_entries(spark, ledger_path).where(F.col("status").isNotNull()).withColumn("batch", F.coalesce("batch", F.lit("none")))
+    settled = e.where("status <> 'pending'").select("csv_file", "batch").distinct()
+    left = e.where("status = 'pending'").join(settled, ["csv_file", "batch"], "left_anti")
+    left = left.join(read_ledger(spark, ledger_path), "csv_file", "left_anti")
+    return left.groupBy("csv_file").agg(F.min_by("batch", F.struct("timestamp", "batch")).alias("batch"))
 
 
 def append_ledger(files: DataFrame, ledger_path: str, status: str = "loaded", overwrite: bool = False, batch: Optional[str] = None) -> None:
-    """Append one entry per row of ``files`` (column ``csv_file``) in one write."""
+    """Append one entry per row of ``files`` (column ``csv_file``, perhaps ``status`` and ``batch``) in one write."""
     entries = files.select(
         "csv_file",
         F.date_format(F.current_timestamp(), RFC3339).alias("timestamp"),
         (F.col("status") if "status" in files.columns else F.lit(status)).alias("status"),
-        F.lit(batch).cast("string").alias("batch"),
+        (F.col("batch") if batch is None and "batch" in files.columns else F.lit(batch)).cast("string").alias("batch"),
     )
     entries.write.mode("overwrite" if overwrite else "append").json(ledger_path)

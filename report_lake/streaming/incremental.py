@@ -1,91 +1,116 @@
 """Incremental loading as a Structured Streaming query.
 
-``readStream.format('binaryFile')`` discovers new report files (their bodies are
-not read by the stream); each micro-batch's paths are compared with the ledger
-and the rest is parsed by the same batch operators inside ``foreachBatch``.
-
-The ledger makes replays harmless: a micro-batch announces its files before the
-append, appends in one write, and records every file's real status after it
-(``loaded``, or ``skipped`` with a quarantine row for a file that failed). If it
-stops in between, the replayed batch finds its files announced and looks whether
-their records are in the table before it appends anything.
+``readStream.format('binaryFile')`` discovers report files (their bodies are not
+read by the stream). A stateful ``dropDuplicates`` keeps every path that was ever
+offered, so a path comes once whatever the listing does. Each micro-batch is a
+small frame of paths; its files are read as lines by the batch operators, chosen
+by the time range in which they were written and then by path, without a path list
+on the driver.
+
+The sink is keyed by the epoch: a batch id (query and epoch) is part of the
+partitions that an epoch writes, and of its quarantine rows. A replayed epoch
+replaces what its first try wrote and records the same statuses again, so it may
+stop at any point. Files that the ledger knows as loaded or skipped are left out;
+files that were announced earlier, by a load or an epoch that stopped, keep their
+old batch. Files that have gone are ``missing`` in the quarantine; others go on.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ingest import ingest_paths
+from ..operators.ingest import ingest_listing
 from ..operators.parse import STATUS_OK
-from ..operators.table import create_or_open_table, default_ledger_path, quarantine
+from ..operators.table import STATUS_MISSING, announce, create_or_open_table, default_ledger_path, quarantine, write_rows
 from ..session import stage
 from ..sources.files import any_of, list_files
-from ..sources.ledger import append_ledger, pending, read_ledger
+from ..sources.ledger import append_ledger, open_batches, read_ledger, settled
 from ..spec import get_spec
 
+#: Records of one report that one task writes.
+RECORDS_PER_TASK = 4_000_000
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def stored_form(records: DataFrame, report_type) -> DataFrame:
-    """Records as the table keeps them (no CSV hop): empty fields become NULL, as
+def stored_form(report_type) -> list:
+    """Columns as the table keeps them (no CSV hop): empty fields become NULL, as
     they would after the CSV round trip."""
-    spec = get_spec(report_type)
-    return records.select(*[F.when(F.col(c) == "", F.lit(None)).otherwise(F.col(c)).alias(c) for c in spec.columns])
+    return [F.when(F.col(c) == "", F.lit(None)).otherwise(F.col(c)).alias(c) for c in get_spec(report_type).columns]
 
 
-def records_to_table(records: DataFrame, table_path: str, report_type, fmt: str = "parquet") -> None:
-    """Append parsed records straight to the table."""
-    stored_form(records, report_type).write.format(fmt).mode("append").save(table_path)
+def records_to_table(records: DataFrame, table_path: str, report_type, fmt: str = "parquet", batch: Optional[str] = None,
+                     spread: Optional[Column] = None) -> None:
+    """Append parsed records straight to the table. With ``batch``, the days of that
+    batch that come again are replaced; ``spread`` writes a day by several tasks."""
+    rows = records.select("*", spread.alias("_spread")) if spread is not None else records.withColumn("_spread", F.lit(0))
+    write_rows(rows.select("_spread", *stored_form(report_type)), table_path, report_type, F.lit(batch or uuid.uuid4().hex), F.lit(""), fmt, spread=F.col("_spread"))
 
 
-def load_batch(spark: SparkSession, paths: list, report_type, table_path: str, ledger_path: str,
-               quarantine_path: str, fmt: str = "parquet") -> None:
-    """Parse and append the report files of one micro-batch, whatever became of earlier tries."""
+def load_batch(spark: SparkSession, listing: DataFrame, report_type, table_path: str, ledger_path: str,
+               quarantine_path: str, batch: str, source_folder: str, glob: Optional[str] = None, fmt: str = "parquet") -> None:
+    """Parse and append the report files of one micro-batch (``path, modificationTime,
+    length``), whatever became of earlier tries."""
     spec = get_spec(report_type)
-    offered = spark.createDataFrame([(p,) for p in paths], "csv_file string")
-    fresh = [r["csv_file"] for r in offered.join(read_ledger(spark, ledger_path), "csv_file", "left_anti").collect()]
-    if not fresh:
+    known = read_ledger(spark, ledger_path).union(settled(spark, ledger_path, batch)).toDF("path")
+    fresh = listing.join(known, "path", "left_anti")
+    old = open_batches(spark, ledger_path).select(F.col("csv_file").alias("path"), F.col("batch").alias("old"))
+    fresh = stage(fresh.join(old, "path", "left").select(*listing.columns, F.coalesce("old", F.lit(batch)).alias("batch")), "epoch")
+    if fresh.isEmpty():
         return
-    fresh_df = spark.createDataFrame([(p,) for p in fresh], "csv_file string")
-    retried = not fresh_df.join(pending(spark, ledger_path), "csv_file", "left_semi").isEmpty()
-    append_ledger(fresh_df, ledger_path, "pending")
-    res = ingest_paths(spark, fresh, spec, listing=list_files(spark, fresh))
-    records, status = stage(stored_form(res.records, spec), "batch_records"), stage(res.status, "batch_status")
-    done = retried and not records.intersect(spark.read.format(fmt).load(table_path).select(*spec.columns)).isEmpty()
-    if not done:
-        records.write.format(fmt).mode("append").save(table_path)
+    announce(fresh.select(F.col("path").alias("unit"), "batch"), ledger_path)
+    res = ingest_listing(spark, source_folder, spec, fresh, glob)
+    units = fresh.select("path", "batch")
+    spread = F.expr(f"record_no div {RECORDS_PER_TASK}").alias("_spread")
+    rows = res.records.select("path", spread, *stored_form(spec)).join(units, "path")
+    write_rows(rows, table_path, spec, F.col("batch"), F.col("path"), fmt, spread=F.col("_spread"))
+    status = res.status.join(units, "path")
+    status = stage(_missing(spark, status, source_folder, glob), "epoch_status")
     quarantine(status, quarantine_path)
-    ok = F.col("status") == STATUS_OK
-    append_ledger(status.select(F.col("path").alias("csv_file"), F.when(ok, F.lit("loaded")).otherwise(F.lit("skipped")).alias("status")), ledger_path)
+    ok, lost = F.col("status") == STATUS_OK, F.col("status") == STATUS_MISSING
+    entry = F.when(ok, F.lit("loaded")).when(lost, F.col("status")).otherwise(F.lit("skipped"))
+    append_ledger(status.select(F.col("path").alias("csv_file"), entry.alias("status"), "batch"), ledger_path)
+
+
+def _missing(spark: SparkSession, status: DataFrame, folder: str, glob: Optional[str]) -> DataFrame:
+    """Files that gave no line are ``missing`` if they are not in the folder any more."""
+    there = list_files(spark, folder, glob).select("path", F.lit(True).alias("there"))
+    lost = (F.col("status") != STATUS_OK) & (F.col("records") == 0) & F.col("there").isNull()
+    out = status.join(there, "path", "left")
+    out = out.withColumn("error", F.when(lost, F.lit("offered, but gone")).otherwise(F.col("error")))
+    return out.withColumn("status", F.when(lost, F.lit(STATUS_MISSING)).otherwise(F.col("status"))).drop("there")
 
 
 def incremental_stream(spark: SparkSession, source_folder: str, report_type, table_path: str,
                        checkpoint: str, ledger_path: Optional[str] = None, quarantine_path: Optional[str] = None,
                        glob: Optional[str] = None, fmt: str = "parquet", available_now: bool = True,
-                       processing_time: Optional[str] = None, max_files: int = 1000):
+                       processing_time: Optional[str] = None, max_files: int = 100_000):
     """Start the stream; with ``available_now`` it processes every file present
     and stops (returns after termination), else it keeps running on a trigger.
 
-    ``max_files`` bounds a micro-batch, and with it the path list on the driver;
-    failed files go to ``quarantine_path`` (default: beside the table)."""
+    ``max_files`` bounds a micro-batch; failed files go to ``quarantine_path``
+    (default: beside the table)."""
     spec = get_spec(report_type)
     ledger_path = ledger_path or default_ledger_path(table_path)
     quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
+    glob = glob or any_of(f"*.{e}" for e in spec.extensions)
     create_or_open_table(spark, table_path, spec, fmt)
     stream = (
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
-        .option("pathGlobFilter", glob or any_of(f"*.{e}" for e in spec.extensions))
+        .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
         .load(source_folder)
-        .select("path")
+        .select("path", "modificationTime", "length")
+        .dropDuplicates(["path"])
     )
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        load_batch(spark, [r["path"] for r in batch.collect()], spec, table_path, ledger_path, quarantine_path, fmt)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        load_batch(spark, stage(batch, "epoch_listing"), spec, table_path, ledger_path, quarantine_path, f"{query}-{epoch_id}", source_folder, glob, fmt)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:

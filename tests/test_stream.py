@@ -1,4 +1,7 @@
 from report_lake.sources.files import write_named_files
+import pytest
+
+from report_lake.operators.table import read_table
 from report_lake.streaming.incremental import incremental_stream
 
 HEAD = "LIST\nDATE: 0{d} January 2025\n\nISSUED\n" + "-" * 92 + "\n" + "WELL NAME".ljust(37) + "LICENCE NUMBER\nU\nC\nD\nL\n" + "-" * 92 + "\n"
@@ -17,10 +20,10 @@ def test_stream_loads_only_new_files(spark, tmp_shared):
     src, table, ckpt = tmp_shared("src"), tmp_shared("table"), tmp_shared("ckpt")
     write_named_files(spark.createDataFrame([("WELLS1.TXT", report(1, 2))], "name string, content binary"), src).count()
     incremental_stream(spark, src, "st1", table, ckpt)
-    assert spark.read.parquet(table).count() == 2
+    assert read_table(spark, table, "st1").count() == 2
     write_named_files(spark.createDataFrame([("WELLS2.TXT", report(2, 3))], "name string, content binary"), src).count()
     incremental_stream(spark, src, "st1", table, ckpt)
-    df = spark.read.parquet(table)
+    df = read_table(spark, table, "st1")
     assert df.count() == 5
     assert sorted({r.date for r in df.collect()}) == ["2025-01-01", "2025-01-02"]
 
@@ -31,7 +34,7 @@ def test_replay_with_lost_checkpoint_loads_nothing_twice(spark, tmp_shared):
     incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
     # a fresh checkpoint offers every file again; the ledger drops the loaded ones
     incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
-    assert spark.read.parquet(table).count() == 2
+    assert read_table(spark, table, "st1").count() == 2
 
 
 def test_failed_files_and_both_extensions(spark, tmp_shared):
@@ -42,29 +45,45 @@ def test_failed_files_and_both_extensions(spark, tmp_shared):
     files = [("A.TXT", report(1, 2)), ("B.txt", report(2, 1)), ("C.TXT", b"nothing here"), ("D.TXT", b"\xff\xfe")]
     write_named_files(spark.createDataFrame(files, "name string, content binary"), src).count()
     incremental_stream(spark, src, "st1", table, tmp_shared("ckpt"))
-    assert spark.read.parquet(table).count() == 3
+    assert read_table(spark, table, "st1").count() == 3
     e = read_ledger_entries(spark, default_ledger_path(table)).where("status <> 'pending'").collect()
     assert {r["csv_file"].split("/")[-1]: r["status"] for r in e} == {"A.TXT": "loaded", "B.txt": "loaded", "C.TXT": "skipped", "D.TXT": "skipped"}
     assert spark.read.parquet(table + "_quarantine").count() == 2
 
 
-def test_replay_after_a_crash_before_the_ledger(spark, tmp_shared, monkeypatch):
-    import pytest
-
+@pytest.mark.parametrize("stop", ["ingest_listing", "quarantine", "append_ledger"])
+def test_epoch_that_stopped_is_replayed(spark, tmp_shared, monkeypatch, stop):
     from report_lake.streaming import incremental as I
 
-    src, table, ledger, bad = (tmp_shared(x) for x in ("src", "table", "ledger", "bad"))
-    write_named_files(spark.createDataFrame([("A.TXT", report(4, 2))], "name string, content binary"), src).count()
-    paths = [r["path"] for r in I.list_files(spark, src).collect()]
-    I.create_or_open_table(spark, table, "st1")
+    src, table, ckpt = (tmp_shared(x) for x in ("src", "table", "ckpt"))
+    files = [("A.TXT", report(4, 2)), ("B.TXT", b"nothing here")]
+    write_named_files(spark.createDataFrame(files, "name string, content binary"), src).count()
 
     def dies(*a, **k):
         raise RuntimeError("lost driver")
 
-    with monkeypatch.context() as m:
-        m.setattr(I, "quarantine", dies)
-        with pytest.raises(RuntimeError):
-            I.load_batch(spark, paths, "st1", table, ledger, bad)
     for _ in range(2):
-        I.load_batch(spark, paths, "st1", table, ledger, bad)
-    assert spark.read.parquet(table).count() == 2
+        with monkeypatch.context() as m:
+            m.setattr(I, stop, dies)
+            with pytest.raises(Exception, match="lost driver"):
+                incremental_stream(spark, src, "st1", table, ckpt)
+    incremental_stream(spark, src, "st1", table, ckpt)
+    assert read_table(spark, table, "st1").count() == 2
+    assert spark.read.parquet(table + "_quarantine").count() == 1
+
+
+def test_vanished_file_is_a_status(spark, tmp_shared):
+    from report_lake.sources.files import list_files
+    from report_lake.streaming import incremental as I
+
+    src, table, ledger, bad = (tmp_shared(x) for x in ("src", "table", "ledger", "bad"))
+    files = [("A.TXT", report(4, 2)), ("B.TXT", report(5, 1)), ("C.TXT", b"nothing")]
+    write_named_files(spark.createDataFrame(files, "name string, content binary"), src).count()
+    listing = spark.createDataFrame(list_files(spark, src).collect(), "path string, modificationTime timestamp, length long")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{src}/B.TXT")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    I.create_or_open_table(spark, table, "st1")
+    for _ in range(2):
+        I.load_batch(spark, listing, "st1", table, ledger, bad, "e0", src)
+    assert read_table(spark, table, "st1").count() == 2
+    assert {r["path"].split("/")[-1]: r["status"] for r in spark.read.parquet(bad).collect()} == {"B.TXT": "missing", "C.TXT": "date_parse"}

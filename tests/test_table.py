@@ -1,16 +1,22 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from report_lake.operators.table import (
+    append_batch,
+    append_candidates,
     compact,
     create_or_open_table,
     default_ledger_path,
     load_candidates,
     load_table,
+    read_quarantine,
+    read_table,
     stale_files,
 )
 from report_lake.sources.csv import read_report_csv, scan_report_csv, write_report_csv
 from report_lake.sources.files import list_files, write_named_files
-from report_lake.sources.ledger import read_ledger
+from report_lake.sources.ledger import open_batches, read_ledger, read_ledger_entries
 from report_lake.spec import ST1
 
 ROW = ["x"] * 18
@@ -72,10 +78,10 @@ def test_load_is_incremental_and_recreate_resets(spark, tmp_shared):
     assert load_table(spark, table, "st1", csv_folder=csv).rows == 0  # already in the ledger
     write_report_csv(records(spark, [["2025-01-03", "B", *["v"] * 16]]), csv, "st1")
     assert load_table(spark, table, "st1", csv_folder=csv).rows == 1
-    assert spark.read.parquet(table).count() == 2
+    assert read_table(spark, table, "st1").count() == 2
     assert read_ledger(spark, default_ledger_path(table)).count() == 2
     assert load_table(spark, table, "st1", csv_folder=csv, recreate=True).rows == 2
-    assert spark.read.parquet(table).count() == 2
+    assert read_table(spark, table, "st1").count() == 2
 
 
 def test_schema_mismatch_is_an_error(spark, tmp_shared):
@@ -93,7 +99,7 @@ def test_compact_writes_a_new_folder(spark, tmp_shared):
     before = list_files(spark, table).count()
     res = compact(spark, table, target)
     assert res.files_before == before and res.files_after == 1
-    assert spark.read.parquet(target).count() == spark.read.parquet(table).count() == 200
+    assert read_table(spark, target, "st1").count() == read_table(spark, table, "st1").count() == 200
     assert stale_files(spark, table).count() == 0  # inside the retention window
     assert stale_files(spark, table, retention_hours=0).count() == before
     with pytest.raises(ValueError):
@@ -140,26 +146,141 @@ def test_reparsed_day_loads_once(spark, tmp_shared):
     for _ in range(2):
         write_report_csv(records(spark, [["2025-01-02", "A", *["v"] * 16]]), csv, "st1")
         load_table(spark, table, "st1", csv_folder=csv)
-    assert spark.read.parquet(table).count() == 1
+    assert read_table(spark, table, "st1").count() == 1
 
 
-def test_crash_between_append_and_ledger(spark, tmp_shared, monkeypatch):
-    from report_lake.operators import table as T
+def dies(*a, **k):
+    raise RuntimeError("lost driver")
 
-    csv, table = tmp_shared("csv"), tmp_shared("table")
-    write_report_csv(records(spark, [["2025-01-02", "A", *["v"] * 16]]), csv, "st1")
 
-    def dies(*a, **k):
-        raise RuntimeError("lost driver")
+def day_csv(day, rows=1, tag="r"):
+    lines = ["|".join(ST1.columns), *["|".join([f"2025-01-{day:02d}", f"{tag}{i}", *["v"] * 16]) for i in range(rows)]]
+    return ("\n".join(lines) + "\n").encode()
+
+
+def put(spark, folder, files):
+    write_named_files(spark.createDataFrame(list(files.items()), "name string, content binary"), folder).count()
+
+
+@pytest.mark.parametrize("stop", ["append_candidates", "unit_status"])
+def test_crash_before_or_after_the_append(spark, tmp_shared, monkeypatch, stop):
+    """Whatever a stopped load had done, the next one gives every row once."""
+    from report_lake.operators import table as T
 
-    for before_append in (True, False):
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    write_report_csv(records(spark, [["2025-01-02", "A", *["v"] * 16], ["2025-01-02", "A", *["v"] * 16], ["2025-01-03", "B", *["v"] * 16]]), csv, "st1")
+    for _ in range(2):
         with monkeypatch.context() as m:
-            m.setattr(T, "append_batch" if before_append else "_unit_status", dies)
+            m.setattr(T, stop, dies)
             with pytest.raises(RuntimeError):
                 load_table(spark, table, "st1", csv_folder=csv)
-    assert spark.read.parquet(table).count() == 1  # appended, not recorded
+    assert load_table(spark, table, "st1", csv_folder=csv).rows == 3
+    assert load_table(spark, table, "st1", csv_folder=csv).candidates == 0
+    assert read_table(spark, table, "st1").count() == 3 and open_batches(spark, default_ledger_path(table)).isEmpty()
+
+
+def test_rows_shared_with_a_loaded_report_are_not_taken_for_the_batch(spark, tmp_shared, monkeypatch):
+    from report_lake.operators import table as T
+
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    put(spark, csv, {"a_WELLS.csv": day_csv(2, 2)})
+    load_table(spark, table, "st1", csv_folder=csv)
+    put(spark, csv, {"b_WELLS.csv": day_csv(2, 3)})  # two of its rows are in the table already
+    with monkeypatch.context() as m:
+        m.setattr(T, "append_candidates", dies)
+        with pytest.raises(RuntimeError):
+            load_table(spark, table, "st1", csv_folder=csv)
+    assert load_table(spark, table, "st1", csv_folder=csv).rows == 3
+    assert read_table(spark, table, "st1").count() == 5
+
+
+def remove(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@pytest.mark.parametrize("appended", [False, True])
+def test_vanished_files_stop_nothing(spark, tmp_shared, monkeypatch, appended):
+    from report_lake.operators import table as T
+
+    csv, table, bad = tmp_shared("csv"), tmp_shared("table"), tmp_shared("bad")
+    put(spark, csv, {"a_WELLS.csv": day_csv(2), "b_WELLS.csv": day_csv(3)})
+    with monkeypatch.context() as m:
+        m.setattr(T, "unit_status" if appended else "append_candidates", dies)
+        with pytest.raises(RuntimeError):
+            load_table(spark, table, "st1", csv_folder=csv)
+    remove(spark, f"{csv}/a_WELLS.csv")
+    put(spark, csv, {"c_WELLS.csv": day_csv(4)})
+    res = load_table(spark, table, "st1", csv_folder=csv, quarantine_path=bad)
+    assert res.rows == 2  # b again or for the first time, and c
+    assert sorted(r["date"] for r in read_table(spark, table, "st1").collect()) == (["2025-01-02"] if appended else []) + ["2025-01-03", "2025-01-04"]
+    status = {r["csv_file"].split("/")[-1]: r["status"] for r in read_ledger_entries(spark, default_ledger_path(table)).where("status <> 'pending'").collect()}
+    assert status == {"a_WELLS.csv": "loaded" if appended else "missing", "b_WELLS.csv": "loaded", "c_WELLS.csv": "loaded"}
+    assert [r["status"] for r in read_quarantine(spark, bad).collect()] == ([] if appended else ["missing"])
+    assert load_table(spark, table, "st1", csv_folder=csv).candidates == 0
+    if not appended:  # it came back
+        put(spark, csv, {"a_WELLS.csv": day_csv(2)})
+        assert load_table(spark, table, "st1", csv_folder=csv).rows == 1
+
+
+def test_files_that_go_between_listing_and_reading(spark, tmp_shared):
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    put(spark, csv, {"a_WELLS.csv": day_csv(2), "b_WELLS.csv": day_csv(3), "e_WELLS.csv": "|".join(ST1.columns).encode()})
+    create_or_open_table(spark, table, "st1")
+    cands = load_candidates(spark, "st1", tmp_shared("ledger"), csv_folder=csv).select("*", F.lit("x").alias("batch"))
+    cands = spark.createDataFrame(cands.collect(), cands.schema)
+    remove(spark, f"{csv}/a_WELLS.csv")
+    res = append_candidates(spark, table, cands, "st1", csv)
+    assert res.rows == 1 and {r["csv_file"].split("/")[-1]: r["status"] for r in res.files.collect()} == {"a_WELLS.csv": "missing", "b_WELLS.csv": "ok", "e_WELLS.csv": "ok"}
+
+
+def test_named_paths_are_replayed_by_name(spark, tmp_shared, monkeypatch):
+    from report_lake.operators import table as T
+
+    base, csv, table = tmp_shared("x"), tmp_shared("csv"), tmp_shared("table")
+    put(spark, base, {"foo.csv": day_csv(2), "bar.csv": day_csv(5)})
+    put(spark, csv, {"a_WELLS.csv": day_csv(3)})
+    with monkeypatch.context() as m:
+        m.setattr(T, "append_candidates", dies)
+        with pytest.raises(RuntimeError):
+            load_table(spark, table, "st1", csv_paths=[f"{base}/foo.csv", f"{base}/bar.csv"])
+    remove(spark, f"{base}/bar.csv")
+    assert load_table(spark, table, "st1", csv_folder=csv).rows == 2
+    assert load_table(spark, table, "st1", csv_folder=csv, csv_paths=f"{base}/foo.csv").candidates == 0
+
+
+def test_mixed_folder_and_pruned_reads(spark, tmp_shared):
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    write_report_csv(records(spark, [[f"2025-01-{d:02d}", f"w{d}", *["v"] * 16] for d in range(1, 9)]), csv, "st1")
+    assert load_table(spark, table, "st1", csv_folder=csv).rows == 8
+    write_report_csv(records(spark, [["2025-01-20", "n", *["v"] * 16]]), csv, "st1")
+    put(spark, csv, {"plain_WELLS.csv": day_csv(25, 2)})  # a plain file beside the directories
+    assert load_table(spark, table, "st1", csv_folder=csv).rows == 3
+    days = spark.createDataFrame([("2025-01-03", "x"), ("2025-01-25", "x"), ("2024-01-01", "y")], "day string, kind string").where("kind = 'x'")
+    got = read_table(spark, table, "st1", days=days.withColumn("day", F.to_date("day")))
+    assert sorted(r["date"] for r in got.collect()) == ["2025-01-03", "2025-01-25", "2025-01-25"]
+    plan = read_table(spark, table, "st1", start="2025-01-02", end="2025-01-04")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(report_date" in plan
+
+
+def test_append_batch_twice_is_one(spark, tmp_shared):
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    put(spark, csv, {"a_WELLS.csv": day_csv(2, 3)})
+    create_or_open_table(spark, table, "st1")
+    for batch in ("b1", "b1", "b2"):
+        append_batch(spark, table, [f"{csv}/a_WELLS.csv", f"{csv}/none.csv"], "st1", batch=batch)
+    assert read_table(spark, table, "st1").count() == 6
+
+
+def test_a_report_with_a_bad_part_is_skipped_whole(spark, tmp_shared):
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    write_report_csv(records(spark, [["2025-01-02", f"A{i}", *["v"] * 16] for i in range(40)]), csv, "st1", records_per_file=20)
+    put(spark, f"{csv}/report=20250102_WELLS", {"part-bad.csv": ("|".join(ST1.columns) + "\nshort|row\n").encode()})
     assert load_table(spark, table, "st1", csv_folder=csv).rows == 0
-    assert spark.read.parquet(table).count() == 1
+    assert load_table(spark, table, "st1", csv_folder=csv).candidates == 0
+    put(spark, f"{csv}/report=20250102_WELLS", {"part-bad.csv": day_csv(2)})
+    assert load_table(spark, table, "st1", csv_folder=csv, retry_skipped=True).rows == 41
+    assert read_table(spark, table, "st1").count() == 41
 
 
 def test_sink_keeps_report_order(spark, tmp_shared):
