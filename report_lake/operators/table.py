@@ -4,10 +4,11 @@ quarantine, compaction and superseded files.
 A table is a folder of data files in ``fmt`` (``parquet`` by default; ``delta``
 passes through to the Delta source where its jar is installed). Every stored
 column is a nullable string, in the order of the report spec. Data lies in
-partitions ``report_date=<day>/load=<key>``: the typed day prunes scans, and the
-load key (batch and report) makes a repeated append replace what it wrote before,
-by dynamic partition overwrite, without a look into the table. :func:`read_table`
-gives the spec's columns.
+partitions ``report_month=<first day>/load=<batch>``: the typed month prunes scans
+(and files sorted by date skip row groups), and the batch makes a repeated append
+replace what it wrote before, by dynamic partition overwrite, without a look into
+the table. A hidden column holds a hash of the report a row came from.
+:func:`read_table` gives the spec's columns.
 
 The driver holds no list of reports or files: candidates are a staged frame.
 """
@@ -23,6 +24,7 @@ from typing import Optional
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import file_name
 from ..session import path_exists, qualified, stage
@@ -37,7 +39,9 @@ TARGET_FILE_BYTES = 1 << 30
 # Retention of superseded files: 7 days.
 DEFAULT_RETENTION_HOURS = 168
 #: Partition columns of a table's folder.
-PARTITIONS = ("report_date", "load")
+PARTITIONS = ("report_month", "load")
+#: Stored beside the spec's columns: the report (CSV file or directory) of a row.
+ORIGIN = "origin"
 STATUS_MISSING = "missing"
 
 
@@ -46,50 +50,60 @@ def default_ledger_path(table_path: str) -> str:
     return table_path.rstrip("/") + "_load_log"
 
 
+def _stored_schema(spec) -> T.StructType:
+    return T.StructType([*spec.schema.fields, T.StructField(ORIGIN, T.LongType(), True)])
+
+
 def create_or_open_table(spark: SparkSession, path: str, report_type, fmt: str = "parquet",
                          overwrite: bool = False) -> DataFrame:
     """Create the table with the spec's schema if absent, else open it; an existing
     table whose schema differs from the spec is an error."""
     spec = get_spec(report_type)
-    empty = spark.createDataFrame([], spec.schema)
     # an empty file in the folder itself holds the schema until partitions exist
-    empty.write.format(fmt).mode("overwrite" if overwrite else "ignore").save(path)
+    spark.createDataFrame([], _stored_schema(spec)).write.format(fmt).mode("overwrite" if overwrite else "ignore").save(path)
     df = spark.read.format(fmt).load(path)
-    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name not in PARTITIONS]
+    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name not in (*PARTITIONS, ORIGIN)]
     want = [(f.name, f.dataType.simpleString()) for f in spec.schema.fields]
     if got != want:
         raise ValueError(f"table at {path} has schema {got}, expected {want} for report type {spec.name}")
     return df
 
 
+def month_of(day: Column) -> Column:
+    return F.trunc(day, "MM")
+
+
 def read_table(spark: SparkSession, path: str, report_type, fmt: str = "parquet", start=None, end=None,
                days: Optional[DataFrame] = None) -> DataFrame:
     """The spec's columns of a table; of a range of report days (inclusive), or of
-    those in the column ``day`` of ``days``: other days' folders are not read."""
+    those in the column ``day`` of ``days``: other months' folders are not read."""
     df = create_or_open_table(spark, path, report_type, fmt)
-    if "report_date" in df.columns:
-        if start is not None:
-            df = df.where(F.col("report_date") >= F.to_date(F.lit(str(start))))
-        if end is not None:
-            df = df.where(F.col("report_date") <= F.to_date(F.lit(str(end))))
-        if days is not None:
-            df = df.join(days.select(F.col("day").cast("date").alias("report_date")).distinct(), "report_date", "left_semi")
+    kept = "report_month" in df.columns
+    for bound, low in ((start, True), (end, False)):
+        if bound is not None:
+            day, text = F.to_date(F.lit(str(bound))), F.date_format(F.to_date(F.lit(str(bound))), "yyyy-MM-dd")
+            df = df.where(F.col("date") >= text if low else F.col("date") <= text)
+            if kept:
+                df = df.where(F.col("report_month") >= month_of(day) if low else F.col("report_month") <= day)
+    if days is not None:
+        day = F.to_date(F.col("day"))
+        wanted = days.select(F.date_format(day, "yyyy-MM-dd").alias("date"), *([month_of(day).alias("report_month")] if kept else [])).distinct()
+        df = df.join(wanted, wanted.columns, "left_semi")
     return df.select(*get_spec(report_type).columns)
 
 
-def load_key(batch: Column, unit: Column) -> Column:
-    """The ``load`` partition of a report's rows in a batch."""
-    return F.concat(batch, F.lit("-"), F.lower(F.hex(F.xxhash64(unit))))
-
-
 def write_rows(rows: DataFrame, table_path: str, report_type, batch: Column, unit: Column, fmt: str = "parquet",
-               n_tasks: Optional[int] = None, spread: Optional[Column] = None) -> None:
-    """Write rows to the partitions of their day, batch and report, replacing these
-    partitions and no others. ``spread`` splits a large report over several tasks."""
+               n_tasks: Optional[int] = None, spread: Optional[Column] = None, more: Optional[DataFrame] = None) -> None:
+    """Write rows to the partitions of their month and batch, replacing these
+    partitions and no others. ``spread`` splits a large report over several tasks;
+    ``more`` are stored rows (with partition columns) to write along."""
     spec = get_spec(report_type)
-    out = rows.select(*spec.columns, F.expr("try_cast(date as date)").alias("report_date"), load_key(batch, unit).alias("load"), (F.lit(0) if spread is None else spread).alias("_s"))
+    month = month_of(F.expr("try_cast(date as date)"))
+    out = rows.select(*spec.columns, F.xxhash64(unit).alias(ORIGIN), month.alias("report_month"), batch.alias("load"), (F.lit(0) if spread is None else spread).cast("long").alias("_s"))
+    if more is not None:
+        out = out.unionByName(more.select(*out.columns[:-1], F.lit(0).cast("long").alias("_s")))
     n = n_tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = out.repartition(n, *PARTITIONS, "_s").drop("_s")
+    out = out.repartition(n, *PARTITIONS, "_s").sortWithinPartitions(*PARTITIONS, "date").drop("_s")
     out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).save(table_path)
 
 
@@ -133,10 +147,10 @@ class AppendResult:
 
 
 def append_candidates(spark: SparkSession, table_path: str, cands: DataFrame, report_type, csv_folder: Optional[str] = None,
-                      named=(), fmt: str = "parquet", target_file_bytes: int = TARGET_FILE_BYTES) -> AppendResult:
+                      named=(), fmt: str = "parquet", target_file_bytes: int = TARGET_FILE_BYTES, kept: Optional[DataFrame] = None) -> AppendResult:
     """Append the files of a candidate frame (see :func:`load_candidates`, plus
     ``batch``) to the table as one write; a repeat with the same batches replaces
-    the first.
+    the first. ``kept`` are stored rows of these batches whose files have gone.
 
     The CSV is parsed once, into a staged table. A report with a malformed row is
     skipped whole. A large report is written by several tasks, about
@@ -146,12 +160,12 @@ def append_candidates(spark: SparkSession, table_path: str, cands: DataFrame, re
     spec = get_spec(report_type)
     report = F.regexp_extract("path", r"/report=([^/]+)/[^/]*$", 1)
     size = F.ceil(F.sum("length").over(W.partitionBy("unit", "batch")) / target_file_bytes)
-    cands = cands.select(F.col("path").alias("csv_file"), "unit", "batch", "kind", "written", F.greatest(size, F.lit(1)).cast("long").alias("slices"), report.alias("report"))
+    cands = cands.select(F.col("path").alias("csv_file"), "unit", "batch", "kind", "written", "length", F.greatest(size, F.lit(1)).cast("long").alias("slices"), report.alias("report"))
     cands = stage(cands, "candidates")
     plain = F.col("kind") == "plain"
     n = cands.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "layout").alias("layout"), F.count_if(plain).alias("plain"),
-        F.min(F.when(plain, F.col("written"))).alias("since"), F.max(F.when(plain, F.col("written"))).alias("until"), F.sum("slices").alias("slices"),
+        F.min(F.when(plain, F.col("written"))).alias("since"), F.max(F.when(plain, F.col("written"))).alias("until"), F.sum("length").alias("bytes"),
     ).first()
     if not n["n"]:
         return AppendResult(0, file_status(cands.select("csv_file", F.lit(False).alias("malformed")), cands.select("csv_file", "unit", "batch")))
@@ -161,8 +175,8 @@ def append_candidates(spark: SparkSession, table_path: str, cands: DataFrame, re
     files = _gone(spark, files, csv_folder, list(named))
     bad = files.where("bad_rows > 0").select("unit", "batch").distinct()
     rows = raw.join(bad, ["unit", "batch"], "left_anti")
-    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(int(n["slices"]), 100_000))
-    write_rows(rows, table_path, spec, F.col("batch"), F.col("unit"), fmt, n_tasks, F.col("at") % F.col("slices"))
+    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(n["bytes"] or 0) // target_file_bytes))
+    write_rows(rows, table_path, spec, F.col("batch"), F.col("unit"), fmt, n_tasks, F.col("at") % F.col("slices"), kept)
     written = files.join(bad, ["unit", "batch"], "left_anti").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     return AppendResult(int(written), files, int(n["n"]))
 
@@ -218,19 +232,22 @@ def announce(cands: DataFrame, ledger_path: str) -> None:
 
 def _vanished(spark: SparkSession, table_path: str, open_: DataFrame, cands: DataFrame, fmt: str):
     """Announced reports that no listing offers now: ``(paths that still exist,
-    frame of the others)``. The others are ``loaded`` if their rows are in the table
-    (an append puts a report's partition there as a whole), else ``missing``."""
+    statuses of the others, stored rows of the others)``. Of the others those with
+    rows in the table are ``loaded``, the rest ``missing``; all staged, as the
+    append replaces files of the table."""
     left = open_.join(cands.select(F.col("unit").alias("csv_file")).distinct(), "csv_file", "left_anti")
     left = [(r["csv_file"], r["batch"]) for r in left.collect()]  # reports of a stopped batch that were named one by one, or have gone
     here = [(p, b) for p, b in left if path_exists(spark, p)]
-    gone = spark.createDataFrame([x for x in left if x not in here], "csv_file string, batch string")
-    if len(here) < len(left):
-        df = spark.read.format(fmt).load(table_path)
-        loads = df.select("load").distinct() if "load" in df.columns else spark.createDataFrame([], "load string")
-        gone = gone.withColumn("load", load_key(F.col("batch"), F.col("csv_file"))).join(loads.withColumn("there", F.lit(True)), "load", "left")
-        gone = gone.select("csv_file", "batch", F.when(F.col("there"), F.lit("loaded")).otherwise(F.lit(STATUS_MISSING)).alias("status"))
-    # staged, as the append will replace files of the table
-    return here, stage(gone, "gone") if len(here) < len(left) else None
+    if len(here) == len(left):
+        return here, None, None
+    gone = spark.createDataFrame([x for x in left if x not in here], "csv_file string, batch string").withColumn(ORIGIN, F.xxhash64("csv_file"))
+    stored = spark.read.format(fmt).load(table_path)
+    if "load" not in stored.columns:
+        return here, stage(gone.select("csv_file", "batch", F.lit(STATUS_MISSING).alias("status")), "gone"), None
+    rows = stage(stored.join(F.broadcast(gone.select(F.col("batch").alias("load"), ORIGIN)), ["load", ORIGIN]), "kept")
+    there = rows.select(F.col("load").alias("batch"), ORIGIN, F.lit(True).alias("there")).distinct()
+    status = F.when(F.col("there"), F.lit("loaded")).otherwise(F.lit(STATUS_MISSING)).alias("status")
+    return here, stage(gone.join(there, ["batch", ORIGIN], "left").select("csv_file", "batch", status), "gone"), rows
 
 
 def load_table(spark: SparkSession, table_path: str, report_type, csv_folder: Optional[str] = None,
@@ -258,7 +275,7 @@ def load_table(spark: SparkSession, table_path: str, report_type, csv_folder: Op
     batch = uuid.uuid4().hex
     cands = cands.join(open_.select(F.col("csv_file").alias("unit"), F.col("batch").alias("old")), "unit", "left")
     cands = stage(cands.select("*", F.coalesce("old", F.lit(batch)).alias("batch")).drop("old"), "load")
-    here, gone = _vanished(spark, table_path, open_, cands, fmt)
+    here, gone, kept = _vanished(spark, table_path, open_, cands, fmt)
     if here:
         more = list_files(spark, [p for p, _ in here], recursive=True).select("path", "length", F.col("modificationTime").alias("written"), report_unit("path").alias("unit"), F.lit("named").alias("kind"))
         cands = cands.unionByName(more.join(spark.createDataFrame(here, "unit string, batch string"), "unit"))
@@ -266,7 +283,7 @@ def load_table(spark: SparkSession, table_path: str, report_type, csv_folder: Op
     new = cands.where(F.col("batch") == batch)
     if not new.isEmpty():
         announce(new, ledger_path)
-    res = append_candidates(spark, table_path, cands, spec, csv_folder, named, fmt, target_file_bytes)
+    res = append_candidates(spark, table_path, cands, spec, csv_folder, named, fmt, target_file_bytes, kept)
     files, entries = res.files, unit_status(res.files)
     if gone is not None:
         files = files.unionByName(gone.withColumn("unit", F.col("csv_file")), allowMissingColumns=True)
@@ -316,7 +333,7 @@ class CompactResult:
 
 def compact(spark: SparkSession, table_path: str, target_path: str, fmt: str = "parquet",
             target_file_bytes: int = TARGET_FILE_BYTES) -> CompactResult:
-    """Rewrite a table at ``target_path``, each day into files of about ``target_file_bytes``.
+    """Rewrite a table at ``target_path``, each month into files of about ``target_file_bytes``.
 
     The old folder stays as it is until its readers have moved on;
     :func:`stale_files` lists what of it may go. A plain Spark rewrite, for plain
@@ -328,16 +345,15 @@ def compact(spark: SparkSession, table_path: str, target_path: str, fmt: str = "
     stats = list_files(spark, table_path, recursive=True).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
     df = spark.read.format(fmt).load(table_path)
     if "load" in df.columns:
-        spec_cols = [c for c in df.columns if c not in PARTITIONS]
-        spark.createDataFrame([], df.select(*spec_cols).schema).write.format(fmt).mode("ignore").save(target_path)
-        # a day in as many files as its share of the bytes asks for
-        n_rows = max(1, df.count())
-        per_file = max(1, n_rows * target_file_bytes // max(1, int(stats["bytes"])))
-        days = df.groupBy("report_date").agg(F.ceil(F.count(F.lit(1)) / per_file).alias("_n"))
-        rows = df.withColumn("_at", F.monotonically_increasing_id()).join(days.withColumnRenamed("report_date", "_d"), F.col("report_date").eqNullSafe(F.col("_d")))
+        own = [c for c in df.columns if c not in PARTITIONS]
+        spark.createDataFrame([], df.select(*own).schema).write.format(fmt).mode("ignore").save(target_path)
+        # a month in as many files as its share of the bytes asks for
+        per_file = max(1, df.count() * target_file_bytes // max(1, int(stats["bytes"])))
+        months = df.groupBy(F.col("report_month").alias("_m")).agg(F.ceil(F.count(F.lit(1)) / per_file).alias("_n"))
+        rows = df.withColumn("_at", F.monotonically_increasing_id()).join(months, F.col("report_month").eqNullSafe(F.col("_m")))
         n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(int(stats["bytes"]) / target_file_bytes))
-        rows = rows.withColumn("_s", F.col("_at") % F.col("_n")).repartition(n_tasks, "report_date", "_s")
-        rows.select(*spec_cols, "report_date", F.lit("compact").alias("load")).write.format(fmt).mode("append").partitionBy(*PARTITIONS).save(target_path)
+        rows = rows.withColumn("_s", F.col("_at") % F.col("_n")).repartition(n_tasks, "report_month", "_s").sortWithinPartitions("report_month", "date")
+        rows.select(*own, "report_month", F.lit("compact").alias("load")).write.format(fmt).mode("append").partitionBy(*PARTITIONS).save(target_path)
     else:
         n_target = max(1, math.ceil(int(stats["bytes"]) / target_file_bytes))
         df.repartition(n_target).write.format(fmt).save(target_path)

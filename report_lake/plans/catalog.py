@@ -7,6 +7,8 @@ below the session's shared checkpoint folder first.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from ..operators.ingest import ingest_archives, ingest_date_range, ingest_file,
 from ..operators.reconcile import except_rows, sym_diff, table_count, table_head
 from ..operators.routing import route
 from ..operators.table import (
+    announce,
+    append_candidates,
     compact,
     create_or_open_table,
     default_ledger_path,
@@ -29,9 +33,9 @@ from ..operators.table import (
     read_table,
     stale_files,
 )
-from ..session import scratch_path, to_local_or_uri
+from ..session import drop_path, scratch_path, stage, to_local_or_uri
 from ..sources.archives import member_names
-from ..sources.csv import csv_glob_view, read_report_csv, report_unit, write_report_csv
+from ..sources.csv import csv_glob_view, read_report_csv, read_report_days, report_unit, write_report_csv
 from ..sources.download import download_plan, fetch_reports, local_name_pattern
 from ..sources.files import list_files, utf8_gate
 from ..sources.ledger import append_ledger, read_ledger, read_ledger_entries
@@ -278,6 +282,66 @@ def q_rows_loaded(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_crash_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads that stop at every point, rows shared between reports, a file that goes:
+    the rows of the table, and how often they are there."""
+    recs, csv, table = _staged_records(spark, sf), scratch_path(spark, "csv"), scratch_path(spark, "table_st1")
+    ledger, year = default_ledger_path(table), F.year(F.to_date("date"))
+    create_or_open_table(spark, table, "st1")
+
+    def announced(batch):
+        cands = load_candidates(spark, "st1", ledger, csv_folder=csv).withColumn("batch", F.lit(batch))
+        cands = stage(cands, "candidates")
+        announce(cands, ledger)
+        return cands
+
+    write_report_csv(recs.where(year <= 1993), csv, "st1")
+    announced("stopped-before")  # announced, not appended
+    load_table(spark, table, "st1", csv_folder=csv)
+    write_report_csv(recs.where((year > 1993) & (year <= 1996)), csv, "st1")
+    append_candidates(spark, table, announced("stopped-after"), "st1", csv)  # appended, not recorded
+    # another folder's report of the same days, rows equal to stored ones: a report of its own
+    twice = scratch_path(spark, "csv")
+    write_report_csv(recs.where(year == 1992), twice, "st1")
+    gone = F.lit(f"{to_local_or_uri(csv)}/report=19000101_WELLS")
+    announce(spark.range(1).select(gone.alias("unit"), F.lit("stopped-after").alias("batch")), ledger)
+    load_table(spark, table, "st1", csv_folder=twice)
+    write_report_csv(recs.where(year > 1996), csv, "st1")
+    for _ in range(2):
+        load_table(spark, table, "st1", csv_folder=csv)
+    return read_table(spark, table, "st1").groupBy(*ST1.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def q_append_from_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """An append driven by a candidate frame: all days, no list of them on the driver."""
+    csv, table = fixtures.csv_folder(spark, sf), scratch_path(spark, "table_st1")
+    create_or_open_table(spark, table, "st1")
+    cands = load_candidates(spark, "st1", default_ledger_path(table), csv_folder=csv).withColumn("batch", F.lit("frame"))
+    append_candidates(spark, table, cands, "st1", csv)
+    return read_table(spark, table, "st1")
+
+
+def _wanted_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days as a relation: those of orders of one priority in one year's quarter."""
+    o = load(spark, sf, "orders").where((F.col("o_orderpriority") == "2-HIGH") & (F.quarter("o_orderdate") == 2) & (F.year("o_orderdate") == 1995))
+    return o.select(F.to_date("o_orderdate").alias("day")).distinct()
+
+
+def q_pruned_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of days and a relation of days, read from the CSV folder and from the
+    table; only their directories are opened."""
+    csv, table = fixtures.csv_folder(spark, sf), scratch_path(spark, "table_st1")
+    load_table(spark, table, "st1", csv_folder=csv)
+    a, b, days = oracles.RANGE_START, oracles.RANGE_END, _wanted_days(spark, sf)
+    parts = {
+        "csv_range": read_report_days(spark, csv, "st1", start=a, end=b).drop("report_day"),
+        "csv_days": read_report_days(spark, csv, "st1", days=days).drop("report_day"),
+        "table_range": read_table(spark, table, "st1", start=a, end=b),
+        "table_days": read_table(spark, table, "st1", days=days),
+    }
+    return reduce(DataFrame.unionByName, [df.withColumn("part", F.lit(k)) for k, df in parts.items()])
+
+
 def q_csv_glob_view(spark: SparkSession, sf: str) -> DataFrame:
     csv = fixtures.csv_folder(spark, sf)
     csv_glob_view(spark, f"{csv}/*199[67]*_WELLS/*.csv", "st1", "well_rows")
@@ -469,6 +533,24 @@ def q_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, table, "st1")
 
 
+def q_stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream whose last epoch is forgotten and replayed, and whose files are offered
+    again under a fresh checkpoint: every row once."""
+    early = F.col("path").substr(10, 4) < F.lit("1998")
+    folder = fixtures.report_folder(spark, sf, "st1", where=early)
+    table, ckpt = scratch_path(spark, "table_stream"), scratch_path(spark, "stream_ckpt")
+    incremental_stream(spark, folder, "st1", table, ckpt)
+    fixtures.add_report_files(spark, sf, folder, "st1", ~early)
+    incremental_stream(spark, folder, "st1", table, ckpt)
+    # the driver was lost before the second epoch was committed and its files recorded
+    drop_path(spark, f"{ckpt}/commits/1")
+    entries = stage(read_ledger_entries(spark, default_ledger_path(table)), "ledger")
+    entries.where("status = 'pending' or batch like '%-0'").write.mode("overwrite").json(default_ledger_path(table))
+    incremental_stream(spark, folder, "st1", table, ckpt)
+    incremental_stream(spark, folder, "st1", table, scratch_path(spark, "stream_ckpt"))
+    return read_table(spark, table, "st1")
+
+
 def q_stream_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """The stream's ledger says what became of every file, failed ones included."""
     folder = fixtures.report_folder(spark, sf, "st1")
@@ -521,6 +603,10 @@ QUERIES = {
     "reload_same_report": q_reload_same_report,
     "rows_loaded": q_rows_loaded,
     "csv_glob_view": q_csv_glob_view,
+    "crash_replay": q_crash_replay,
+    "append_from_frame": q_append_from_frame,
+    "pruned_range": q_pruned_range,
+    "stream_stateful": q_stream_stateful,
     "reconcile_st1": q_reconcile_st1,
     "reconcile_st49": q_reconcile_st49,
     "folder_status": q_folder_status,
@@ -571,6 +657,10 @@ ORACLES = {
     "reload_same_report": oracles.st1_stored(),
     "rows_loaded": oracles.rows_loaded(),
     "csv_glob_view": oracles.csv_glob_view(),
+    "crash_replay": oracles.crash_replay(),
+    "append_from_frame": oracles.st1_stored(),
+    "pruned_range": oracles.pruned_range(),
+    "stream_stateful": oracles.st1_stored(),
     "reconcile_st1": oracles.reconcile(oracles.st1_stored(), "licensee"),
     "reconcile_st49": oracles.reconcile(oracles.st49_stored(), "activity_type"),
     "folder_status": oracles.folder_status(),

@@ -378,6 +378,22 @@ def rows_loaded() -> str:
     return f"{ok} UNION ALL {bad}"
 
 
+def crash_replay() -> str:
+    cols = ", ".join(ST1.columns)
+    return f"""
+WITH s AS ({st1_stored()})
+SELECT {cols}, count(*) * CASE WHEN date LIKE '1992%' THEN 2 ELSE 1 END AS copies FROM s GROUP BY {cols}
+"""
+
+
+def pruned_range() -> str:
+    in_days = """CAST(date AS DATE) IN (SELECT CAST(o_orderdate AS DATE) FROM orders
+      WHERE o_orderpriority = '2-HIGH' AND quarter(o_orderdate) = 2 AND year(o_orderdate) = 1995)"""
+    in_range = f"CAST(date AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'"
+    parts = [("csv_range", in_range), ("csv_days", in_days), ("table_range", in_range), ("table_days", in_days)]
+    return f"WITH s AS ({st1_stored()})" + " UNION ALL ".join(f" SELECT *, '{k}' AS part FROM s WHERE {w}" for k, w in parts)
+
+
 def csv_glob_view() -> str:
     return f"SELECT * FROM ({st1_stored()}) t WHERE date >= '1996' AND date < '1998'"
 

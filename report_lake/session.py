@@ -37,6 +37,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # AQE coalesce them below the core count just because the bytes are few
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # one machine: list folders in a few tasks, not in one a folder
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -80,6 +82,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as listings give it: with its scheme, unescaped."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -66,3 +66,45 @@ def test_staged_tables_can_be_dropped(spark):
     assert new and all(spark.catalog.tableExists(t) for t in new)
     drop_staged(spark, before)
     assert staged_tables() == before and not any(spark.catalog.tableExists(t) for t in new)
+
+
+def executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_choose_directories(spark, tmp_shared):
+    from pyspark.sql import functions as F
+
+    from report_lake.operators.table import append_candidates, create_or_open_table, load_candidates, read_table
+    from report_lake.sources.csv import report_partitions, write_report_csv
+    from report_lake.spec import ST1
+
+    csv, table = tmp_shared("csv"), tmp_shared("table")
+    row = ", ".join(f"'v' AS {c}" for c in ST1.columns[1:])
+    write_report_csv(spark.sql(f"SELECT date_format(date_add(DATE'2025-01-01', CAST(id AS INT)), 'yyyy-MM-dd') AS date, {row}, id AS record_no FROM range(70)"), csv, "st1")
+    rows = report_partitions(spark, csv, "st1")
+    plan = rows.where(F.col("report_day") == F.to_date(F.lit("2025-02-01")))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*report", plan)
+    days = spark.range(70).select(F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("day"), "id").where("id = 40")
+    assert "dynamicpruning" in executed(rows.join(days.select(F.col("day").alias("report_day")), "report_day", "left_semi"))
+
+    # a candidate frame drives the append: what the driver collects is counts, a row at a time
+    create_or_open_table(spark, table, "st1")
+    cands = load_candidates(spark, "st1", tmp_shared("ledger"), csv_folder=csv).withColumn("batch", F.lit("b"))
+    frame, sizes = type(cands), []
+    collect = frame.collect
+
+    def counted(self):
+        out = collect(self)
+        sizes.append(len(out))
+        return out
+
+    frame.collect = counted
+    try:
+        assert append_candidates(spark, table, cands, "st1", csv).rows == 70
+    finally:
+        frame.collect = collect
+    assert max(sizes) <= 1
+    got = read_table(spark, table, "st1", days=days)
+    assert "dynamicpruning" in executed(got) and got.count() == 1

@@ -260,7 +260,7 @@ def test_mixed_folder_and_pruned_reads(spark, tmp_shared):
     got = read_table(spark, table, "st1", days=days.withColumn("day", F.to_date("day")))
     assert sorted(r["date"] for r in got.collect()) == ["2025-01-03", "2025-01-25", "2025-01-25"]
     plan = read_table(spark, table, "st1", start="2025-01-02", end="2025-01-04")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(report_date" in plan
+    assert "PartitionFilters: [isnotnull(report_month" in plan and "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date,2025-01-02)" in plan
 
 
 def test_append_batch_twice_is_one(spark, tmp_shared):
