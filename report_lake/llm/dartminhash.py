@@ -13,9 +13,10 @@ Signatures are cut into ``bands`` bands whose hashes are the join keys. Work
 after that is linear in the bucket sizes:
 
 - equal texts are one node, found by a hash of the text (no text is shuffled);
-- in every round each bucket has some ``centres`` (so many in the first round,
-  so many in the others), the least nodes by hashes that change with the round; each member that is not yet in a centre's class is
-  paired with it, never all with all;
+- buckets with the same members are one bucket;
+- in every round each bucket has one centre, the least node by a hash that changes
+  with the round. In the first round each member is paired with it, later one
+  member of each class that is not the centre's, never all with all;
 - the exact weighted Jaccard of each new pair decides (``similarity`` or more);
 - the classes grow by connected components (alternating star contractions);
 - a bucket that holds several classes stays open while a round changes them;
@@ -254,7 +255,6 @@ def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS,
-    centres: tuple[int, int] = (1, 7),
 ) -> DataFrame:
     """``id_col``, ``class_id``, ``class_size``, ``node`` (hash of the text) and
     ``label`` (the class's least node) for every row of ``docs``."""
@@ -262,7 +262,8 @@ def near_duplicates(
     signed = stage(banded(docs, id_col, text_col, bands, rows, width), "dart-bands")
     nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     keyed = nodes.select("node", "id", "n", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    sets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    shared = sets.filter("c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
     members = stage(keyed.join(shared, "key"), "dart-buckets")
     wanted = members.select("node", F.col("id").alias("_id")).distinct()
     # each wanted node's text once: from the rows that carry its least id
@@ -274,15 +275,17 @@ def near_duplicates(
     while True:
         at = members.select("key", "node", "n")
         at = at.withColumn("label", F.col("node")) if labels is None else at.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        draws = [F.struct(F.xxhash64(F.lit(1000 * turn + i), "node").alias("h"), "node", "label", "n") for i in range(centres[turn > 0])]
+        draw = F.struct(F.xxhash64(F.lit(1000 * turn), "node").alias("h"), "node", "label", "n")
         state = F.bit_xor(F.xxhash64("node", "label")).alias("state")
-        open_ = at.groupBy("key").agg(F.array(*[F.min(d) for d in draws]).alias("c"), F.min("label").alias("x"), F.max("label").alias("y"), state).filter("x <> y").select("key", "c", "state")
-        if turn:  # a bucket stays open while its classes change
+        open_ = at.groupBy("key").agg(F.min(draw).alias("c"), F.min("label").alias("x"), F.max("label").alias("y"), state).filter("x <> y").select("key", "c", "state")
+        if turn:  # a bucket stays open while its classes change; a class in it is met through one node
             if seen is not None:
                 open_ = open_.join(seen.withColumnRenamed("state", "was"), "key").filter("state <> was").drop("was")
             open_ = stage(open_, "dart-centres")
             seen = open_.select("key", "state")
-        centre = open_.select("key", F.inline("c")).toDF("key", "h", "a", "la", "na").drop("h").distinct()
+            own = F.struct(F.xxhash64(F.lit(1000 * turn + 1), "node").alias("h"), "node", "n")
+            at = at.join(seen.select("key"), "key", "left_semi").groupBy("key", "label").agg(F.min(own).alias("m")).select("key", "label", "m.node", "m.n")
+        centre = open_.select("key", "c.*").toDF("key", "h", "a", "la", "na").drop("h")
         # no more can be shared than the smaller multiset holds
         fits = F.least("n", "na") >= least * F.greatest("n", "na") - 1e-6
         pairs = at.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("label") != F.col("la")) & fits)
