@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import file_name
-from ..session import path_exists, qualified, stage
+from ..session import drop_path, path_exists, qualified, stage
 from ..sources.csv import file_status, report_unit, scan_candidates
 from ..sources.files import list_files
 from ..sources.ledger import LEDGER_SCHEMA, append_ledger, open_batches, read_ledger
@@ -59,6 +59,8 @@ def create_or_open_table(spark: SparkSession, path: str, report_type, fmt: str =
     """Create the table with the spec's schema if absent, else open it; an existing
     table whose schema differs from the spec is an error."""
     spec = get_spec(report_type)
+    if overwrite and path_exists(spark, fingerprint_path(path)):
+        drop_path(spark, fingerprint_path(path))
     # an empty file in the folder itself holds the schema until partitions exist
     spark.createDataFrame([], _stored_schema(spec)).write.format(fmt).mode("overwrite" if overwrite else "ignore").save(path)
     df = spark.read.format(fmt).load(path)
@@ -92,6 +94,49 @@ def read_table(spark: SparkSession, path: str, report_type, fmt: str = "parquet"
     return df.select(*get_spec(report_type).columns)
 
 
+def fingerprint(df: DataFrame, by, columns) -> DataFrame:
+    """One row a group: ``n`` and two sums of 64-bit row hashes over ``columns``.
+
+    Equal multisets of rows have equal fingerprints in any order, and fingerprints of
+    disjoint parts add up. Different ones agree with a chance of about 2^-128; the
+    rows themselves are never shuffled, only one partial sum a task and group."""
+    h = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c), F.lit("\x00null")) for c in columns]).cast("decimal(20,0)") for seed in (1, 2)]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(h[0]).alias("h1"), F.sum(h[1]).alias("h2"))
+
+
+def fingerprint_path(table_path: str) -> str:
+    return table_path.rstrip("/") + "_fingerprints"
+
+
+PRINT_SCHEMA = "date string, n bigint, h1 decimal(30,0), h2 decimal(30,0), load string"
+
+
+def keep_fingerprints(spark: SparkSession, table_path: str, report_type, loads: DataFrame, fmt: str = "parquet") -> None:
+    """Fingerprint the given batches (``load``) by day, from what lies in the table, and
+    keep the result beside it; a batch that is written again replaces its own."""
+    stored = spark.read.format(fmt).load(table_path)
+    if "load" not in stored.columns:
+        return
+    rows = stored.join(F.broadcast(loads.select("load").distinct()), "load", "left_semi")
+    prints = fingerprint(rows, ["load", "date"], get_spec(report_type).columns)
+    prints.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(fingerprint_path(table_path))
+
+
+def table_fingerprints(spark: SparkSession, table_path: str, report_type, fmt: str = "parquet") -> DataFrame:
+    """``date, n, h1, h2`` by batch: kept ones, and those of batches that have none, computed now."""
+    stored = spark.read.format(fmt).load(table_path)
+    spec = get_spec(report_type)
+    if "load" not in stored.columns:
+        return fingerprint(stored, ["date"], spec.columns)
+    at = fingerprint_path(table_path)
+    kept = spark.read.schema(PRINT_SCHEMA).parquet(at) if path_exists(spark, at) else spark.createDataFrame([], PRINT_SCHEMA)
+    known = kept.select("load").distinct()
+    live = stage(stored.select("load").distinct(), "live_loads")
+    kept = kept.join(live, "load", "left_semi")
+    rest = stored.join(F.broadcast(live.join(known, "load", "left_anti")), "load", "left_semi")
+    return kept.drop("load").unionByName(fingerprint(rest, ["date"], spec.columns))
+
+
 def write_rows(rows: DataFrame, table_path: str, report_type, batch: Column, unit: Column, fmt: str = "parquet",
                n_tasks: Optional[int] = None, spread: Optional[Column] = None, more: Optional[DataFrame] = None) -> None:
     """Write rows to the partitions of their month and batch, replacing these
@@ -177,6 +222,7 @@ def append_candidates(spark: SparkSession, table_path: str, cands: DataFrame, re
     rows = raw.join(bad, ["unit", "batch"], "left_anti")
     n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(n["bytes"] or 0) // target_file_bytes))
     write_rows(rows, table_path, spec, F.col("batch"), F.col("unit"), fmt, n_tasks, F.col("at") % F.col("slices"), kept)
+    keep_fingerprints(spark, table_path, spec, cands.select(F.col("batch").alias("load")), fmt)
     written = files.join(bad, ["unit", "batch"], "left_anti").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     return AppendResult(int(written), files, int(n["n"]))
 

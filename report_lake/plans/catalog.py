@@ -19,7 +19,8 @@ from ..operators.parse import report_lines as _report_lines
 from ..operators.ranges import in_date_range
 from ..sources.files import text_lines
 from ..operators.ingest import ingest_archives, ingest_date_range, ingest_file, ingest_folder
-from ..operators.reconcile import except_rows, sym_diff, table_count, table_head
+from ..operators.islands import IslandSpec, parse_islands
+from ..operators.reconcile import except_rows, reconcile_days, sym_diff, table_count, table_head
 from ..operators.routing import route
 from ..operators.table import (
     announce,
@@ -365,6 +366,21 @@ def q_reconcile_st1(spark: SparkSession, sf: str) -> DataFrame:
     return _reconcile(spark, fixtures.parsed_st1(spark, sf).records, "st1", "licensee")
 
 
+def q_reconcile_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """The same comparison through fingerprints: only days that differ are read row by
+    row; each difference comes with how many days these were."""
+    records, csv, table = fixtures.parsed_st1(spark, sf).records, scratch_path(spark, "csv"), scratch_path(spark, "table_st1")
+    records = stage(records, "records")
+    write_report_csv(records, csv, "st1")
+    dom = F.dayofmonth(F.to_date("date"))
+    kept = records.where(dom != 6).withColumn("licensee", F.when(dom == 5, F.concat(F.lit("x"), "licensee")).otherwise(F.col("licensee")))
+    create_or_open_table(spark, table, "st1")
+    records_to_table(kept, table, "st1")
+    records_to_table(kept.where(dom == 7), table, "st1")
+    diff, days = reconcile_days(spark, csv, table, "st1")
+    return diff.join(days.agg(F.count(F.lit(1)).alias("days_read")), how="cross")
+
+
 def q_reconcile_st49(spark: SparkSession, sf: str) -> DataFrame:
     return _reconcile(spark, fixtures.parsed_st49(spark, sf).records, "st49", "activity_type")
 
@@ -510,6 +526,45 @@ def q_archive_expand(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_archive_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The records parsed from archives, nested ones too, by archive and member."""
+    _, res = ingest_archives(spark, fixtures.zip_folder(spark, sf), "st1")
+    return _named(res.records)
+
+
+def q_date_range_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """A date range fetched twice into one folder of texts: each text once, and its records."""
+    folder, saved = fixtures.report_folder(spark, sf, "st1"), scratch_path(spark, "texts")
+    base = to_local_or_uri(folder).rstrip("/") + "/"
+    plan = download_plan(spark, "st1", None, None, base, url_pattern=local_name_pattern("st1"), bounds=_order_day_bounds(spark, sf))
+    for _ in range(2):
+        _, res = ingest_date_range(spark, "st1", oracles.RANGE_START, oracles.RANGE_END, base, plan=plan, txt_out=saved)
+    texts = spark.read.parquet(saved).groupBy(F.col("target").alias("path")).agg(F.count(F.lit(1)).alias("texts"))
+    return res.records.join(texts, "path")
+
+
+ISLANDS = IslandSpec("CONV ", (("conv_id", 5, 15),), (("turn", 0, 6), ("role", 6, 18), ("text_md5", 18, None)), ends="END")
+
+
+def render_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as report files: a header line for each, then a line a turn; an
+    end mark and a stray line after every third one."""
+    c = load(spark, sf, "conversations")
+    path = F.concat(F.lit("CONV"), (F.col("conv_id") % 5).cast("string"), F.lit(".TXT"))
+    head = F.concat(F.lit("CONV "), F.lpad(F.col("conv_id").cast("string"), 10, "0"))
+    turn = F.concat(F.rpad(F.col("turn").cast("string"), 6, " "), F.rpad("role", 12, " "), F.md5("text"))
+    base = F.col("conv_id") * 1_000_000
+    heads = c.select("conv_id").distinct().select(path.alias("path"), base.alias("pos"), head.alias("line"))
+    turns = c.select(path.alias("path"), (base + 1 + F.col("turn")).alias("pos"), turn.alias("line"))
+    stray = c.where("conv_id % 3 = 0").select("conv_id").distinct()
+    stray = stray.select(path.alias("path"), F.explode(F.array(F.struct((base + 999_000).alias("pos"), F.lit("END OF CONVERSATION").alias("line")), F.struct((base + 999_001).alias("pos"), F.lit("page 1 of 1").alias("line")))).alias("x"))
+    return heads.union(turns).union(stray.select("path", "x.pos", "x.line"))
+
+
+def q_custom_islands(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_islands(render_conversations(spark, sf), ISLANDS)
+
+
 def q_report_routing(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents")
     ext = (F.when(F.col("lang") == "en", F.lit(".TXT")).when(F.col("lang") == "fr", F.lit(".txt"))
@@ -603,6 +658,10 @@ QUERIES = {
     "reload_same_report": q_reload_same_report,
     "rows_loaded": q_rows_loaded,
     "csv_glob_view": q_csv_glob_view,
+    "reconcile_fingerprint": q_reconcile_fingerprint,
+    "archive_records": q_archive_records,
+    "date_range_saved": q_date_range_saved,
+    "custom_islands": q_custom_islands,
     "crash_replay": q_crash_replay,
     "append_from_frame": q_append_from_frame,
     "pruned_range": q_pruned_range,
@@ -657,6 +716,10 @@ ORACLES = {
     "reload_same_report": oracles.st1_stored(),
     "rows_loaded": oracles.rows_loaded(),
     "csv_glob_view": oracles.csv_glob_view(),
+    "reconcile_fingerprint": oracles.reconcile_fingerprint(),
+    "archive_records": oracles.archive_records(),
+    "date_range_saved": oracles.date_range_saved(),
+    "custom_islands": oracles.custom_islands(),
     "crash_replay": oracles.crash_replay(),
     "append_from_frame": oracles.st1_stored(),
     "pruned_range": oracles.pruned_range(),

@@ -394,6 +394,34 @@ def pruned_range() -> str:
     return f"WITH s AS ({st1_stored()})" + " UNION ALL ".join(f" SELECT *, '{k}' AS part FROM s WHERE {w}" for k, w in parts)
 
 
+def reconcile_fingerprint() -> str:
+    return f"""
+WITH days AS (SELECT count(DISTINCT date) AS days_read FROM ({st1_stored()}) s WHERE dayofmonth(CAST(date AS DATE)) IN (5, 6, 7))
+SELECT r.*, d.days_read FROM ({reconcile(st1_stored(), 'licensee')}) r, days d
+"""
+
+
+def archive_records() -> str:
+    mmdd = "strftime(d, '%m%d')"
+    nested = f"CASE WHEN dayofmonth(d) = 28 THEN 'WELLS' || {mmdd} || '.zip!' ELSE '' END"
+    path = f"'WELLS' || {mmdd} || '_' || strftime(d, '%Y') || '.zip!' || {nested} || 'WELLS' || {mmdd} || '.TXT'"
+    return f"SELECT {path} AS path, s.* EXCLUDE (path, d) FROM (SELECT *, CAST(date AS DATE) AS d FROM ({st1_records()})) s"
+
+
+def date_range_saved() -> str:
+    return f"SELECT *, 1 AS texts FROM ({st1_records()}) WHERE CAST(date AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'"
+
+
+def custom_islands() -> str:
+    return """
+SELECT 'CONV' || CAST(conv_id % 5 AS VARCHAR) || '.TXT' AS path,
+       dense_rank() OVER (PARTITION BY conv_id % 5 ORDER BY conv_id) - 1 AS record_no,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS part_no,
+       lpad(CAST(conv_id AS VARCHAR), 10, '0') AS conv_id, CAST(turn AS VARCHAR) AS turn, role, md5(text) AS text_md5
+FROM conversations
+"""
+
+
 def csv_glob_view() -> str:
     return f"SELECT * FROM ({st1_stored()}) t WHERE date >= '1996' AND date < '1998'"
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ingest import ingest_listing
 from ..operators.parse import STATUS_OK
-from ..operators.table import STATUS_MISSING, announce, create_or_open_table, default_ledger_path, quarantine, write_rows
+from ..operators.table import STATUS_MISSING, announce, create_or_open_table, default_ledger_path, keep_fingerprints, quarantine, write_rows
 from ..session import stage
 from ..sources.files import any_of, list_files
 from ..sources.ledger import append_ledger, open_batches, read_ledger, settled
@@ -46,8 +46,10 @@ def records_to_table(records: DataFrame, table_path: str, report_type, fmt: str
                      spread: Optional[Column] = None) -> None:
     """Append parsed records straight to the table. With ``batch``, the days of that
     batch that come again are replaced; ``spread`` writes a day by several tasks."""
+    batch = batch or uuid.uuid4().hex
     rows = records.select("*", spread.alias("_spread")) if spread is not None else records.withColumn("_spread", F.lit(0))
-    write_rows(rows.select("_spread", *stored_form(report_type)), table_path, report_type, F.lit(batch or uuid.uuid4().hex), F.lit(""), fmt, spread=F.col("_spread"))
+    write_rows(rows.select("_spread", *stored_form(report_type)), table_path, report_type, F.lit(batch), F.lit(""), fmt, spread=F.col("_spread"))
+    keep_fingerprints(records.sparkSession, table_path, report_type, records.sparkSession.range(1).select(F.lit(batch).alias("load")), fmt)
 
 
 def load_batch(spark: SparkSession, listing: DataFrame, report_type, table_path: str, ledger_path: str,
@@ -67,6 +69,7 @@ def load_batch(spark: SparkSession, listing: DataFrame, report_type, table_path:
     spread = F.expr(f"record_no div {RECORDS_PER_TASK}").alias("_spread")
     rows = res.records.select("path", spread, *stored_form(spec)).join(units, "path")
     write_rows(rows, table_path, spec, F.col("batch"), F.col("path"), fmt, spread=F.col("_spread"))
+    keep_fingerprints(spark, table_path, spec, units.select(F.col("batch").alias("load")), fmt)
     status = res.status.join(units, "path")
     status = stage(_missing(spark, status, source_folder, glob), "epoch_status")
     quarantine(status, quarantine_path)
