@@ -32,7 +32,7 @@ from report_lake.llm.common import fresh, read_table, stage
 
 
 #: Languages the corpus is to hold, and the score from which another one is believed.
-WANTED, SURE = ("de", "en", "es", "fr"), 0.9
+WANTED, SURE = ("de", "en", "fr"), 0.9
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
