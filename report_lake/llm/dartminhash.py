@@ -19,7 +19,8 @@ after that is linear in the bucket sizes:
   member of each class that is not the centre's, never all with all;
 - the exact weighted Jaccard of each new pair decides (``similarity`` or more);
 - the classes grow by connected components (alternating star contractions);
-- a bucket that holds several classes stays open while a round changes them;
+- a bucket that holds several classes stays open while a round changes them, and the
+  rounds end when few of their pairs are links (``SHARE``);
 - what the rounds leave is decided exactly: of the nodes of all buckets of three
   or more that still hold several classes, every pair that can reach
   ``similarity`` is found by prefixes. In an order of all shingles (frequent ones
@@ -48,6 +49,8 @@ from pyspark.sql import functions as F
 from .common import U64, bounded_batches, mix64, stage, text_blocks, token_hashes, utf8_list
 
 SIMILARITY, WIDTH, BANDS, ROWS = 0.8, 5, 27, 8
+#: Rounds go on while so many of the pairs that one compares are links.
+SHARE = 0.05
 
 
 def shingles(buf: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -289,11 +292,13 @@ def near_duplicates(
         # no more can be shared than the smaller multiset holds
         fits = F.least("n", "na") >= least * F.greatest("n", "na") - 1e-6
         pairs = at.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("label") != F.col("la")) & fits)
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        pairs = stage(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "dart-pairs")
         links = stage(verified(pairs, texts, least, width), "dart-links")
-        if links.isEmpty():
+        compared, found = pairs.count(), links.count()
+        if found:
+            labels = joined(labels, links)
+        if found < SHARE * compared or not found:
             break
-        labels = joined(labels, links)
         turn += 1
     # what the rounds leave: buckets of two are decided, of the others every pair of different classes
     at = members.select("key", "node") if labels is None else members.select("key", "node").join(labels, "node", "left")
