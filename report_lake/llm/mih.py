@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .vectors import best, every, matrix, merged, numbered, sample, spread
+from .vectors import places as ids_in_order
 
 K, BITS = 20, 256
 
@@ -139,7 +140,7 @@ def search(
         empty = [left.column("n").slice(0, 0), left.column("id").slice(0, 0), left.column("id").slice(0, 0), pa.array([], pa.float64())]
         if not left.num_rows or not right.num_rows or model is None:
             return pa.table(empty, names=names)
-        x, n, ids = matrix(left.column("v")), left.column("n").to_numpy(), left.column("id").to_pandas().to_numpy(dtype=float, na_value=np.inf)
+        x, n, ids = matrix(left.column("v")), left.column("n").to_numpy(), ids_in_order(left.column("id"))
         index, asked_codes = Index(encode(x, model)), None
         y, own = matrix(right.column("v")), right.column("n").to_numpy()
         asked_codes = encode(y, model)

@@ -24,6 +24,7 @@ named in ``keep``. Special-token strings in a text are ordinary text.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 
@@ -47,11 +48,26 @@ def vocabulary(name: str = "byte_bpe_50k") -> dict[str, str]:
     return {"json": p.path(f"{name}.json"), "ranks": p.path(f"{name}.tiktoken"), "pattern": p.PATTERN}
 
 
+def added_tokens(paths: dict[str, str]) -> list[str]:
+    with open(paths["json"], encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f).get("added_tokens", [])]
+
+
+def id_type(paths: dict[str, str]) -> str:
+    """The stored form of an id: 16 bits where the vocabulary's ids fit, else 32."""
+    with open(paths["json"], encoding="utf-8") as f:
+        form = json.load(f)
+    vocab = form["model"]["vocab"]
+    ids = vocab.values() if isinstance(vocab, dict) else range(len(vocab))
+    return "<u2" if max([*ids, *(t["id"] for t in form.get("added_tokens", []))], default=0) < 1 << 16 else "<u4"
+
+
 class Encoder:
     """Ids of whole texts. The rank form of the vocabulary is encoded several
     times faster than the JSON form and gives the same ids (a test holds them
     against each other); texts its regular expression cannot take (millions of
-    white-space characters in a row) go to the JSON form."""
+    white-space characters in a row), and texts that spell one of the vocabulary's
+    added tokens (which the JSON form takes as such), go to the JSON form."""
 
     def __init__(self, paths: dict[str, str]):
         import tiktoken
@@ -60,11 +76,13 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("ranks", pat_str=paths["pattern"], mergeable_ranks=ranks, special_tokens={})
         self.paths, self.slow = paths, None
+        self.added = added_tokens(paths)
         self.long_space = re.compile(rb"[\x09-\x0d\x20]{200000}")
 
     def __call__(self, data: bytes) -> np.ndarray:
         text = data.decode()
-        if len(data) < 200_000 or not self.long_space.search(data):
+        plain = not any(t in text for t in self.added)
+        if plain and (len(data) < 200_000 or not self.long_space.search(data)):
             try:
                 return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
             except BaseException as e:  # the library raises its panics outside Exception
@@ -74,14 +92,14 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(self.paths["json"])
-            self.slow.encode_special_tokens = True
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def tokenise(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), paths: dict[str, str] | None = None, runs: tuple[str, str] | None = None) -> DataFrame:
     """The staged first pass: file and part (the part's place in the stream), first
-    (offset in the part), n, ids (binary, 16-bit ids) and the kept columns."""
+    (offset in the part), n, ids (binary, see ``id_type``) and the kept columns."""
     paths = paths or vocabulary()
+    kind = id_type(paths)
     bounded_batches(docs.sparkSession)
     place = [F.col(runs[0]).cast("string"), F.col(runs[1]).cast("long")] if runs else [F.lit(""), F.lit(0).cast("long")]
     rows = docs.select(F.col(text).alias("_text"), place[0].alias("_file"), place[1].alias("_row"), *(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)))
@@ -99,7 +117,7 @@ def tokenise(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
                 parts.append(part)
                 first.append(at)
                 at += len(x)
-            arrays = [batch.column(1), pa.array(parts, pa.int64()), pa.array(first, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())]
+            arrays = [batch.column(1), pa.array(parts, pa.int64()), pa.array(first, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays([*arrays, *(batch.column(3 + i) for i in range(len(keep)))], names=names)
 
     kept = ", ".join(f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(rows.schema[3:]))
@@ -113,6 +131,8 @@ def pack(
     """One row per piece: the kept columns, start, length, doc_tokens,
     sequence_id, offset, and the piece's ``ids`` (payload "ids", array<int>) or
     their ``ids_crc32`` (payload "crc32")."""
+    paths = paths or vocabulary()
+    stored = id_type(paths)
     staged = tokenise(docs, text, keep, paths, runs)
     # one row a part (task), so this window is over as many rows as there were tasks
     before = W.orderBy("file", "part").rowsBetween(W.unboundedPreceding, -1)
@@ -134,7 +154,7 @@ def pack(
             sequence = at[row] // window + nth
             begin = np.maximum(at[row], sequence * window)
             end = np.minimum((at + n)[row], (sequence + 1) * window)
-            flat = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").astype("<u4")
+            flat = np.frombuffer(b"".join(batch.column(2).to_pylist()), stored).astype("<u4")
             from_ = (np.cumsum(n) - n)[row] + begin - at[row]
             if payload == "crc32":
                 raw = memoryview(flat.tobytes())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,6 +41,14 @@ def matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 1))
 
 
+def places(column) -> np.ndarray:
+    """The order of the ids of an Arrow column, of any type: equal ids share a place, nulls are last."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.empty(0)
+    return pc.rank(column, sort_keys="ascending", null_placement="at_end", tiebreaker="dense").to_numpy(zero_copy_only=False).astype(float)
+
+
 def spread(column: Column, n: int) -> Column:
     """A hash of the row number in 0 .. n - 1."""
     return F.pmod(F.xxhash64(F.lit(29), column), F.lit(n)).cast("int")

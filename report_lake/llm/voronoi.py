@@ -23,7 +23,9 @@ comparison of all queries with all rows; on clustered data most cells drop out.
 
 Null vectors and those with null or non-finite components take no part; zero
 vectors do. A query is a row; its own row is no candidate, equal rows are. Ties
-go to the smaller id, null ids last. Empty tables give an empty result. Extra
+go to the smaller id (of any type), null ids last. Scores are exact integers; one
+beyond 64 bits has no place in the result and ends the query. Vectors of another
+length than most take no part. Empty tables give an empty result. Extra
 columns are ignored.
 """
 
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import stage
 from .vectors import best, every, matrix, merged, numbered, sample, spread
+from .vectors import places as ids_in_order
 
 K = 20
 
@@ -60,6 +63,19 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return own, np.sqrt(((x - centres[own]) ** 2).sum(axis=1)) * (1 + 1e-9) + 1e-9
 
 
+def products(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers: in doubles while no sum can pass 2^53,
+    else as 64-bit integers, else as Python integers."""
+    top = float(np.sqrt((y**2).sum(axis=1)).max(initial=0) * np.sqrt((x**2).sum(axis=1)).max(initial=0)) * (1 + 1e-9) + x.shape[1]
+    # partial sums stay below the product of the norms as well
+    if top < 2**53:
+        return y @ x.T
+    if top < 2**63 and max(np.abs(y).max(initial=0), np.abs(x).max(initial=0)) < 2**62:
+        return y.astype(np.int64) @ x.astype(np.int64).T
+    whole = lambda m: np.array([[int(v) for v in row] for row in m], object).reshape(m.shape)
+    return whole(y) @ whole(x).T
+
+
 def scaled(rows: DataFrame, scale: int) -> DataFrame:
     return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
 
@@ -111,7 +127,9 @@ def join(
     p = pivots[[g["cell"] for g in groups]] if groups else np.empty((0, pivots.shape[1]))
     r = np.array([g["r"] for g in groups], float)
     least = np.array([g["least"] for g in groups], float)
-    slack = 1e-6
+    # what doubles may be off in products of the longest rows
+    longest = max([m for _, m in cells.values()], default=0.0)
+    slack = 1e-6 + 1e-12 * longest * longest
     length = np.sqrt((p**2).sum(axis=1))
     reach = {c: p @ pivots[c] + length * s + r * m + slack for c, (s, m) in cells.items()}
 
@@ -122,8 +140,8 @@ def join(
                 batch = whole.slice(at, 1024)
                 x, cell = matrix(batch.column("v")), batch.column("cell").to_numpy()
                 norm, n = batch.column("norm").to_numpy(), batch.column("n").to_numpy()
-                by_cell = np.array([reach[c] for c in cell]) >= least[None, :]
-                by_row = x @ p.T + norm[:, None] * r[None, :] + slack >= least[None, :]
+                by_cell = np.array([reach[c] for c in cell]) >= least[None, :] - slack
+                by_row = x @ p.T + norm[:, None] * r[None, :] + 2 * slack >= least[None, :]
                 row, group = np.nonzero(by_cell & by_row)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("v").take(take), batch.column("n").take(take), pa.array(group.astype(np.int32)), batch.column("block").take(take)], names=names)
@@ -137,11 +155,11 @@ def join(
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["q", "query_id", "vec_id", "score"]
         x, n = matrix(left.column("v")), left.column("n").to_numpy()
-        ids = left.column("id").to_pandas().to_numpy(dtype=float, na_value=np.inf)
+        ids = ids_in_order(left.column("id"))
         y, own = matrix(right.column("v")), right.column("n").to_numpy()
         rows_, places, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in range(0, len(y) if len(x) else 0, 256):
-            s = y[i : i + 256] @ x.T  # whole numbers below 2^53: exact
+            s = products(y[i : i + 256], x)
             for j in range(len(s)):
                 some = np.flatnonzero(n != own[i + j]) if (n == own[i + j]).any() else np.arange(len(x))
                 first = some[best(s[j][some], ids[some], k)]

@@ -10,7 +10,6 @@ from report_lake.llm import packing as P
 
 def ids_of(texts):
     t = Tokenizer.from_file(P.vocabulary()["json"])
-    t.encode_special_tokens = True
     return [e.ids + [0] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -67,3 +66,12 @@ def test_both_vocabulary_forms_agree():
     e = P.Encoder(P.vocabulary())
     for t in ("", "Hello  world\n\n x", "naïve café €", "\x00\x01", "😀" * 9, "a" * 3000, "  \t\n " * 50):
         assert e(t.encode()).tolist() == ids_of([t])[0][:-1]
+
+
+def test_added_tokens_are_taken_as_the_json_form_does(spark, docs_of):
+    texts = {1: "hello <|endoftext|> world", 2: "<|endoftext|>", 3: "plain", 4: "<|endoftext", 5: ""}
+    got = {}
+    for r in P.pack(docs_of(list(texts.items()))).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["ids"]))
+    got = {k: sum((i for _, i in sorted(v)), []) for k, v in got.items()}
+    assert got == dict(zip(texts, ids_of(texts.values()))) and 50256 in got[1]

@@ -5,7 +5,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
-from llm_helpers import docs_of  # noqa: F401
+from llm_helpers import SF, docs_of  # noqa: F401
 from report_lake.llm import dartminhash, langid, packing, toxicity
 
 
@@ -105,3 +105,12 @@ def test_empty_tables(spark, tmp_shared):
         docs = f(spark, docs, sf)
         assert docs.count() == 0
     assert toxicity.Grammar().words
+
+
+def test_language_stage_on_the_given_tables(spark):
+    """Spanish is not wanted: its rows go by the prediction, the others stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text rlike '[a-z]'")
+    kept = {r["doc_id"] for r in C.language_stage(spark, docs, "").select("doc_id").collect()}
+    rows = docs.select("doc_id", "lang", "n_chars").where("n_chars >= 200").collect()
+    gone = {lang: sum(r["doc_id"] not in kept for r in rows if r["lang"] == lang) / max(1, sum(r["lang"] == lang for r in rows)) for lang in ("de", "en", "es", "fr")}
+    assert gone["es"] > 0.9 and max(gone["de"], gone["en"], gone["fr"]) < 0.02, gone

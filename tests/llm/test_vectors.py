@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +8,7 @@ from llm_helpers import SF
 from report_lake.llm import mih, voronoi
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
-QUERIES = F.col if False else (lambda: F.col("id") % 20 == 0)
+QUERIES = lambda: F.col("id") % 20 == 0
 
 
 def brute(rows, k, ints):
@@ -81,3 +83,23 @@ def test_edges(spark, ints):
     assert run(frame(spark, [], 1), 5).count() == 0
     assert run(frame(spark, [(20, [1.0, 2.0])]), 5).count() == 0
     assert run(frame(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])]), 5).count() == 0
+
+
+def test_large_components_and_ids_of_any_type(spark):
+    """Products beyond 2^53 are exact; ids beyond 2^53 and text ids break ties rightly."""
+    import random
+
+    rng = random.Random(1)
+    big = [(2**60 + i, [rng.uniform(-1, 1) * 3e6 for _ in range(8)]) for i in range(120)]
+    df = spark.createDataFrame(big + [(2**60 + 500 + i, big[7][1]) for i in range(3)], "vec_id long, embedding array<double>")
+    rows = [(r["vec_id"], [math.floor(64 * x) for x in r["embedding"]]) for r in df.collect()]
+    got = {}
+    for r in voronoi.join(df, F.col("id") % 20 == 0, k=5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, v in rows:
+        if q % 20 == 0:
+            best = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q))[:5]
+            assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    text = df.select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("vec_id"), "embedding")
+    for found in (voronoi.join(text, F.col("id").endswith("500"), k=3), mih.search(text, F.col("id").endswith("500"), k=3)):
+        assert [r["vec_id"] for r in found.orderBy("rank").collect()][:2] == sorted([f"v{2**60 + 7}", f"v{2**60 + 501}", f"v{2**60 + 502}"])[:2]
