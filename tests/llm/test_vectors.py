@@ -100,6 +100,9 @@ def test_large_components_and_ids_of_any_type(spark):
         if q % 20 == 0:
             best = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q))[:5]
             assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    text = df.select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("vec_id"), "embedding")
-    for found in (voronoi.join(text, F.col("id").endswith("500"), k=3), mih.search(text, F.col("id").endswith("500"), k=3)):
-        assert [r["vec_id"] for r in found.orderBy("rank").collect()][:2] == sorted([f"v{2**60 + 7}", f"v{2**60 + 501}", f"v{2**60 + 502}"])[:2]
+    text, q = df.select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("vec_id"), "embedding"), f"v{2**60 + 500}"
+    vectors = {f"v{i}": v for i, v in rows}
+    best = sorted((-sum(a * b for a, b in zip(vectors[q], w)), i) for i, w in vectors.items() if i != q)[:9]
+    assert [(-r["score"], r["vec_id"]) for r in voronoi.join(text, F.col("id") == q, k=9).orderBy("rank").collect()] == best
+    near = [(-r["score"], r["vec_id"]) for r in mih.search(text, F.col("id") == q, k=9).orderBy("rank").collect()]
+    assert len(near) == 9 and near == sorted(near)
