@@ -25,11 +25,11 @@ ST1_HEAD = [
 
 def rec(i, name="WELL"):
     return [
-        f"{name} {i}".ljust(37) + f"{i:07d}".ljust(10) + "FREEHOLD".ljust(21) + "931.70M",
-        f"100/07-36-026-18W4/0{i}".ljust(37) + "155.2M".ljust(10) + "MEDICINE HAT".ljust(21) + "3950.0M",
-        "DEV (NC)".ljust(37) + "WAYNE-ROSEDALE".ljust(31) + "BASAL QUARTZ SD",
-        "HORIZONTAL".ljust(37) + "NEW".ljust(10) + "PRODUCTION".ljust(21) + "CRUDE OIL",
-        "TORXEN ENERGY LTD.".ljust(68) + "04-30-026-17W4",
+        f"{name} {i}".ljust(37) + f"{i:07d}".ljust(10) + "COMMONS".ljust(21) + "12.34M",
+        f"777/11-22-033-44X5/0{i}".ljust(37) + "N 5 E 9".ljust(10) + "SAMPLETON".ljust(21) + "88.5M",
+        "TEST (X)".ljust(37) + "NORTH FIELD".ljust(31) + "UPPER ZONE",
+        "SLANTED".ljust(37) + "NEW".ljust(10) + "PRODUCTION".ljust(21) + "WATER",
+        "EXAMPLE WELLS INC.".ljust(68) + "01-02-003-04X5",
     ]
 
 
