@@ -49,6 +49,8 @@ from pyspark.sql import functions as F
 from .common import U64, bounded_batches, mix64, stage, text_blocks, token_hashes, utf8_list
 
 SIMILARITY, WIDTH, BANDS, ROWS = 0.8, 5, 27, 8
+#: So many node names (24 bytes each) are broadcast at most.
+BROADCAST_NODES = 1 << 20
 #: Rounds go on while so many of the pairs that one compares are links.
 SHARE = 0.05
 
@@ -268,7 +270,9 @@ def near_duplicates(
     sets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
     shared = sets.filter("c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
     members = stage(keyed.join(shared, "key"), "dart-buckets")
-    wanted = members.select("node", F.col("id").alias("_id")).distinct()
+    wanted = stage(members.select("node", F.col("id").alias("_id")).distinct(), "dart-wanted")
+    if wanted.count() <= BROADCAST_NODES:  # else the texts are shuffled once
+        wanted = F.broadcast(wanted)
     # each wanted node's text once: from the rows that carry its least id
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.unhex(F.md5(F.col(text_col))).alias("node"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     texts = texts.join(wanted.withColumnRenamed("node", "_n"), (F.col("node") == F.col("_n")) & texts["_id"].eqNullSafe(wanted["_id"]), "left_semi")
