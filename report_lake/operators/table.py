@@ -117,7 +117,7 @@ def keep_fingerprints(spark: SparkSession, table_path: str, report_type, loads:
     stored = spark.read.format(fmt).load(table_path)
     if "load" not in stored.columns:
         return
-    rows = stored.join(F.broadcast(loads.select("load").distinct()), "load", "left_semi")
+    rows = stored.join(loads.select("load").distinct(), "load", "left_semi")
     prints = fingerprint(rows, ["load", "date"], get_spec(report_type).columns)
     prints.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(fingerprint_path(table_path))
 
@@ -133,7 +133,7 @@ def table_fingerprints(spark: SparkSession, table_path: str, report_type, fmt: s
     known = kept.select("load").distinct()
     live = stage(stored.select("load").distinct(), "live_loads")
     kept = kept.join(live, "load", "left_semi")
-    rest = stored.join(F.broadcast(live.join(known, "load", "left_anti")), "load", "left_semi")
+    rest = stored.join(live.join(known, "load", "left_anti"), "load", "left_semi")
     return kept.drop("load").unionByName(fingerprint(rest, ["date"], spec.columns))
 
 
@@ -290,7 +290,7 @@ def _vanished(spark: SparkSession, table_path: str, open_: DataFrame, cands: Dat
     stored = spark.read.format(fmt).load(table_path)
     if "load" not in stored.columns:
         return here, stage(gone.select("csv_file", "batch", F.lit(STATUS_MISSING).alias("status")), "gone"), None
-    rows = stage(stored.join(F.broadcast(gone.select(F.col("batch").alias("load"), ORIGIN)), ["load", ORIGIN]), "kept")
+    rows = stage(stored.join(gone.select(F.col("batch").alias("load"), ORIGIN), ["load", ORIGIN]), "kept")
     there = rows.select(F.col("load").alias("batch"), ORIGIN, F.lit(True).alias("there")).distinct()
     status = F.when(F.col("there"), F.lit("loaded")).otherwise(F.lit(STATUS_MISSING)).alias("status")
     return here, stage(gone.join(there, ["batch", ORIGIN], "left").select("csv_file", "batch", status), "gone"), rows
@@ -383,8 +383,7 @@ def compact(spark: SparkSession, table_path: str, target_path: str, fmt: str = "
 
     The old folder stays as it is until its readers have moved on;
     :func:`stale_files` lists what of it may go. A plain Spark rewrite, for plain
-    file formats only: formats with a transaction log compact themselves. To merge
-    small files alone see :func:`compact_packed`.
+    file formats only: formats with a transaction log compact themselves.
     """
     if fmt not in ("parquet", "orc", "json", "csv"):
         raise ValueError(f"{fmt} keeps a log of its files; use its own compaction")
