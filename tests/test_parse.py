@@ -79,7 +79,7 @@ def test_st1_two_records_and_hazards(spark):
     }
     check_against_model(spark, reports, ST1)
     recs, status = run(spark, reports, ST1)
-    assert recs["a"][0][:4] == ("WELL 1", "0000001", "FREEHOLD", "931.70M")
+    assert recs["a"][0][:4] == ("WELL 1", "0000001", "COMMONS", "12.34M")
     assert recs["short"][0][2:4] == ("", "")
     assert status["empty"]["status"] == "date_parse" and status["empty"]["error"] == "No date line found in file"
     assert status["no_section"]["error"] == "Missing required section: WELL LICENCES ISSUED"
