@@ -26,6 +26,11 @@ pages go. One host may have pages of both kinds: each kind has a wrapper of its
 own. Each page is aligned with its wrapper and gives the texts that fall on kept
 slots.
 
+Class words that may also name a part of an article (header, legal, form, search,
+side) decide nothing inside a main region. Elements nested below 64 levels are taken
+flat, with the regions they lie in; very long sequences are aligned by looking ahead
+a bounded way. A page without body or with an unclosed head has its text like any other.
+
 Blocks are joined by a line break in page order; white space inside a block
 becomes one space; character references are decoded. Null html: empty text.
 Pages without a host (null or unparsable url) are judged each alone. Equal pages and repeated rows are pages
@@ -38,6 +43,7 @@ import html as entities
 import json
 import re
 import zlib
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,7 +55,7 @@ from .common import bounded_batches, stage
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
-SKIPPED = frozenset("head script style noscript template textarea title select button iframe svg math object canvas audio video map datalist xmp noembed noframes".split())
+SKIPPED = frozenset("script style noscript template textarea title select button iframe svg math object canvas audio video map datalist xmp noembed noframes".split())
 TEXTUAL = frozenset("p li h1 h2 h3 h4 h5 h6 dt dd tr td th blockquote pre".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
@@ -61,6 +67,8 @@ BOILER_WORDS = frozenset(
     "breadcrumb breadcrumbs header masthead topbar footer foot bottombar comment comments reply replies respond disqus discussion cookie cookies consent gdpr notice notices alert "
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations pagination pager toolbar copyright legal form search".split()
 )
+# Those of them that also name parts of an article: inside a main region they decide nothing.
+WEAK_WORDS = frozenset("header legal form search side".split())
 MAIN_WORDS = frozenset("article main content post entry story articlebody".split())
 
 TOKEN = re.compile(
@@ -70,24 +78,32 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+#: Elements below this level lie flat in their ancestor there, so no recursion over a page is deeper.
+MAX_DEPTH = 64
+#: Cells of an exact alignment; longer sequences are aligned by looking ahead this far.
+MAX_CELLS, AHEAD = 1 << 17, 64
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 def _label(tag: str, attrs: str) -> str:
-    """The element's name, with ``-`` for a boilerplate region or ``+`` for a main one."""
+    """The element's name, with ``-`` for a boilerplate region, ``~`` for one that is
+    none inside a main region, or ``+`` for a main one."""
     if tag in ("html", "body"):  # the whole page is no region
         return tag
     if tag in MAIN_TAGS:
         mark = "+"
     else:
-        mark = "-" if tag in BOILER_TAGS else ""
+        mark = "~" if tag == "header" else "-" if tag in BOILER_TAGS else ""
     if attrs and not attrs.isspace():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)}
         words = set(WORDS.findall(CAMEL.sub(r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
         role = found.get("role", "").lower()
-        if (words & BOILER_WORDS and tag not in MAIN_TAGS) or role in BOILER_ROLES or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower() or re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
+        named = words & BOILER_WORDS if tag not in MAIN_TAGS else set()
+        if named - WEAK_WORDS or role in BOILER_ROLES or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower() or re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
             mark = "-"
+        elif named and not mark:
+            mark = "~"
         elif not mark and (words & MAIN_WORDS or role == "main"):
             mark = "+"
     return tag + mark
@@ -95,9 +111,14 @@ def _label(tag: str, attrs: str) -> str:
 
 def parse(page: str) -> tuple[list, list[str]]:
     """The page as nested items and its block texts in order. A text item is
-    ``["T", value, 1, chars, linked, [index of the block]]``."""
+    ``["T", value, 1, chars, linked, [index of the block]]``.
+
+    Elements below ``MAX_DEPTH`` open no level of their own: each of their texts is an
+    element ``deep`` of the last level, marked by the regions it lies in. ``head`` is
+    no element: what it may hold is skipped anyway, and a page may leave its end out."""
     root: list = []
-    stack: list[tuple[str, list]] = [("", root)]
+    stack: list[tuple[str, list, tuple[bool, bool]]] = [("", root, (False, False))]
+    opened: Counter = Counter()
     texts: list[str] = []
     pieces: list[str] = []
     linked = [0, 0]  # depth of links, characters in links
@@ -107,7 +128,11 @@ def parse(page: str) -> tuple[list, list[str]]:
             text = " ".join(entities.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                stack[-1][1].append(["T", zlib.crc32(text.encode("utf-8", "surrogatepass")), 1, len(text), min(linked[1], len(text)), [len(texts)]])
+                item = ["T", zlib.crc32(text.encode("utf-8", "surrogatepass")), 1, len(text), min(linked[1], len(text)), [len(texts)]]
+                if len(stack) > MAX_DEPTH + 1:
+                    inside, boiler = stack[-1][2]
+                    item = ["e", "deep-" if boiler else "deep+" if inside else "deep", [item]]
+                stack[-1][1].append(item)
                 texts.append(text)
         linked[1] = 0
 
@@ -135,8 +160,6 @@ def parse(page: str) -> tuple[list, list[str]]:
                 skip[1] += -1 if end else 1
                 if skip[1] == 0:
                     skip = None
-            elif tag == "body" and skip[0] == "head":
-                skip = None
             if skip or end:
                 continue
         if tag in SKIPPED:
@@ -151,18 +174,21 @@ def parse(page: str) -> tuple[list, list[str]]:
             continue
         flush()
         if end:
-            if any(t == tag for t, _ in stack[1:]):
+            if opened[tag]:
                 while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
+                    opened[stack.pop()[0]] -= 1
+                opened[stack.pop()[0]] -= 1
             continue
-        if tag in VOID:
+        if tag in VOID or tag == "head":
             continue
         while len(stack) > 1 and (stack[-1][0] == "p" or tag in (CLOSED_BY.get(stack[-1][0]) or ())):
-            stack.pop()
-        items: list = []
-        stack[-1][1].append(["e", _label(tag, attrs), items])
-        stack.append((tag, items))
+            opened[stack.pop()[0]] -= 1
+        label, items = _label(tag, attrs), stack[-1][1]
+        if len(stack) <= MAX_DEPTH:
+            items = []
+            stack[-1][1].append(["e", label, items])
+        stack.append((tag, items, within(label, *stack[-1][2])))
+        opened[tag] += 1
     if not skip and at < len(page):
         pieces.append(page[at:])
     flush()
@@ -186,7 +212,7 @@ def shape(item: list) -> frozenset:
 def repeats(a: list, b: list) -> bool:
     """Whether two neighbours may be turns of one group: alike and, for containers,
     with content of the same kinds (one may have more)."""
-    if not alike(a, b) or a[0] != "e" or a[1].rstrip("+-") in TEXTUAL:
+    if not alike(a, b) or a[0] != "e" or a[1].rstrip("+-~") in TEXTUAL:
         return alike(a, b)
     x, y = shape(a), shape(b)
     return x == y or bool(x and y and (x <= y or y <= x))
@@ -261,11 +287,44 @@ def _join(x: list, y: list) -> list:
     return ["+" if "+" in (x[0], y[0]) else "?", group]
 
 
+def _lone(x: list) -> list:
+    """An item that only one side has."""
+    return x if x[0] == "?" else ["?", x[1] if x[0] == "+" else [x]]
+
+
+def _ahead(a: list, b: list, pairs: list | None, match) -> list:
+    """``align`` of long sequences: the nearest like items within ``AHEAD`` places go together."""
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        d = e = 0
+        while d <= AHEAD:  # the fewest items left out, on the side of a first
+            if i + d < len(a) and match(a[i + d], b[j]):
+                break
+            if j + d < len(b) and match(a[i], b[j + d]):
+                d, e = 0, d
+                break
+            d += 1
+        if d > AHEAD:
+            d = e = 1
+        out += [_lone(x) for x in a[i : i + d]] + [_lone(x) for x in b[j : j + e]]
+        i, j = i + d, j + e
+        if d and e:
+            continue
+        if pairs is None:
+            out.append(_join(a[i], b[j]))
+        else:
+            pairs.append((a[i], b[j]))
+        i, j = i + 1, j + 1
+    return out + [_lone(x) for x in a[i:] + b[j:]]
+
+
 def align(a: list, b: list, pairs: list | None = None) -> list:
     """The sequence that describes both: longest common alignment, the rest optional.
 
     With ``pairs``, the items that went together are appended to it instead of joined;
-    then groups go together even if their items differ.
+    then groups go together even if their items differ. Of sequences whose table would
+    pass ``MAX_CELLS``, an item goes with the next like one at most ``AHEAD`` places on:
+    time and memory follow their length, and what finds no partner is optional.
     """
     match = _match if pairs is None else _fits
     if len(a) == len(b) and all(match(x, y) for x, y in zip(a, b)):
@@ -274,13 +333,14 @@ def align(a: list, b: list, pairs: list | None = None) -> list:
             return a
         return [_join(x, y) for x, y in zip(a, b)]
     n, m = len(a), len(b)
+    if n * m > MAX_CELLS:
+        return _ahead(a, b, pairs, match)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
             s = match(a[i], b[j])
             best[i][j] = max(best[i + 1][j], best[i][j + 1], s + best[i + 1][j + 1] if s else 0)
     out, i, j = [], 0, 0
-    lone = lambda x: x if x[0] == "?" else (["?", [x]] if x[0] != "+" else ["?", x[1]])
     while i < n or j < m:
         if i < n and j < m and (s := match(a[i], b[j])) and best[i][j] == s + best[i + 1][j + 1]:
             if pairs is None:
@@ -289,10 +349,10 @@ def align(a: list, b: list, pairs: list | None = None) -> list:
                 pairs.append((a[i], b[j]))
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i][j] == best[i + 1][j]):
-            out.append(lone(a[i]))
+            out.append(_lone(a[i]))
             i += 1
         else:
-            out.append(lone(b[j]))
+            out.append(_lone(b[j]))
             j += 1
     return out
 
@@ -304,7 +364,7 @@ def bare(items: list) -> list:
 
 def within(label: str, inside: bool, boiler: bool) -> tuple[bool, bool]:
     """Whether an element's content is inside a main region and in boilerplate."""
-    return inside or label[-1] == "+", boiler or (label[-1] == "-" and not (inside and label == "header-"))
+    return inside or label[-1] == "+", boiler or label[-1] == "-" or (label[-1] == "~" and not inside)
 
 
 def main_blocks(page: list, inside: bool = False, boiler: bool = False, region: bool = True) -> set[int]:

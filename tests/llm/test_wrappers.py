@@ -1,3 +1,6 @@
+import random
+import time
+
 from pyspark.sql import functions as F
 
 from llm_helpers import SF
@@ -107,3 +110,50 @@ def test_edges(spark):
     by = dict(got)
     assert by[1] == by[2] == by[None] == "" and by[3] == "only text" and by[5] == "\n".join(["word"] * 20000)
     assert X.extract(df.limit(0)).count() == 0
+
+
+def test_nesting_of_any_depth(spark):
+    deep = "<html><body><nav><p>menu</p></nav><article>" + "<div>" * 100_000 + "<p>bottom</p><div class='ad'>Buy</div>" + "</div>" * 100_000 + "<p>after</p></article></body></html>"
+    shallow = "<html><body><nav><p>menu</p></nav><article><p>one</p></article></body></html>"
+    rows = [(1, "http://a.example/1", deep), (2, "http://a.example/2", shallow), (3, None, "<div>" * 3000 + "<nav>x</nav><p>plain</p>")]
+    assert texts(spark, rows) == {1: "bottom\nafter", 2: "one", 3: "plain"}
+
+
+def test_pages_without_body_or_end_of_head(spark):
+    rows = [
+        (1, None, "<html><head><title>t</title><meta charset=utf-8><p>Hello"),
+        (2, None, "<head><script>x</script><noscript><p>no</p></noscript>Loose text"),
+        (3, None, "<html><head><title>t</title></head><p>Between<body><p>inside"),
+    ]
+    assert texts(spark, rows) == {1: "Hello", 2: "Loose text", 3: "Between\ninside"}
+
+
+def test_parts_of_an_article_with_words_of_regions(spark):
+    page = "<body><div class='header'>site</div><div class='legal'>terms</div><article><div class='section-header'><h2>Part</h2></div><div class='legal'>law</div><div class='side-note'>aside</div><div class='share-buttons'>share</div><footer>foot</footer></article></body>"
+    assert texts(spark, [(1, None, page), (2, "http://h.example/", page)]) == {1: "Part\nlaw\naside", 2: "Part\nlaw\naside"}
+
+
+def test_long_mixed_sequences_are_aligned_in_bounded_time():
+    kinds = ["<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}</li><li>y</li></ul>", "<blockquote>{}</blockquote>", "<pre>{}</pre>", "<table><tr><td>{}</td></tr></table>"]
+    pick = random.Random(5)
+    pages = ["<article>" + "".join(pick.choice(kinds).format(f"w{i}") for i in range(20_000)) + "</article>" for _ in range(2)]
+    parsed = [X.parse(p) for p in pages]
+    trees = [X.fold(items) for items, _ in parsed]
+    started = time.monotonic()
+    wrapper = X.fold(X.align(*(X.bare(t) for t in trees)))
+    judged = X.judge(wrapper, True)
+    for tree, (_, found) in zip(trees, parsed):
+        assert X.kept_blocks(tree, judged) == set(range(len(found)))
+    assert time.monotonic() - started < 60
+
+
+def test_looking_ahead_joins_like_items_and_loses_none(monkeypatch):
+    monkeypatch.setattr(X, "MAX_CELLS", 0)
+    pick = random.Random(7)
+    for _ in range(200):
+        a, b = ([["e", pick.choice("pqrs"), [["T", pick.randrange(3), 1, 4, 0]]] for _ in range(pick.randrange(9))] for _ in range(2))
+        pairs = []
+        X.align(a, b, pairs)
+        order = [(next(i for i, y in enumerate(a) if y is p), next(i for i, y in enumerate(b) if y is q)) for p, q in pairs]
+        assert all(X.alike(p, q) for p, q in pairs) and order == sorted(order) and len({i for i, _ in order}) == len({j for _, j in order}) == len(order)
+        assert len(X.align(a, b)) == len(a) + len(b) - len(pairs)
