@@ -15,8 +15,12 @@ For applying, the convolutions are folded into two tables over byte pairs
 (``width <= 4``): a position costs two table rows instead of products.
 
 Null texts and texts without a letter: ``und`` with score 0. Rows with a null
-or empty language teach nothing; without any labelled row every text is
-``und``. Extra columns are carried through.
+or empty language teach nothing, nor do windows of fewer than ``LEAST`` bytes (so
+texts shorter than that): a language without a longer text is not learned, and if
+none is, every text is ``und``. Languages beyond the ``max_langs`` most frequent are
+not learned either. Repeated rows are rows like any others and get one answer; an
+empty table gives an empty result; texts of any length are read whole, window by
+window. Extra columns are carried through.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from .common import bounded_batches
 
 LENGTH = 256
 WIDTHS = (2, 3, 4)
+#: Bytes a window needs to teach anything.
+LEAST = 12
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -168,12 +174,12 @@ def fit(docs: DataFrame, train_rows=None, docs_per_lang: int = 400, windows_per_
     bounded_batches(docs.sparkSession)
     rows = docs.filter((F.lit(True) if train_rows is None else train_rows) & F.col("lang").isNotNull() & (F.col("lang") != "") & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
-    langs = sorted(counts)
-    if not langs:
-        return Network([], np.zeros((256, 1)), {}, {}, np.zeros((1, 0)), np.zeros(0))
+    nothing = Network([], np.zeros((256, 1)), {}, {}, np.zeros((1, 0)), np.zeros(0))
+    if not counts:
+        return nothing
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, docs_per_lang / n)))])
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1_000_000)) / 1_000_000
-    rows = rows.filter(draw < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", "text").limit(2 * docs_per_lang * len(langs))
+    rows = rows.filter(draw < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", "text").limit(2 * docs_per_lang * len(counts))
 
     def windows(batches):
         for pdf in batches:
@@ -182,15 +188,18 @@ def fit(docs: DataFrame, train_rows=None, docs_per_lang: int = 400, windows_per_
                 if LETTER.search(text):
                     x, _, left = cut([text.encode()])
                     pick = np.unique(np.linspace(0, len(x) - 1, windows_per_doc).astype(int))
-                    got += [(lang, x[i].tobytes()) for i in pick if left[i] >= 12]
+                    got += [(lang, x[i].tobytes()) for i in pick if left[i] >= LEAST]
             yield pd.DataFrame({"lang": pd.Series([g[0] for g in got], dtype=object), "w": pd.Series([g[1] for g in got], dtype=object)})
 
     got = sorted((r["lang"], bytes(r["w"])) for r in rows.mapInPandas(windows, "lang string, w binary").collect())
+    langs = sorted({k for k, _ in got})
+    if not langs:
+        return nothing
     y = np.array([langs.index(k) for k, _ in got], np.int64)
     x = np.frombuffer(b"".join(w for _, w in got), np.uint8).reshape(len(got), LENGTH).copy()
     rng = np.random.default_rng(seed)
     short = rng.random(len(x)) < 0.3  # as short as some texts are
-    keep = np.where(short, rng.integers(12, LENGTH, len(x)), LENGTH)
+    keep = np.where(short, rng.integers(LEAST, LENGTH, len(x)), LENGTH)
     x[np.arange(LENGTH) >= keep[:, None]] = 0
     return train(x, y, langs, seed=seed)
 

@@ -59,3 +59,16 @@ def test_edges(docs_of):
     assert untaught.langs == [] and L.predict(docs, untaught).filter("lang_pred <> 'und'").count() == 0
     one = L.fit(docs_of([(1, "some text in one language only", "xx"), (1, "some text in one language only", "xx")]))
     assert [r["lang_pred"] for r in L.predict(docs.filter("doc_id = 4"), one).collect()] == ["xx"]
+
+
+def test_languages_without_a_long_enough_text_are_not_learned(spark):
+    short = [(i, lang, "hello you") for i, lang in enumerate(("en", "de", None, ""))]
+    docs = spark.createDataFrame(short, "doc_id long, lang string, text string")
+    net = L.fit(docs)
+    assert net.langs == []
+    assert {(r["lang_pred"], r["score"]) for r in L.predict(docs, net).collect()} == {("und", 0.0)}
+    both = docs.unionByName(spark.createDataFrame([(9, "fr", "une phrase assez longue pour apprendre"), (9, "fr", "une phrase assez longue pour apprendre")], docs.schema))
+    net = L.fit(both)
+    assert net.langs == ["fr"]
+    assert {r["lang_pred"] for r in L.predict(both, net).collect()} == {"fr"}
+    assert L.predict(both.limit(0), net).count() == 0 and L.fit(both.limit(0)).langs == []
