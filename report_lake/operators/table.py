@@ -405,8 +405,17 @@ def compact(spark: SparkSession, table_path: str, target_path: str, fmt: str = "
     return CompactResult(int(stats["n"]), list_files(spark, target_path, recursive=True).count(), int(stats["bytes"]))
 
 
-def stale_files(spark: SparkSession, replaced_path: str, retention_hours: float = DEFAULT_RETENTION_HOURS) -> DataFrame:
-    """Files of a replaced table folder that were last written before the
-    retention window: ``path, length, modificationTime``."""
+def stale_files(spark: SparkSession, replaced_path: str, retention_hours: float = DEFAULT_RETENTION_HOURS,
+                live_tables=()) -> DataFrame:
+    """Files below a folder that no live table holds and that were last written
+    before the retention window: ``path, length, modificationTime``.
+
+    ``replaced_path`` may be a replaced table or a folder of several versions;
+    files of the tables in ``live_tables`` are never offered, however old. The
+    listings are joined by path; nothing of them is collected."""
     cutoff = F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(retention_hours) * 3600))
-    return list_files(spark, replaced_path, recursive=True).where(F.col("modificationTime") <= cutoff).select("path", "length", "modificationTime")
+    found = list_files(spark, replaced_path, recursive=True).where(F.col("modificationTime") <= cutoff)
+    live = [p for p in ([live_tables] if isinstance(live_tables, str) else live_tables) if path_exists(spark, p)]
+    if live:
+        found = found.join(list_files(spark, live, recursive=True).select("path"), "path", "left_anti")
+    return found.select("path", "length", "modificationTime")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import byte_slice as _byte_slice
+from ..functions.text import plain_path
 from ..functions.text import ruler_boundaries as _ruler_boundaries
 from ..operators.parse import STATUS_DATE, STATUS_OK, parse_reports
 from ..operators.parse import report_lines as _report_lines
@@ -36,7 +37,7 @@ from ..operators.table import (
 )
 from ..session import drop_path, scratch_path, stage, to_local_or_uri
 from ..sources.archives import member_names
-from ..sources.csv import csv_glob_view, read_report_csv, read_report_days, report_unit, write_report_csv
+from ..sources.csv import csv_glob_view, read_report_csv, read_report_days, read_report_order, report_unit, write_report_csv
 from ..sources.download import download_plan, fetch_reports, local_name_pattern
 from ..sources.files import list_files, utf8_gate
 from ..sources.ledger import append_ledger, read_ledger, read_ledger_entries
@@ -248,6 +249,26 @@ def q_stale_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_stale_unreferenced(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by version and month that lie in files past use: of a folder with a table and
+    its compacted successor, those of the first alone."""
+    root = scratch_path(spark, "versions_st49")
+    table, target = f"{root}/v1", f"{root}/v2"
+    create_or_open_table(spark, table, "st49")
+    records_to_table(fixtures.parsed_st49(spark, sf).records, table, "st49", spread=F.col("record_no") % 3)
+    compact(spark, table, target)
+    stale = stage(stale_files(spark, root, retention_hours=0, live_tables=[target]).select("path"), "stale")
+    rows = [spark.read.parquet(p).select(F.lit(v).alias("version"), F.col("report_month").cast("string").alias("report_month"), plain_path(F.col("_metadata.file_path")).alias("path")) for v, p in (("v1", table), ("v2", target))]
+    return reduce(DataFrame.unionByName, rows).join(stale, "path", "left_semi").groupBy("version", "report_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_report_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of every record in its report's files, several files a report."""
+    out = scratch_path(spark, "csv_ordered")
+    write_report_csv(_staged_records(spark, sf), out, "st1", records_per_file=4, ordered=True)
+    return read_report_order(spark, out, "st1").select("date", "licence_number", "well_name", "place")
+
+
 def q_load_single_path(spark: SparkSession, sf: str) -> DataFrame:
     """CSV files given by path load whatever their name; found by folder they would not."""
     csv = fixtures.csv_folder(spark, sf)
@@ -642,6 +663,8 @@ QUERIES = {
     "quarantine": q_quarantine,
     "compact": q_compact,
     "stale_files": q_stale_files,
+    "stale_unreferenced": q_stale_unreferenced,
+    "report_order": q_report_order,
     "except_rows": q_except_rows,
     "sym_diff": q_sym_diff,
     "ingest_folder": q_ingest_folder,
@@ -700,6 +723,8 @@ ORACLES = {
     "load_candidates": oracles.load_candidates(),
     "quarantine": oracles.quarantine(),
     "compact": oracles.st49_stored(),
+    "stale_unreferenced": oracles.stale_unreferenced(),
+    "report_order": oracles.report_order(),
     "except_rows": oracles.except_rows(),
     "sym_diff": oracles.sym_diff(),
     "ingest_folder": oracles.st1_records(),

@@ -327,6 +327,21 @@ WHERE status <> 'ok'
 """
 
 
+def stale_unreferenced() -> str:
+    return f"""
+SELECT 'v1' AS version, strftime(date_trunc('month', CAST(date AS DATE)), '%Y-%m-%d') AS report_month, count(*) AS rows
+FROM ({st49_stored()}) t GROUP BY 1, 2
+"""
+
+
+def report_order() -> str:
+    return f"""
+SELECT NULLIF(date, '') AS date, NULLIF(licence_number, '') AS licence_number, NULLIF(well_name, '') AS well_name,
+       row_number() OVER (PARTITION BY date ORDER BY record_no) AS place
+FROM ({st1_records()}) t
+"""
+
+
 PERTURBED = """
 a AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,

@@ -12,6 +12,7 @@ from __future__ import annotations
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,18 +59,23 @@ def report_unit(path):
     return F.regexp_replace(as_col(path), r"(/report=[^/]+)/[^/]*$", "$1")
 
 
-def write_report_csv(records: DataFrame, out_dir: str, report_type, records_per_file: int = RECORDS_PER_FILE) -> None:
+def write_report_csv(records: DataFrame, out_dir: str, report_type, records_per_file: int = RECORDS_PER_FILE,
+                     ordered: bool = False) -> None:
     """Write parsed records as pipe CSV, one directory per report day.
 
     Rows of a day are spread by ``record_no // records_per_file`` so that a day
     with very many records is written in parallel, and sorted by ``record_no``
     inside each file so that files keep report order. Records without a number
-    have no order; Spark rebalances them by day and size.
+    have no order; Spark rebalances them by day and size. ``ordered`` also brings the
+    files of a day into report order by name: the rows are partitioned by range of
+    day and part instead of by hash (see :func:`read_report_order`).
     """
     spec = get_spec(report_type)
     out = records.withColumn("report", report_key(spec))
     if "record_no" in records.columns:
-        out = out.repartition("report", F.floor(F.col("record_no") / records_per_file)).sortWithinPartitions("report", "record_no")
+        part = F.floor(F.col("record_no") / records_per_file)
+        out = out.repartitionByRange("report", part.alias("_part")) if ordered else out.repartition("report", part)
+        out = out.sortWithinPartitions("report", "record_no")
     else:
         out = out.hint("rebalance", "report")
     (
@@ -119,6 +125,29 @@ def read_report_days(spark: SparkSession, folder: str, report_type, days: Option
     return rows.join(bad, "report", "left_anti").select(*spec.columns, "report_day")
 
 
+def read_report_order(spark: SparkSession, folder: str, report_type) -> DataFrame:
+    """The rows of a folder of ``report=`` directories with their ``report`` and
+    ``place`` in it (from 1), as its files hold them: by the number of the part, then by row.
+
+    A row's place is the number of rows in the report's earlier blocks (files, or
+    splits of a large file) plus its rank in its own block, which the scan gives; the
+    window runs over one row a block, and no row is sorted or shuffled by report.
+    Malformed rows keep their place and have null fields where Spark found none.
+    """
+    spec = get_spec(report_type)
+    reader = _reader(spark, spec, T.StructField("report", T.StringType(), True)).option("basePath", folder)
+    raw = reader.option("pathGlobFilter", "*.csv").csv(folder)
+    block = ["report", "_file", "_start"]
+    rows = raw.select(*spec.columns, "report", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
+    rows = stage(rows, "csv_order")
+    blocks = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    task = F.regexp_extract("_file", r"^part-(\d+)", 1).try_cast("long")  # as a number: names have five digits or more
+    before = W.partitionBy("report").orderBy(task, "_file", "_start").rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    place = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return rows.join(blocks, block).select(*spec.columns, "report", place.alias("place"))
+
+
 def scan_report_csv(spark: SparkSession, paths, report_type, recursive: bool = True, listing: Optional[DataFrame] = None):
     """Read report CSVs with the table's schema, binding columns by position.
 

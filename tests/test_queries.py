@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 QUICK = ["report_lines", "byte_slice", "st1_records", "st49_records", "ruler_boundaries", "st1_date",
          "custom_spec", "except_rows", "sym_diff", "ledger_read", "load_candidates", "utf8_gate", "download_plan",
          "archive_members", "report_routing", "quarantine", "utf8_lossy", "folder_status", "reload_same_report", "stream_ledger",
-         "custom_islands", "append_from_frame"]
+         "custom_islands", "append_from_frame", "stale_unreferenced", "report_order"]
 KEYS = sorted(ORACLES) if os.environ.get("REPORT_LAKE_ALL_QUERIES") else QUICK
 
 

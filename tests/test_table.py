@@ -102,6 +102,8 @@ def test_compact_writes_a_new_folder(spark, tmp_shared):
     assert read_table(spark, target, "st1").count() == read_table(spark, table, "st1").count() == 200
     assert stale_files(spark, table).count() == 0  # inside the retention window
     assert stale_files(spark, table, retention_hours=0).count() == before
+    assert stale_files(spark, table, retention_hours=0, live_tables=table).count() == 0  # still in use
+    assert stale_files(spark, table, retention_hours=0, live_tables=[target, tmp_shared("none")]).count() == before
     with pytest.raises(ValueError):
         compact(spark, table, tmp_shared("x"), fmt="delta")
 
