@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.parse import Parsed, parse_reports
-from ..session import scratch_path
+from ..session import scratch_path, to_local_or_uri
 from ..sources.csv import report_key, write_report_csv
 from ..sources.files import write_named_files
 from ..spec import ST1
@@ -35,20 +35,48 @@ def parsed_st49(spark: SparkSession, sf: str) -> Parsed:
     return parse_reports(render_st49(spark, sf), "st49")
 
 
+def _file_joiner(staging_uri: str, folder_uri: str):
+    def run(batches):
+        import shutil
+
+        import pyarrow.fs as pafs
+
+        fs, source = pafs.FileSystem.from_uri(staging_uri)
+        _, root = pafs.FileSystem.from_uri(folder_uri)
+        fs.create_dir(root, recursive=True)
+        for pdf in batches:
+            for name, parts in zip(pdf["name"], pdf["parts"]):
+                parts, target = [f"{source}/{p}" for p in parts], f"{root}/{name}"
+                if len(parts) > 1:
+                    with fs.open_output_stream(target) as out:
+                        for p in parts:
+                            with fs.open_input_stream(p) as f:
+                                shutil.copyfileobj(f, out, 8 << 20)
+                elif fs.get_file_info(parts[0]).type != pafs.FileType.NotFound:  # else moved by an earlier try
+                    fs.move(parts[0], target)
+            yield pdf[["name"]]
+
+    return run
+
+
 def write_report_files(lines: DataFrame, folder: str, staging: str) -> None:
     """Write a line relation ``(path, pos, line)`` as one text file per report,
-    named by ``path``, into ``folder``: Spark writes each report's lines in order,
-    then each part file is copied to its report's name."""
+    named by ``path``, into ``folder``: Spark writes the lines by range of report and
+    position, so a large report comes in several parts. A single part is moved to its
+    report's name; several are streamed into one file, a few megabytes at a time."""
     spark = lines.sparkSession
     (
-        lines.repartition("path")
+        lines.repartitionByRange("path", "pos")
         .sortWithinPartitions("path", "pos")
         .select("line", F.col("path").alias("report"))
         .write.partitionBy("report")
         .text(staging)
     )
-    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(staging)
-    write_named_files(parts.select(F.col("report").alias("name"), "content"), folder).count()
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(staging)
+    task = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("long")
+    part = F.struct(task.alias("task"), F.regexp_extract("path", r"([^/]*/[^/]*)$", 1).alias("file"))
+    reports = found.groupBy(F.col("report").alias("name")).agg(F.array_sort(F.collect_list(part))["file"].alias("parts"))
+    reports.mapInPandas(_file_joiner(to_local_or_uri(staging), to_local_or_uri(folder)), "name string").count()
 
 
 def write_lines_as_csv(lines: DataFrame, out_dir: str, partition_col: str) -> None:

@@ -7,6 +7,7 @@ from report_lake.operators.ingest import ingest_archives, ingest_folder
 from report_lake.operators.routing import route
 from report_lake.sources.download import download_plan, fetch_reports
 from report_lake.sources.files import content_lines, read_lines, write_named_files
+from report_lake.plans.fixtures import write_report_files
 from report_lake.session import to_local_or_uri
 
 
@@ -188,3 +189,21 @@ def test_each_url_is_fetched_once(spark, tmp_shared):
     fetched, res = ingest_date_range(spark, "st1", "2025-01-01", "2025-01-01", "x/", fetcher=fetcher, csv_out=tmp_shared("csv"), txt_out=tmp_shared("bodies"))
     assert res.status.count() == res.records.count() == fetched.count() == 1
     assert len(os.listdir(calls)) == 1
+
+
+def test_report_file_larger_than_one_value(spark, tmp_path):
+    """Reports are written in parts, none of which passes through a row: here no file
+    longer than 64 bytes can be read as one."""
+    lines = [("BIG.TXT", (i % 7 << 40) + i, f"line {i % 7} {i:04d}") for i in range(300)] + [("ONE.TXT", i, f"only {i}") for i in range(20)]
+    df = spark.createDataFrame(lines, "path string, pos long, line string").repartition(4)
+    key, folder = "spark.sql.sources.binaryFile.maxLength", tmp_path / "reports"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        write_report_files(df, f"file:{folder}", f"file:{tmp_path}/staging")
+    finally:
+        spark.conf.set(key, before)
+    for name in ("BIG.TXT", "ONE.TXT"):
+        want = [x[2] for x in sorted(lines, key=lambda x: x[1]) if x[0] == name]
+        assert (folder / name).read_text().splitlines() == want
+    assert sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == ["BIG.TXT", "ONE.TXT"]
