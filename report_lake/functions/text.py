@@ -1,11 +1,13 @@
 """Column expressions for positional report text.
 
-All of these are built-in Spark expressions (JVM side, whole-stage codegen);
-no Python runs per row.
+All but one are built-in Spark expressions (JVM side, whole-stage codegen);
+:func:`ruler_boundaries` works on Arrow batches. No Python runs per row.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,28 +106,56 @@ def words_slice(text, skip: int, take: int) -> Column:
     return F.array_join(F.slice(toks, skip + 1, take), " ")
 
 
+def _whitespace_bytes(b: np.ndarray) -> np.ndarray:
+    """Marks the bytes of ``b`` (UTF-8) that belong to a Unicode whitespace character."""
+    out = np.zeros(len(b) + 2, bool)
+    padded = np.concatenate([b, np.zeros(2, np.uint8)])
+    for char in UNICODE_WHITESPACE:
+        code = char.encode()
+        at = np.flatnonzero(padded[: len(b)] == code[0])
+        for j in range(1, len(code)):
+            at = at[padded[at + j] == code[j]]
+        for j in range(len(code)):
+            out[at + j] = True
+    return out[: len(b)]
+
+
+def _boundaries(rulers: pa.Array) -> pa.Array:
+    lines = rulers.cast(pa.large_binary())
+    n, bufs = len(lines), lines.buffers()
+    at = np.frombuffer(bufs[1], np.int64)[lines.offset : lines.offset + n + 1] if n else np.zeros(1, np.int64)
+    data = np.frombuffer(bufs[2], np.uint8)[at[0] : at[-1]] if bufs[2] else np.empty(0, np.uint8)
+    at = at - at[0]
+    space, size = _whitespace_bytes(data), np.diff(at)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    before, after = np.concatenate([[True], space[:-1]]), np.concatenate([space[1:], [True]])
+    begin = np.flatnonzero(~space & (edge[:-1] | before[: len(space)]))
+    end = np.flatnonzero(~space & (edge[1:] | after[: len(space)])) + 1
+    line = np.searchsorted(at, begin, side="right") - 1
+    null = np.asarray(lines.is_null())
+    blank = ~null  # the run that ends the line is empty
+    some = size > 0
+    blank[some] &= space[at[1:][some] - 1]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=n) + blank)])
+    values = np.empty((2, ends[-1]), np.int32)
+    run = np.ones(ends[-1], bool)
+    run[ends[1:][blank] - 1] = False
+    values[:, run] = begin - at[line], end - at[line]
+    values[:, ~run] = size[blank]
+    bounds = pa.StructArray.from_arrays([pa.array(values[0]), pa.array(values[1])], names=["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), bounds, mask=pa.array(null))
+
+
 def ruler_boundaries(ruler) -> Column:
     """``'--  -'`` -> ``[{start:0,end:2},{start:4,end:5}]``: byte ranges of the
     runs of non-whitespace (any Unicode whitespace separates).
 
-    The run that ends the line is always given, also when it is empty. Runs and
-    gaps alternate, so the offsets are running sums of their UTF-8 lengths.
+    The run that ends the line is always given, also when it is empty. A batch of
+    lines is cut in one pass over its bytes, so a line of many runs costs no more
+    than as many lines of one.
     """
-    r = as_col(ruler)
-    runs = F.split(r, WHITESPACE_CLASS + "+", -1)
-    gaps = F.concat(F.transform(F.regexp_extract_all(r, F.lit(f"({WHITESPACE_CLASS}+)"), 1), F.octet_length), F.array(F.lit(0)))
-    steps = F.arrays_zip(F.transform(runs, F.octet_length).alias("run"), gaps.alias("gap"))
-    nothing = F.array().cast("array<struct<start:int,end:int>>")
-
-    def step(state, x):
-        end = state["at"] + x["run"]
-        bound = F.struct(state["at"].alias("start"), end.alias("end"))
-        return F.struct((end + x["gap"]).alias("at"), F.array_append(state["out"], bound).alias("out"))
-
-    bounds = F.aggregate(steps, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda state: state["out"])
-    last = F.element_at(bounds, -1)
-    kept = F.filter(bounds, lambda b: b["end"] > b["start"])
-    return F.when(last["end"] == last["start"], F.array_append(kept, last)).otherwise(kept)
+    return F.arrow_udf(_boundaries, "array<struct<start:int,end:int>>")(as_col(ruler))
 
 
 def plain_path(uri) -> Column:

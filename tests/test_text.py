@@ -85,3 +85,14 @@ def test_name_parts(spark):
     df = spark.createDataFrame([("/a/b/WELLS0102.TXT",), ("/a/README",), ("x.tar.gz",)], "p string")
     got = df.select(file_stem("p").alias("s"), file_extension("p").alias("e")).collect()
     assert [(r.s, r.e) for r in got] == [("WELLS0102", "TXT"), ("README", None), ("x.tar", "gz")]
+
+
+def test_ruler_of_very_many_runs(spark):
+    """A line of 60,000 runs, next to short ones: the cost follows the bytes."""
+    lines = ["ab é　漢 " * 20_000, "", " ", "--  -", None]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, ruler string").coalesce(1)
+    got = {r["i"]: [(b["start"], b["end"]) for b in r["b"]] if r["b"] is not None else None for r in df.select("i", ruler_boundaries("ruler").alias("b")).collect()}
+    want, size = [], len("ab é　漢 ".encode())
+    for k in range(20_000):
+        want += [(k * size, k * size + 2), (k * size + 3, k * size + 5), (k * size + 8, k * size + 11)]
+    assert got == {0: [*want, (20_000 * size, 20_000 * size)], 1: [(0, 0)], 2: [(1, 1)], 3: [(0, 2), (4, 5)], 4: None}
