@@ -26,7 +26,10 @@ after that is linear in the bucket sizes:
   ``similarity`` is found by prefixes. In an order of all shingles (frequent ones
   last) two such multisets share one among the first few; those are join keys,
   with bounds on lengths and positions, and each pair of different classes that
-  meets is compared. No pair that shares a band is left undecided.
+  meets is compared. Members of a large group of near copies meet there without
+  being links; a bound on what two multisets do not share, from the parities of
+  their shingles in ``BITMAP`` cells, drops such pairs inside the join and never
+  one that reaches ``similarity``. No pair that shares a band is left undecided.
 
 Result: one row per input row with ``class_id``, the least id of its class.
 Null texts are in no class but their own; empty texts, and texts without words,
@@ -53,6 +56,9 @@ SIMILARITY, WIDTH, BANDS, ROWS = 0.8, 5, 27, 8
 BROADCAST_NODES = 1 << 20
 #: Rounds go on while so many of the pairs that one compares are links.
 SHARE = 0.05
+#: Cells (bits) in which the parities of a text's shingles are kept.
+BITMAP = 512
+PARITIES = [f"b{i}" for i in range(BITMAP // 64)]
 
 
 def shingles(buf: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +191,17 @@ def common_seeds(texts: DataFrame, width: int, sample: int = 8192, most: int = 1
     return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
 
 
+def parities(seed: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """(texts, words) bits: the parity of each text's seeds in every cell. Where two
+    texts differ in a cell, a seed lies there that only one of them has."""
+    cell = (seed.view(np.uint64) % U64(BITMAP)).astype(np.int64)
+    odd = (np.bincount(owner * BITMAP + cell, minlength=texts * BITMAP) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(texts, BITMAP), axis=1).view(np.int64)
+
+
 def prefixes(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], least: float, width: int) -> DataFrame:
-    """node, label, n and seeds: of every text the first seeds, common ones last,
-    of which it shares one with any text at ``least`` or more."""
+    """node, label, n, seeds and parities: of every text the first seeds, common ones
+    last, of which it shares one with any text at ``least`` or more."""
     names, counts = common
 
     def run(batches):
@@ -204,26 +218,30 @@ def prefixes(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], least: flo
                 size = np.minimum(total, total - np.ceil(least * total - 1e-6).astype(np.int64) + 1)
                 ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(seed[order][nth < np.repeat(size, total)]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(total), lists], names=["node", "label", "n", "seeds"])
+                bits = [pa.array(np.ascontiguousarray(b)) for b in parities(seed, owner, j - i).T]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(total), lists, *bits], names=["node", "label", "n", "seeds", *PARITIES])
 
-    return texts.select("node", "label", "text").mapInArrow(run, "node binary, label binary, n bigint, seeds array<bigint>")
+    return texts.select("node", "label", "text").mapInArrow(run, ", ".join(["node binary, label binary, n bigint, seeds array<bigint>", *(f"{b} bigint" for b in PARITIES)]))
 
 
 def prefix_pairs(texts: DataFrame, least: float, width: int) -> DataFrame:
     """The pairs (a, b) of ``texts`` (node, label, text) with different labels
     that may reach ``least``: none that does is missing."""
-    at = prefixes(texts, common_seeds(texts, width), least, width).select("node", "label", "n", F.posexplode("seeds").alias("nth", "seed"))
-    at = stage(at, "dart-prefixes")
+    first = stage(prefixes(texts, common_seeds(texts, width), least, width), "dart-prefixes")
+    at = first.select("node", "label", "n", F.posexplode("seeds").alias("nth", "seed"))
     # the class with most members at a seed is never joined with itself
     size = at.groupBy("seed", "label").agg(F.count(F.lit(1)).alias("c"))
     tops = size.groupBy("seed").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    at = stage(at.join(tops.select("seed", F.col("top.label").alias("top")), "seed").withColumn("top", F.col("label") == F.col("top")), "dart-shared")
+    at = at.join(tops.select("seed", F.col("top.label").alias("top")), "seed").withColumn("top", F.col("label") == F.col("top"))
+    at = stage(at.join(first.select("node", *PARITIES), "node"), "dart-shared")
     # the shorter text of a pair needs the shorter prefix, as the longer one has at least as many
     short = at.filter(F.col("nth") < F.col("n") - F.ceil(2 * least / (1 + least) * F.col("n") - 1e-6) + 1).alias("x")
     long = at.alias("y")
+    apart = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in PARITIES)  # so many seeds at least are in one of them only
     where = F.expr(
         f"x.seed = y.seed and x.label <> y.label and (x.n < y.n or x.n = y.n and x.node < y.node) and x.n >= {least!r} * y.n - 1e-6"
         f" and least(x.n - x.nth, y.n - y.nth) >= {least / (1 + least)!r} * (x.n + y.n) - 1e-6"
+        f" and {apart} <= {(1 - least) / (1 + least)!r} * (x.n + y.n) + 1e-6"
     )
     pairs = [s.join(l, where).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")) for s, l in ((short.filter("not x.top"), long), (short.filter("x.top"), long.filter("not y.top")))]
     return pairs[0].union(pairs[1]).distinct()

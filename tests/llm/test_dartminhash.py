@@ -131,6 +131,26 @@ def test_prefix_pairs_miss_none(spark, sf_docs):
         assert want and want <= got
 
 
+def test_prefix_pairs_of_a_group_below_the_limit(spark):
+    """Near copies of one text that are no links of each other: few pairs leave the join, all links among them."""
+    rng = random.Random(10)
+    base = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(240):  # one changed word, in the middle: 51 of 61 shingles in common at most
+        w = list(base)
+        w[6 + i % 48] = f"own{i}"
+        texts.append(" ".join(w))
+    for i in range(6):  # links: another last word
+        texts.append(texts[40 * i].rsplit(" ", 1)[0] + f" end{i}")
+    counted = {t: multiset(t) for t in texts}
+    want = {(a.encode(), b.encode()) for a in texts for b in texts if a < b and jaccard(counted[a], counted[b]) >= 0.8}
+    df = spark.createDataFrame([(t.encode(), t.encode(), t) for t in rng.sample(texts, len(texts))], "node binary, label binary, text string")
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in D.prefix_pairs(df, 0.8, 5).collect()}
+    every = len(texts) * (len(texts) - 1) // 2
+    assert want and want <= got and len(want) < every / 10
+    assert len(got) < 1.5 * len(want)
+
+
 def test_edges(docs_of):
     rows = [(1, None), (2, None), (3, ""), (4, ""), (5, "  "), (6, "hello"), (7, "hello"), (7, "hello"), (8, "Hello"), (9, "w " * 30000), (None, "alone in here")]
     docs = docs_of(rows).withColumn("node", F.lit(1)).withColumn("label", F.lit(2)).withColumn("key", F.lit(3)).withColumn("id", F.lit(4))
