@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from report_lake.functions.text import (
     byte_slice,
@@ -44,6 +45,17 @@ def test_byte_slice_cutting_a_character(spark):
     assert one(spark, byte_slice("v", 2, 3), "aé") == ""
 
 
+def test_padded_fields_are_cut_from_the_bytes(spark):
+    """Padding goes by plain trim, and the line is not decoded again for every field."""
+    mixed = "\u3000 \t  é x \u00a0  \r" + " " * 40
+    assert one(spark, trim_ws("v"), mixed) == "é x"
+    assert one(spark, byte_slice("v", 0, 10), mixed) == "é"
+    assert one(spark, byte_slice("v", 0, 8), mixed) == ""
+    assert one(spark, byte_slice("v", 0, len(mixed.encode())), mixed) == "é x"
+    plan = spark.range(1).select(F.col("id").cast("string").alias("v")).select(byte_slice("v", 0, 5))._jdf.queryExecution().optimizedPlan().toString()
+    assert "encode(" not in plan and "as binary" in plan
+
+
 def test_dates(spark):
     f = parse_day_month_year("v")
     assert one(spark, f, "02 January 2024") == dt.date(2024, 1, 2)
