@@ -108,3 +108,18 @@ def test_days_choose_directories(spark, tmp_shared):
     assert max(sizes) <= 1
     got = read_table(spark, table, "st1", days=days)
     assert "dynamicpruning" in executed(got) and got.count() == 1
+
+
+def test_records_compile(spark):
+    """The JVM interprets methods of 8,000 bytes or more: cutting the fields must not be one."""
+    st1 = parse_reports(lines_df(spark, {"a": render_st1_report(ST1_GOLDEN)}), "st1")
+    st49 = parse_reports(lines_df(spark, {"b": render_st49_report(ST49_GOLDEN)}), "st49")
+    key, before = "spark.sql.adaptive.enabled", spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set(key, "false")  # else the code is only made as the stages run
+    try:
+        for df in (st1.records, st49.records):
+            stages = df.select("*")._jdf.queryExecution().debug().codegenToSeq()
+            sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+            assert sizes and max(sizes) < 8000, sizes
+    finally:
+        spark.conf.set(key, before)

@@ -10,6 +10,7 @@ from report_lake.functions.text import (
     plain_path,
     ruler_boundaries,
     trim_ws,
+    with_slices,
     words_slice,
 )
 
@@ -108,3 +109,16 @@ def test_ruler_of_very_many_runs(spark):
     for k in range(20_000):
         want += [(k * size, k * size + 2), (k * size + 3, k * size + 5), (k * size + 8, k * size + 11)]
     assert got == {0: [*want, (20_000 * size, 20_000 * size)], 1: [(0, 0)], 2: [(1, 1)], 3: [(0, 2), (4, 5)], 4: None}
+
+
+def test_with_slices_gives_byte_slices(spark):
+    """Fields cut together are those cut one by one, also where only some lines are plain."""
+    lines = [
+        ("ab  cd  ef", "  x"), ("ab\u3000 cd", "\u2003x\t"), ("\u00e9\u00e9 cd", "plain"), ("a\tb", None), ("", ""),
+        ("ab \x1f cd", " \u00a0 "),
+    ]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(lines)], "id int, l0 string, l1 string")
+    cuts = [("a", "l0", 0, 3), ("b", "l0", 2, 6), ("c", "l0", 4, None), ("d", "l1", 0, None), ("e", "l1", 1, 4)]
+    got = with_slices(df, ["id"], cuts).orderBy("id").collect()
+    want = df.select("id", *[byte_slice(F.col(l), s, e).alias(n) for n, l, s, e in cuts]).orderBy("id").collect()
+    assert got == want and got[1]["d"] == "x" and got[3]["d"] == ""
