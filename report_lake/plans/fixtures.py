@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.parse import Parsed, parse_reports
-from ..session import scratch_path, to_local_or_uri
+from ..session import scratch_path, stage, to_local_or_uri
 from ..sources.csv import report_key, write_report_csv
 from ..sources.files import write_named_files
 from ..spec import ST1
@@ -112,6 +112,8 @@ def add_report_files(spark: SparkSession, sf: str, folder: str, which: str, wher
 def csv_folder(spark: SparkSession, sf: str, records: DataFrame = None, damaged: bool = False) -> str:
     records = records if records is not None else parsed_st1(spark, sf).records
     out = scratch_path(spark, "csv")
+    if damaged:
+        records = stage(records, "records")  # written twice
     write_report_csv(records, out, "st1")
     if damaged:
         short = records.where(F.dayofmonth(F.to_date("date")) == 5)
