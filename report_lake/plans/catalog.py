@@ -451,15 +451,13 @@ def q_ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
 def q_folder_status(spark: SparkSession, sf: str) -> DataFrame:
     """Every file of a folder has a status: reports, reports of another type, and other names."""
     folder = fixtures.report_folder(spark, sf, "st1")
-    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True))
-    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True), rename=lambda p: F.concat(p, F.lit(".dat")))
+    fixtures.add_report_files(spark, sf, folder, "st49", F.lit(True), also=lambda p: F.concat(p, F.lit(".dat")))
     return _named(ingest_folder(spark, folder, "st1").status).select("path", "status", "recoverable", "records")
 
 
 def q_folder_prefix(spark: SparkSession, sf: str) -> DataFrame:
     """A folder filtered by prefix, among files of the same extension."""
-    folder = fixtures.report_folder(spark, sf, "st1")
-    fixtures.add_report_files(spark, sf, folder, "st1", F.lit(True), rename=lambda p: F.concat(F.lit("OLD"), p))
+    folder = fixtures.report_folder(spark, sf, "st1", also=lambda p: F.concat(F.lit("OLD"), p))
     return _named(ingest_folder(spark, folder, "st1", prefix="WELLS").records)
 
 

@@ -45,25 +45,29 @@ def _file_joiner(staging_uri: str, folder_uri: str):
         _, root = pafs.FileSystem.from_uri(folder_uri)
         fs.create_dir(root, recursive=True)
         for pdf in batches:
-            for name, parts in zip(pdf["name"], pdf["parts"]):
-                parts, target = [f"{source}/{p}" for p in parts], f"{root}/{name}"
-                if len(parts) > 1:
+            for names, parts in zip(pdf["names"], pdf["parts"]):
+                parts, targets = [f"{source}/{p}" for p in parts], [f"{root}/{name}" for name in names]
+                if len(parts) == 1 and fs.get_file_info(parts[0]).type == pafs.FileType.NotFound:  # moved by an earlier try
+                    continue
+                for target in targets if len(parts) > 1 else targets[1:]:
                     with fs.open_output_stream(target) as out:
                         for p in parts:
                             with fs.open_input_stream(p) as f:
                                 shutil.copyfileobj(f, out, 8 << 20)
-                elif fs.get_file_info(parts[0]).type != pafs.FileType.NotFound:  # else moved by an earlier try
-                    fs.move(parts[0], target)
+                if len(parts) == 1:
+                    fs.move(parts[0], targets[0])
             yield pdf[["name"]]
 
     return run
 
 
-def write_report_files(lines: DataFrame, folder: str, staging: str) -> None:
+def write_report_files(lines: DataFrame, folder: str, staging: str, also=None) -> None:
     """Write a line relation ``(path, pos, line)`` as one text file per report,
     named by ``path``, into ``folder``: Spark writes the lines by range of report and
     position, so a large report comes in several parts. A single part is moved to its
-    report's name; several are streamed into one file, a few megabytes at a time."""
+    report's name; several are streamed into one file, a few megabytes at a time.
+    ``also`` maps a name to another that each report gets a copy under: the file is
+    copied, the lines are neither rendered nor shuffled again."""
     spark = lines.sparkSession
     (
         lines.repartitionByRange("path", "pos")
@@ -76,6 +80,8 @@ def write_report_files(lines: DataFrame, folder: str, staging: str) -> None:
     task = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("long")
     part = F.struct(task.alias("task"), F.regexp_extract("path", r"([^/]*/[^/]*)$", 1).alias("file"))
     reports = found.groupBy(F.col("report").alias("name")).agg(F.array_sort(F.collect_list(part))["file"].alias("parts"))
+    name = F.col("name")
+    reports = reports.withColumn("names", F.array(name, also(name)) if also else F.array(name))
     reports.mapInPandas(_file_joiner(to_local_or_uri(staging), to_local_or_uri(folder)), "name string").count()
 
 
@@ -91,22 +97,19 @@ def write_lines_as_csv(lines: DataFrame, out_dir: str, partition_col: str) -> No
     )
 
 
-def report_folder(spark: SparkSession, sf: str, which: str = "st1", where=None) -> str:
+def report_folder(spark: SparkSession, sf: str, which: str = "st1", where=None, also=None) -> str:
     """Rendered reports written as files into a fresh folder; returns the folder."""
     lines = render_st1(spark, sf) if which == "st1" else render_st49(spark, sf)
     if where is not None:
         lines = lines.where(where)
     folder = scratch_path(spark, f"reports_{which}")
-    write_report_files(lines, folder, scratch_path(spark, "render_staging"))
+    write_report_files(lines, folder, scratch_path(spark, "render_staging"), also)
     return folder
 
 
-def add_report_files(spark: SparkSession, sf: str, folder: str, which: str, where, rename=None) -> None:
+def add_report_files(spark: SparkSession, sf: str, folder: str, which: str, where, also=None) -> None:
     lines = render_st1(spark, sf) if which == "st1" else render_st49(spark, sf)
-    lines = lines.where(where)
-    if rename:
-        lines = lines.withColumn("path", rename(F.col("path")))
-    write_report_files(lines, folder, scratch_path(spark, "render_staging"))
+    write_report_files(lines.where(where), folder, scratch_path(spark, "render_staging"), also)
 
 
 def csv_folder(spark: SparkSession, sf: str, records: DataFrame = None, damaged: bool = False) -> str:

@@ -207,3 +207,15 @@ def test_report_file_larger_than_one_value(spark, tmp_path):
         want = [x[2] for x in sorted(lines, key=lambda x: x[1]) if x[0] == name]
         assert (folder / name).read_text().splitlines() == want
     assert sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == ["BIG.TXT", "ONE.TXT"]
+
+
+def test_report_files_are_copied_under_a_second_name(spark, tmp_path):
+    """One write of the lines gives both names, for reports of one part and of several."""
+    lines = [("BIG.TXT", i, f"line {i} " + "x" * 100) for i in range(3000)] + [("ONE.TXT", i, f"one {i}") for i in range(4)]
+    df = spark.createDataFrame(lines, "path string, pos long, line string").repartition(4)
+    folder = tmp_path / "out"
+    write_report_files(df, f"file:{folder}", f"file:{tmp_path}/staging", also=lambda p: F.concat(F.lit("OLD"), p))
+    assert sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == ["BIG.TXT", "OLDBIG.TXT", "OLDONE.TXT", "ONE.TXT"]
+    for name in ("BIG.TXT", "ONE.TXT"):
+        want = [x[2] for x in lines if x[0] == name]
+        assert (folder / name).read_text().splitlines() == want == (folder / f"OLD{name}").read_text().splitlines()
