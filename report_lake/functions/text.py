@@ -37,6 +37,21 @@ def trim_ws(c) -> Column:
     return F.btrim(F.trim(as_col(c)), F.lit(UNICODE_WHITESPACE))
 
 
+def with_trimmed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the text column ``name`` trimmed as by :func:`trim_ws`.
+
+    A trim by a set of characters first lists every character of the line. Lines that
+    begin and end with printable ASCII once a carriage return and plain padding are off
+    have nothing left to trim, and only the others go through it. A carriage return that
+    follows the first byte of a broken character stays, as it does there."""
+    text = F.col(name)
+    head = F.substr(text.cast("binary"), F.lit(1), F.octet_length(text) - 1).cast("string")
+    df = df.withColumn(name, F.trim(F.when(text.endswith("\r") & F.is_valid_utf8(text), head).otherwise(text)))
+    first, last = (F.substr(text.cast("binary"), at, F.lit(1)).cast("string") for at in (F.lit(1), F.octet_length(text)))
+    bare = first.between("!", "~") & last.between("!", "~")
+    return df.withColumn(name, F.when(bare, text).otherwise(F.btrim(text, F.lit(UNICODE_WHITESPACE))))
+
+
 def contains_any(c, words) -> Column:
     c = as_col(c)
     out = F.lit(False)

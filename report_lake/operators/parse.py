@@ -41,6 +41,7 @@ from ..functions.text import (
     ruler_boundaries,
     trim_ws,
     with_slices,
+    with_trimmed,
     words_slice,
 )
 from ..session import bucket_count, stage, stage_bucketed
@@ -78,11 +79,14 @@ def spec_flags(spec: ReportSpec) -> dict:
     later scans read a few booleans instead of the line text."""
     line = F.col("line")
     if spec.layout == "chunked":
+        # words of both lists come first in both, where Spark looks for them once a line
+        both = [w for w in spec.terminators if w in spec.row_excludes]
+        terminators, excludes = ([*both, *(w for w in words if w not in both)] for words in (spec.terminators, spec.row_excludes))
         return {
             "f_date": line.contains(spec.date_marker),
             "f_anchor": contains_all(line, spec.anchor_words),
-            "f_term": contains_any(line, spec.terminators),
-            "f_data": ~contains_any(line, spec.row_excludes),
+            "f_term": contains_any(line, terminators),
+            "f_data": ~contains_any(line, excludes),
             "nbytes": F.octet_length(line),
         }
     if spec.layout != "ruler":
@@ -111,7 +115,7 @@ def staged_lines(lines: DataFrame, flags: Optional[dict] = None, input_bytes: Op
     """
     bad = F.col("bad") if "bad" in lines.columns else F.lit(False)
     blk = ["blk"] if "blk" in lines.columns else []
-    t = lines.select("path", *blk, F.col("pos").cast("long").alias("pos"), trim_ws("line").alias("line"), bad.alias("bad"))
+    t = with_trimmed(lines.select("path", *blk, F.col("pos").cast("long").alias("pos"), "line", bad.alias("bad")), "line")
     t = (t if blk else with_block(t)).withColumn("keep", F.col("line") != "")
     if flags:
         t = t.select("*", *[c.alias(n) for n, c in flags.items()])
@@ -193,17 +197,23 @@ def _chunked(k: DataFrame, spec: ReportSpec):
     sections = _section_counts(blocks, k.where("keep and f_data").join(blocks, KEY).where(here), spec.min_row_bytes)
 
     lpr = spec.lines_per_record
-    data = k.where("keep and f_data").where(F.col("nbytes") > spec.min_row_bytes).join(sections, KEY).where(here)
     w = in_block("rk")
-    rows = data.withColumn("r", F.col("before_block") + F.row_number().over(w) - 1)
-    rows = rows.select("path", "date", "line", "r", "before_block", "n_long", *(F.lead("line", i).over(w).alias(f"line{i}") for i in range(1, lpr)))
+    following = [F.lead("line", i).over(w).alias(f"line{i}") for i in range(1, lpr)]
+
+    def numbered(sections):
+        data = k.where("keep and f_data").where(F.col("nbytes") > spec.min_row_bytes).join(sections, KEY).where(here)
+        return data.withColumn("r", F.col("before_block") + F.row_number().over(w) - 1).select("path", "date", "line", "r", "before_block", "n_long", *following)
+
+    rows = numbered(sections)
     record = F.expr(f"r div {lpr}")
     head = record * lpr
     inside = (head >= F.col("before_block")) & (head + lpr <= F.col("before_block") + F.col("n_long"))
     names = [f"line{i}" for i in range(lpr)]
     whole = rows.where(inside & (F.col("r") == head)).select("path", record.alias("record_no"), "date", F.col("line").alias("line0"), *names[1:])
-    # only lines of records that cross a block edge (fewer than lpr at either end) are shuffled
-    edge = rows.where(~inside).groupBy("path", record.alias("record_no")).agg(
+    # only lines of records that cross a block edge (fewer than lpr at either end) are shuffled,
+    # and only blocks that begin or end inside a record are read for them
+    split = sections.where(f"before_block % {lpr} != 0 or (before_block + n_long) % {lpr} != 0")
+    edge = numbered(split).where(~inside).groupBy("path", record.alias("record_no")).agg(
         F.max("date").alias("date"), *(F.max(F.when(F.col("r") == head + i, F.col("line"))).alias(f"line{i}") for i in range(lpr))
     )
     edge = edge.where(F.col(names[-1]).isNotNull())

@@ -142,7 +142,8 @@ def render_st1(spark: SparkSession, sf_dir: str) -> DataFrame:
     l4 = F.concat(rp("licensee", 68, " "), F.col("surface_location"))
     blank = F.when(F.col("o_orderstatus") == "P", F.lit("   ")).otherwise(F.lit(""))
     items = [(k, l0), (k + 1, l1), (k + 2, l2), (k + 3, l3), (k + 4, l4), (k + 5, blank)]
-    records = v.select(st1_path(F.col("d")).alias("path"), _line_rows(st1_path(F.col("d")), F.col("d"), items).alias("x"))
+    # the name is made once an order, below the explode, not once a line
+    records = v.withColumn("path", st1_path(F.col("d"))).select("path", _line_rows(F.col("path"), F.col("d"), items).alias("x"))
 
     days = order_days(spark, sf_dir).groupBy("d").agg(
         F.count(F.lit(1)).alias("n_orders"), F.max("o_orderkey").alias("last_key")

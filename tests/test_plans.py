@@ -123,3 +123,11 @@ def test_records_compile(spark):
             assert sizes and max(sizes) < 8000, sizes
     finally:
         spark.conf.set(key, before)
+
+
+def test_whole_blocks_are_read_once(spark):
+    """Blocks of whole records are not read again for records that cross an edge; others are."""
+    whole = parse_reports(lines_df(spark, {"a": render_st1_report(ST1_GOLDEN)}), "st1").records
+    assert len(whole.collect()) == 3
+    plan = whole._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Scan parquet \S*rl_lines_", plan)) == 1, plan

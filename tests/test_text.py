@@ -122,3 +122,17 @@ def test_with_slices_gives_byte_slices(spark):
     got = with_slices(df, ["id"], cuts).orderBy("id").collect()
     want = df.select("id", *[byte_slice(F.col(l), s, e).alias(n) for n, l, s, e in cuts]).orderBy("id").collect()
     assert got == want and got[1]["d"] == "x" and got[3]["d"] == ""
+
+
+def test_lines_are_trimmed_alike(spark):
+    """Lines that need no trim by the set of white space skip it, with the same result."""
+    from pyspark.sql import types as T
+
+    from report_lake.functions.text import UNICODE_WHITESPACE, with_trimmed
+
+    edges = ["", " ", "\r", " \r", "\r ", "\r\r", "\t", "\x1f", "\x7f", "é", "~", "!", "　 \r", *UNICODE_WHITESPACE]
+    lines = [None, *(a + x + b for a in edges for x in ("", "x", "a b", "é x y") for b in edges)]
+    df = spark.createDataFrame([(x,) for x in lines], T.StructType([T.StructField("v", T.StringType())])).withColumn("t", trim_ws("v"))
+    raw = spark.sql("SELECT cast(unhex(h) AS string) AS v FROM VALUES ('20E241'), ('FF20'), ('41C30D'), ('E280'), ('20E28041200D') AS x(h)").withColumn("t", trim_ws("v"))
+    got = with_trimmed(df.union(raw), "v")
+    assert got.count() == len(lines) + 5 and got.where(~F.col("v").cast("binary").eqNullSafe(F.col("t").cast("binary"))).count() == 0
