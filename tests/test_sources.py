@@ -219,3 +219,58 @@ def test_report_files_are_copied_under_a_second_name(spark, tmp_path):
     for name in ("BIG.TXT", "ONE.TXT"):
         want = [x[2] for x in lines if x[0] == name]
         assert (folder / name).read_text().splitlines() == want == (folder / f"OLD{name}").read_text().splitlines()
+
+
+def plans_of(monkeypatch, module, name):
+    """The plans of the frames that ``module.name`` gets, as text."""
+    seen, real = [], getattr(module, name)
+
+    def spy(df, *args, **kwargs):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(module, name, spy)
+    return seen
+
+
+def test_reports_are_written_from_orders(spark, tmp_path, monkeypatch):
+    """Files of rendered reports hold the rendered lines in order, although what is dealt
+    out by range are order rows: keys below zero lie among the header lines, keys and days
+    are null or come twice. The parts are dropped."""
+    from pyspark.sql import types as T
+
+    from report_lake.plans import fixtures
+    from report_lake.plans.render import render_st1, render_st49, st1_reports, st49_reports
+
+    schema = T.StructType.fromDDL("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    import datetime
+
+    day = lambda n: datetime.datetime(2025, 1, n)
+    keys = [*range(-15, 40), 7, 7, 2**40]
+    orders = [(k, abs(k) % 3, "OFP"[k % 3], 10.5 * abs(k), day(12 + k % 3), "1-URGENT") for k in keys]
+    orders += [(None, 1, "P", 3.0, day(12), "5-LOW"), (50, 9, "F", 4.0, day(20), "5-LOW"), (51, 2, None, None, day(13), None)]
+    spark.createDataFrame(orders, schema).write.parquet(f"{tmp_path}/t/orders.parquet")
+    spark.createDataFrame([(i, f"Customer#{i}", i, 1.5 * i, "BUILDING") for i in range(3)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/t/customer.parquet")
+    spark.createDataFrame([(i, f"NATION {i}") for i in range(3)], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/t/nation.parquet")
+    monkeypatch.setattr(fixtures, "ORDERS_PER_TASK", 5)
+    written = plans_of(monkeypatch, fixtures, "_write_ordered")
+    for which, render, reports in (("a", render_st1, st1_reports), ("b", render_st49, st49_reports)):
+        folder, staging = tmp_path / which, tmp_path / f"staging_{which}"
+        fixtures.write_reports(reports(spark, f"{tmp_path}/t"), f"file:{folder}", f"file:{staging}", len(orders))
+        assert not staging.exists()
+        dealt = written.pop()
+        assert dealt.index("Generate explode(lines") < dealt.index("rangepartitioning")  # lines are made above it
+        want = {}
+        for r in render(spark, f"{tmp_path}/t").collect():
+            want.setdefault(r.path, []).append((r.pos is not None, r.pos or 0, r.line or ""))
+        assert {p.name for p in folder.iterdir() if not p.name.startswith(".")} == set(want) and len(want) == 4
+        for path, lines in want.items():
+            got = (folder / path).read_bytes().decode().split("\n")[:-1]
+            blocks = {}
+            for known, pos, line in lines:
+                blocks.setdefault((known, pos), []).append(line)
+            at = 0
+            for key in sorted(blocks):  # lines of one position are in no order
+                assert sorted(got[at : at + len(blocks[key])]) == sorted(blocks[key]), (path, key)
+                at += len(blocks[key])
+            assert at == len(got)
