@@ -233,6 +233,84 @@ def plans_of(monkeypatch, module, name):
     return seen
 
 
+def tiny_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+def default_splits(spark):
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_folder_lines_are_written_as_they_come(spark, tmp_shared, monkeypatch):
+    """Files read in splits are parsed without a shuffle of their lines, and give what
+    the same lines give as rows without order."""
+    import random
+
+    from conftest import lines_df
+    from report_lake.operators import parse
+    from test_parse import random_report, rec, st1_text
+
+    rng = random.Random(3)
+    texts = {f"R{i:02d}.TXT": random_report(rng, "st1") for i in range(12)}
+    texts.update({f"V{i}.TXT": st1_text(["", *sum((rec(j) + [" "] * (j % 2) for j in range(9 * i)), [])]) for i in range(4)})
+    texts["BLANK.TXT"] = " \n\n\r\n"
+    folder = tmp_shared("txt")
+    files = [(n, t.encode()) for n, t in texts.items()] + [("BAD.TXT", st1_text(rec(1)).encode() + b"\n\xe2\x80\n")]
+    write_named_files(spark.createDataFrame(files, "name string, content binary"), folder).count()
+    want = parse.parse_reports(lines_df(spark, texts), "st1")
+    staged = plans_of(monkeypatch, parse, "stage")
+    tiny_splits(spark)
+    try:
+        got = ingest_folder(spark, folder, "st1")
+        assert "Scan text" in staged[0] and "Exchange" not in staged[0]
+        assert not [p for p in staged[1:] if "Scan text" in p]
+        name = F.regexp_extract("path", r"([^/]*)$", 1)
+        rows = lambda df: sorted(map(tuple, df.withColumn("path", name).collect()), key=repr)
+        assert rows(got.records) == rows(want.records) and len(rows(want.records)) > 50
+        status = [r for r in rows(got.status) if r[0] != "BAD.TXT"]
+        assert status == rows(want.status)
+        assert [r["status"] for r in got.status.where("path like '%BAD.TXT'").collect()] == ["io_error"]
+    finally:
+        default_splits(spark)
+
+
+def test_one_file_of_many_reports_is_not_shuffled(spark, tmp_shared, monkeypatch):
+    """Of one file with several reports, the lines of the first section alone are put together."""
+    from report_lake.operators import parse
+    from report_lake.operators.ingest import ingest_file
+    from test_stream import report
+
+    folder = tmp_shared("txt")
+    write_named_files(spark.createDataFrame([("ALL.TXT", report(1, 9) + report(2, 50))], "name string, content binary"), folder).count()
+    staged = plans_of(monkeypatch, parse, "stage")
+    tiny_splits(spark)
+    try:
+        res = ingest_file(spark, f"{folder}/ALL.TXT", "st1")
+        assert "Exchange" not in staged[0]
+        assert [(r.record_no, r.well_name) for r in res.records.orderBy("record_no").collect()] == [(i, f"WELL 1{i}") for i in range(9)]
+        assert [(r.status, r.records) for r in res.status.collect()] == [("ok", 9)]
+    finally:
+        default_splits(spark)
+
+
+def test_paths_that_come_twice_are_not_taken_in_order(spark, monkeypatch):
+    from report_lake.operators import ingest, parse
+    from test_stream import report
+
+    orders = []
+    real = parse.staged_in_order
+    monkeypatch.setattr(parse, "staged_in_order", lambda *a: orders.append(1) or real(*a))
+    once = spark.createDataFrame([("a", report(1, 2)), ("b", report(2, 3))], "path string, content binary")
+    assert ingest.ingest_reports(once, "st1").records.count() == 5 and orders
+    orders.clear()
+    ingest.ingest_reports(once.union(once), "st1")
+    assert not orders
+    monkeypatch.setattr(ingest, "BROADCAST_BLOCKS", 1)  # nor are more blocks than are broadcast
+    assert ingest.ingest_reports(once, "st1").records.count() == 5 and not orders
+
+
 def test_reports_are_written_from_orders(spark, tmp_path, monkeypatch):
     """Files of rendered reports hold the rendered lines in order, although what is dealt
     out by range are order rows: keys below zero lie among the header lines, keys and days
