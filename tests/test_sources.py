@@ -311,6 +311,39 @@ def test_paths_that_come_twice_are_not_taken_in_order(spark, monkeypatch):
     assert ingest.ingest_reports(once, "st1").records.count() == 5 and not orders
 
 
+def test_saved_texts_are_not_shuffled_and_staged_bodies_can_go(spark, tmp_shared, monkeypatch):
+    """Texts are saved from where they were fetched; days out of range are not put together;
+    what a range staged can be dropped, as a second fetch replaces its texts."""
+    from pyspark.sql import DataFrameWriter
+
+    from report_lake.operators.ingest import ingest_date_range
+    from report_lake.session import drop_staged, path_exists, staged_tables
+    from test_stream import report
+
+    saved, plans, before = tmp_shared("texts"), {}, staged_tables()
+    write = DataFrameWriter.parquet
+
+    def spy(self, path, *args, **kwargs):
+        plans[path] = self._df._jdf.queryExecution().executedPlan().toString()
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    pages = {"x/WELLS0101.TXT": report(1, 2), "x/WELLS0102.TXT": report(2, 3).replace(b"2025", b"2019"), "x/WELLS0103.TXT": report(3, 4)}
+    for _ in range(2):
+        drop_staged(spark, before)
+        assert staged_tables() == before
+        _, res = ingest_date_range(spark, "st1", "2025-01-01", "2025-01-03", "x/", fetcher=pages.__getitem__, txt_out=saved)
+    bodies = [p for p in staged_tables() - before if "/fetched-" in p]
+    assert len(bodies) == 1 and path_exists(spark, bodies[0])
+    assert "Exchange" not in plans[saved]
+    assert sorted((r.path, r.date) for r in res.records.collect()) == 2 * [("WELLS01012025.TXT", "2025-01-01")] + 4 * [("WELLS01032025.TXT", "2025-01-03")]
+    assert {r.path: (r.status, r.records) for r in res.status.collect()} == {
+        "WELLS01012025.TXT": ("ok", 2), "WELLS01022025.TXT": ("out_of_range", 3), "WELLS01032025.TXT": ("ok", 4)}
+    assert sorted(r.n for r in spark.read.parquet(saved).groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()) == [1, 1, 1]
+    drop_staged(spark, before)
+    assert not path_exists(spark, bodies[0])
+
+
 def test_reports_are_written_from_orders(spark, tmp_path, monkeypatch):
     """Files of rendered reports hold the rendered lines in order, although what is dealt
     out by range are order rows: keys below zero lie among the header lines, keys and days
